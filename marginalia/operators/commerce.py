@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marginalia.functions import month_diff, month_start, norm_key, nz, safe_div
+from marginalia.functions.windows import running_sums
 
 # Fixed values that must equal the reference's for equal results:
 #   partnership product title: "Tuning Clamps" (revenue share kept: 0.40)
@@ -182,9 +183,8 @@ def customer_cohorts(orders: DataFrame, lines: DataFrame, market_costs: DataFram
     """K-15: one row per customer order with cohort month and running profit.
 
     Running sums are ordered by (order_date, order_id) so same-day orders get
-    a deterministic order (R-05).  The window is partitioned by customer; the
-    per-order rows are already aggregated, so a partition holds one row per
-    order of that customer.
+    a deterministic order (R-05).  They are computed with ``running_sums``,
+    which slices a customer with very many orders across tasks.
     """
     _, net = _line_net(partner_title, partner_share)
     li = (lines.where(F.col("sku").isNotNull() & (F.col("sku") != ""))
@@ -203,18 +203,16 @@ def customer_cohorts(orders: DataFrame, lines: DataFrame, market_costs: DataFram
           .withColumn("estimated_shipping_cost", F.lit(shipping_per_order))
           .withColumn("contribution_profit", F.col("gross_profit") - F.lit(shipping_per_order)))
     first = op.groupBy("customer_id").agg(F.min("order_date").alias("first_order_date"))
-    from pyspark.sql import Window
-    run = (Window.partitionBy("customer_id").orderBy("order_date", "order_id")
-           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    j = op.join(first, "customer_id")
+    run = running_sums(op, ["customer_id"], ["order_date", "order_id"],
+                       {"cumulative_gross_profit": "gross_profit",
+                        "cumulative_contribution_profit": "contribution_profit"})
+    j = run.join(first, "customer_id")
     return j.select(
         "order_id", "customer_id", "order_date", "first_order_date",
         month_start("first_order_date").alias("cohort_month"),
         month_diff("order_date", "first_order_date").alias("months_since_first_order"),
-        "net_revenue", "total_cogs", "gross_profit",
-        F.sum("gross_profit").over(run).alias("cumulative_gross_profit"),
-        "estimated_shipping_cost", "contribution_profit",
-        F.sum("contribution_profit").over(run).alias("cumulative_contribution_profit"))
+        "net_revenue", "total_cogs", "gross_profit", "cumulative_gross_profit",
+        "estimated_shipping_cost", "contribution_profit", "cumulative_contribution_profit")
 
 
 def customer_ltv(cohorts: DataFrame, as_of: str, *, horizon_months: int = 6) -> DataFrame:
