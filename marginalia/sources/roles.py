@@ -214,7 +214,7 @@ join part on l_partkey = p_partkey"""
 
 def search_daily(spark, d):
     li = table(spark, d, "lineitem").where(F.col("l_linestatus") == "F")
-    return li.select(
+    base = li.select(
         F.col("l_shipdate").cast("date").alias("date_start"),
         F.col("l_suppkey").alias("campaign_id"),
         F.concat(F.lit("search-"), F.col("l_suppkey").cast("string")).alias("campaign_name"),
@@ -227,6 +227,8 @@ def search_daily(spark, d):
         F.round(F.col("l_discount") * 100).alias("conversions"),
         (idiv("cast(round(l_extendedprice * 100) as bigint) * cast(round(l_discount * 100) as bigint)", 100) / 100.0).alias("conversion_value"),
     )
+    return base.select("*", F.try_divide(F.col("spend"), F.col("clicks")).alias("cpc"),
+                       F.try_divide(F.col("clicks").cast("double"), F.col("impressions")).alias("ctr"))
 
 
 SQL_SEARCH_DAILY = """
@@ -240,11 +242,14 @@ select cast(l_shipdate as date) as date_start, l_suppkey as campaign_id,
        (cast(round(l_extendedprice * 100) as bigint) * cast(round(l_discount * 100) as bigint) // 100) / 100.0
            as conversion_value
 from lineitem where l_linestatus = 'F'"""
+SQL_SEARCH_DAILY = f"""
+select *, spend / nullif(clicks, 0) as cpc, cast(clicks as double) / nullif(impressions, 0) as ctr
+from ({SQL_SEARCH_DAILY}) s"""
 
 
 def social_daily(spark, d):
     li = table(spark, d, "lineitem").where(F.col("l_linestatus") == "O")
-    return li.select(
+    base = li.select(
         F.col("l_shipdate").cast("date").alias("date_start"),
         F.col("l_suppkey").cast("string").alias("campaign_id"),
         F.concat(F.lit("social-"), F.col("l_suppkey").cast("string")).alias("campaign_name"),
@@ -258,6 +263,17 @@ def social_daily(spark, d):
         F.round(F.col("l_discount") * 100).cast("bigint").alias("purchases"),
         (idiv("cast(round(l_extendedprice * 100) as bigint) * cast(round(l_discount * 100) as bigint)", 100) / 100.0).alias("purchase_value"),
     )
+    return base.select(
+        "*", F.col("clicks").alias("link_clicks"),
+        F.try_divide(F.col("spend"), F.col("clicks")).alias("cpc"),
+        F.try_divide(F.col("spend") * 1000, F.col("impressions")).alias("cpm"),
+        F.try_divide(F.col("clicks").cast("double"), F.col("impressions")).alias("ctr"),
+        F.expr("impressions div 2").alias("reach"),
+        F.try_divide(F.col("impressions").cast("double"), F.expr("impressions div 2")).alias("frequency"),
+        (F.col("purchases") * 3).alias("add_to_cart"), (F.col("purchase_value") * 2).alias("add_to_cart_value"),
+        (F.col("purchases") * 2).alias("initiate_checkout"),
+        (F.col("purchase_value") * 1.5).alias("initiate_checkout_value"),
+        F.col("clicks").alias("landing_page_views"))
 
 
 SQL_SOCIAL_DAILY = """
@@ -271,6 +287,14 @@ select cast(l_shipdate as date) as date_start, cast(l_suppkey as varchar) as cam
        (cast(round(l_extendedprice * 100) as bigint) * cast(round(l_discount * 100) as bigint) // 100) / 100.0
            as purchase_value
 from lineitem where l_linestatus = 'O'"""
+SQL_SOCIAL_DAILY = f"""
+select *, clicks as link_clicks, spend / nullif(clicks, 0) as cpc, spend * 1000 / nullif(impressions, 0) as cpm,
+       cast(clicks as double) / nullif(impressions, 0) as ctr, impressions // 2 as reach,
+       cast(impressions as double) / nullif(impressions // 2, 0) as frequency,
+       purchases * 3 as add_to_cart, purchase_value * 2 as add_to_cart_value,
+       purchases * 2 as initiate_checkout, purchase_value * 1.5 as initiate_checkout_value,
+       clicks as landing_page_views
+from ({SQL_SOCIAL_DAILY}) s"""
 
 
 # ---------------------------------------------------------------------------
