@@ -6,5 +6,6 @@ Importing this package registers every query in ``catalog.QUERIES``.
 from marginalia.plans import catalog  # noqa: F401
 from marginalia.plans import commerce  # noqa: F401
 from marginalia.plans import marketing  # noqa: F401
+from marginalia.plans import finance  # noqa: F401
 
 QUERIES = catalog.QUERIES

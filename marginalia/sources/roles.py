@@ -450,3 +450,263 @@ ROLE_SPARK = {
     "r_search_terms": search_terms,
     "r_search_perf": search_performance,
 }
+
+
+# ---------------------------------------------------------------------------
+# accounting: purchases, accounts, invoices, customers, deposits, wallet txns
+# ---------------------------------------------------------------------------
+
+def purchase_lines(spark, d):
+    """Expense lines <- lineitem x supplier x nation.
+
+    Vendor = the supplier's nation (a few dozen vendors with many lines a
+    month); vendors in regions 0-1 bill a flat amount per line, which makes
+    them look like subscriptions; account = return flag + line status.
+    """
+    li = table(spark, d, "lineitem")
+    s = table(spark, d, "supplier")
+    n = table(spark, d, "nation")
+    j = li.join(s, li["l_suppkey"] == s["s_suppkey"]).join(n, F.col("s_nationkey") == F.col("n_nationkey"))
+    flat = F.col("n_regionkey") <= 1
+    amount = F.when(flat, (F.col("n_nationkey") * 100 + 4999) / 100.0).otherwise(
+        idiv("cast(round(l_extendedprice * 100) as bigint) * cast(round(l_tax * 100) as bigint)", 100) / 100.0)
+    acct = F.concat(F.col("l_returnflag"), F.col("l_linestatus"))
+    return j.select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("line_item_id"),
+        F.col("l_orderkey").cast("string").alias("purchase_id"),
+        F.col("l_shipdate").cast("date").alias("txn_date"),
+        F.col("n_nationkey").cast("string").alias("vendor_id"),
+        F.concat(F.lit("Vendor "), F.col("n_name")).alias("vendor_name"),
+        F.concat(F.lit("part "), F.col("l_partkey").cast("string")).alias("description"),
+        amount.alias("amount"), acct.alias("account_id"),
+        F.concat(F.lit("Account "), acct).alias("account_name"),
+        F.col("s_suppkey").cast("string").alias("customer_id"), F.col("s_name").alias("customer_name"),
+        F.lit("NotBillable").alias("billable_status"))
+
+
+SQL_PURCHASE_LINES = """
+select concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) as line_item_id,
+       cast(l_orderkey as varchar) as purchase_id, cast(l_shipdate as date) as txn_date,
+       cast(n_nationkey as varchar) as vendor_id, 'Vendor ' || n_name as vendor_name,
+       'part ' || cast(l_partkey as varchar) as description,
+       case when n_regionkey <= 1 then (n_nationkey * 100 + 4999) / 100.0
+            else (cast(round(l_extendedprice * 100) as bigint) * cast(round(l_tax * 100) as bigint) // 100) / 100.0
+       end as amount,
+       l_returnflag || l_linestatus as account_id, 'Account ' || l_returnflag || l_linestatus as account_name,
+       cast(s_suppkey as varchar) as customer_id, s_name as customer_name, 'NotBillable' as billable_status
+from lineitem join supplier on l_suppkey = s_suppkey join nation on s_nationkey = n_nationkey"""
+
+# chart of accounts (reference data, like a seed): one row per account id
+ACCOUNTS = [
+    ("AF", "Software", "Software", "Expense", "OfficeGeneralAdministrativeExpenses", "Expense", True),
+    ("AO", "Owner Payroll", "Owner Payroll", "Expense", "PayrollWageExpenses", "Expense", True),
+    ("NF", "Advertising", "Advertising", "Expense", "AdvertisingPromotional", "Expense", True),
+    ("NO", "Freight", "Freight", "Cost of Goods Sold", "ShippingFreightDeliveryCos", "Expense", True),
+    ("RF", "Insurance", "Insurance", "Expense", None, "Expense", True),
+    ("RO", "Sales", "Sales", "Income", "SalesOfProductIncome", "Revenue", True),
+]
+ACCOUNT_DDL = ("account_id string, name string, fully_qualified_name string, account_type string, "
+               "account_sub_type string, classification string, active boolean")
+
+
+def accounts(spark, d=None):
+    return spark.createDataFrame(ACCOUNTS, ACCOUNT_DDL)
+
+
+def _sql_values(rows):
+    def lit(v):
+        if v is None:
+            return "null"
+        if isinstance(v, bool):
+            return "true" if v else "false"
+        if isinstance(v, str):
+            return "'" + v.replace("'", "''") + "'"
+        return repr(v)
+    return ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows)
+
+
+SQL_ACCOUNTS = (f"select * from (values {_sql_values(ACCOUNTS)}) as t(account_id, name, fully_qualified_name, "
+                "account_type, account_sub_type, classification, active)")
+
+
+def invoices(spark, d):
+    """Wholesale invoices <- orders x customer; balance by order status."""
+    o = table(spark, d, "orders")
+    c = table(spark, d, "customer")
+    j = o.join(c, o["o_custkey"] == c["c_custkey"])
+    tot = F.col("o_totalprice")
+    bal = (F.when(F.col("o_orderstatus") == "F", F.lit(0.0))
+           .when(F.col("o_orderstatus") == "O", tot)
+           .otherwise(idiv("cast(round(o_totalprice * 100) as bigint)", 2) / 100.0))
+    from marginalia.sources.flatten import invoice_status
+    return j.select(
+        F.concat(F.lit("INV-"), F.col("o_orderkey").cast("string")).alias("invoice_id"),
+        F.col("o_orderkey").cast("string").alias("doc_number"),
+        F.col("o_orderdate").cast("date").alias("txn_date"),
+        F.date_add(F.col("o_orderdate").cast("date"), 30).alias("due_date"),
+        F.col("o_custkey").cast("string").alias("customer_id"), F.col("c_name").alias("customer_name"),
+        tot.alias("total_amount"), bal.alias("balance"),
+        invoice_status(bal, tot).alias("txn_status"))
+
+
+SQL_INVOICES = """
+select *, case when balance = 0 and total_amount > 0 then 'Paid' when balance < total_amount then 'Partial'
+               when balance = total_amount then 'Open' else 'Unknown' end as txn_status
+from (select 'INV-' || cast(o_orderkey as varchar) as invoice_id, cast(o_orderkey as varchar) as doc_number,
+             cast(o_orderdate as date) as txn_date, cast(o_orderdate as date) + 30 as due_date,
+             cast(o_custkey as varchar) as customer_id, c_name as customer_name, o_totalprice as total_amount,
+             case o_orderstatus when 'F' then 0.0 when 'O' then o_totalprice
+                  else (cast(round(o_totalprice * 100) as bigint) // 2) / 100.0 end as balance
+      from orders join customer on o_custkey = c_custkey) i"""
+
+
+def invoice_lines(spark, d):
+    li = table(spark, d, "lineitem")
+    return li.select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("line_item_id"),
+        F.concat(F.lit("INV-"), F.col("l_orderkey").cast("string")).alias("invoice_id"),
+        F.concat(F.lit("part "), F.col("l_partkey").cast("string")).alias("item_name"),
+        F.col("l_quantity").alias("quantity"),
+        (idiv("cast(round(l_extendedprice * 100) as bigint)", "cast(l_quantity as bigint)") / 100.0).alias("unit_price"),
+        F.col("l_extendedprice").alias("amount"))
+
+
+SQL_INVOICE_LINES = """
+select concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) as line_item_id,
+       'INV-' || cast(l_orderkey as varchar) as invoice_id, 'part ' || cast(l_partkey as varchar) as item_name,
+       l_quantity as quantity,
+       (cast(round(l_extendedprice * 100) as bigint) // cast(l_quantity as bigint)) / 100.0 as unit_price,
+       l_extendedprice as amount
+from lineitem"""
+
+
+def qb_customers(spark, d):
+    c = table(spark, d, "customer")
+    n = table(spark, d, "nation")
+    j = c.join(n, c["c_nationkey"] == n["n_nationkey"])
+    return j.select(F.col("c_custkey").cast("string").alias("customer_id"),
+                    F.col("c_name").alias("display_name"),
+                    F.concat_ws(" ", "c_name", "c_mktsegment").alias("company_name"),
+                    F.col("n_name").alias("state"), F.col("c_acctbal").alias("balance"))
+
+
+SQL_QB_CUSTOMERS = """
+select cast(c_custkey as varchar) as customer_id, c_name as display_name,
+       concat_ws(' ', c_name, c_mktsegment) as company_name, n_name as state, c_acctbal as balance
+from customer join nation on c_nationkey = n_nationkey"""
+
+# deposit memo templates (bench shaping only): (k div 3) % 10 picks one
+_MEMOS = [
+    "AMAZON PAYMENTS PAYOUT {id}",
+    "TREMENDOUS, PAYOUT",
+    "Pickleball Opco, Purpose Bu",
+    "Description: Vatic Pro affiliate commission Transaction ID: 7X{id}",
+    "Shopify transfer {id}",
+    "Sport Squad payout {id}",
+    "Podcast sponsorship {id}",
+    "Description: Gearbox monthly Transaction ID: 7X{id}",
+    "mobile deposit",
+    "Transaction ID: 9K{id}",
+]
+_ACCOUNT_OF_K4 = ["Bluevine Checking (6606) - 1", "Bluevine Checking (6606) - 1",
+                  "PayPal balance account", "Operating Savings"]
+_SUMMARY_OF_TYPE = {"purchase": "Shopify Payments", "view": "Affiliate Revenue", "click": "",
+                    "signup": "Sponsorship income"}
+
+
+def deposits(spark, d):
+    """Bank and wallet deposits <- events (one deposit per event)."""
+    e = table(spark, d, "events")
+    k = F.get_json_object("props", "$.k").cast("int")
+    eid = F.col("event_id").cast("string")
+    mi = F.expr("(cast(get_json_object(props, '$.k') as int) div 3) % 10")
+    memo = None
+    for i, t in enumerate(_MEMOS):
+        parts = t.split("{id}")
+        v = F.lit(parts[0]) if len(parts) == 1 else F.concat(F.lit(parts[0]), eid, F.lit(parts[1]))
+        memo = F.when(mi == i, v) if memo is None else memo.when(mi == i, v)
+    acct = None
+    for i, a in enumerate(_ACCOUNT_OF_K4):
+        acct = F.when(k % 4 == i, a) if acct is None else acct.when(k % 4 == i, a)
+    summ = None
+    for t, v in _SUMMARY_OF_TYPE.items():
+        summ = F.when(F.col("event_type") == t, v) if summ is None else summ.when(F.col("event_type") == t, v)
+    return e.select(eid.alias("deposit_id"), F.col("ts").cast("date").alias("txn_date"),
+                    F.col("value").alias("total_amount"), acct.alias("deposit_to_account_name"),
+                    summ.alias("source_summary"), memo.alias("memo"), F.lit(1).cast("bigint").alias("line_count"),
+                    F.lit("USD").alias("currency"))
+
+
+def _sql_case(expr, mapping):
+    whens = " ".join(f"when {expr} = {k!r} then '{v}'" if isinstance(k, str) else f"when {expr} = {k} then {v}"
+                     for k, v in mapping)
+    return f"case {whens} end"
+
+
+def _sql_memo():
+    parts = []
+    for i, t in enumerate(_MEMOS):
+        pieces = t.split("{id}")
+        if len(pieces) == 1:
+            v = "'" + t.replace("'", "''") + "'"
+        else:
+            v = f"'{pieces[0]}' || cast(event_id as varchar) || '{pieces[1]}'"
+        parts.append(f"when (k // 3) % 10 = {i} then {v}")
+    return "case " + " ".join(parts) + " end"
+
+
+SQL_DEPOSITS = f"""
+select cast(event_id as varchar) as deposit_id, cast(ts as date) as txn_date, value as total_amount,
+       case {' '.join(f"when k % 4 = {i} then '{a}'" for i, a in enumerate(_ACCOUNT_OF_K4))} end
+           as deposit_to_account_name,
+       case {' '.join(f"when event_type = '{t}' then '{v}'" for t, v in _SUMMARY_OF_TYPE.items())} end
+           as source_summary,
+       {_sql_memo()} as memo, cast(1 as bigint) as line_count, 'USD' as currency
+from (select *, cast(json_extract_string(props, '$.k') as integer) as k from events) e"""
+
+
+def wallet_transactions(spark, d):
+    """Wallet (payment API) transactions <- events whose deposit memo carries a wallet id."""
+    e = table(spark, d, "events")
+    k = F.get_json_object("props", "$.k").cast("int")
+    mi = F.expr("(cast(get_json_object(props, '$.k') as int) div 3) % 10")
+    e = e.where(mi.isin(3, 7, 9))
+    pre = F.when(mi == 9, "9K").otherwise("7X")
+    subj = F.when(F.col("user_id") % 3 == 0, "HPC commission payout").when(
+        F.col("user_id") % 3 == 1, "Selkirk partner payment").otherwise("Payment received")
+    return e.select(F.concat(pre, F.col("event_id").cast("string")).alias("transaction_id"),
+                    F.col("ts").alias("transaction_initiation_date"),
+                    F.col("ts").cast("date").alias("transaction_date"),
+                    F.col("value").alias("transaction_amount"),
+                    F.when(F.col("user_id") % 5 == 0, "Pending").otherwise("Success").alias("transaction_status"),
+                    subj.alias("transaction_subject"))
+
+
+SQL_WALLET_TRANSACTIONS = """
+select case when (k // 3) % 10 = 9 then '9K' else '7X' end || cast(event_id as varchar) as transaction_id,
+       ts as transaction_initiation_date, cast(ts as date) as transaction_date, value as transaction_amount,
+       case when user_id % 5 = 0 then 'Pending' else 'Success' end as transaction_status,
+       case when user_id % 3 = 0 then 'HPC commission payout' when user_id % 3 = 1 then 'Selkirk partner payment'
+            else 'Payment received' end as transaction_subject
+from (select *, cast(json_extract_string(props, '$.k') as integer) as k from events) e
+where (k // 3) % 10 in (3, 7, 9)"""
+
+
+ROLE_SQL.update({
+    "r_purchase_lines": SQL_PURCHASE_LINES,
+    "r_accounts": SQL_ACCOUNTS,
+    "r_invoices": SQL_INVOICES,
+    "r_invoice_lines": SQL_INVOICE_LINES,
+    "r_qb_customers": SQL_QB_CUSTOMERS,
+    "r_deposits": SQL_DEPOSITS,
+    "r_wallet_txns": SQL_WALLET_TRANSACTIONS,
+})
+ROLE_SPARK.update({
+    "r_purchase_lines": purchase_lines,
+    "r_accounts": accounts,
+    "r_invoices": invoices,
+    "r_invoice_lines": invoice_lines,
+    "r_qb_customers": qb_customers,
+    "r_deposits": deposits,
+    "r_wallet_txns": wallet_transactions,
+})
