@@ -281,3 +281,75 @@ def daily_performance(social: DataFrame, search: DataFrame) -> DataFrame:
         null("bigint").alias("initiate_checkout"), null("double").alias("initiate_checkout_value"),
         null("bigint").alias("landing_page_views"))
     return meta.unionByName(google)
+
+
+# --- creatives ------------------------------------------------------------------
+# Fixed values that must equal the reference's for equal results:
+#   creative tiers by lifetime roas: >= 3 top_performer, >= 2 good, >= 1 marginal, else underperformer
+#   health: >= 14 active days and ctr% < 1 possible_fatigue; roas < 0.5 and spend > 50 cut_candidate
+#   components: only creatives active >= 7 days
+
+
+def creative_performance(creatives: DataFrame, social: DataFrame) -> DataFrame:
+    """K-08: lifetime metrics per ad attached to each creative, with tier and health."""
+    cd = social.where(F.col("spend") > 0).groupBy("ad_id", "ad_name").agg(
+        F.sum("spend").alias("lifetime_spend"), F.sum("impressions").alias("lifetime_impressions"),
+        F.sum("clicks").alias("lifetime_clicks"), F.sum("purchases").alias("lifetime_purchases"),
+        F.sum("purchase_value").alias("lifetime_revenue"),
+        safe_div(F.sum("purchase_value"), F.sum("spend")).alias("lifetime_roas"),
+        (safe_div(F.sum("clicks"), F.sum("impressions")) * 100).alias("lifetime_ctr"),
+        safe_div(F.sum("spend"), F.sum("purchases")).alias("lifetime_cpa"),
+        F.min("date_start").alias("first_date"), F.max("date_start").alias("last_date"),
+        F.count_distinct("date_start").alias("days_active"))
+    j = creatives.join(cd, "ad_id", "left")
+    roas = F.col("lifetime_roas")
+    tier = (F.when(roas >= 3.0, "top_performer").when(roas >= 2.0, "good").when(roas >= 1.0, "marginal")
+            .otherwise("underperformer"))
+    health = (F.when((F.col("days_active") >= 14) & (F.col("lifetime_ctr") < 1.0), "possible_fatigue")
+              .when((roas < 0.5) & (F.col("lifetime_spend") > 50), "cut_candidate").otherwise("healthy"))
+    return j.select(
+        "creative_id", "ad_id", "ad_name", F.col("title").alias("headline"), F.col("body").alias("primary_text"),
+        "cta_type", "object_type", "video_id", "lifetime_spend", "lifetime_impressions", "lifetime_clicks",
+        "lifetime_purchases", "lifetime_revenue", "lifetime_roas", "lifetime_ctr", "lifetime_cpa", "first_date",
+        "last_date", "days_active", tier.alias("performance_tier"), health.alias("health_status"))
+
+
+def component_scores(library: DataFrame, creative_perf: DataFrame, *, min_days: int = 7,
+                     literal_weighting: bool = True) -> DataFrame:
+    """K-09: performance of copy components (hooks match headlines, bodies match primary text).
+
+    The source model's OR join becomes: unpivot creatives to (type, text),
+    aggregate per normalised text, then one equi-join with the library, so no
+    component x creative pair is ever formed.  ``weighted_roas`` keeps the
+    source formula sum(purchases * roas * spend) / sum(spend) by default
+    (R-06); ``literal_weighting=False`` gives sum(roas * spend) / sum(spend).
+    """
+    cp = creative_perf.where(F.col("days_active") >= min_days)
+    sides = F.array(
+        F.struct(F.lit("hook").alias("t"), F.col("headline").alias("x")),
+        F.struct(F.lit("body").alias("t"), F.col("primary_text").alias("x")))
+    u = (cp.select("*", F.explode(sides).alias("s"))
+         .where(F.col("s.x").isNotNull())
+         .select(F.col("s.t").alias("component_type"), F.lower(F.trim(F.col("s.x"))).alias("key"), "ad_id",
+                 "lifetime_spend", "lifetime_purchases", "lifetime_roas", "lifetime_ctr", "lifetime_cpa",
+                 "days_active"))
+    w = F.col("lifetime_roas") * F.col("lifetime_spend")
+    if literal_weighting:
+        w = F.col("lifetime_purchases") * w
+    per_text = u.groupBy("component_type", "key").agg(
+        F.count_distinct("ad_id").alias("ads_using"), F.sum("lifetime_spend").alias("total_spend"),
+        F.sum("lifetime_purchases").alias("total_purchases"), F.sum(w).alias("_w"),
+        F.sum("lifetime_ctr").alias("_ctr_sum"), F.count("lifetime_ctr").alias("_ctr_n"),
+        F.sum("lifetime_cpa").alias("_cpa_sum"), F.count("lifetime_cpa").alias("_cpa_n"),
+        F.max("days_active").alias("max_days_active"))
+    lib = library.select("component_id", "component_type", "text", F.lower(F.trim("text")).alias("key"))
+    # a library row that repeats (same id, type, text) would be grouped into one row by the source model
+    lib = lib.groupBy("component_id", "component_type", "text", "key").agg(F.count(F.lit(1)).alias("_n"))
+    j = lib.join(per_text, ["component_type", "key"])
+    n = F.col("_n")
+    return j.select(
+        "component_id", "component_type", "text", "ads_using", (F.col("total_spend") * n).alias("total_spend"),
+        (F.col("total_purchases") * n).alias("total_purchases"),
+        safe_div(F.col("_w"), F.col("total_spend")).alias("weighted_roas"),
+        safe_div(F.col("_ctr_sum"), F.col("_ctr_n")).alias("avg_ctr"),
+        safe_div(F.col("_cpa_sum"), F.col("_cpa_n")).alias("avg_cpa"), "max_days_active")

@@ -7,5 +7,6 @@ from marginalia.plans import catalog  # noqa: F401
 from marginalia.plans import commerce  # noqa: F401
 from marginalia.plans import marketing  # noqa: F401
 from marginalia.plans import finance  # noqa: F401
+from marginalia.plans import search  # noqa: F401
 
 QUERIES = catalog.QUERIES

@@ -70,13 +70,15 @@ def normalize(df: DataFrame, columns) -> DataFrame:
 
 
 def _snap(col, scale: int):
-    """Round in two floor steps (to 1e-6, then to ``scale``).
+    """Round in floor steps (1e-9 for small values, then 1e-6, then ``scale``).
 
     Written with floor on IEEE doubles so that Spark and DuckDB compute the
-    very same function (their ``round`` differ on binary ties); the first step
-    removes summation-order noise before the second picks the digit.
+    very same function (their ``round`` differ on binary ties); each finer
+    step removes summation-order noise, so an exact decimal tie at a coarser
+    step is seen identically by both engines before that step picks a digit.
     """
-    six = F.floor(col * 1000000.0 + 0.5) / 1000000.0
+    nine = F.when(F.abs(col) < 1000000.0, F.floor(col * 1000000000.0 + 0.5) / 1000000000.0).otherwise(col)
+    six = F.floor(nine * 1000000.0 + 0.5) / 1000000.0
     if scale == 6:
         return six
     k = float(10 ** scale)
@@ -84,7 +86,9 @@ def _snap(col, scale: int):
 
 
 def _sql_snap(expr: str, scale: int) -> str:
-    six = f"(floor({expr} * 1000000.0 + 0.5) / 1000000.0)"
+    nine = (f"(case when abs({expr}) < 1000000.0 then floor({expr} * 1000000000.0 + 0.5) / 1000000000.0 "
+            f"else {expr} end)")
+    six = f"(floor({nine} * 1000000.0 + 0.5) / 1000000.0)"
     if scale == 6:
         return six
     k = f"{float(10 ** scale)}"

@@ -710,3 +710,106 @@ ROLE_SPARK.update({
     "r_deposits": deposits,
     "r_wallet_txns": wallet_transactions,
 })
+
+
+# ---------------------------------------------------------------------------
+# creatives, content library, ad copy, keywords
+# ---------------------------------------------------------------------------
+
+AS_OF_ADS = "2001-11-05"
+
+
+def creatives(spark, d):
+    """Social ad creatives <- part (one creative per ad, ad = part)."""
+    p = table(spark, d, "part")
+    sz = F.col("p_size")
+    return p.select(
+        F.concat(F.lit("cr"), F.col("p_partkey").cast("string")).alias("creative_id"),
+        F.col("p_partkey").cast("string").alias("ad_id"),
+        F.when(sz % 5 == 0, F.lit(None)).otherwise(F.col("p_name")).alias("title"),
+        F.concat_ws(" ", F.lit("Shop"), "p_type", "p_name").alias("body"),
+        F.when(sz % 3 == 0, "SHOP_NOW").when(sz % 3 == 1, "LEARN_MORE").otherwise("BUY_NOW").alias("cta_type"),
+        F.when(sz % 2 == 0, "VIDEO").otherwise("SHARE").alias("object_type"),
+        F.when(sz % 2 == 0, F.concat(F.lit("v"), F.col("p_partkey").cast("string"))).alias("video_id"))
+
+
+SQL_CREATIVES = """
+select 'cr' || cast(p_partkey as varchar) as creative_id, cast(p_partkey as varchar) as ad_id,
+       case when p_size % 5 = 0 then null else p_name end as title,
+       concat_ws(' ', 'Shop', p_type, p_name) as body,
+       case when p_size % 3 = 0 then 'SHOP_NOW' when p_size % 3 = 1 then 'LEARN_MORE' else 'BUY_NOW' end as cta_type,
+       case when p_size % 2 = 0 then 'VIDEO' else 'SHARE' end as object_type,
+       case when p_size % 2 = 0 then 'v' || cast(p_partkey as varchar) end as video_id
+from part"""
+
+
+def content_library(spark, d):
+    """Copy components <- part: a hook and a body per part, written with case/space noise."""
+    p = table(spark, d, "part")
+    hook = p.select(F.concat(F.lit("h"), F.col("p_partkey").cast("string")).alias("component_id"),
+                    F.lit("hook").alias("component_type"),
+                    F.when(F.col("p_size") % 2 == 0, F.upper("p_name"))
+                     .otherwise(F.concat(F.lit(" "), F.col("p_name"), F.lit(" "))).alias("text"))
+    body = p.select(F.concat(F.lit("b"), F.col("p_partkey").cast("string")).alias("component_id"),
+                    F.lit("body").alias("component_type"),
+                    F.concat_ws(" ", F.lit("SHOP"), "p_type", "p_name").alias("text"))
+    return hook.unionByName(body)
+
+
+SQL_CONTENT_LIBRARY = """
+select 'h' || cast(p_partkey as varchar) as component_id, 'hook' as component_type,
+       case when p_size % 2 = 0 then upper(p_name) else ' ' || p_name || ' ' end as text
+from part
+union all
+select 'b' || cast(p_partkey as varchar), 'body', concat_ws(' ', 'SHOP', p_type, p_name) from part"""
+
+
+def ad_copy(spark, d):
+    """Search ad copy assets <- part (one responsive ad per ad group = part)."""
+    p = table(spark, d, "part")
+    return p.select(
+        (F.col("p_partkey") * 10 + 1).alias("ad_id"), (F.col("p_size") % 7).alias("campaign_id"),
+        F.concat(F.lit("search-"), (F.col("p_size") % 7).cast("string")).alias("campaign_name"),
+        F.col("p_partkey").alias("ad_group_id"),
+        F.concat(F.lit("group-"), F.col("p_partkey").cast("string")).alias("ad_group_name"),
+        F.lit("RESPONSIVE_SEARCH_AD").alias("ad_type"),
+        F.when(F.col("p_size") % 2 == 0, "HEADLINE").otherwise("DESCRIPTION").alias("asset_type"),
+        F.col("p_name").alias("asset_text"),
+        F.when(F.col("p_size") > 40, "BEST").when(F.col("p_size") > 20, "GOOD").otherwise("LOW")
+         .alias("performance_label"))
+
+
+SQL_AD_COPY = """
+select p_partkey * 10 + 1 as ad_id, p_size % 7 as campaign_id, 'search-' || cast(p_size % 7 as varchar) as campaign_name,
+       p_partkey as ad_group_id, 'group-' || cast(p_partkey as varchar) as ad_group_name,
+       'RESPONSIVE_SEARCH_AD' as ad_type, case when p_size % 2 = 0 then 'HEADLINE' else 'DESCRIPTION' end as asset_type,
+       p_name as asset_text,
+       case when p_size > 40 then 'BEST' when p_size > 20 then 'GOOD' else 'LOW' end as performance_label
+from part"""
+
+
+def keywords(spark, d):
+    """Search keywords <- documents grouped by language (keyword text = ad group = language)."""
+    doc = table(spark, d, "documents")
+    g = doc.groupBy("lang").agg(F.min("doc_id").alias("keyword_id"), F.count(F.lit(1)).alias("n"))
+    return g.select(
+        "keyword_id", F.col("lang").alias("ad_group_id"), F.lit(1).cast("bigint").alias("campaign_id"),
+        F.col("lang").alias("keyword_text"), F.lit("BROAD").alias("match_type"), F.lit("ENABLED").alias("status"),
+        (F.col("n") % 10 + 1).alias("quality_score"),
+        F.when(F.col("n") % 3 == 0, "ABOVE_AVERAGE").when(F.col("n") % 3 == 1, "AVERAGE")
+         .otherwise("BELOW_AVERAGE").alias("expected_ctr"),
+        F.lit("AVERAGE").alias("ad_relevance"), F.lit("ABOVE_AVERAGE").alias("landing_page_experience"))
+
+
+SQL_KEYWORDS = """
+select keyword_id, lang as ad_group_id, cast(1 as bigint) as campaign_id, lang as keyword_text,
+       'BROAD' as match_type, 'ENABLED' as status, n % 10 + 1 as quality_score,
+       case when n % 3 = 0 then 'ABOVE_AVERAGE' when n % 3 = 1 then 'AVERAGE' else 'BELOW_AVERAGE' end as expected_ctr,
+       'AVERAGE' as ad_relevance, 'ABOVE_AVERAGE' as landing_page_experience
+from (select lang, min(doc_id) as keyword_id, count(*) as n from documents group by lang) g"""
+
+
+ROLE_SQL.update({"r_creatives": SQL_CREATIVES, "r_content_library": SQL_CONTENT_LIBRARY,
+                 "r_ad_copy": SQL_AD_COPY, "r_keywords": SQL_KEYWORDS})
+ROLE_SPARK.update({"r_creatives": creatives, "r_content_library": content_library,
+                   "r_ad_copy": ad_copy, "r_keywords": keywords})
