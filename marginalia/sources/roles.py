@@ -813,3 +813,182 @@ ROLE_SQL.update({"r_creatives": SQL_CREATIVES, "r_content_library": SQL_CONTENT_
                  "r_ad_copy": SQL_AD_COPY, "r_keywords": SQL_KEYWORDS})
 ROLE_SPARK.update({"r_creatives": creatives, "r_content_library": content_library,
                    "r_ad_copy": ad_copy, "r_keywords": keywords})
+
+
+# ---------------------------------------------------------------------------
+# paid queries, interest series, ad schedule, email, product feed
+# ---------------------------------------------------------------------------
+
+def paid_queries(spark, d):
+    """Paid search-term rows on the organic query vocabulary <- click events."""
+    e = table(spark, d, "events").where(F.col("event_type") == "click")
+    k = F.get_json_object("props", "$.k").cast("int")
+    return e.select(
+        F.col("ts").cast("date").alias("date_start"), (F.col("user_id") % 4).alias("campaign_id"),
+        F.concat(F.lit("search-"), (F.col("user_id") % 4).cast("string")).alias("campaign_name"),
+        F.concat(F.lit("query "), (k % 40).cast("string")).alias("search_term"),
+        F.lit(10).cast("bigint").alias("impressions"), F.lit(1).cast("bigint").alias("clicks"),
+        (idiv("cast(round(value * 100) as bigint)", 10) / 100.0).alias("spend"),
+        F.when(F.col("user_id") % 7 == 0, 1.0).otherwise(0.0).alias("conversions"),
+        F.when(F.col("user_id") % 7 == 0, F.col("value")).otherwise(0.0).alias("conversion_value"))
+
+
+SQL_PAID_QUERIES = """
+select cast(ts as date) as date_start, user_id % 4 as campaign_id,
+       'search-' || cast(user_id % 4 as varchar) as campaign_name,
+       'query ' || cast(k % 40 as varchar) as search_term, cast(10 as bigint) as impressions,
+       cast(1 as bigint) as clicks, (cast(round(value * 100) as bigint) // 10) / 100.0 as spend,
+       case when user_id % 7 = 0 then 1.0 else 0.0 end as conversions,
+       case when user_id % 7 = 0 then value else 0.0 end as conversion_value
+from (select *, cast(json_extract_string(props, '$.k') as integer) as k from events) e
+where event_type = 'click'"""
+
+
+def interest(spark, d):
+    """Weekly (Sunday) search interest per keyword <- lineitem shipments by return flag."""
+    li = table(spark, d, "lineitem")
+    day = F.col("l_shipdate").cast("date")
+    wk = F.date_sub(day, F.dayofweek(day) - 1)
+    g = li.groupBy(wk.alias("week"), F.concat(F.lit("kw "), F.col("l_returnflag")).alias("keyword")).agg(
+        F.count(F.lit(1)).alias("n"))
+    return g.select("week", "keyword", (F.col("n") % 101).alias("interest_score"),
+                    (F.col("week") >= F.lit("2001-10-28").cast("date")).alias("is_partial"))
+
+
+SQL_INTEREST = """
+select week, keyword, n % 101 as interest_score, week >= date '2001-10-28' as is_partial
+from (select cast(l_shipdate as date) - cast(dayofweek(cast(l_shipdate as date)) as integer) as week,
+             'kw ' || l_returnflag as keyword, count(*) as n
+      from lineitem group by 1, 2) g"""
+
+
+def ad_schedule(spark, d):
+    """Ad-schedule (dayparting) rows <- search-ads lineitems."""
+    li = table(spark, d, "lineitem").where(F.col("l_linestatus") == "F")
+    day = F.col("l_shipdate").cast("date")
+    start = (F.col("l_linenumber") * 3) % 24
+    return li.select(
+        day.alias("date_start"), F.col("l_suppkey").alias("campaign_id"),
+        F.concat(F.lit("search-"), F.col("l_suppkey").cast("string")).alias("campaign_name"),
+        F.col("l_linenumber").cast("bigint").alias("criterion_id"),
+        F.upper(F.date_format(day, "EEEE")).alias("day_of_week"),
+        start.cast("bigint").alias("start_hour"), (start + 3).cast("bigint").alias("end_hour"),
+        F.lit(0).cast("bigint").alias("start_minute"), F.lit(0).cast("bigint").alias("end_minute"),
+        (F.col("l_quantity") * 40).cast("bigint").alias("impressions"),
+        F.col("l_quantity").cast("bigint").alias("clicks"),
+        (idiv("cast(round(l_extendedprice * 100) as bigint)", 1000) / 100.0).alias("cost"),
+        F.round(F.col("l_discount") * 100).alias("conversions"),
+        (idiv("cast(round(l_extendedprice * 100) as bigint) * cast(round(l_discount * 100) as bigint)", 100)
+         / 100.0).alias("conversions_value"),
+        F.col("l_shipdate").alias("ingested_at"))
+
+
+SQL_AD_SCHEDULE = """
+select cast(l_shipdate as date) as date_start, l_suppkey as campaign_id,
+       'search-' || cast(l_suppkey as varchar) as campaign_name, cast(l_linenumber as bigint) as criterion_id,
+       upper(dayname(cast(l_shipdate as date))) as day_of_week, cast((l_linenumber * 3) % 24 as bigint) as start_hour,
+       cast((l_linenumber * 3) % 24 + 3 as bigint) as end_hour, cast(0 as bigint) as start_minute,
+       cast(0 as bigint) as end_minute, cast(l_quantity * 40 as bigint) as impressions,
+       cast(l_quantity as bigint) as clicks, (cast(round(l_extendedprice * 100) as bigint) // 1000) / 100.0 as cost,
+       round(l_discount * 100) as conversions,
+       (cast(round(l_extendedprice * 100) as bigint) * cast(round(l_discount * 100) as bigint) // 100) / 100.0
+           as conversions_value,
+       l_shipdate as ingested_at
+from lineitem where l_linestatus = 'F'"""
+
+
+def email_campaigns(spark, d):
+    """Email campaigns <- one per conversation."""
+    c = table(spark, d, "conversations")
+    g = c.groupBy("conv_id").agg(F.count(F.lit(1)).alias("turns"))
+    return g.select(F.col("conv_id").cast("string").alias("campaign_id"),
+                    F.concat(F.lit("campaign "), F.col("conv_id").cast("string")).alias("campaign_name"),
+                    F.when(F.col("conv_id") % 4 == 0, "Draft").otherwise("Sent").alias("status"),
+                    F.timestamp_add("HOUR", F.col("conv_id").cast("int"),
+                                    F.lit("2024-01-01 09:00:00").cast("timestamp")).alias("send_time"))
+
+
+SQL_EMAIL_CAMPAIGNS = """
+select cast(conv_id as varchar) as campaign_id, 'campaign ' || cast(conv_id as varchar) as campaign_name,
+       case when conv_id % 4 = 0 then 'Draft' else 'Sent' end as status,
+       timestamp '2024-01-01 09:00:00' + to_hours(cast(conv_id as integer)) as send_time
+from (select conv_id, count(*) as turns from conversations group by conv_id) g"""
+
+
+def email_metrics(spark, d):
+    """Email campaign metrics <- conversation turns (odd conversation ids only)."""
+    c = table(spark, d, "conversations")
+    g = c.groupBy("conv_id").agg(F.count(F.lit(1)).alias("turns"), F.sum(F.length("text")).alias("chars"))
+    g = g.where(F.col("conv_id") % 2 == 1)
+    rec = F.col("turns") * 100
+    return g.select(F.col("conv_id").cast("string").alias("campaign_id"), rec.alias("recipients"),
+                    (rec - F.col("conv_id") % 7).alias("delivered"), (F.col("turns") * 30).alias("opens"),
+                    (F.col("turns") * 4).alias("clicks"), (F.col("conv_id") % 3).alias("unsubscribes"),
+                    F.col("turns").cast("double").alias("conversions"),
+                    (F.col("chars") / 100.0).alias("revenue"),
+                    F.lit("2024-02-01 00:00:00").cast("timestamp").alias("ingested_at"))
+
+
+SQL_EMAIL_METRICS = """
+select cast(conv_id as varchar) as campaign_id, turns * 100 as recipients, turns * 100 - conv_id % 7 as delivered,
+       turns * 30 as opens, turns * 4 as clicks, conv_id % 3 as unsubscribes, cast(turns as double) as conversions,
+       chars / 100.0 as revenue, timestamp '2024-02-01 00:00:00' as ingested_at
+from (select conv_id, count(*) as turns, sum(length(text)) as chars from conversations group by conv_id) g
+where conv_id % 2 = 1"""
+
+
+def email_timeline(spark, d):
+    """Daily email metric counts <- events per day and type."""
+    e = table(spark, d, "events")
+    g = e.groupBy(F.col("ts").cast("date").alias("date"), F.col("event_type").alias("metric_name")).agg(
+        F.count(F.lit(1)).cast("double").alias("value"))
+    return g.withColumn("ingested_at", F.lit("2024-02-01 00:00:00").cast("timestamp"))
+
+
+SQL_EMAIL_TIMELINE = """
+select cast(ts as date) as date, event_type as metric_name, cast(count(*) as double) as value,
+       timestamp '2024-02-01 00:00:00' as ingested_at
+from events group by 1, 2"""
+
+
+def feed_products(spark, d):
+    p = table(spark, d, "part")
+    return p.select(F.col("p_partkey").cast("string").alias("product_id"), F.col("p_name").alias("title"),
+                    F.when(F.col("p_size") % 9 == 0, "out of stock").otherwise("in stock").alias("availability"),
+                    F.col("p_retailprice").alias("price_value"), F.col("p_brand").alias("brand"),
+                    F.lit("2001-11-05 00:00:00").cast("timestamp").alias("ingested_at"))
+
+
+SQL_FEED_PRODUCTS = """
+select cast(p_partkey as varchar) as product_id, p_name as title,
+       case when p_size % 9 = 0 then 'out of stock' else 'in stock' end as availability,
+       p_retailprice as price_value, p_brand as brand, timestamp '2001-11-05 00:00:00' as ingested_at
+from part"""
+
+
+def feed_statuses(spark, d):
+    """Product status snapshots <- lineitem (one snapshot per shipment of the part)."""
+    li = table(spark, d, "lineitem")
+    bad = F.col("l_returnflag") == "R"
+    return li.select(F.col("l_partkey").cast("string").alias("product_id"),
+                     F.when(bad, "disapproved").otherwise("approved").alias("approval_status"),
+                     F.when(bad, F.concat(F.lit("Returned items: "), F.col("l_linestatus"))).alias("disapproval_reasons"),
+                     F.col("l_shipdate").alias("ingested_at"))
+
+
+SQL_FEED_STATUSES = """
+select cast(l_partkey as varchar) as product_id,
+       case when l_returnflag = 'R' then 'disapproved' else 'approved' end as approval_status,
+       case when l_returnflag = 'R' then 'Returned items: ' || l_linestatus end as disapproval_reasons,
+       l_shipdate as ingested_at
+from lineitem"""
+
+
+ROLE_SQL.update({"r_paid_queries": SQL_PAID_QUERIES, "r_interest": SQL_INTEREST, "r_ad_schedule": SQL_AD_SCHEDULE,
+                 "r_email_campaigns": SQL_EMAIL_CAMPAIGNS, "r_email_metrics": SQL_EMAIL_METRICS,
+                 "r_email_timeline": SQL_EMAIL_TIMELINE, "r_feed_products": SQL_FEED_PRODUCTS,
+                 "r_feed_statuses": SQL_FEED_STATUSES})
+ROLE_SPARK.update({"r_paid_queries": paid_queries, "r_interest": interest, "r_ad_schedule": ad_schedule,
+                   "r_email_campaigns": email_campaigns, "r_email_metrics": email_metrics,
+                   "r_email_timeline": email_timeline, "r_feed_products": feed_products,
+                   "r_feed_statuses": feed_statuses})
