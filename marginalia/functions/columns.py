@@ -137,3 +137,23 @@ def domain_label(prop) -> Column:
     p = c(prop)
     return F.when(p.startswith("sc-domain:"), F.substring(p, 11, 10_000)) \
         .otherwise(F.coalesce(F.try_parse_url(p, F.lit("HOST")), p))
+
+
+def round_half_away(x, scale: int = 2) -> Column:
+    """Decimal rounding, half away from zero, of a double that carries float noise.
+
+    The value is first snapped to 1e-6 (removing summation-order noise), then
+    rounded at ``scale``; both steps use floor on |x|, so an amount such as
+    2.675 stored as 2.67499999... still rounds to 2.68, as decimal ROUND does.
+    """
+    x = c(x)
+    k = float(10 ** scale)
+    mag = F.floor(F.abs(x) * 1000000.0 + 0.5) / 1000000.0
+    return F.signum(x) * (F.floor(mag * k + 0.5) / k)
+
+
+def sql_round_half_away(expr: str, scale: int = 2) -> str:
+    """The same rounding as ``round_half_away`` written for a SQL engine (used by the oracles)."""
+    k = f"{float(10 ** scale)}"
+    mag = f"(floor(abs({expr}) * 1000000.0 + 0.5) / 1000000.0)"
+    return f"(sign({expr}) * (floor({mag} * {k} + 0.5) / {k}))"

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marginalia.functions import month_diff, month_start, norm_key, nz, safe_div
+from marginalia.functions import month_diff, month_start, norm_key, nz, round_half_away, safe_div
 from marginalia.functions.windows import running_sums
 
 # Fixed values that must equal the reference's for equal results:
@@ -170,7 +170,7 @@ def d2c_monthly_pnl(daily: DataFrame) -> DataFrame:
     m = daily.groupBy(month_start("order_date").alias("month")).agg(*[F.sum(k).alias(k) for k in sums])
     money = sums[2:]
     return m.select(
-        "month", "orders", "units_sold", *[F.round(k, 2).alias(k) for k in money],
+        "month", "orders", "units_sold", *[round_half_away(k, 2).alias(k) for k in money],
         safe_div(F.col("d2c_contribution"), F.col("net_revenue")).alias("d2c_contribution_margin"),
         safe_div(F.col("total_ad_spend"), F.col("net_revenue")).alias("ad_spend_pct_of_revenue"),
         safe_div(F.col("net_revenue"), F.col("total_ad_spend")).alias("blended_roas"))

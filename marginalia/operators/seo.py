@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marginalia.functions import monday_week, safe_div, sunday_week
+from marginalia.functions import monday_week, round_half_away, safe_div, sunday_week
 
 # Fixed values that must equal the reference's for equal results:
 #   opportunities: last 30 days, avg position 5..20, >= 100 impressions, score = round(impr / pos * 10, 2)
@@ -39,7 +39,7 @@ def seo_opportunities(perf: DataFrame, as_of: str, *, days: int = 30, min_pos: f
         F.sum("clicks").alias("clicks_30d"), safe_div(F.sum("clicks"), F.sum("impressions")).alias("ctr"))
     r = r.where(F.col("avg_position").between(min_pos, max_pos) & (F.col("impressions_30d") >= min_impressions))
     return r.select("site", "query", "page", "avg_position", "impressions_30d", "clicks_30d", "ctr",
-                    F.round(F.col("impressions_30d") * (1.0 / F.col("avg_position")) * 10, 2)
+                    round_half_away(F.col("impressions_30d") * (1.0 / F.col("avg_position")) * 10, 2)
                     .alias("opportunity_score"))
 
 
@@ -70,7 +70,7 @@ def seo_trends(perf: DataFrame, as_of: str, *, days: int = 28) -> DataFrame:
     trend = (F.when(F.col("prior_week_position").isNull(), "new").when(delta <= -1, "improving")
              .when(delta >= 1, "declining").otherwise("stable"))
     return wp.select("site", "query", "page", "week_start", "current_week_position", "prior_week_position",
-                     F.round(delta, 2).alias("position_change"), "current_week_clicks",
+                     round_half_away(delta, 2).alias("position_change"), "current_week_clicks",
                      "current_week_impressions", trend.alias("trend"))
 
 
