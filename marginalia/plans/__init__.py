@@ -9,5 +9,6 @@ from marginalia.plans import marketing  # noqa: F401
 from marginalia.plans import finance  # noqa: F401
 from marginalia.plans import search  # noqa: F401
 from marginalia.plans import seo  # noqa: F401
+from marginalia.plans import serving  # noqa: F401
 
 QUERIES = catalog.QUERIES

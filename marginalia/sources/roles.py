@@ -992,3 +992,74 @@ ROLE_SPARK.update({"r_paid_queries": paid_queries, "r_interest": interest, "r_ad
                    "r_email_campaigns": email_campaigns, "r_email_metrics": email_metrics,
                    "r_email_timeline": email_timeline, "r_feed_products": feed_products,
                    "r_feed_statuses": feed_statuses})
+
+
+# ---------------------------------------------------------------------------
+# run log, survey responses
+# ---------------------------------------------------------------------------
+
+AS_OF_RUNS = "2024-01-30 12:00:00"
+_PIPELINE_OF_TYPE = {"view": "shopify", "click": "meta_ads", "purchase": "google_ads", "signup": "dbt",
+                     "error": "klaviyo"}
+
+
+def run_log(spark, d):
+    """Pipeline run records <- events (one run per event)."""
+    e = table(spark, d, "events")
+    k = F.get_json_object("props", "$.k").cast("int")
+    name = None
+    for t, p in _PIPELINE_OF_TYPE.items():
+        name = F.when(F.col("event_type") == t, p) if name is None else name.when(F.col("event_type") == t, p)
+    err = F.col("user_id") % 9 == 0
+    return e.select(
+        F.col("event_id").cast("string").alias("run_id"), name.alias("pipeline_name"),
+        F.col("ts").cast("timestamp").alias("started_at"),
+        F.timestamp_add("SECOND", F.round(F.col("value")).cast("int"), F.col("ts").cast("timestamp")).alias("finished_at"),
+        F.when(err, "error").otherwise("success").alias("status"),
+        F.round(F.col("value") * 10).cast("bigint").alias("rows_loaded"),
+        F.col("value").alias("duration_seconds"),
+        F.when(err, F.concat(F.lit("HTTP 500 from "), name)).otherwise(F.lit("")).alias("error_message"),
+        F.concat(F.lit("sha"), (k % 10).cast("string")).alias("git_sha"))
+
+
+SQL_RUN_LOG = f"""
+select cast(event_id as varchar) as run_id,
+       case {' '.join(f"when event_type = '{t}' then '{p}'" for t, p in _PIPELINE_OF_TYPE.items())} end
+           as pipeline_name,
+       cast(ts as timestamp) as started_at,
+       cast(ts as timestamp) + to_seconds(cast(round(value) as integer)) as finished_at,
+       case when user_id % 9 = 0 then 'error' else 'success' end as status,
+       cast(round(value * 10) as bigint) as rows_loaded, value as duration_seconds,
+       case when user_id % 9 = 0 then 'HTTP 500 from ' ||
+            case {' '.join(f"when event_type = '{t}' then '{p}'" for t, p in _PIPELINE_OF_TYPE.items())} end
+            else '' end as error_message,
+       'sha' || cast(k % 10 as varchar) as git_sha
+from (select *, cast(json_extract_string(props, '$.k') as integer) as k from events) e"""
+
+# survey answers (bench shaping only): conv_id % 7 picks one
+_ANSWERS = ["Search Engine (Google, Bing)", "Social Media (Instagram)", "Pickleball Effect Podcast",
+            "From an Influencer", "Friend or Family", "Some other community", "Magazine"]
+
+
+def survey_responses(spark, d):
+    """Post-purchase survey answers <- user turns of conversations."""
+    c = table(spark, d, "conversations").where(F.col("role") == "user")
+    ans = None
+    for i, a in enumerate(_ANSWERS):
+        ans = F.when(F.col("conv_id") % 7 == i, a) if ans is None else ans.when(F.col("conv_id") % 7 == i, a)
+    return c.select(
+        F.concat_ws("-", "conv_id", "turn").alias("response_id"),
+        F.timestamp_add("HOUR", (F.col("conv_id") * 3 + F.col("turn")).cast("int"),
+                        F.lit("2024-01-01 00:00:00").cast("timestamp")).alias("responded_at"),
+        ans.alias("how_did_you_hear"), (F.length("text") / 10.0).alias("order_total"))
+
+
+SQL_SURVEY = f"""
+select concat_ws('-', conv_id, turn) as response_id,
+       timestamp '2024-01-01 00:00:00' + to_hours(cast(conv_id * 3 + turn as integer)) as responded_at,
+       case {' '.join(f"when conv_id % 7 = {i} then '{a}'" for i, a in enumerate(_ANSWERS))} end as how_did_you_hear,
+       length(text) / 10.0 as order_total
+from conversations where role = 'user'"""
+
+ROLE_SQL.update({"r_run_log": SQL_RUN_LOG, "r_survey": SQL_SURVEY})
+ROLE_SPARK.update({"r_run_log": run_log, "r_survey": survey_responses})
