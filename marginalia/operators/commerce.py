@@ -17,7 +17,7 @@ Scale notes
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marginalia.functions import month_diff, month_start, norm_key, nz, round_half_away, safe_div
@@ -77,18 +77,27 @@ def product_profitability(lines: DataFrame, orders: DataFrame, shop_costs: DataF
                   F.lower(F.col("title")).like(gift_card_like).alias("is_gift_card"),
                   "quantity", gross.alias("gross_revenue"), "total_discount",
                   net.alias("net_revenue")))
-    # order totals by aggregation (partial agg is skew-safe), joined back on the
-    # same key as the line/order join so the plan reuses that partitioning
-    totals = detail.groupBy("order_id").agg(F.sum("net_revenue").alias("order_net_revenue"))
-    per_line = detail.join(totals, "order_id").withColumn(
-        "item_shipping_cost",
-        F.lit(shipping_per_order) * safe_div(F.col("net_revenue"), F.col("order_net_revenue")))
-    daily = per_line.groupBy("sku", "title", "order_date").agg(
+    # One scan: lines are first reduced to one row per (order, sku, title, day)
+    # with map-side partial aggregation; the order's net total then comes from
+    # a window over those rows, whose size per order is bounded by the number
+    # of distinct products in it (not by its line count); a line group's share
+    # of the flat shipping is its share of the order's net revenue.
+    per_group = detail.groupBy("order_id", "sku", "title", "order_date").agg(
         F.max("is_partnership").alias("is_partnership"),
         F.max("is_gift_card").alias("is_gift_card"),
         F.sum("quantity").alias("units_sold"),
         F.sum("gross_revenue").alias("gross_revenue"),
         F.sum("total_discount").alias("total_discounts"),
+        F.sum("net_revenue").alias("net_revenue"))
+    order_net = F.sum("net_revenue").over(Window.partitionBy("order_id"))
+    per_group = per_group.withColumn(
+        "item_shipping_cost", F.lit(shipping_per_order) * safe_div(F.col("net_revenue"), order_net))
+    daily = per_group.groupBy("sku", "title", "order_date").agg(
+        F.max("is_partnership").alias("is_partnership"),
+        F.max("is_gift_card").alias("is_gift_card"),
+        F.sum("units_sold").alias("units_sold"),
+        F.sum("gross_revenue").alias("gross_revenue"),
+        F.sum("total_discounts").alias("total_discounts"),
         F.sum("net_revenue").alias("net_revenue"),
         F.sum("item_shipping_cost").alias("estimated_shipping_cost"))
     shop = cost_lookup(shop_costs).withColumnRenamed("unit_cost", "shop_cost")
