@@ -26,3 +26,308 @@ def invoice_status(balance, total) -> Column:
     b, t = c(balance), c(total)
     return (F.when((b == 0) & (t > 0), "Paid").when(b < t, "Partial").when(b == t, "Open")
             .otherwise("Unknown"))
+
+# Fixed values that must equal the reference's for equal results:
+#   social action aliases, first present alias wins (per output column):
+ACTION_ALIASES = {
+    "purchases": ["omni_purchase", "purchase", "offsite_conversion.fb_pixel_purchase"],
+    "purchase_value": ["omni_purchase", "purchase", "offsite_conversion.fb_pixel_purchase"],
+    "add_to_cart": ["omni_add_to_cart", "add_to_cart", "offsite_conversion.fb_pixel_add_to_cart"],
+    "add_to_cart_value": ["omni_add_to_cart", "add_to_cart", "offsite_conversion.fb_pixel_add_to_cart"],
+    "initiate_checkout": ["omni_initiated_checkout", "initiated_checkout",
+                          "offsite_conversion.fb_pixel_initiate_checkout"],
+    "initiate_checkout_value": ["omni_initiated_checkout", "initiated_checkout",
+                                "offsite_conversion.fb_pixel_initiate_checkout"],
+    "landing_page_views": ["landing_page_view"],
+    "link_clicks": ["link_click"],
+}
+UTM_NAMES = ["source", "medium", "campaign", "content", "term"]
+
+
+def coerce_numeric(df: DataFrame, float_cols, int_cols) -> DataFrame:
+    """I-10: tolerant numbers: floats by try_cast, ints through double ('3.0' -> 3); bad text -> NULL."""
+    exprs = []
+    for col in df.columns:
+        if col in float_cols:
+            exprs.append(try_double(F.col(col).cast("string")).alias(col))
+        elif col in int_cols:
+            exprs.append(try_long(F.col(col).cast("string")).alias(col))
+        else:
+            exprs.append(F.col(col))
+    return df.select(*exprs)
+
+
+def _money(x) -> Column:
+    return F.coalesce(try_double(x), F.lit(0.0))
+
+
+def flatten_orders(raw: DataFrame) -> DataFrame:
+    """I-12 (+ I-18): order header rows; order day = first 10 chars of created_at; shipping defaults to 0."""
+    land = F.col("landing_site")
+    return raw.select(
+        F.col("id").alias("order_id"), "order_number", "created_at", "updated_at", "financial_status",
+        "fulfillment_status", _money(F.col("total_price")).alias("total_price"),
+        _money(F.col("subtotal_price")).alias("subtotal_price"), _money(F.col("total_tax")).alias("total_tax"),
+        _money(F.col("total_shipping_price_set.shop_money.amount")).alias("total_shipping"),
+        _money(F.col("total_discounts")).alias("total_discounts"), "currency",
+        F.col("customer.id").alias("customer_id"), F.col("customer.email").alias("customer_email"),
+        "landing_site", "referring_site", "source_name",
+        *[utm_param(land, n).alias(f"utm_{n}") for n in UTM_NAMES],
+        "cancelled_at", "cancel_reason", "tags", "note",
+        F.substring("created_at", 1, 10).alias("order_date"))
+
+
+def flatten_order_lines(raw: DataFrame) -> DataFrame:
+    """I-13: one row per line item with its order key and day (orders without lines yield no rows)."""
+    li = raw.select(F.col("id").alias("order_id"), F.substring("created_at", 1, 10).alias("order_date"),
+                    F.explode("line_items").alias("li"))
+    return li.select(F.col("li.id").alias("line_item_id"), "order_id", F.col("li.product_id").alias("product_id"),
+                     F.col("li.variant_id").alias("variant_id"), F.col("li.title").alias("title"),
+                     F.col("li.variant_title").alias("variant_title"), F.col("li.sku").alias("sku"),
+                     F.col("li.quantity").alias("quantity"), _money(F.col("li.price")).alias("price"),
+                     _money(F.col("li.total_discount")).alias("total_discount"), "order_date")
+
+
+def flatten_products(raw: DataFrame) -> DataFrame:
+    """I-14 (+ I-17): products from graph-API nodes; ids from GIDs; tags joined with ', '."""
+    return raw.select(gid_to_long(F.col("id")).alias("product_id"), "title", "handle",
+                      F.col("productType").alias("product_type"), "vendor", "status",
+                      F.array_join("tags", ", ").alias("tags"), F.col("createdAt").alias("created_at"),
+                      F.col("updatedAt").alias("updated_at"))
+
+
+def flatten_variants(raw: DataFrame) -> DataFrame:
+    """I-15: one row per variant with a tolerant price."""
+    v = raw.select(gid_to_long(F.col("id")).alias("product_id"), F.explode("variants").alias("v"))
+    return v.select(gid_to_long(F.col("v.id")).alias("variant_id"), "product_id",
+                    try_double(F.col("v.price")).alias("price"),
+                    try_double(F.col("v.compareAtPrice")).alias("compare_at_price"),
+                    F.col("v.inventoryQuantity").alias("inventory_quantity"), F.col("v.title").alias("title"),
+                    F.col("v.sku").alias("sku"))
+
+
+def flatten_customers(raw: DataFrame) -> DataFrame:
+    """I-16: customers with their default address fields."""
+    a = "defaultAddress"
+    return raw.select(gid_to_long(F.col("id")).alias("customer_id"), "email", F.col("firstName").alias("first_name"),
+                      F.col("lastName").alias("last_name"), F.col("numberOfOrders").cast("bigint").alias("orders_count"),
+                      try_double(F.col("amountSpent.amount")).alias("total_spent"),
+                      F.col(f"{a}.city").alias("city"), F.col(f"{a}.province").alias("province"),
+                      F.col(f"{a}.country").alias("country"), F.col("createdAt").alias("created_at"))
+
+
+def _is_action(name: str):
+    return lambda a: a["action_type"] == F.lit(name)
+
+
+def pivot_actions(df: DataFrame, actions: str = "actions", values: str = "action_values",
+                  aliases: dict | None = None) -> DataFrame:
+    """I-19: action arrays -> one column per action; first present alias wins, last duplicate wins.
+
+    Counts become bigint (through double), values double.  No map is built, so
+    duplicated action types do not raise.
+    """
+    aliases = aliases or ACTION_ALIASES
+    out = []
+    for col, names in aliases.items():
+        arr = F.col(values if col.endswith("_value") else actions)
+        picks = [F.try_element_at(F.filter(arr, _is_action(n)), F.lit(-1))["value"] for n in names]
+        v = F.coalesce(*picks)
+        out.append((try_double(v) if col.endswith("_value") else try_long(v)).alias(col))
+    return df.select("*", *out).drop(actions, values)
+
+
+def creative_text(df: DataFrame) -> DataFrame:
+    """I-20: creative title/body/CTA from top level, then video, link (only while body is empty), photo data.
+
+    Blank strings count as missing, as Python truthiness does in the source loader.
+    """
+    b = blank_as_null
+    oss = "object_story_spec"
+    body0 = b(F.col("body"))
+    body1 = F.coalesce(body0, b(F.col(f"{oss}.video_data.message")))
+    use_link = body1.isNull()
+    body2 = F.when(use_link, b(F.col(f"{oss}.link_data.message"))).otherwise(body1)
+    body3 = F.when(body2.isNull(), b(F.col(f"{oss}.photo_data.message"))).otherwise(body2)
+    title1 = F.coalesce(b(F.col("title")), b(F.col(f"{oss}.video_data.title")))
+    title = F.when(use_link, F.coalesce(title1, b(F.col(f"{oss}.link_data.name")))).otherwise(title1)
+    cta1 = b(F.col(f"{oss}.video_data.call_to_action.type"))
+    cta2 = F.when(use_link, F.coalesce(cta1, b(F.col(f"{oss}.link_data.call_to_action.type")))).otherwise(cta1)
+    img1 = F.coalesce(b(F.col("image_url")), b(F.col(f"{oss}.video_data.image_url")))
+    img2 = F.when(use_link, F.coalesce(img1, b(F.col(f"{oss}.link_data.image_url")),
+                                       b(F.col(f"{oss}.link_data.picture")))).otherwise(img1)
+    img3 = F.when(body2.isNull(), F.coalesce(img2, b(F.col(f"{oss}.photo_data.image_url")))).otherwise(img2)
+    return df.select(F.col("id").alias("creative_id"), title.alias("title"), body3.alias("body"),
+                     F.coalesce(cta2, b(F.col("call_to_action_type"))).alias("cta_type"),
+                     F.col(f"{oss}.video_data.video_id").alias("video_id"), img3.alias("image_url"),
+                     F.col(f"{oss}.page_id").alias("page_id"))
+
+
+def to_utc(col) -> Column:
+    """I-21: ISO timestamp with offset ('2025-06-23T09:19:47-0600') -> UTC timestamp; bad -> NULL."""
+    x = c(col)
+    return F.coalesce(F.try_to_timestamp(x, F.lit("yyyy-MM-dd'T'HH:mm:ssZ")),
+                      F.try_to_timestamp(x, F.lit("yyyy-MM-dd'T'HH:mm:ssXXX")))
+
+
+def attach_ad(creatives: DataFrame, ads: DataFrame) -> DataFrame:
+    """I-22: the ad of each creative; when several ads use it, the last one listed wins."""
+    last = ads.groupBy(F.col("creative_id")).agg(F.max_by(F.struct("ad_id", "ad_name"), F.col("list_pos")).alias("a"))
+    return creatives.join(last, "creative_id", "left").select(creatives["*"], F.col("a.ad_id").alias("ad_id"),
+                                                              F.col("a.ad_name").alias("ad_name"))
+
+
+def search_rows(df: DataFrame, prop: str) -> DataFrame:
+    """I-28: positional key arrays -> columns; site label from the property; ctr 6 / position 2 places."""
+    from marginalia.functions import domain_label
+    from marginalia.functions.columns import round_half_away
+    return df.select(F.col("keys")[0].cast("date").alias("query_date"), domain_label(F.lit(prop)).alias("site"),
+                     F.col("keys")[1].alias("query"), F.col("keys")[2].alias("page"),
+                     F.col("keys")[3].alias("country"), F.col("keys")[4].alias("device"),
+                     F.col("clicks").cast("bigint").alias("clicks"),
+                     F.col("impressions").cast("bigint").alias("impressions"),
+                     round_half_away(F.col("ctr"), 6).alias("ctr"), round_half_away(F.col("position"), 2).alias("position"))
+
+
+def zip_series(df: DataFrame, dates: str = "dates", counts: str = "counts") -> DataFrame:
+    """I-29: parallel arrays -> rows; a short counts array pads with NULL."""
+    z = df.select("*", F.explode(F.arrays_zip(F.col(dates).alias("d"), F.col(counts).alias("v"))).alias("z"))
+    return z.select(*[c_ for c_ in df.columns if c_ not in (dates, counts)],
+                    F.col("z.d").alias("date"), F.col("z.v").alias("value"))
+
+
+def records_from_table(df: DataFrame, headers: str = "headers", rows: str = "rows") -> DataFrame:
+    """I-30: (header list, rows of values) -> one map per row (a header without value -> NULL)."""
+    r = df.select(F.col(headers).alias("h"), F.explode(rows).alias("r"))
+    return r.select(F.map_from_arrays("h", F.transform("h", lambda _, i: F.try_element_at(F.col("r"), i + 1)))
+                    .alias("record"))
+
+
+def product_statuses(df: DataFrame) -> DataFrame:
+    """I-35: per product: any disapproved -> status; reasons of disapproved issues joined; one row per
+    issue and at least one row per product."""
+    issues = F.coalesce(F.col("itemLevelIssues"), F.array())
+    dis = F.filter(issues, lambda i: i["servability"] == "disapproved")
+    s = df.select(F.col("productId").alias("product_id"), F.col("title"),
+                  F.when(F.size(dis) > 0, "disapproved").otherwise("approved").alias("approval_status"),
+                  F.array_join(F.transform(dis, lambda i: F.coalesce(i["description"], F.lit(""))), "; ")
+                  .alias("disapproval_reasons"),
+                  F.explode_outer(issues).alias("i"))
+    return s.select("product_id", "title", "approval_status", "disapproval_reasons",
+                    F.coalesce(F.col("i.code"), F.lit("")).alias("issue_code"),
+                    F.coalesce(F.col("i.description"), F.lit("")).alias("issue_description"),
+                    F.coalesce(F.col("i.servability"), F.lit("")).alias("issue_servability"))
+
+
+def unpivot_interest(df: DataFrame, keywords: list[str]) -> DataFrame:
+    """I-37: wide interest table (one column per keyword) -> (week, keyword, interest_score, is_partial)."""
+    long = df.unpivot(["date", "isPartial"], keywords, "keyword", "interest_score")
+    return long.select(F.col("date").cast("date").alias("week"), "keyword",
+                       F.col("interest_score").cast("bigint").alias("interest_score"),
+                       F.coalesce(F.col("isPartial").cast("boolean"), F.lit(False)).alias("is_partial"))
+
+
+def stack_related(top: DataFrame, rising: DataFrame) -> DataFrame:
+    """I-38: related queries, top and rising stacked with a type label."""
+    return (top.withColumn("query_type", F.lit("top"))
+            .unionByName(rising.withColumn("query_type", F.lit("rising")), allowMissingColumns=True))
+
+
+def flatten_payments(df: DataFrame) -> DataFrame:
+    """I-39: wallet transaction rows: status code decoded, payer full name, first cart item, item count."""
+    info, payer, cart = "transaction_info", "payer_info", "cart_info"
+    code = F.col(f"{info}.transaction_status")
+    decoded = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in WALLET_STATUS.items() for x in kv]), code),
+                         code)
+    items = F.coalesce(F.col(f"{cart}.item_details"), F.array())
+    first = F.try_element_at(items, F.lit(1))
+    name = F.nullif(F.trim(F.concat_ws(" ", F.col(f"{payer}.payer_name.given_name"),
+                                       F.col(f"{payer}.payer_name.surname"))), F.lit(""))
+    return df.select(F.col(f"{info}.transaction_id").alias("transaction_id"),
+                     F.col(f"{info}.transaction_initiation_date").alias("transaction_initiation_date"),
+                     try_double(F.col(f"{info}.transaction_amount.value")).alias("transaction_amount"),
+                     try_double(F.col(f"{info}.fee_amount.value")).alias("fee_amount"),
+                     decoded.alias("transaction_status"), F.col(f"{info}.transaction_subject").alias("transaction_subject"),
+                     F.col(f"{payer}.email_address").alias("payer_email"), name.alias("payer_name"),
+                     first["item_name"].alias("item_name"), F.size(items).alias("item_count"))
+
+
+def deposit_summary(df: DataFrame) -> DataFrame:
+    """I-44: deposit source summary: positive lines; entity name, else memo, else account, else 'unknown'."""
+    lines = F.filter(F.coalesce(F.col("Line"), F.array()), lambda l: l["Amount"] > 0)
+    b = blank_as_null
+    label = F.transform(lines, lambda l: F.coalesce(
+        b(l["DepositLineDetail"]["Entity"]["name"]), b(l["Description"]),
+        b(l["DepositLineDetail"]["AccountRef"]["name"]), F.lit("unknown")))
+    return df.select(F.col("Id").alias("deposit_id"), F.col("TxnDate").cast("date").alias("txn_date"),
+                     F.col("TotalAmt").alias("total_amount"),
+                     F.col("DepositToAccountRef.name").alias("deposit_to_account_name"),
+                     F.array_join(label, ", ").alias("source_summary"), F.col("PrivateNote").alias("memo"),
+                     F.size(lines).alias("line_count"))
+
+
+def purchase_summary(df: DataFrame, n: int = 5) -> DataFrame:
+    """I-45: first ``n`` non-empty line descriptions (else the line's account), '; ' joined."""
+    b = blank_as_null
+    texts = F.transform(F.coalesce(F.col("Line"), F.array()), lambda l: F.coalesce(
+        b(l["Description"]), b(l["AccountBasedExpenseLineDetail"]["AccountRef"]["name"])))
+    kept = F.filter(texts, lambda t: t.isNotNull())
+    return df.select(F.col("Id").alias("purchase_id"), F.col("TxnDate").cast("date").alias("txn_date"),
+                     F.col("TotalAmt").alias("total_amount"), F.col("EntityRef.name").alias("vendor_name"),
+                     F.array_join(F.slice(kept, 1, n), "; ").alias("line_summary"))
+
+
+def sales_receipt_subtotal(df: DataFrame) -> DataFrame:
+    """I-43: receipt subtotal = sum of its item lines' amounts."""
+    items = F.filter(F.coalesce(F.col("Line"), F.array()), lambda l: l["DetailType"] == "SalesItemLineDetail")
+    return df.select(F.col("Id").alias("receipt_id"), F.col("TotalAmt").alias("total_amount"),
+                     F.aggregate(items, F.lit(0.0), lambda acc, l: acc + F.coalesce(l["Amount"], F.lit(0.0)))
+                     .alias("subtotal"))
+
+
+def flatten_invoice_lines(df: DataFrame) -> DataFrame:
+    """I-41: invoice lines without subtotal lines; id = '<invoice>_<line>'."""
+    li = df.select(F.col("Id").alias("invoice_id"), F.explode("Line").alias("l")).where(
+        F.col("l.DetailType") != "SubTotalLineDetail")
+    d = "l.SalesItemLineDetail"
+    return li.select(F.concat_ws("_", "invoice_id", F.col("l.Id")).alias("line_item_id"), "invoice_id",
+                     F.col(f"{d}.ItemRef.name").alias("item_name"), F.col(f"{d}.Qty").alias("quantity"),
+                     F.col(f"{d}.UnitPrice").alias("unit_price"), F.col("l.Amount").alias("amount"),
+                     F.col("l.Description").alias("description"))
+
+
+def top_n_per_period(df: DataFrame, period: str, order_col: str, n: int = 200) -> DataFrame:
+    """I-49: the source API returns at most ``n`` ranked rows per window; the same cap as a filter.
+
+    (This is the feature itself, a ranking cap, not a sampling shortcut.)
+    """
+    from pyspark.sql import Window
+    w = Window.partitionBy(period).orderBy(F.col(order_col).desc(), *[F.col(x) for x in df.columns if x != order_col])
+    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
+
+
+def audience_export(customers: DataFrame) -> DataFrame:
+    """I-52: hashed audience rows: non-blank email; sha256(lower(trim)); names hashed only when both present."""
+    e = F.lower(F.trim(F.col("email")))
+    fn, ln = F.lower(F.trim(F.col("first_name"))), F.lower(F.trim(F.col("last_name")))
+    both = (F.coalesce(fn, F.lit("")) != "") & (F.coalesce(ln, F.lit("")) != "")
+    return customers.where(F.coalesce(e, F.lit("")) != "").select(
+        F.sha2(e, 256).alias("hashed_email"), F.when(both, F.sha2(fn, 256)).alias("hashed_first_name"),
+        F.when(both, F.sha2(ln, 256)).alias("hashed_last_name"))
+
+
+def tag_links(df: DataFrame, text: str, domains: list[str], params: str) -> DataFrame:
+    """I-51: append tracking parameters to links of tracked domains inside a text.
+
+    Links that already carry utm_source are kept; the number of links changed
+    is returned.  Done with regexp functions: the domain test strips a leading
+    'www.' and accepts sub-domains.
+    """
+    url_re = r"https?://[^\s)\]>\"']+"
+    dom = "|".join(d.replace(".", r"\.") for d in domains)
+    tracked = rf"^https?://(?:www\.)?(?:[^/\s]+\.)?(?:{dom})(?:[/?#:]|$)"
+    urls = F.regexp_extract_all(F.col(text), F.lit(url_re), 0)
+    todo = F.filter(urls, lambda u: u.rlike(tracked) & ~u.contains("utm_source="))
+    new = F.aggregate(todo, F.col(text), lambda acc, u: F.replace(acc, u, F.concat(
+        u, F.when(u.contains("?"), F.lit("&")).otherwise(F.lit("?")), F.lit(params))))
+    return df.select("*", new.alias(f"{text}_tagged"), F.size(F.array_distinct(todo)).alias("links_tagged"))
