@@ -305,7 +305,7 @@ def marketplace_ad_spend_union(*feeds: DataFrame, columns=None) -> DataFrame:
 
 def marketplace_daily_orders(orders_clean: DataFrame) -> DataFrame:
     """A-04: marketplace order lines summed by purchase day and asin."""
-    return orders_clean.groupBy(F.col("purchase_date_utc").cast("date").alias("purchase_date_utc"), "asin").agg(
+    return orders_clean.groupBy(F.col("purchase_date").cast("date").alias("purchase_date_utc"), "asin").agg(
         F.sum("quantity").alias("quantity"), F.sum("item_price").alias("item_price"),
         F.sum("item_promotion_discount").alias("item_promotion_discount"), F.sum("sales").alias("sales"))
 

@@ -1063,3 +1063,66 @@ from conversations where role = 'user'"""
 
 ROLE_SQL.update({"r_run_log": SQL_RUN_LOG, "r_survey": SQL_SURVEY})
 ROLE_SPARK.update({"r_run_log": run_log, "r_survey": survey_responses})
+
+
+# ---------------------------------------------------------------------------
+# marketplace: order report lines and advertised-product rows <- lineitem
+# ---------------------------------------------------------------------------
+
+def market_orders(spark, d):
+    """Marketplace order report (all text, as landed) <- lineitem."""
+    li = table(spark, d, "lineitem")
+    cur = F.when(F.col("l_suppkey") % 3 == 1, "CAD").when(F.col("l_suppkey") % 3 == 2, "MXN").otherwise("USD")
+    return li.select(
+        F.concat(F.lit("S-"), F.col("l_partkey").cast("string")).alias("sku"),
+        F.concat(F.lit("B"), F.col("l_partkey").cast("string")).alias("asin"), cur.alias("currency"),
+        F.col("l_quantity").cast("bigint").cast("string").alias("quantity"),
+        F.format_string("%.2f", F.col("l_extendedprice")).alias("item_price"),
+        F.when(F.col("l_returnflag") == "R", "Cancelled").otherwise("Shipped").alias("item_status"),
+        F.when(F.col("l_linestatus") == "O", "Pending").otherwise("Shipped").alias("order_status"),
+        F.lit("US").alias("ship_country"), F.lit("Amazon.com").alias("sales_channel"),
+        F.date_format(F.col("l_shipdate"), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("purchase_date"),
+        F.concat(F.lit("AMZ-"), F.col("l_orderkey").cast("string")).alias("amazon_order_id"),
+        F.lit("Standard").alias("ship_service_level"),
+        F.when(F.col("l_discount") > 0.05, (F.round(F.col("l_discount") * 100)).cast("bigint").cast("string"))
+         .alias("item_promotion_discount"))
+
+
+SQL_MARKET_ORDERS = """
+select 'S-' || cast(l_partkey as varchar) as sku, 'B' || cast(l_partkey as varchar) as asin,
+       case when l_suppkey % 3 = 1 then 'CAD' when l_suppkey % 3 = 2 then 'MXN' else 'USD' end as currency,
+       cast(cast(l_quantity as bigint) as varchar) as quantity, printf('%.2f', l_extendedprice) as item_price,
+       case when l_returnflag = 'R' then 'Cancelled' else 'Shipped' end as item_status,
+       case when l_linestatus = 'O' then 'Pending' else 'Shipped' end as order_status,
+       'US' as ship_country, 'Amazon.com' as sales_channel,
+       strftime(l_shipdate, '%Y-%m-%dT%H:%M:%SZ') as purchase_date,
+       'AMZ-' || cast(l_orderkey as varchar) as amazon_order_id, 'Standard' as ship_service_level,
+       case when l_discount > 0.05 then cast(cast(round(l_discount * 100) as bigint) as varchar) end
+           as item_promotion_discount
+from lineitem"""
+
+
+def market_ads(spark, d):
+    """Advertised-product report rows (two loads per day: odd/even line numbers) <- search-ads lineitems."""
+    li = table(spark, d, "lineitem").where(F.col("l_linestatus") == "F")
+    return li.select(
+        F.col("l_shipdate").cast("date").alias("date"),
+        F.concat(F.lit("B"), F.col("l_partkey").cast("string")).alias("advertised_asin"),
+        F.format_string("%.2f", idiv("cast(round(l_extendedprice * 100) as bigint)", 1000) / 100.0).alias("cost"),
+        (F.col("l_quantity") * 40).cast("bigint").cast("string").alias("impressions"),
+        F.col("l_quantity").cast("bigint").cast("string").alias("clicks"),
+        F.format_string("%.2f", idiv("cast(round(l_extendedprice * 100) as bigint)", 10) / 100.0).alias("sales14d"),
+        (F.col("l_linenumber") % 2 + 1).alias("_loaded_at"))
+
+
+SQL_MARKET_ADS = """
+select cast(l_shipdate as date) as date, 'B' || cast(l_partkey as varchar) as advertised_asin,
+       printf('%.2f', (cast(round(l_extendedprice * 100) as bigint) // 1000) / 100.0) as cost,
+       cast(cast(l_quantity * 40 as bigint) as varchar) as impressions,
+       cast(cast(l_quantity as bigint) as varchar) as clicks,
+       printf('%.2f', (cast(round(l_extendedprice * 100) as bigint) // 10) / 100.0) as sales14d,
+       l_linenumber % 2 + 1 as _loaded_at
+from lineitem where l_linestatus = 'F'"""
+
+ROLE_SQL.update({"r_market_orders": SQL_MARKET_ORDERS, "r_market_ads": SQL_MARKET_ADS})
+ROLE_SPARK.update({"r_market_orders": market_orders, "r_market_ads": market_ads})
