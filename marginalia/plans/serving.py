@@ -733,3 +733,150 @@ def q_paid_campaign_daily(spark, d):
     return sv.extract(daily_performance(spark, d), ["report_date", "platform", "campaign_id", "campaign_name",
                                                     "adset_name", "impressions", "clicks", "spend", "cpc", "ctr",
                                                     "conversions", "conversion_value"])
+
+
+# --- range listings and the remaining page shapes --------------------------------------------------
+
+_LISTINGS = [  # (query name, id, mart, date column, start, end)
+    ("affiliate_data", "D-07", "affiliate_by_partner", "month", AFF_START, AFF_END),
+    ("d2c_pnl_listing", "D-20", "d2c_monthly_pnl", "month", START, END),
+    ("expenses_enriched_listing", "D-25", "expense_enriched", "month", START, END),
+    ("vendors_listing", "D-27", "expense_by_vendor", "month", START, END),
+    ("pnl_listing", "D-35", "monthly_pnl", "month", START, END),
+    ("revenue_listing", "D-36", "monthly_revenue", "month", START, END),
+    ("cohort_ltv_trend", "D-43", "customer_ltv", "cohort_month", "1995-01-01", END),
+    ("wholesale_listing", "D-58", "wholesale_detail", "txn_date", START, END),
+]
+
+
+def _listing(mart, col, a, b):
+    return lambda spark, d: sv.in_range(QUERIES[mart].build(spark, d), col, a, b)
+
+
+for _n, _id, _mart, _col, _a, _b in _LISTINGS:
+    register(_n, QUERIES[_mart].spec, f"select * from m_{_mart} where {_in(_col, _a, _b)}", _id)(
+        _listing(_mart, _col, _a, _b))
+
+register("subscriptions_listing", pf.SUB_SPEC, "select * from m_subscription_analysis", "D-26")(subscriptions)
+
+
+@register("current_month", "total_revenue:m operating_expenses:m operating_income:m operating_margin:r "
+          "owner_compensation:m", f"""
+select total_revenue, operating_expenses, operating_income, operating_margin, owner_compensation
+from m_monthly_pnl where month = cast(date_trunc('month', date '{END}') as date)""", "D-38")
+def q_current_month(spark, d):
+    p = monthly_pnl(spark, d).where(F.col("month") == F.trunc(F.lit(END).cast("date"), "MM"))
+    return p.select("total_revenue", "operating_expenses", "operating_income", "operating_margin",
+                    "owner_compensation")
+
+
+@register("retail_breakdown", "month:d revenue_stream:s revenue:m", f"""
+select month, revenue_stream, revenue from m_monthly_revenue
+where revenue_stream in ('Wholesale', 'Shopify', 'Amazon') and {_in('month')}""", "D-52")
+def q_retail_breakdown(spark, d):
+    r = sv.in_range(pf.revenue_df(spark, d), "month", START, END)
+    return r.where(F.col("revenue_stream").isin("Wholesale", "Shopify", "Amazon")).select(
+        "month", "revenue_stream", "revenue")
+
+
+@register("monthly_by_partner", "month:d partner_name:s revenue:m", f"""
+select month, partner_name, sum(revenue) as revenue from m_affiliate_by_partner
+where {_in('month', AFF_START, AFF_END)} group by 1, 2""", "D-09")
+def q_monthly_by_partner(spark, d):
+    return sv.rollup(sv.in_range(affiliates(spark, d), "month", AFF_START, AFF_END), ["month", "partner_name"],
+                     {"revenue": "revenue"})
+
+
+UNIDENTIFIED = ("Unidentified", "Unknown (Mobile Deposit)")
+
+
+@register("top_partners_monthly", "month:d partner_name:s revenue:m", f"""
+select month, partner_name, sum(revenue) as revenue from m_affiliate_by_partner
+where partner_name not in ('Unidentified', 'Unknown (Mobile Deposit)') and {_in('month', AFF_START, AFF_END)}
+group by 1, 2""", "D-10")
+def q_top_partners_monthly(spark, d):
+    a = sv.in_range(affiliates(spark, d), "month", AFF_START, AFF_END).where(~F.col("partner_name").isin(*UNIDENTIFIED))
+    return sv.rollup(a, ["month", "partner_name"], {"revenue": "revenue"})
+
+
+@register("affiliate_monthly_totals", "month:d total_revenue:m total_transactions:i active_partners:i", f"""
+select month, sum(revenue) as total_revenue, sum(transaction_count) as total_transactions,
+       count(distinct partner_name) as active_partners
+from m_affiliate_by_partner where {_in('month', AFF_START, AFF_END)} group by 1""", "D-11")
+def q_affiliate_totals(spark, d):
+    a = sv.in_range(affiliates(spark, d), "month", AFF_START, AFF_END)
+    return a.groupBy("month").agg(F.sum("revenue").alias("total_revenue"),
+                                  F.sum("transaction_count").alias("total_transactions"),
+                                  F.count_distinct("partner_name").alias("active_partners"))
+
+
+_AFF_KPI_SQL = f"""
+select sum(case when {_in('month', '2024-01-01', '2024-12-31')} then revenue else 0 end) as ytd_revenue,
+       sum(case when {_prior12('month', '2024-01-01')} then revenue else 0 end) as prior_revenue,
+       sum(case when {_in('month', '2024-01-01', '2024-12-31')}
+                 and partner_name not in ('Unidentified', 'Unknown (Mobile Deposit)') then revenue else 0 end)
+           as identified_revenue,
+       sum(case when {_prior12('month', '2024-01-01')}
+                 and partner_name not in ('Unidentified', 'Unknown (Mobile Deposit)') then revenue else 0 end)
+           as prior_identified_revenue,
+       sum(case when {_in('month', '2024-01-01', '2024-12-31')}
+                 and partner_name in ('Unidentified', 'Unknown (Mobile Deposit)') then revenue else 0 end)
+           as unidentified_revenue,
+       count(distinct case when {_in('month', '2024-01-01', '2024-12-31')}
+                 and partner_name not in ('Unidentified', 'Unknown (Mobile Deposit)') then partner_name end)
+           as identified_partners
+from m_affiliate_by_partner where month >= date '2024-01-01' - interval 12 month and month <= date '2024-12-31'"""
+
+
+@register("affiliate_kpi_comparison", "ytd_revenue:m prior_revenue:m identified_revenue:m "
+          "prior_identified_revenue:m unidentified_revenue:m identified_partners:i", _AFF_KPI_SQL, "D-13")
+def q_affiliate_kpi(spark, d):
+    a = affiliates(spark, d)
+    cur = sv.current_period("month", "2024-01-01", "2024-12-31")
+    pri = sv.prior_months("month", "2024-01-01", 12)
+    ident = ~F.col("partner_name").isin(*UNIDENTIFIED)
+    win = (F.col("month") >= F.lit("2023-01-01").cast("date")) & (F.col("month") <= F.lit("2024-12-31").cast("date"))
+    return sv.period_compare(a, [("ytd_revenue", "sum", "revenue", cur), ("prior_revenue", "sum", "revenue", pri),
+                                 ("identified_revenue", "sum", "revenue", cur & ident),
+                                 ("prior_identified_revenue", "sum", "revenue", pri & ident),
+                                 ("unidentified_revenue", "sum", "revenue", cur & ~ident),
+                                 ("identified_partners", "count_distinct", "partner_name", cur & ident)], where=win)
+
+
+@register("survey_aov", "channel_category:s responses:i avg_order_value:m total_revenue:m", f"""
+select {_survey_class_sql()} as channel_category, count(*) as responses, avg(order_total) as avg_order_value,
+       sum(order_total) as total_revenue
+from r_survey where {_SURVEY_WHERE} group by 1""", "D-17")
+def q_survey_aov(spark, d):
+    s = survey_in_range(spark, d)
+    return s.groupBy(survey_class(F.col("how_did_you_hear")).alias("channel_category")).agg(
+        F.count(F.lit(1)).alias("responses"), F.avg("order_total").alias("avg_order_value"),
+        F.sum("order_total").alias("total_revenue"))
+
+
+@register("ga4_channel_orders", "channel:s attributed_orders:i attributed_revenue:m", f"""
+select channel, sum(orders) as attributed_orders, sum(revenue) as attributed_revenue
+from m_channel_summary where {_in('report_date', EV_START, EV_END)} group by 1""", "D-18")
+def q_ga4_channel_orders(spark, d):
+    cs = sv.in_range(channel_summary(spark, d), "report_date", EV_START, EV_END)
+    return sv.rollup(cs, ["channel"], {"attributed_orders": "orders", "attributed_revenue": "revenue"})
+
+
+@register("wholesale_kpi_comparison", "total_revenue:m prior_total_revenue:m invoice_count:i prior_invoice_count:i "
+          "active_customers:i", f"""
+select sum(case when {_in('txn_date')} then amount else 0 end) as total_revenue,
+       sum(case when {_prior12('txn_date')} then amount else 0 end) as prior_total_revenue,
+       count(distinct case when {_in('txn_date')} then invoice_id end) as invoice_count,
+       count(distinct case when {_prior12('txn_date')} then invoice_id end) as prior_invoice_count,
+       count(distinct case when {_in('txn_date')} then customer_name end) as active_customers
+from m_wholesale_detail where txn_date >= date '{START}' - interval 12 month and txn_date <= date '{END}'""", "D-63")
+def q_wholesale_kpi(spark, d):
+    w = wholesale(spark, d)
+    cur = sv.current_period("txn_date", START, END)
+    pri = sv.prior_months("txn_date", START, 12)
+    win = (F.col("txn_date") >= F.add_months(F.lit(START).cast("date"), -12)) & \
+        (F.col("txn_date") <= F.lit(END).cast("date"))
+    return sv.period_compare(w, [("total_revenue", "sum", "amount", cur), ("prior_total_revenue", "sum", "amount", pri),
+                                 ("invoice_count", "count_distinct", "invoice_id", cur),
+                                 ("prior_invoice_count", "count_distinct", "invoice_id", pri),
+                                 ("active_customers", "count_distinct", "customer_name", cur)], where=win)
