@@ -353,3 +353,77 @@ def component_scores(library: DataFrame, creative_perf: DataFrame, *, min_days:
         safe_div(F.col("_w"), F.col("total_spend")).alias("weighted_roas"),
         safe_div(F.col("_ctr_sum"), F.col("_ctr_n")).alias("avg_ctr"),
         safe_div(F.col("_cpa_sum"), F.col("_cpa_n")).alias("avg_cpa"), "max_days_active")
+
+
+# --- tracking coverage and content posts (disabled in the source, built here) -------------------------
+#   content tiers: 7-day clicks >= 50 and position <= 5 top_performer; >= 20 and <= 10 good;
+#   7-day impressions >= 100 and clicks < 5 underperforming; published < 14 days ago too_early; else monitor
+
+
+def session_comparison(store_sessions: DataFrame, funnel_daily: DataFrame) -> DataFrame:
+    """K-21: store-side session counts against web-analytics funnel counts per day, with coverage rates.
+
+    Both sides are first summed per day (one row per day each), then full-outer joined.
+    """
+    s = store_sessions.groupBy("report_date").agg(
+        F.sum("sessions").alias("shopify_sessions"), F.sum("product_views").alias("shopify_product_views"),
+        F.sum("add_to_carts").alias("shopify_add_to_carts"), F.sum("checkouts").alias("shopify_checkouts"),
+        F.sum("orders").alias("shopify_orders"))
+    g = funnel_daily.groupBy("report_date").agg(
+        F.sum("sessions").alias("ga4_sessions"), F.sum("product_views").alias("ga4_product_views"),
+        F.sum("add_to_carts").alias("ga4_add_to_carts"), F.sum("checkouts").alias("ga4_checkouts"),
+        F.sum("purchases").alias("ga4_purchases"))
+    j = s.join(g, "report_date", "full")
+    col = F.col
+    return j.select(
+        "report_date", "shopify_sessions", "ga4_sessions",
+        (col("shopify_sessions") - col("ga4_sessions")).alias("session_gap"),
+        safe_div(col("shopify_sessions") - col("ga4_sessions"), col("shopify_sessions")).alias("session_discrepancy_pct"),
+        safe_div(col("ga4_sessions"), col("shopify_sessions")).alias("ga4_coverage_rate"),
+        "shopify_product_views", "ga4_product_views",
+        safe_div(col("ga4_product_views"), col("shopify_product_views")).alias("product_view_coverage_rate"),
+        "shopify_add_to_carts", "ga4_add_to_carts",
+        safe_div(col("ga4_add_to_carts"), col("shopify_add_to_carts")).alias("add_to_cart_coverage_rate"),
+        "shopify_checkouts", "ga4_checkouts",
+        safe_div(col("ga4_checkouts"), col("shopify_checkouts")).alias("checkout_coverage_rate"),
+        "shopify_orders", "ga4_purchases",
+        safe_div(col("ga4_purchases"), col("shopify_orders")).alias("order_coverage_rate"),
+        safe_div(col("shopify_orders"), col("shopify_sessions")).alias("shopify_conversion_rate"),
+        safe_div(col("ga4_purchases"), col("ga4_sessions")).alias("ga4_conversion_rate"))
+
+
+def content_performance(posts: DataFrame, perf: DataFrame, events: DataFrame, as_of: str, *, days: int = 30,
+                        recent_days: int = 7) -> DataFrame:
+    """K-22: each content post with its organic-search and web-analytics results and a tier.
+
+    The page of an event is its ``page_location`` as recorded (the source model
+    prefixes a second scheme onto full URLs, which never matches, R-11).
+    Distinct users per page are counted in two phases (per page and user, then sums).
+    """
+    day = F.lit(as_of).cast("date")
+    p = perf.where(F.col("query_date") >= F.date_sub(day, days))
+    recent = F.col("query_date") >= F.date_sub(day, recent_days)
+    sc = p.groupBy("page").agg(
+        F.avg("position").alias("current_position"),
+        F.sum(F.when(recent, F.col("impressions")).otherwise(0)).alias("impressions_7d"),
+        F.sum(F.when(recent, F.col("clicks")).otherwise(0)).alias("clicks_7d"))
+    sc = sc.withColumn("ctr", safe_div(F.col("clicks_7d"), F.col("impressions_7d")))
+    e = events.where((F.col("event_date") >= F.date_sub(day, days))
+                     & F.col("event_name").isin("session_start", "purchase"))
+    per_user = e.groupBy(F.col("page_location").alias("page_url"), "user_pseudo_id").agg(
+        F.max(F.when((F.col("event_name") == "session_start") & F.col("user_pseudo_id").isNotNull(), 1).otherwise(0))
+        .alias("s"),
+        F.max(F.when((F.col("event_name") == "purchase") & F.col("user_pseudo_id").isNotNull(), 1).otherwise(0))
+        .alias("p"),
+        F.sum(F.when(F.col("event_name") == "purchase", F.col("purchase_revenue")).otherwise(0.0)).alias("r"))
+    g = per_user.groupBy("page_url").agg(F.sum("s").cast("bigint").alias("ga4_sessions"),
+                                         F.sum("p").cast("bigint").alias("ga4_conversions"),
+                                         F.sum("r").alias("ga4_revenue"))
+    j = posts.join(sc, posts["url"] == sc["page"], "left").join(g, posts["url"] == g["page_url"], "left")
+    age = F.datediff(day, F.col("publish_date"))
+    clicks, pos, impr = F.col("clicks_7d"), F.col("current_position"), F.col("impressions_7d")
+    tier = (F.when((clicks >= 50) & (pos <= 5), "top_performer").when((clicks >= 20) & (pos <= 10), "good")
+            .when((impr >= 100) & (clicks < 5), "underperforming").when(age < 14, "too_early").otherwise("monitor"))
+    return j.select("post_id", "title", "target_keyword", "content_type", "platform", "status", "url", "word_count",
+                    "publish_date", age.alias("days_since_publish"), "current_position", "impressions_7d",
+                    "clicks_7d", "ctr", "ga4_sessions", "ga4_conversions", "ga4_revenue", tier.alias("performance_tier"))

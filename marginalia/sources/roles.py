@@ -1126,3 +1126,50 @@ from lineitem where l_linestatus = 'F'"""
 
 ROLE_SQL.update({"r_market_orders": SQL_MARKET_ORDERS, "r_market_ads": SQL_MARKET_ADS})
 ROLE_SPARK.update({"r_market_orders": market_orders, "r_market_ads": market_ads})
+
+
+# ---------------------------------------------------------------------------
+# store-side sessions, content posts
+# ---------------------------------------------------------------------------
+
+def store_sessions(spark, d):
+    """Store-side daily traffic counts <- events per day (event counts, not distinct users)."""
+    e = table(spark, d, "events")
+    t = F.col("event_type")
+    return e.groupBy(F.col("ts").cast("date").alias("report_date")).agg(
+        F.count(F.lit(1)).alias("sessions"), F.count_if(t == "view").alias("product_views"),
+        F.count_if(t == "click").alias("add_to_carts"), F.count_if(t == "signup").alias("checkouts"),
+        F.count_if(t == "purchase").alias("orders"))
+
+
+SQL_STORE_SESSIONS = """
+select cast(ts as date) as report_date, count(*) as sessions, count_if(event_type = 'view') as product_views,
+       count_if(event_type = 'click') as add_to_carts, count_if(event_type = 'signup') as checkouts,
+       count_if(event_type = 'purchase') as orders
+from events group by 1"""
+
+
+def content_posts(spark, d):
+    """Content posts <- pages (title from the html <title>, words of the html text)."""
+    p = table(spark, d, "pages")
+    return p.select(
+        F.col("page_id").alias("post_id"), F.regexp_extract("html", r"<title>([^<]*)</title>", 1).alias("title"),
+        F.concat(F.lit("query "), (F.col("page_id") % 40).cast("string")).alias("target_keyword"),
+        F.when(F.col("page_id") % 2 == 0, "blog").otherwise("guide").alias("content_type"),
+        F.lit("web").alias("platform"), F.lit("published").alias("status"),
+        F.concat(F.lit("https://example.com/p/"), (F.col("page_id") % 25).cast("string")).alias("url"),
+        F.size(F.split(F.trim(F.regexp_replace("html", r"<[^>]*>", " ")), r"\s+")).cast("bigint").alias("word_count"),
+        F.date_add(F.lit("2024-01-01").cast("date"), (F.col("page_id") % 30).cast("int")).alias("publish_date"))
+
+
+SQL_CONTENT_POSTS = r"""
+select page_id as post_id, regexp_extract(html, '<title>([^<]*)</title>', 1) as title,
+       'query ' || cast(page_id % 40 as varchar) as target_keyword,
+       case when page_id % 2 = 0 then 'blog' else 'guide' end as content_type, 'web' as platform,
+       'published' as status, 'https://example.com/p/' || cast(page_id % 25 as varchar) as url,
+       cast(len(regexp_split_to_array(trim(regexp_replace(html, '<[^>]*>', ' ', 'g')), '\s+')) as bigint) as word_count,
+       date '2024-01-01' + cast(page_id % 30 as integer) as publish_date
+from pages"""
+
+ROLE_SQL.update({"r_store_sessions": SQL_STORE_SESSIONS, "r_content_posts": SQL_CONTENT_POSTS})
+ROLE_SPARK.update({"r_store_sessions": store_sessions, "r_content_posts": content_posts})
