@@ -221,3 +221,163 @@ def orders_clean(raw: DataFrame, *, fx: dict | None = None, tz: str = ORDER_TZ)
     p = p.select("*", (F.col("item_price") * rate).alias("corrected_item_price"),
                  (F.col("item_promotion_discount") * rate).alias("corrected_item_promotion_discount"))
     return p.withColumn("sales", F.col("corrected_item_price") - F.col("corrected_item_promotion_discount"))
+
+
+def projection(spec: str) -> list[tuple]:
+    """'out[=src][:type] ...' -> contract columns (plain rename/cast projections)."""
+    cols = []
+    for tok in spec.split():
+        typ = None
+        if ":" in tok:
+            tok, typ = tok.split(":", 1)
+        out, src = (tok.split("=", 1) if "=" in tok else (tok, None))
+        cols.append((out, src, typ))
+    return cols
+
+
+# plain rename/cast contracts (one select each)
+PROJECTIONS = {
+    "google_ads__campaigns": "campaign_id:bigint campaign_name campaign_type bidding_strategy_type status "
+                             "budget_amount:double",
+    "google_ads__ad_groups": "ad_group_id:bigint campaign_id:bigint ad_group_name ad_group_type status "
+                             "cpc_bid=cpc_bid_micros:double",
+    "google_ads__keywords": "keyword_id:bigint ad_group_id:bigint campaign_id:bigint keyword_text match_type status "
+                            "quality_score:bigint expected_ctr ad_relevance landing_page_experience",
+    "google_ads__shopping_performance": "date_start:date product_title product_item_id product_type_l1 product_brand "
+                                        "campaign_id:bigint campaign_name impressions:bigint clicks:bigint "
+                                        "spend:double conversions:double conversion_value:double",
+    "google_ads__geographic_view": "date_start:date location_type country_criterion_id:bigint campaign_id:bigint "
+                                   "campaign_name impressions:bigint clicks:bigint spend:double conversions:double "
+                                   "conversion_value:double",
+    "google_ads__ad_schedule_view": "date_start:date campaign_id:bigint campaign_name criterion_id:bigint day_of_week "
+                                    "start_hour:bigint end_hour:bigint start_minute end_minute impressions:bigint "
+                                    "clicks:bigint cost:double conversions:double conversions_value:double "
+                                    "ingested_at:timestamp",
+    "google_ads__asset_group": "asset_group_id:bigint asset_group_name status campaign_id:bigint campaign_name",
+    "google_ads__asset_group_asset": "asset_resource_name field_type status asset_group_id:bigint asset_group_name "
+                                     "campaign_id:bigint campaign_name",
+    "google_ads__conversion_action": "conversion_action_id:bigint conversion_action_name status conversion_type "
+                                     "default_value:double always_use_default_value:boolean counting_type "
+                                     "include_in_conversions_metric:boolean",
+    "google_ads__campaign_negative_keywords": "criterion_id:bigint campaign_id:bigint campaign_name keyword_text "
+                                             "match_type status",
+    "google_ads__ad_group_negative_keywords": "criterion_id:bigint ad_group_id:bigint ad_group_name "
+                                             "campaign_id:bigint campaign_name keyword_text match_type status",
+    "meta__ads": "ad_id:string adset_id:string campaign_id:string creative_id:string ad_name status",
+    "meta__adsets": "adset_id:string campaign_id:string adset_name status targeting_summary optimization_goal "
+                    "billing_event",
+    "meta__campaigns": "campaign_id:string campaign_name objective status daily_budget:double created_time "
+                       "updated_time",
+    "meta__creatives": "creative_id:string ad_id:string ad_name title body cta_type image_url video_id thumbnail_url "
+                       "object_type",
+    "shopify__products": "product_id:bigint title handle product_type vendor status tags created_at updated_at",
+    "shopify__product_variants": "variant_id:bigint product_id:bigint price:double compare_at_price:double "
+                                 "inventory_quantity:bigint title sku",
+    "shopify__customers": "customer_id:bigint orders_count:bigint total_spent:double email first_name last_name "
+                          "state accepts_marketing city province country tags",
+    "quickbooks__customers": "customer_id:string display_name company_name given_name family_name email phone city "
+                             "state postal_code country balance:double active:boolean is_project:boolean "
+                             "created_at updated_at",
+    "quickbooks__invoice_line_items": "line_item_id:string invoice_id:string txn_date:date customer_id:string "
+                                      "line_num:bigint description item_id:string item_name quantity:double "
+                                      "unit_price:double amount:double discount_rate:double tax_code",
+    "quickbooks__invoices": "invoice_id:string doc_number txn_date:date due_date:date customer_id:string "
+                            "customer_name total_amount:double balance:double currency email_status billing_email "
+                            "ship_date:date tracking_num txn_status created_at updated_at",
+    "quickbooks__items": "item_id:string name fully_qualified_name type description unit_price:double "
+                         "purchase_cost:double sku income_account_id income_account_name active:boolean "
+                         "taxable:boolean created_at updated_at",
+    "quickbooks__payments": "payment_id:string txn_date:date customer_id:string customer_name total_amount:double "
+                            "unapplied_amount:double payment_method_id:string deposit_to_account_id:string currency "
+                            "created_at updated_at",
+    "quickbooks__purchases": "purchase_id:string txn_date:date payment_type total_amount:double account_id:string "
+                             "account_name vendor_id:string vendor_name memo currency credit:boolean "
+                             "line_count:bigint line_summary created_at updated_at",
+    "quickbooks__sales_receipts": "sales_receipt_id:string txn_date:date customer_id:string customer_name "
+                                  "total_amount:double subtotal_amount:double payment_method_name "
+                                  "deposit_to_account_name currency memo created_at updated_at",
+    "quickbooks__vendors": "vendor_id:string display_name company_name given_name family_name email balance:double "
+                           "active:boolean vendor_1099:boolean created_at updated_at",
+    "klaviyo__flows": "flow_id=id flow_name=name status trigger_type created_at=created:timestamp "
+                      "updated_at=updated:timestamp ingested_at:timestamp",
+    "klaviyo__metrics_timeline": "date:date metric_id metric_name value:double ingested_at:timestamp",
+    "merchant_center__product_statuses": "product_id title approval_status disapproval_reasons issue_code "
+                                         "issue_servability issue_resolution issue_attribute issue_destination "
+                                         "issue_description ingested_at:timestamp",
+    "merchant_center__products": "product_id title description link image_link availability price_value "
+                                 "price_currency brand condition custom_label_0 custom_label_1 custom_label_2 "
+                                 "custom_label_3 custom_label_4 product_types google_product_category "
+                                 "ingested_at:timestamp",
+    "merchant_center__shopping_ads_program": "state region_code eligibility_status review_issues ingested_at:timestamp",
+    "youtube__channel_stats": "channel_id channel_title=title snapshot_date:date subscriber_count view_count "
+                              "video_count hidden_subscriber_count ingested_at:timestamp",
+    "youtube__video_stats": "video_id snapshot_date:date view_count like_count comment_count favorite_count "
+                            "ingested_at:timestamp",
+    "google_trends__related_queries": "keyword query_type related_query value:bigint ingested_at:timestamp",
+}
+for _name, _spec in PROJECTIONS.items():
+    SPECS.setdefault(_name, dict(cols=projection(_spec)))
+
+
+# marketplace ad reports: (source column of purchases, sales, units) per report family
+_AD_METRICS = {"SPONSORED_PRODUCTS": ("purchases14d", "sales14d", "units_sold_clicks14d", "bigint"),
+               "SPONSORED_BRANDS": ("purchases", "sales", "units_sold", "bigint"),
+               "SPONSORED_DISPLAY": ("purchases_clicks", "sales_clicks", "units_sold_clicks", "double")}
+
+
+def _ad_ratios(df: DataFrame) -> DataFrame:
+    clicks, impr = F.col("clicks").cast("double"), F.col("impressions").cast("double")
+    return df.select("*", safe_div(clicks, impr).alias("ctr"), safe_div(F.col("cost"), clicks).alias("cpc"),
+                     safe_div(F.col("cost"), F.col("sales")).alias("acos"),
+                     safe_div(F.col("sales"), F.col("cost")).alias("roas"))
+
+
+def _ad_spec(product: str, level: str) -> dict:
+    purchases, sales, units, units_type = _AD_METRICS[product]
+    head = [("report_date", "date", "date"), ("campaign_id", None, "string"), ("campaign_name", None, None)]
+    if level == "campaign":
+        head += [("campaign_status", None, None)]
+    else:
+        asin, sku = ("promoted_asin", "promoted_sku") if product == "SPONSORED_DISPLAY" else \
+            ("advertised_asin", "advertised_sku")
+        head += [("ad_group_id", None, "string"), ("ad_group_name", None, None), ("asin", asin, None),
+                 ("sku", sku, None)]
+    cols = head + [("profile_id", None, "string"), ("ad_product", lambda: F.lit(product), None),
+                   ("impressions", None, "bigint"), ("clicks", None, "bigint"), ("cost", None, "double"),
+                   ("purchases", purchases, "bigint"), ("sales", sales, "double")]
+    if level == "campaign" or product == "SPONSORED_DISPLAY":
+        cols.append(("units_sold", units, units_type))
+    cols.append(("_loaded_at", None, None))
+    return dict(cols=cols, post=_ad_ratios)
+
+
+SPECS.update({
+    "amazon_ads__sp_campaigns": _ad_spec("SPONSORED_PRODUCTS", "campaign"),
+    "amazon_ads__sb_campaigns": _ad_spec("SPONSORED_BRANDS", "campaign"),
+    "amazon_ads__sd_campaigns": _ad_spec("SPONSORED_DISPLAY", "campaign"),
+    "amazon_ads__sp_asin": _ad_spec("SPONSORED_PRODUCTS", "asin"),
+    "amazon_ads__sd_asin": _ad_spec("SPONSORED_DISPLAY", "asin"),
+    "shopify__sessions": dict(cols=projection("report_date:date referrer_source:string sessions:bigint "
+                                              "product_views:bigint add_to_carts:bigint checkouts:bigint "
+                                              "orders:bigint")),
+})
+
+# optional sources: absent table -> empty frame with the contract's schema (I-50)
+OPTIONAL_DDL = {
+    "google_ads__bidding_strategy": ("bidding_strategy_id bigint, bidding_strategy_name string, "
+                                     "bidding_strategy_type string, target_cpa double, target_roas double, "
+                                     "maximize_conversions_target_cpa double"),
+}
+SPECS["google_ads__bidding_strategy"] = dict(cols=[
+    ("bidding_strategy_id", None, "bigint"), ("bidding_strategy_name", None, None), ("bidding_strategy_type", None, None),
+    ("target_cpa", lambda: safe_div(F.col("target_cpa_micros").cast("double"), F.lit(1_000_000.0)), None),
+    ("target_roas", None, "double"),
+    ("maximize_conversions_target_cpa",
+     lambda: safe_div(F.col("maximize_conversions_target_cpa_micros").cast("double"), F.lit(1_000_000.0)), None)])
+
+
+def stage_optional(spark, table_name: str, name: str) -> DataFrame:
+    """Stage a source that may not exist yet; an absent table gives an empty typed frame."""
+    if spark.catalog.tableExists(table_name):
+        return stage(spark.table(table_name), name)
+    return spark.createDataFrame([], OPTIONAL_DDL[name])

@@ -56,3 +56,16 @@ def test_partner_mapping_filter_and_video_rounding(spark):
                               "subscribers_gained long, subscribers_lost long, ingested_at string")
     r = st.stage(v, "youtube__video_analytics").first()
     assert (r.avg_view_duration_minutes, r.avg_view_percentage, r.net_subscribers) == (1.58, 0.1235, 3)
+
+
+def test_ad_report_contract_and_optional_source(spark):
+    raw = spark.createDataFrame([("2024-01-01", 5, "c", "ENABLED", 9, "100", "0", "2.5", "1", "10.0", "1", 1)],
+                                "date string, campaign_id int, campaign_name string, campaign_status string, "
+                                "profile_id int, impressions string, clicks string, cost string, "
+                                "purchases14d string, sales14d string, units_sold_clicks14d string, _loaded_at int")
+    r = st.stage(raw, "amazon_ads__sp_campaigns").first()
+    assert (r.campaign_id, r.profile_id, r.ad_product, r.purchases, r.sales) == ("5", "9", "SPONSORED_PRODUCTS", 1, 10.0)
+    assert r.cpc is None and r.ctr == 0.0 and r.acos == 0.25 and r.roas == 4.0
+    empty = st.stage_optional(spark, "no_such_bidding_strategy", "google_ads__bidding_strategy")
+    assert empty.count() == 0 and "target_cpa" in empty.columns
+    assert len(st.SPECS) >= 63
