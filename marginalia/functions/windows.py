@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def running_sums(df: DataFrame, by: list[str], order: list[str], values: dict[str, str]) -> DataFrame:
+def running_sums(df: DataFrame, by: list[str], order: list[str], values: dict[str, str],
+                 first_bucket_as: str | None = None) -> DataFrame:
     """Running totals per ``by`` group in ``order`` (rows unbounded preceding .. current).
 
     Equal to ``sum(v) over (partition by by order by order rows ...)`` when
@@ -20,13 +21,18 @@ def running_sums(df: DataFrame, by: list[str], order: list[str], values: dict[st
     * result = earlier-bucket total + running value inside the bucket.
 
     Deterministic (no sampling), so it recomputes identically after an
-    executor loss.
+    executor loss.  ``first_bucket_as`` also returns each group's first bucket
+    (computed from the per-bucket table, no extra pass over ``df``).
     """
     bucket, rest = order[0], order[1:]
     totals = df.groupBy(*by, bucket).agg(*[F.sum(src).alias(f"_tot_{out}") for out, src in values.items()])
     prev_w = Window.partitionBy(*by).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    extra = []
+    if first_bucket_as:
+        # the group's first bucket (e.g. first order day) from the same small per-bucket table
+        extra.append(F.min(bucket).over(Window.partitionBy(*by)).alias(first_bucket_as))
     offsets = totals.select(*by, bucket, *[F.sum(f"_tot_{out}").over(prev_w).alias(f"_off_{out}")
-                                           for out in values])
+                                           for out in values], *extra)
     local_w = Window.partitionBy(*by, bucket).orderBy(*(rest or [bucket])) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = df.select("*", *[F.sum(src).over(local_w).alias(f"_run_{out}") for out, src in values.items()])
@@ -36,4 +42,4 @@ def running_sums(df: DataFrame, by: list[str], order: list[str], values: dict[st
         run, off = F.col(f"_run_{out}"), F.col(f"_off_{out}")
         outs.append(F.when(run.isNull() & off.isNull(), F.lit(None))
                     .otherwise(F.coalesce(run, F.lit(0)) + F.coalesce(off, F.lit(0))).alias(out))
-    return joined.select(*df.columns, *outs)
+    return joined.select(*df.columns, *outs, *([first_bucket_as] if first_bucket_as else []))

@@ -211,11 +211,10 @@ def customer_cohorts(orders: DataFrame, lines: DataFrame, market_costs: DataFram
     op = (op.withColumn("gross_profit", F.col("net_revenue") - F.col("total_cogs"))
           .withColumn("estimated_shipping_cost", F.lit(shipping_per_order))
           .withColumn("contribution_profit", F.col("gross_profit") - F.lit(shipping_per_order)))
-    first = op.groupBy("customer_id").agg(F.min("order_date").alias("first_order_date"))
-    run = running_sums(op, ["customer_id"], ["order_date", "order_id"],
-                       {"cumulative_gross_profit": "gross_profit",
-                        "cumulative_contribution_profit": "contribution_profit"})
-    j = run.join(first, "customer_id")
+    j = running_sums(op, ["customer_id"], ["order_date", "order_id"],
+                     {"cumulative_gross_profit": "gross_profit",
+                      "cumulative_contribution_profit": "contribution_profit"},
+                     first_bucket_as="first_order_date")
     return j.select(
         "order_id", "customer_id", "order_date", "first_order_date",
         month_start("first_order_date").alias("cohort_month"),
