@@ -204,19 +204,59 @@ def records_from_table(df: DataFrame, headers: str = "headers", rows: str = "row
 
 
 def product_statuses(df: DataFrame) -> DataFrame:
-    """I-35: per product: any disapproved -> status; reasons of disapproved issues joined; one row per
-    issue and at least one row per product."""
+    """I-35: per product: any disapproved issue -> 'disapproved'; reasons = descriptions of the
+    disapproved issues joined with ', '; one row per issue and at least one row per product
+    (missing fields become '')."""
     issues = F.coalesce(F.col("itemLevelIssues"), F.array())
     dis = F.filter(issues, lambda i: i["servability"] == "disapproved")
-    s = df.select(F.col("productId").alias("product_id"), F.col("title"),
+    s = df.select(F.coalesce(F.col("productId"), F.lit("")).alias("product_id"),
+                  F.coalesce(F.col("title"), F.lit("")).alias("title"),
                   F.when(F.size(dis) > 0, "disapproved").otherwise("approved").alias("approval_status"),
-                  F.array_join(F.transform(dis, lambda i: F.coalesce(i["description"], F.lit(""))), "; ")
+                  F.array_join(F.transform(dis, lambda i: F.coalesce(i["description"], F.lit(""))), ", ")
                   .alias("disapproval_reasons"),
                   F.explode_outer(issues).alias("i"))
+    fields = ["code", "servability", "resolution", "attribute", "destination", "description"]
+    present = set(df.schema["itemLevelIssues"].dataType.elementType.fieldNames())
     return s.select("product_id", "title", "approval_status", "disapproval_reasons",
-                    F.coalesce(F.col("i.code"), F.lit("")).alias("issue_code"),
-                    F.coalesce(F.col("i.description"), F.lit("")).alias("issue_description"),
-                    F.coalesce(F.col("i.servability"), F.lit("")).alias("issue_servability"))
+                    *[(F.coalesce(F.col(f"i.{f}"), F.lit("")) if f in present else F.lit("")).alias(f"issue_{f}")
+                      for f in fields])
+
+
+def feed_products(df: DataFrame) -> DataFrame:
+    """I-34: product feed rows; missing text fields become '', product types joined with ', '."""
+    e = lambda c: F.coalesce(F.col(c), F.lit(""))
+    cols = [("product_id", "id"), ("title", "title"), ("description", "description"), ("link", "link"),
+            ("image_link", "imageLink"), ("availability", "availability"), ("price_value", "price.value"),
+            ("price_currency", "price.currency"), ("brand", "brand"), ("condition", "condition")]
+    labels = [(f"custom_label_{i}", f"customLabel{i}") for i in range(5)]
+    return df.select(*[e(src).alias(out) for out, src in cols + labels],
+                     F.array_join(F.coalesce(F.col("productTypes"), F.array()), ", ").alias("product_types"),
+                     e("googleProductCategory").alias("google_product_category"))
+
+
+def program_status(df: DataFrame) -> DataFrame:
+    """I-36: one row per region status of the shopping-ads programme, or one empty row when none."""
+    r = df.select(F.coalesce(F.col("state"), F.lit("")).alias("state"), F.explode_outer("regionStatuses").alias("r"))
+    return r.select("state", F.coalesce(F.col("r.regionCode"), F.lit("")).alias("region_code"),
+                    F.coalesce(F.col("r.eligibilityStatus"), F.lit("")).alias("eligibility_status"),
+                    F.array_join(F.coalesce(F.col("r.reviewIssues"), F.array()), ", ").alias("review_issues"))
+
+
+def flatten_traffic(df: DataFrame, report_date: str) -> DataFrame:
+    """I-27: sales-and-traffic by child asin: nested sales money flattened (counts default 0), every
+    traffic field kept with a snake_case name."""
+    from marginalia.sources.readers import snake_name
+    sales = "salesByAsin"
+    traffic_fields = df.schema["trafficByAsin"].dataType.fieldNames() if "trafficByAsin" in df.columns else []
+    return df.select(
+        F.col("childAsin").alias("child_asin"), F.col("parentAsin").alias("parent_asin"),
+        F.lit(report_date).cast("date").alias("report_date"),
+        F.coalesce(F.col(f"{sales}.unitsOrdered"), F.lit(0)).alias("units_ordered"),
+        F.coalesce(F.col(f"{sales}.unitsOrderedB2B"), F.lit(0)).alias("units_ordered_b2b"),
+        F.coalesce(F.col(f"{sales}.totalOrderItems"), F.lit(0)).alias("total_order_items"),
+        F.coalesce(F.col(f"{sales}.orderedProductSales.amount"), F.lit(0)).alias("ordered_product_sales_amount"),
+        F.col(f"{sales}.orderedProductSales.currencyCode").alias("ordered_product_sales_currency"),
+        *[F.col(f"trafficByAsin.{f}").alias(snake_name(f)) for f in traffic_fields])
 
 
 def unpivot_interest(df: DataFrame, keywords: list[str]) -> DataFrame:

@@ -144,3 +144,17 @@ def test_streaming_merge_is_incremental(spark):
     ingest_stream(spark, src, schema, tgt, ["k"], ck, order_cols=["_loaded_at"])
     got = {r.k: r.v for r in read_latest(spark, tgt).collect()}
     assert got == {1: "a", 2: "B", 3: "c"}
+
+
+def test_feed_program_and_traffic(spark):
+    prog = spark.createDataFrame([("ENABLED", None), ("ENABLED", [("US", "ELIGIBLE", ["a", "b"])])],
+                                 "state string, regionStatuses array<struct<regionCode:string,"
+                                 "eligibilityStatus:string,reviewIssues:array<string>>>")
+    rows = sorted((r.region_code, r.review_issues) for r in fl.program_status(prog).collect())
+    assert rows == [("", ""), ("US", "a, b")]
+    tr = spark.createDataFrame([("c1", "p1", (3, None, 4, (12.5, "USD")), (10, 20.5))],
+                               "childAsin string, parentAsin string, salesByAsin struct<unitsOrdered:int,"
+                               "unitsOrderedB2B:int,totalOrderItems:int,orderedProductSales:struct<amount:double,"
+                               "currencyCode:string>>, trafficByAsin struct<browserSessions:int,buyBoxPercentage:double>")
+    r = fl.flatten_traffic(tr, "2024-01-02").first()
+    assert (r.units_ordered, r.units_ordered_b2b, r.browser_sessions, r.buy_box_percentage) == (3, 0, 10, 20.5)
