@@ -314,6 +314,7 @@ def purchase_summary(df: DataFrame, n: int = 5) -> DataFrame:
     kept = F.filter(texts, lambda t: t.isNotNull())
     return df.select(F.col("Id").alias("purchase_id"), F.col("TxnDate").cast("date").alias("txn_date"),
                      F.col("TotalAmt").alias("total_amount"), F.col("EntityRef.name").alias("vendor_name"),
+                     F.size(F.coalesce(F.col("Line"), F.array())).alias("line_count"),
                      F.array_join(F.slice(kept, 1, n), "; ").alias("line_summary"))
 
 
@@ -371,3 +372,55 @@ def tag_links(df: DataFrame, text: str, domains: list[str], params: str) -> Data
     new = F.aggregate(todo, F.col(text), lambda acc, u: F.replace(acc, u, F.concat(
         u, F.when(u.contains("?"), F.lit("&")).otherwise(F.lit("?")), F.lit(params))))
     return df.select("*", new.alias(f"{text}_tagged"), F.size(F.array_distinct(todo)).alias("links_tagged"))
+
+
+def flatten_purchase_lines(df: DataFrame) -> DataFrame:
+    """I-46: one row per purchase line; id = '<purchase>_<line id or 0>'."""
+    li = df.select(F.col("Id").alias("purchase_id"), F.col("TxnDate").alias("txn_date"),
+                   F.col("EntityRef.value").alias("vendor_id"), F.col("EntityRef.name").alias("vendor_name"),
+                   F.explode("Line").alias("l"))
+    d = "l.AccountBasedExpenseLineDetail"
+    return li.select(F.concat_ws("_", "purchase_id", F.coalesce(F.col("l.Id"), F.lit("0"))).alias("line_item_id"),
+                     "purchase_id", "txn_date", "vendor_id", "vendor_name", F.col("l.LineNum").alias("line_num"),
+                     F.col("l.Description").alias("description"),
+                     F.coalesce(F.col("l.Amount").cast("double"), F.lit(0.0)).alias("amount"),
+                     F.col(f"{d}.AccountRef.value").alias("account_id"), F.col(f"{d}.AccountRef.name").alias("account_name"),
+                     F.col(f"{d}.CustomerRef.value").alias("customer_id"),
+                     F.col(f"{d}.CustomerRef.name").alias("customer_name"),
+                     F.col(f"{d}.BillableStatus").alias("billable_status"))
+
+
+def flatten_bill_payments(df: DataFrame) -> DataFrame:
+    """I-47: bill payments; the paying account is the cheque's bank account, else the card account."""
+    acct = F.coalesce(F.col("CheckPayment.BankAccountRef"), F.col("CreditCardPayment.CCAccountRef"))
+    return df.select(F.col("Id").alias("bill_payment_id"), F.col("TxnDate").alias("txn_date"),
+                     F.col("VendorRef.value").alias("vendor_id"), F.col("VendorRef.name").alias("vendor_name"),
+                     F.coalesce(F.col("TotalAmt").cast("double"), F.lit(0.0)).alias("total_amount"),
+                     F.col("PayType").alias("pay_type"), acct["value"].alias("account_id"),
+                     acct["name"].alias("account_name"))
+
+
+# reference entities: output column -> (source path, default when missing)
+VENDOR_FIELDS = {
+    "vendor_id": ("Id", None), "display_name": ("DisplayName", None), "company_name": ("CompanyName", None),
+    "given_name": ("GivenName", None), "family_name": ("FamilyName", None),
+    "email": ("PrimaryEmailAddr.Address", None), "phone": ("PrimaryPhone.FreeFormNumber", None),
+    "balance": ("Balance", 0.0), "active": ("Active", True), "vendor_1099": ("Vendor1099", False),
+    "created_at": ("MetaData.CreateTime", None), "updated_at": ("MetaData.LastUpdatedTime", None),
+}
+
+
+def flatten_entity(df: DataFrame, fields: dict) -> DataFrame:
+    """I-48: declarative flatten of a reference entity (vendors, customers, accounts, items)."""
+    out = []
+    for name, (path, default) in fields.items():
+        col = F.col(path)
+        if default is not None:
+            col = F.coalesce(col.cast(_dtype(default)), F.lit(default))
+        out.append(col.alias(name))
+    return df.select(*out)
+
+
+def _dtype(v):
+    return "boolean" if isinstance(v, bool) else "double" if isinstance(v, float) else "bigint" \
+        if isinstance(v, int) else "string"

@@ -158,3 +158,22 @@ def test_feed_program_and_traffic(spark):
                                "currencyCode:string>>, trafficByAsin struct<browserSessions:int,buyBoxPercentage:double>")
     r = fl.flatten_traffic(tr, "2024-01-02").first()
     assert (r.units_ordered, r.units_ordered_b2b, r.browser_sessions, r.buy_box_percentage) == (3, 0, 10, 20.5)
+
+
+def test_accounting_lines_and_entities(spark):
+    schema = ("Id string, TxnDate string, TotalAmt double, EntityRef struct<value:string,name:string>, "
+              "Line array<struct<Id:string,LineNum:int,Description:string,Amount:double,"
+              "AccountBasedExpenseLineDetail:struct<AccountRef:struct<value:string,name:string>,"
+              "CustomerRef:struct<value:string,name:string>,BillableStatus:string>>>")
+    df = spark.createDataFrame([("9", "2024-01-02", 30.0, ("v1", "Acme"),
+                                 [("1", 1, "", 10.0, (("a", "Software"), None, "NotBillable")),
+                                  (None, 2, "paper", 20.0, (("b", "Office"), None, None))])], schema)
+    lines = {r.line_item_id: r for r in fl.flatten_purchase_lines(df).collect()}
+    assert set(lines) == {"9_1", "9_0"} and lines["9_1"].account_name == "Software"
+    s = fl.purchase_summary(df).first()
+    assert s.line_summary == "Software; paper" and s.line_count == 2
+    v = spark.createDataFrame([("1", "Acme", None, None)], "Id string, DisplayName string, Balance double, "
+                                                           "Active boolean")
+    fields = {k: fl.VENDOR_FIELDS[k] for k in ("vendor_id", "display_name", "balance", "active")}
+    r = fl.flatten_entity(v, fields).first()
+    assert (r.vendor_id, r.balance, r.active) == ("1", 0.0, True)
