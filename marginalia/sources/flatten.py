@@ -424,3 +424,64 @@ def flatten_entity(df: DataFrame, fields: dict) -> DataFrame:
 def _dtype(v):
     return "boolean" if isinstance(v, bool) else "double" if isinstance(v, float) else "bigint" \
         if isinstance(v, int) else "string"
+
+
+def attach_campaign(metrics: DataFrame, campaigns: DataFrame) -> DataFrame:
+    """I-31: campaign report rows with the campaign's name and send day (first 10 chars of send time).
+
+    ``metrics``: (groupings struct<campaign_id>, statistics struct<...>); ``campaigns``: (id, attributes
+    struct<name, send_time>).  The lookup side has one row per campaign.
+    """
+    c = campaigns.select(F.col("id").alias("campaign_id"), F.col("attributes.name").alias("campaign_name"),
+                         F.col("attributes.send_time").alias("send_time"))
+    m = metrics.select(F.col("groupings.campaign_id").alias("campaign_id"), F.col("statistics").alias("s"))
+    j = m.join(c, "campaign_id", "left")
+    return j.select("campaign_id", "campaign_name",
+                    F.when(blank_as_null(F.col("send_time")).isNotNull(), F.substring("send_time", 1, 10))
+                    .alias("send_date"),
+                    *[F.col(f"s.{k}").alias(k) for k in ("recipients", "delivered", "opens", "clicks",
+                                                         "unsubscribes", "conversions")],
+                    F.col("s.conversion_value").alias("revenue"))
+
+
+def flatten_flow_messages(flows: DataFrame) -> DataFrame:
+    """I-32: flows -> actions -> messages, one row per message with its flow and action ids."""
+    a = flows.select(F.col("id").alias("flow_id"), F.explode("actions").alias("a"))
+    m = a.select("flow_id", F.col("a.id").alias("action_id"), F.explode("a.messages").alias("m"))
+    return m.select(F.col("m.id").alias("id"), "flow_id", "action_id",
+                    *[F.col(f"m.attributes.{k}").alias(k) for k in ("name", "status", "channel", "created_at",
+                                                                     "updated_at")])
+
+
+def flatten_profiles(df: DataFrame) -> DataFrame:
+    """I-33: email profiles: consent flags and location flattened; free-form properties kept as JSON text
+    (an empty object -> NULL)."""
+    a = "attributes"
+    em = f"{a}.subscriptions.email.marketing"
+    sm = f"{a}.subscriptions.sms.marketing"
+    props = F.to_json(F.col(f"{a}.properties"))
+    return df.select(
+        "id", *[F.col(f"{a}.{k}").alias(k) for k in ("email", "phone_number", "first_name", "last_name", "created",
+                                                     "updated")],
+        F.col(f"{em}.consent").alias("email_consent"),
+        F.col(f"{em}.can_receive_email_marketing").alias("email_subscribed"),
+        F.col(f"{em}.consent_timestamp").alias("email_consent_timestamp"),
+        F.col(f"{sm}.consent").alias("sms_consent"), F.col(f"{sm}.can_receive_sms_marketing").alias("sms_subscribed"),
+        *[F.col(f"{a}.location.{k}").alias(k) for k in ("city", "region", "country")],
+        F.when(props.isNotNull() & (props != "{}"), props).alias("properties"))
+
+
+def flatten_received_payments(df: DataFrame) -> DataFrame:
+    """I-42: customer payments with their references; amounts default to 0, currency to USD."""
+    return df.select(
+        F.col("Id").alias("payment_id"), F.col("TxnDate").alias("txn_date"),
+        F.col("CustomerRef.value").alias("customer_id"), F.col("CustomerRef.name").alias("customer_name"),
+        F.coalesce(F.col("TotalAmt").cast("double"), F.lit(0.0)).alias("total_amount"),
+        F.coalesce(F.col("UnappliedAmt").cast("double"), F.lit(0.0)).alias("unapplied_amount"),
+        F.col("PaymentMethodRef.value").alias("payment_method_id"),
+        F.col("PaymentMethodRef.name").alias("payment_method_name"),
+        F.col("DepositToAccountRef.value").alias("deposit_to_account_id"),
+        F.col("DepositToAccountRef.name").alias("deposit_to_account_name"),
+        F.col("PaymentRefNum").alias("payment_ref_num"),
+        F.coalesce(F.col("CurrencyRef.value"), F.lit("USD")).alias("currency"),
+        F.col("MetaData.CreateTime").alias("created_at"), F.col("MetaData.LastUpdatedTime").alias("updated_at"))

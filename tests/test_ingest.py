@@ -177,3 +177,21 @@ def test_accounting_lines_and_entities(spark):
     fields = {k: fl.VENDOR_FIELDS[k] for k in ("vendor_id", "display_name", "balance", "active")}
     r = fl.flatten_entity(v, fields).first()
     assert (r.vendor_id, r.balance, r.active) == ("1", 0.0, True)
+
+
+def test_email_flatteners(spark):
+    metrics = spark.createDataFrame([(("c1",), (100, 90, 40, 5, 1, 2.0, 55.5)), (("c9",), (1, 1, 0, 0, 0, 0.0, 0.0))],
+                                    "groupings struct<campaign_id:string>, statistics struct<recipients:int,"
+                                    "delivered:int,opens:int,clicks:int,unsubscribes:int,conversions:double,"
+                                    "conversion_value:double>")
+    camps = spark.createDataFrame([("c1", ("Launch", "2024-03-05T10:00:00+00:00"))],
+                                  "id string, attributes struct<name:string,send_time:string>")
+    rows = {r.campaign_id: r for r in fl.attach_campaign(metrics, camps).collect()}
+    assert rows["c1"].send_date == "2024-03-05" and rows["c1"].revenue == 55.5 and rows["c9"].campaign_name is None
+    flows = spark.createDataFrame([("f1", [("a1", [("m1", ("Welcome", "live", "email", None, None))]),
+                                           ("a2", [])])],
+                                  "id string, actions array<struct<id:string,messages:array<struct<id:string,"
+                                  "attributes:struct<name:string,status:string,channel:string,created_at:string,"
+                                  "updated_at:string>>>>>")
+    m = fl.flatten_flow_messages(flows).collect()
+    assert [(r.id, r.flow_id, r.action_id, r.name) for r in m] == [("m1", "f1", "a1", "Welcome")]
