@@ -485,3 +485,58 @@ def flatten_received_payments(df: DataFrame) -> DataFrame:
         F.col("PaymentRefNum").alias("payment_ref_num"),
         F.coalesce(F.col("CurrencyRef.value"), F.lit("USD")).alias("currency"),
         F.col("MetaData.CreateTime").alias("created_at"), F.col("MetaData.LastUpdatedTime").alias("updated_at"))
+
+
+def flatten_social(resource: str, df: DataFrame) -> DataFrame:
+    """I-57: social-ads entities (campaigns, adsets, ads) with tolerant budgets and UTC times.
+
+    The adset geo targeting is kept as JSON text cut to 1,000 characters (the
+    source loader keeps a Python repr of the same object).
+    """
+    t = lambda c: to_utc(F.col(c))
+    if resource == "campaigns":
+        return df.select(F.col("id").alias("campaign_id"), F.col("name").alias("campaign_name"), "objective", "status",
+                         try_double(F.col("daily_budget")).alias("daily_budget"),
+                         try_double(F.col("lifetime_budget")).alias("lifetime_budget"),
+                         t("created_time").alias("created_time"), t("updated_time").alias("updated_time"))
+    if resource == "adsets":
+        geo = F.col("targeting.geo_locations")
+        return df.select(F.col("id").alias("adset_id"), F.col("name").alias("adset_name"), "campaign_id", "status",
+                         try_double(F.col("daily_budget")).alias("daily_budget"),
+                         try_double(F.col("lifetime_budget")).alias("lifetime_budget"),
+                         F.when(F.col("targeting").isNotNull(), F.substring(F.coalesce(F.to_json(geo), F.lit("")), 1, 1000))
+                         .alias("targeting_summary"), "optimization_goal", "billing_event",
+                         t("created_time").alias("created_time"), t("updated_time").alias("updated_time"))
+    if resource == "ads":
+        return df.select(F.col("id").alias("ad_id"), F.col("name").alias("ad_name"), "adset_id", "campaign_id", "status",
+                         F.col("creative.id").alias("creative_id"), t("created_time").alias("created_time"),
+                         t("updated_time").alias("updated_time"))
+    raise ValueError(resource)
+
+
+def flatten_email(resource: str, df: DataFrame) -> DataFrame:
+    """I-58: email campaigns and flows from (id, attributes struct)."""
+    keys = {"campaigns": ["name", "status", "send_time", "created_at", "updated_at"],
+            "flows": ["name", "status", "trigger_type", "created", "updated"]}[resource]
+    return df.select("id", *[F.col(f"attributes.{k}").alias(k) for k in keys])
+
+
+def flatten_channel_stats(df: DataFrame, snapshot_date: str) -> DataFrame:
+    """I-59: channel statistics snapshot; counters to bigint (0 when missing), hidden flag false by default."""
+    st = "statistics"
+    return df.select(F.col("id").alias("channel_id"), F.col("snippet.title").alias("title"),
+                     F.lit(snapshot_date).cast("date").alias("snapshot_date"),
+                     *[F.coalesce(try_long(F.col(f"{st}.{src}")), F.lit(0)).alias(out)
+                       for out, src in (("subscriber_count", "subscriberCount"), ("view_count", "viewCount"),
+                                        ("video_count", "videoCount"))],
+                     F.coalesce(F.col(f"{st}.hiddenSubscriberCount").cast("boolean"), F.lit(False))
+                     .alias("hidden_subscriber_count"))
+
+
+def flatten_video_stats(df: DataFrame, snapshot_date: str) -> DataFrame:
+    """I-59: per-video statistics snapshot keyed by (video_id, snapshot_date)."""
+    st = "statistics"
+    return df.select(F.col("id").alias("video_id"), F.lit(snapshot_date).cast("date").alias("snapshot_date"),
+                     *[F.coalesce(try_long(F.col(f"{st}.{src}")), F.lit(0)).alias(out)
+                       for out, src in (("view_count", "viewCount"), ("like_count", "likeCount"),
+                                        ("comment_count", "commentCount"), ("favorite_count", "favoriteCount"))])

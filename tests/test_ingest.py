@@ -195,3 +195,16 @@ def test_email_flatteners(spark):
                                   "updated_at:string>>>>>")
     m = fl.flatten_flow_messages(flows).collect()
     assert [(r.id, r.flow_id, r.action_id, r.name) for r in m] == [("m1", "f1", "a1", "Welcome")]
+
+
+def test_entity_flatteners(spark):
+    ads = spark.createDataFrame([("1", "ad", "s", "c", "ACTIVE", ("cr1",), "2025-06-23T09:19:47-0600", "bad")],
+                                "id string, name string, adset_id string, campaign_id string, status string, "
+                                "creative struct<id:string>, created_time string, updated_time string")
+    r = fl.flatten_social("ads", ads).first()
+    assert r.creative_id == "cr1" and r.created_time == dt.datetime(2025, 6, 23, 15, 19, 47) and r.updated_time is None
+    ch = spark.createDataFrame([("UC1", ("My channel",), ("1200", None, "7", None))],
+                               "id string, snippet struct<title:string>, statistics struct<subscriberCount:string,"
+                               "viewCount:string,videoCount:string,hiddenSubscriberCount:boolean>")
+    c = fl.flatten_channel_stats(ch, "2024-02-01").first()
+    assert (c.subscriber_count, c.view_count, c.video_count, c.hidden_subscriber_count) == (1200, 0, 7, False)
