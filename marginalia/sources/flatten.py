@@ -540,3 +540,72 @@ def flatten_video_stats(df: DataFrame, snapshot_date: str) -> DataFrame:
                      *[F.coalesce(try_long(F.col(f"{st}.{src}")), F.lit(0)).alias(out)
                        for out, src in (("view_count", "viewCount"), ("like_count", "likeCount"),
                                         ("comment_count", "commentCount"), ("favorite_count", "favoriteCount"))])
+
+
+# I-56: search-ads resources landed in API shape (segments / campaign / ad_group / metrics structs).
+# output column -> (source path, transform); transforms: micros (/1e6), micros0 (0 -> NULL, /1e6),
+# zero (0 -> NULL); enum values are landed as their names already.
+ADS_SPECS = {
+    "daily_insights": {
+        "date_start": ("segments.date", None), "campaign_id": ("campaign.id", None),
+        "campaign_name": ("campaign.name", None), "campaign_type": ("campaign.advertising_channel_type", None),
+        "ad_group_id": ("ad_group.id", None), "ad_group_name": ("ad_group.name", None),
+        "impressions": ("metrics.impressions", None), "clicks": ("metrics.clicks", None),
+        "spend": ("metrics.cost_micros", "micros"), "cpc": ("metrics.average_cpc", "micros"),
+        "ctr": ("metrics.ctr", None), "conversions": ("metrics.conversions", None),
+        "conversion_value": ("metrics.conversions_value", None),
+        "cost_per_conversion": ("metrics.cost_per_conversion", "micros0"),
+        "search_impression_share": ("metrics.search_impression_share", "zero")},
+    "search_terms": {
+        "date_start": ("segments.date", None), "campaign_id": ("campaign.id", None),
+        "campaign_name": ("campaign.name", None), "ad_group_id": ("ad_group.id", None),
+        "ad_group_name": ("ad_group.name", None), "search_term": ("search_term_view.search_term", None),
+        "keyword_text": ("segments.keyword.info.text", None), "match_type": ("segments.search_term_match_type", None),
+        "impressions": ("metrics.impressions", None), "clicks": ("metrics.clicks", None),
+        "spend": ("metrics.cost_micros", "micros"), "conversions": ("metrics.conversions", None),
+        "conversion_value": ("metrics.conversions_value", None)},
+    "keywords": {
+        "keyword_id": ("ad_group_criterion.criterion_id", None), "ad_group_id": ("ad_group.id", None),
+        "campaign_id": ("campaign.id", None), "keyword_text": ("ad_group_criterion.keyword.text", None),
+        "match_type": ("ad_group_criterion.keyword.match_type", None), "status": ("ad_group_criterion.status", None),
+        "quality_score": ("ad_group_criterion.quality_info.quality_score", "zero"),
+        "expected_ctr": ("ad_group_criterion.quality_info.search_predicted_ctr", None),
+        "ad_relevance": ("ad_group_criterion.quality_info.creative_quality_score", None),
+        "landing_page_experience": ("ad_group_criterion.quality_info.post_click_quality_score", None)},
+    "shopping_performance": {
+        "date_start": ("segments.date", None), "product_title": ("segments.product_title", None),
+        "product_item_id": ("segments.product_item_id", None), "product_type_l1": ("segments.product_type_l1", None),
+        "product_brand": ("segments.product_brand", None), "campaign_id": ("campaign.id", None),
+        "campaign_name": ("campaign.name", None), "impressions": ("metrics.impressions", None),
+        "clicks": ("metrics.clicks", None), "spend": ("metrics.cost_micros", "micros"),
+        "conversions": ("metrics.conversions", None), "conversion_value": ("metrics.conversions_value", None)},
+    "campaigns": {
+        "campaign_id": ("campaign.id", None), "campaign_name": ("campaign.name", None),
+        "campaign_type": ("campaign.advertising_channel_type", None),
+        "bidding_strategy_type": ("campaign.bidding_strategy_type", None), "status": ("campaign.status", None),
+        "campaign_budget": ("campaign.campaign_budget", None)},
+}
+
+
+def _ads_col(path: str, transform: str | None) -> Column:
+    x = F.col(path)
+    if transform == "micros":
+        return micros(x)
+    if transform == "micros0":
+        return micros(x, zero_null=True)
+    if transform == "zero":
+        return zero_as_null(x)
+    return x
+
+
+def flatten_ads(resource: str, df: DataFrame) -> DataFrame:
+    """I-56: one declarative select per search-ads resource (see ``ADS_SPECS``)."""
+    return df.select(*[_ads_col(p, t).alias(out) for out, (p, t) in ADS_SPECS[resource].items()])
+
+
+def attach_budget(campaigns: DataFrame, budgets: DataFrame) -> DataFrame:
+    """I-26: campaign budget amount (micros -> units) by budget resource name; NULL when missing."""
+    b = (budgets.select(F.col("resource_name").alias("campaign_budget"),
+                        micros(F.col("amount_micros")).alias("budget_amount"))
+         .dropDuplicates(["campaign_budget"]))
+    return campaigns.join(b, "campaign_budget", "left").drop("campaign_budget")

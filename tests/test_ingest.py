@@ -208,3 +208,18 @@ def test_entity_flatteners(spark):
                                "viewCount:string,videoCount:string,hiddenSubscriberCount:boolean>")
     c = fl.flatten_channel_stats(ch, "2024-02-01").first()
     assert (c.subscriber_count, c.view_count, c.video_count, c.hidden_subscriber_count) == (1200, 0, 7, False)
+
+
+def test_ads_resources(spark):
+    schema = ("segments struct<date:string>, campaign struct<id:long,name:string,advertising_channel_type:string>, "
+              "ad_group struct<id:long,name:string>, metrics struct<impressions:long,clicks:long,cost_micros:long,"
+              "average_cpc:long,ctr:double,conversions:double,conversions_value:double,cost_per_conversion:long,"
+              "search_impression_share:double>")
+    df = spark.createDataFrame([(("2024-01-01",), (1, "c", "SEARCH"), (2, "g"),
+                                 (100, 5, 12_340_000, 2_468_000, 0.05, 0.0, 0.0, 0, 0.0))], schema)
+    r = fl.flatten_ads("daily_insights", df).first()
+    assert (r.spend, r.cpc, r.cost_per_conversion, r.search_impression_share) == (12.34, 2.468, None, None)
+    camps = spark.createDataFrame([(1, "b/1"), (2, None)], "campaign_id long, campaign_budget string")
+    budgets = spark.createDataFrame([("b/1", 5_000_000)], "resource_name string, amount_micros long")
+    got = {r.campaign_id: r.budget_amount for r in fl.attach_budget(camps, budgets).collect()}
+    assert got == {1: 5.0, 2: None}
