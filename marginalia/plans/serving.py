@@ -746,6 +746,8 @@ _LISTINGS = [  # (query name, id, mart, date column, start, end)
     ("revenue_listing", "D-36", "monthly_revenue", "month", START, END),
     ("cohort_ltv_trend", "D-43", "customer_ltv", "cohort_month", "1995-01-01", END),
     ("wholesale_listing", "D-58", "wholesale_detail", "txn_date", START, END),
+    ("revenue_page_revenue", "D-50", "monthly_revenue", "month", START, END),
+    ("revenue_page_pnl", "D-51", "monthly_pnl", "month", START, END),
 ]
 
 
