@@ -24,13 +24,14 @@ from marginalia.functions import month_diff, month_start, norm_key, nz, round_ha
 from marginalia.functions.windows import running_sums
 
 # Fixed values that must equal the reference's for equal results:
-#   partnership product title: "Tuning Clamps" (revenue share kept: 0.40)
+#   partnership revenue share kept: 0.40 (the partnership product's title is a
+#   per-deployment setting, PARTNER_TITLE, not a value of the source project)
 #   gift-card rule: lower(title) like "%gift card%"
 #   flat shipping per order: 5.35
 #   fallback cost of goods: 0.40 of net revenue
 #   payment fees: 0.029 of net revenue + 0.30 per order
 #   marketplace fee rates of sales: selling 0.15, refunds 0.03, shipping 0.01
-PARTNER_TITLE = "Tuning Clamps"
+PARTNER_TITLE = "Partner Product"
 PARTNER_SHARE = 0.40
 GIFT_CARD_LIKE = "%gift card%"
 SHIPPING_PER_ORDER = 5.35

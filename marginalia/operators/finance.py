@@ -28,7 +28,8 @@ from marginalia.functions import month_start, safe_div
 #   owner-compensation account sub-types: PayrollWageExpenses, PayrollExpenses, PayrollTaxExpenses
 #   expense classification kept: Expense
 #   wholesale invoice statuses: Paid, Partial, Open
-#   bank account: "Bluevine Checking (6606) - 1";  wallet account: "PayPal balance account"
+#   wallet account: "PayPal balance account"
+#   (the operating bank account's name, BANK_ACCOUNT, is a per-deployment setting)
 #   affiliate bank tag: "Affiliate Revenue"
 #   retail streams: Wholesale, Shopify, Amazon
 #   subscription: >= 3 active months and spend stddev/mean < 0.3
@@ -37,7 +38,7 @@ from marginalia.functions import month_start, safe_div
 #                 projection > 2000 -> "High-cost — review"
 OWNER_SUBTYPES = ("PayrollWageExpenses", "PayrollExpenses", "PayrollTaxExpenses")
 WHOLESALE_STATUSES = ("Paid", "Partial", "Open")
-BANK_ACCOUNT = "Bluevine Checking (6606) - 1"
+BANK_ACCOUNT = "Operating Checking"
 WALLET_ACCOUNT = "PayPal balance account"
 RETAIL_STREAMS = ("Wholesale", "Shopify", "Amazon")
 DEPOSIT_STREAMS = ("Amazon", "Shopify", "Affiliate", "Sponsorship")

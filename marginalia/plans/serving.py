@@ -544,9 +544,10 @@ def q_channel_split(spark, d):
 
 # --- attribution survey -------------------------------------------------------------------------------
 
-# Fixed values that must equal the reference's for equal results: survey answer classes, first match wins
+# Survey answer classes, first match wins (fixed values; the store's own podcast answer uses the
+# per-deployment brand name, here the neutral "House Brand")
 SURVEY_CLASSES = [("Search Engine", "like", "Search Engine%"), ("Social Media", "like", "Social Media%"),
-                  ("PE Podcast", "like", "Pickleball Effect Podcast%"), ("Influencer", "like", "From an Influencer%"),
+                  ("Brand Podcast", "like", "House Brand Podcast%"), ("Influencer", "like", "From an Influencer%"),
                   ("Word of Mouth", "eq", "Friend or Family"), ("Other Community", "like", "%other%")]
 
 
@@ -595,7 +596,7 @@ def q_survey_time(spark, d):
 @register("survey_kpi", "total_responses:i pct_search:r pct_podcast_influencer:r pct_wom_other:r", f"""
 select count(*) as total_responses,
        sum(case when how_did_you_hear like 'Search Engine%' then 1 else 0 end) * 1.0 / count(*) as pct_search,
-       sum(case when how_did_you_hear like 'Pickleball Effect Podcast%' or how_did_you_hear like 'From an Influencer%'
+       sum(case when how_did_you_hear like 'House Brand Podcast%' or how_did_you_hear like 'From an Influencer%'
                 then 1 else 0 end) * 1.0 / count(*) as pct_podcast_influencer,
        sum(case when how_did_you_hear = 'Friend or Family' or how_did_you_hear like '%other%' then 1 else 0 end)
          * 1.0 / count(*) as pct_wom_other
@@ -606,7 +607,7 @@ def q_survey_kpi(spark, d):
     n = F.count(F.lit(1))
     share = lambda cond: F.try_divide(F.sum(F.when(cond, 1).otherwise(0)) * 1.0, n)
     return s.agg(n.alias("total_responses"), share(h.like("Search Engine%")).alias("pct_search"),
-                 share(h.like("Pickleball Effect Podcast%") | h.like("From an Influencer%")).alias("pct_podcast_influencer"),
+                 share(h.like("House Brand Podcast%") | h.like("From an Influencer%")).alias("pct_podcast_influencer"),
                  share((h == "Friend or Family") | h.like("%other%")).alias("pct_wom_other"))
 
 

@@ -106,7 +106,7 @@ def shop_lines(spark, d):
         (idiv("cast(round(l_extendedprice * 100) as bigint)", "cast(l_quantity as bigint)") / 100.0).alias("price"),
         (idiv("(cast(round(l_extendedprice * 100) as bigint) div cast(l_quantity as bigint)) * cast(l_quantity as bigint)"
               " * cast(round(l_discount * 100) as bigint)", 100) / 100.0).alias("total_discount"),
-        F.when(F.col("p_size") == 1, "Tuning Clamps").when(F.col("p_size") == 2, "Digital Gift Card")
+        F.when(F.col("p_size") == 1, "Partner Product").when(F.col("p_size") == 2, "Digital Gift Card")
          .otherwise(F.col("p_name")).alias("title"),
         F.col("p_type").alias("variant_title"),
         _sku().alias("sku"),
@@ -120,7 +120,7 @@ select concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) as line_it
        (cast(round(l_extendedprice * 100) as bigint) // cast(l_quantity as bigint)) / 100.0 as price,
        ((cast(round(l_extendedprice * 100) as bigint) // cast(l_quantity as bigint)) * cast(l_quantity as bigint)
          * cast(round(l_discount * 100) as bigint) // 100) / 100.0 as total_discount,
-       case when p_size = 1 then 'Tuning Clamps' when p_size = 2 then 'Digital Gift Card' else p_name end as title,
+       case when p_size = 1 then 'Partner Product' when p_size = 2 then 'Digital Gift Card' else p_name end as title,
        p_type as variant_title,
        case when p_size % 10 = 0 then '' else concat_ws('-', p_brand, p_type, cast(p_size % 4 as varchar)) end as sku
 from lineitem join part on l_partkey = p_partkey"""
@@ -608,7 +608,7 @@ _MEMOS = [
     "mobile deposit",
     "Transaction ID: 9K{id}",
 ]
-_ACCOUNT_OF_K4 = ["Bluevine Checking (6606) - 1", "Bluevine Checking (6606) - 1",
+_ACCOUNT_OF_K4 = ["Operating Checking", "Operating Checking",
                   "PayPal balance account", "Operating Savings"]
 _SUMMARY_OF_TYPE = {"purchase": "Shopify Payments", "view": "Affiliate Revenue", "click": "",
                     "signup": "Sponsorship income"}
@@ -1037,7 +1037,7 @@ select cast(event_id as varchar) as run_id,
 from (select *, cast(json_extract_string(props, '$.k') as integer) as k from events) e"""
 
 # survey answers (bench shaping only): conv_id % 7 picks one
-_ANSWERS = ["Search Engine (Google, Bing)", "Social Media (Instagram)", "Pickleball Effect Podcast",
+_ANSWERS = ["Search Engine (Google, Bing)", "Social Media (Instagram)", "House Brand Podcast",
             "From an Influencer", "Friend or Family", "Some other community", "Magazine"]
 
 

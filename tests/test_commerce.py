@@ -15,7 +15,7 @@ def frames(spark):
         (1, "A-1", "Widget", 2, 10.0, 0.0),          # shop cost (also in market table: shop wins)
         (1, "B-1", "Gadget", 1, 30.0, 5.0),          # market cost
         (1, "", "Blank Sku", 1, 10.0, 0.0),          # NO_SKU_Blank_Sku -> fallback 40%
-        (2, "P-1", "Tuning Clamps", 1, 100.0, 0.0),  # partnership: 40% revenue kept, cost 0
+        (2, "P-1", "Partner Product", 1, 100.0, 0.0),  # partnership: 40% revenue kept, cost 0
         (2, "G-1", "Store Gift Card", 1, 50.0, 0.0),  # gift card: cost = net
         (3, "Z-1", "Freebie", 1, 0.0, 0.0),          # order with net revenue 0
     ], LINES)
