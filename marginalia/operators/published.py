@@ -101,3 +101,33 @@ def product_health(products: DataFrame, statuses: DataFrame) -> DataFrame:
 def interest_weekly(interest: DataFrame) -> DataFrame:
     """V-07: weekly interest series as published."""
     return interest.select("week", "keyword", "interest_score", "is_partial")
+
+
+# T-06..T-16: marts that materialise an intermediate model unchanged
+PASS_THROUGH_MARTS = {
+    "fct_finance__affiliate_by_partner": "affiliate_by_partner",
+    "fct_finance__expense_by_vendor": "expense_by_vendor",
+    "fct_finance__expense_detail": "monthly_expenses",
+    "fct_finance__expense_enriched": "expense_enriched",
+    "fct_finance__monthly_pnl": "monthly_pnl",
+    "fct_finance__monthly_revenue": "monthly_revenue",
+    "fct_finance__subscription_analysis": "subscription_analysis",
+    "fct_marketing__channel_summary": "channel_summary",
+    "fct_marketing__enhanced_roas": "enhanced_roas",
+    "fct_marketing__product_profitability": "product_profitability",
+    "fct_marketing__trends": "trends",
+}
+
+
+def materialize(models: dict[str, DataFrame], root: str, *, names: list[str] | None = None) -> list[str]:
+    """Write each pass-through mart as a Parquet table under ``root`` (full refresh).
+
+    Writing the mart once cuts the lineage: readers of the mart no longer
+    recompute the whole ancestry of views, as the source warehouse's views do.
+    """
+    done = []
+    for mart, model in PASS_THROUGH_MARTS.items():
+        if model in models and (names is None or mart in names):
+            models[model].write.mode("overwrite").parquet(f"{root.rstrip('/')}/{mart}")
+            done.append(mart)
+    return done
