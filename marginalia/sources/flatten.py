@@ -609,3 +609,58 @@ def attach_budget(campaigns: DataFrame, budgets: DataFrame) -> DataFrame:
                         micros(F.col("amount_micros")).alias("budget_amount"))
          .dropDuplicates(["campaign_budget"]))
     return campaigns.join(b, "campaign_budget", "left").drop("campaign_budget")
+
+
+def alt_text_changes(products: DataFrame, patterns: DataFrame, aliases: DataFrame | None = None, *,
+                     brand: str = "House Brand", handle_filter: str | None = None,
+                     overwrite: bool = False) -> DataFrame:
+    """I-54: proposed alt text for product images (one row per image to change).
+
+    ``products``: (id, title, handle, images array<struct<id, alt, src, variant_ids>>,
+    variants array<struct<id, title>>); ``patterns``: curated (handle, position, alt),
+    position 0-based; ``aliases``: (alias, handle) mapping handles to a curated one.
+    Images with an alt are kept unless ``overwrite``.  The curated text at the
+    image's position wins, then the first curated text + ' — additional view n',
+    else a generic text from the brand, the title (brand prefix removed) and the
+    first non-default variant label of the image.
+    """
+    p = products
+    if handle_filter:
+        needle = handle_filter.lower()
+        p = p.where(F.lower("handle").contains(needle) | F.lower("title").contains(needle))
+    img = p.select("id", "title", "handle", "variants", F.posexplode("images").alias("idx", "img"))
+    existing = F.trim(F.coalesce(F.col("img.alt"), F.lit("")))
+    if not overwrite:
+        img = img.where(existing == "")
+    labels = F.transform(F.coalesce(F.col("img.variant_ids"), F.array().cast("array<bigint>")),
+                         lambda vid: F.try_element_at(F.filter(F.col("variants"), lambda v: v["id"] == vid),
+                                                      F.lit(-1))["title"])
+    label = F.coalesce(F.try_element_at(F.filter(labels, lambda l: l.isNotNull() & (l != "")
+                                                 & (F.lower(l) != "default title")), F.lit(1)), F.lit(""))
+    rows = img.select(F.col("id").alias("product_id"), F.col("handle").alias("product_handle"),
+                      F.col("title").alias("product_title"), F.col("img.id").alias("image_id"),
+                      (F.col("idx") + 1).alias("image_position"),
+                      F.coalesce(F.col("img.src"), F.lit("")).alias("image_src"), existing.alias("current_alt"),
+                      "idx", label.alias("variant_label"))
+    key = F.col("product_handle")
+    if aliases is not None:
+        rows = rows.join(aliases.select(F.col("alias").alias("product_handle"), F.col("handle").alias("_canon")),
+                         "product_handle", "left")
+        key = F.coalesce(F.col("_canon"), F.col("product_handle"))
+    rows = rows.withColumn("_key", key)
+    pats = patterns.groupBy(F.col("handle").alias("_key")).agg(
+        F.array_sort(F.collect_list(F.struct("position", "alt"))).alias("_pats"))
+    j = rows.join(pats, "_key", "left")
+    n = F.coalesce(F.size("_pats"), F.lit(0))
+    base = F.trim(F.replace(F.col("product_title"), F.lit("|"), F.lit("—")))
+    for prefix in (f"{brand} Shop ", f"{brand} "):
+        base = F.when(base.startswith(prefix), F.trim(F.substring(base, len(prefix) + 1, 1 << 20))).otherwise(base)
+    pos = (F.col("idx") + 1).cast("string")
+    generic = F.when(F.col("variant_label") != "",
+                     F.concat(F.lit(f"{brand} "), base, F.lit(" — "), F.col("variant_label"), F.lit(" — image "), pos)) \
+        .otherwise(F.concat(F.lit(f"{brand} "), base, F.lit(" — image "), pos))
+    alt = (F.when(n > F.col("idx"), F.element_at("_pats", F.col("idx") + 1)["alt"])
+           .when(n > 0, F.concat(F.element_at("_pats", 1)["alt"], F.lit(" — additional view "), pos))
+           .otherwise(generic))
+    return j.select("product_id", "product_handle", "product_title", "image_id", "image_position", "image_src",
+                    "current_alt", alt.alias("proposed_alt"))

@@ -223,3 +223,19 @@ def test_ads_resources(spark):
     budgets = spark.createDataFrame([("b/1", 5_000_000)], "resource_name string, amount_micros long")
     got = {r.campaign_id: r.budget_amount for r in fl.attach_budget(camps, budgets).collect()}
     assert got == {1: 5.0, 2: None}
+
+
+def test_alt_text_changes(spark):
+    schema = ("id long, title string, handle string, images array<struct<id:long,alt:string,src:string,"
+              "variant_ids:array<bigint>>>, variants array<struct<id:long,title:string>>")
+    prods = spark.createDataFrame([
+        (1, "House Brand Paddle | Pro", "paddle", [(10, "", "a.jpg", [7, 8]), (11, "kept", "b.jpg", None)],
+         [(7, "Default Title"), (8, "Blue")]),
+        (2, "Ball", "ball-old", [(20, None, "c.jpg", None), (21, " ", "d.jpg", None), (22, None, "e.jpg", None)], [])],
+        schema)
+    pats = spark.createDataFrame([("ball", 0, "Ball front"), ("ball", 1, "Ball side")], "handle string, position int, alt string")
+    al = spark.createDataFrame([("ball-old", "ball")], "alias string, handle string")
+    got = {r.image_id: r.proposed_alt for r in fl.alt_text_changes(prods, pats, al).collect()}
+    assert got == {10: "House Brand Paddle — Pro — Blue — image 1", 20: "Ball front", 21: "Ball side",
+                   22: "Ball front — additional view 3"}
+    assert fl.alt_text_changes(prods, pats, al, overwrite=True).count() == 5
