@@ -664,3 +664,76 @@ def alt_text_changes(products: DataFrame, patterns: DataFrame, aliases: DataFram
            .otherwise(generic))
     return j.select("product_id", "product_handle", "product_title", "image_id", "image_position", "image_src",
                     "current_alt", alt.alias("proposed_alt"))
+
+
+def _ads_spec(spec: str) -> dict:
+    """'out=path[:transform] ...' -> ADS_SPECS entry."""
+    out = {}
+    for tok in spec.split():
+        name, rest = tok.split("=", 1)
+        path, _, tr = rest.partition(":")
+        out[name] = (path, tr or None)
+    return out
+
+
+_CAMPAIGN = "campaign_id=campaign.id campaign_name=campaign.name"
+_METRICS = ("impressions=metrics.impressions clicks=metrics.clicks spend=metrics.cost_micros:micros "
+            "conversions=metrics.conversions conversion_value=metrics.conversions_value")
+ADS_SPECS.update({k: _ads_spec(v) for k, v in {
+    # the bid is landed in micros and staged in units (the source column keeps a 'micros' name, R-12)
+    "ad_groups": "ad_group_id=ad_group.id ad_group_name=ad_group.name " + _CAMPAIGN +
+                 " ad_group_type=ad_group.type status=ad_group.status cpc_bid=ad_group.cpc_bid_micros:micros",
+    "bidding_strategy": "bidding_strategy_id=bidding_strategy.id bidding_strategy_name=bidding_strategy.name "
+                        "bidding_strategy_type=bidding_strategy.type "
+                        "target_cpa_micros=bidding_strategy.target_cpa.target_cpa_micros:zero "
+                        "target_roas=bidding_strategy.target_roas.target_roas:zero "
+                        "maximize_conversions_target_cpa_micros="
+                        "bidding_strategy.maximize_conversions.target_cpa_micros:zero",
+    "conversion_action": "conversion_action_id=conversion_action.id conversion_action_name=conversion_action.name "
+                         "status=conversion_action.status conversion_type=conversion_action.type "
+                         "default_value=conversion_action.value_settings.default_value:zero "
+                         "always_use_default_value=conversion_action.value_settings.always_use_default_value "
+                         "counting_type=conversion_action.counting_type "
+                         "include_in_conversions_metric=conversion_action.include_in_conversions_metric",
+    "asset_group": "asset_group_id=asset_group.id asset_group_name=asset_group.name status=asset_group.status "
+                   "final_urls=asset_group.final_urls " + _CAMPAIGN,
+    "asset_group_asset": "asset_resource_name=asset_group_asset.asset field_type=asset_group_asset.field_type "
+                         "status=asset_group_asset.status asset_group_id=asset_group.id "
+                         "asset_group_name=asset_group.name " + _CAMPAIGN,
+    "campaign_asset_set": "campaign_resource_name=campaign_asset_set.campaign "
+                          "asset_set_resource_name=campaign_asset_set.asset_set status=campaign_asset_set.status "
+                          "asset_set_id=asset_set.id asset_set_name=asset_set.name asset_set_type=asset_set.type "
+                          + _CAMPAIGN,
+    "geographic_view": "date_start=segments.date location_type=geographic_view.location_type "
+                       "country_criterion_id=geographic_view.country_criterion_id " + _CAMPAIGN + " " + _METRICS,
+    "campaign_audience_view": "resource_name=campaign_audience_view.resource_name " + _CAMPAIGN + " " + _METRICS,
+    "auction_insights": "date_start=segments.date " + _CAMPAIGN + " domain=segments.auction_insight_domain "
+                        "impression_share=metrics.auction_insight_search_impression_share:zero "
+                        "overlap_rate=metrics.auction_insight_search_overlap_rate:zero "
+                        "position_above_rate=metrics.auction_insight_search_position_above_rate:zero "
+                        "top_of_page_rate=metrics.auction_insight_search_top_impression_percentage:zero "
+                        "outranking_share=metrics.auction_insight_search_outranking_share:zero",
+    "ad_schedule_view": "date_start=segments.date " + _CAMPAIGN + " criterion_id=campaign_criterion.criterion_id "
+                        "day_of_week=campaign_criterion.ad_schedule.day_of_week "
+                        "start_hour=campaign_criterion.ad_schedule.start_hour "
+                        "end_hour=campaign_criterion.ad_schedule.end_hour "
+                        "start_minute=campaign_criterion.ad_schedule.start_minute "
+                        "end_minute=campaign_criterion.ad_schedule.end_minute impressions=metrics.impressions "
+                        "clicks=metrics.clicks cost=metrics.cost_micros:micros conversions=metrics.conversions "
+                        "conversions_value=metrics.conversions_value",
+    "campaign_negative_keywords": "criterion_id=campaign_criterion.criterion_id "
+                                  "keyword_text=campaign_criterion.keyword.text "
+                                  "match_type=campaign_criterion.keyword.match_type "
+                                  "status=campaign_criterion.status " + _CAMPAIGN,
+    "ad_group_negative_keywords": "criterion_id=ad_group_criterion.criterion_id "
+                                  "keyword_text=ad_group_criterion.keyword.text "
+                                  "match_type=ad_group_criterion.keyword.match_type status=ad_group_criterion.status "
+                                  "ad_group_id=ad_group.id ad_group_name=ad_group.name " + _CAMPAIGN,
+    "pmax_insights": "date_start=segments.date " + _CAMPAIGN + " " + _METRICS,
+}.items()})
+
+
+def flatten_auction_insights(df: DataFrame) -> DataFrame:
+    """I-56 + I-25: auction insight rows; rows without a competitor domain are dropped (merge key)."""
+    out = flatten_ads("auction_insights", df)
+    return out.where(F.col("domain").isNotNull() & (F.trim(F.col("domain")) != ""))

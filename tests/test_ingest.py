@@ -239,3 +239,15 @@ def test_alt_text_changes(spark):
     assert got == {10: "House Brand Paddle — Pro — Blue — image 1", 20: "Ball front", 21: "Ball side",
                    22: "Ball front — additional view 3"}
     assert fl.alt_text_changes(prods, pats, al, overwrite=True).count() == 5
+
+
+def test_all_ads_resources_have_specs(spark):
+    assert len(fl.ADS_SPECS) == 18
+    schema = ("segments struct<date:string,auction_insight_domain:string>, campaign struct<id:long,name:string>, "
+              "metrics struct<auction_insight_search_impression_share:double,auction_insight_search_overlap_rate:double,"
+              "auction_insight_search_position_above_rate:double,"
+              "auction_insight_search_top_impression_percentage:double,auction_insight_search_outranking_share:double>")
+    df = spark.createDataFrame([(("2024-01-01", "rival.com"), (1, "c"), (0.5, 0.0, 0.1, 0.2, 0.3)),
+                                (("2024-01-01", ""), (1, "c"), (0.5, 0.0, 0.1, 0.2, 0.3))], schema)
+    rows = fl.flatten_auction_insights(df).collect()
+    assert len(rows) == 1 and rows[0].impression_share == 0.5 and rows[0].overlap_rate is None
