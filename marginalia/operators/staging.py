@@ -381,3 +381,19 @@ def stage_optional(spark, table_name: str, name: str) -> DataFrame:
     if spark.catalog.tableExists(table_name):
         return stage(spark.table(table_name), name)
     return spark.createDataFrame([], OPTIONAL_DDL[name])
+
+
+SPECS["google_ads__campaign_asset_set"] = dict(cols=projection(
+    "campaign_resource_name asset_set_resource_name status asset_set_id:bigint asset_set_name asset_set_type "
+    "campaign_id:bigint campaign_name"))
+SPECS["google_ads__campaign_audience_view"] = dict(cols=projection(
+    "resource_name campaign_id:bigint campaign_name impressions:bigint clicks:bigint spend:double conversions:double "
+    "conversion_value:double"))
+OPTIONAL_DDL.update({
+    "google_ads__campaign_asset_set": ("campaign_resource_name string, asset_set_resource_name string, status string, "
+                                       "asset_set_id bigint, asset_set_name string, asset_set_type string, "
+                                       "campaign_id bigint, campaign_name string"),
+    "google_ads__campaign_audience_view": ("resource_name string, campaign_id bigint, campaign_name string, "
+                                           "impressions bigint, clicks bigint, spend double, conversions double, "
+                                           "conversion_value double"),
+})
