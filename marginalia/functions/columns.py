@@ -29,7 +29,7 @@ def safe_div(num, den) -> Column:
 
 
 def zero_as_null(x) -> Column:
-    """Sentinel 0 -> NULL (quality score 0, impression share 0, ...)."""
+    """I-24: sentinel 0 -> NULL (quality score 0, impression share 0, ...)."""
     x = c(x)
     return F.when(x != 0, x)
 
@@ -115,7 +115,7 @@ def gid_to_long(x) -> Column:
 
 
 def micros(x, zero_null: bool = False) -> Column:
-    """Money micros -> units; optionally 0 -> NULL first."""
+    """I-23: money micros -> units; optionally 0 -> NULL first."""
     x = c(x)
     if zero_null:
         x = zero_as_null(x)

@@ -46,7 +46,7 @@ ALIASES = {
 
 
 def publish(models: dict[str, DataFrame]) -> list[str]:
-    """Register every available model under its published alias; returns the names registered."""
+    """V-08..V-30: register every available model under its published alias; returns the names."""
     done = []
     for alias, model in ALIASES.items():
         if model in models:
@@ -120,7 +120,7 @@ PASS_THROUGH_MARTS = {
 
 
 def materialize(models: dict[str, DataFrame], root: str, *, names: list[str] | None = None) -> list[str]:
-    """Write each pass-through mart as a Parquet table under ``root`` (full refresh).
+    """T-06..T-16: write each pass-through mart as a Parquet table under ``root`` (full refresh).
 
     Writing the mart once cuts the lineage: readers of the mart no longer
     recompute the whole ancestry of views, as the source warehouse's views do.

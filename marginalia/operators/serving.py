@@ -56,8 +56,12 @@ def prior_same_length(col: str, start: str, end: str) -> Column:
 
 def period_compare(df: DataFrame, measures: list[tuple[str, str, Column | str, Column | None]],
                    where: Column | None = None) -> DataFrame:
-    """One-row KPI table; ``measures`` = (name, kind, value, condition) with kind in
-    sum (else 0) | avg (no else) | count_distinct | ratio_of_sums is not needed here."""
+    """One-row KPI table in one aggregation.
+
+    ``measures`` = (name, kind, value, condition); kind is ``sum`` (0 outside the
+    condition), ``avg`` (NULL outside) or ``count_distinct`` (of the value where
+    the condition holds).
+    """
     base = df.where(where) if where is not None else df
     aggs = []
     for name, kind, value, cond in measures:
@@ -135,5 +139,6 @@ def semi_top_n(df: DataFrame, ranked: DataFrame, key: str, order: list[Column],
 
 
 def extract(df: DataFrame, columns: list, order: list[Column] | None = None) -> DataFrame:
+    """X-01..X-15: extract queries: a mart's columns, optionally ordered for the consumer."""
     out = df.select(*columns)
     return out.orderBy(*order) if order else out

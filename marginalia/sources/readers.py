@@ -74,6 +74,7 @@ def snake_columns(df: DataFrame) -> DataFrame:
 # --- sinks (I-55) --------------------------------------------------------------
 
 def write_table(df: DataFrame, path: str, *, mode: str = "overwrite", partition_by: list[str] | None = None) -> None:
+    """I-55: table sink (Parquet; overwrite for marts, append for logs)."""
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -81,8 +82,10 @@ def write_table(df: DataFrame, path: str, *, mode: str = "overwrite", partition_
 
 
 def create_view(df: DataFrame, name: str) -> None:
+    """I-55: view sink."""
     df.createOrReplaceTempView(name)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
+    """I-55: CSV sink (change sets for review)."""
     df.write.mode("overwrite").option("header", True).csv(path)

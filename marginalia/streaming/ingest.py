@@ -66,7 +66,7 @@ def merge_batch_fn(target: str, keys: list[str], order_cols: list[str] | None =
 def ingest_stream(spark: SparkSession, source_dir: str, schema: StructType | str, target: str, keys: list[str],
                   checkpoint: str, *, order_cols: list[str] | None = None, fmt: str = "json",
                   max_files_per_trigger: int | None = None) -> None:
-    """Process every landed file not seen before, merging each micro-batch into ``target``."""
+    """I-08: process every landed file not seen before, merging each micro-batch into ``target``."""
     reader = spark.readStream.schema(schema).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
