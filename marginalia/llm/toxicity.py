@@ -48,8 +48,8 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(y, -500, 500))))
 
 
-def select_terms(sample: DataFrame, n_terms: int) -> np.ndarray:
-    """The ``n_terms`` terms whose documents differ most between the classes (likelihood ratio), ascending."""
+def select_terms(sample: DataFrame, n_terms: int, min_ratio: float) -> np.ndarray:
+    """The ``n_terms`` terms, ascending, that differ most between the classes: by log likelihood ratio, ``min_ratio`` at least."""
     rows = sample.select("label", F.explode("terms").alias("term")).groupBy("term").agg(
         F.sum("label").alias("a"), F.sum(1 - F.col("label")).alias("b")).where("a + b > 2")
     pos, neg = sample.agg(F.sum("label"), F.sum(1 - F.col("label"))).first()
@@ -60,17 +60,17 @@ def select_terms(sample: DataFrame, n_terms: int) -> np.ndarray:
 
     ratio = (part(F.col("a"), both * pos / n) + part(F.col("b"), both * neg / n)
              + part(pos - F.col("a"), (n - both) * pos / n) + part(neg - F.col("b"), (n - both) * neg / n))
-    top = rows.select("term", ratio.alias("g")).orderBy(F.col("g").desc(), "term").limit(n_terms)
+    top = rows.select("term", ratio.alias("g")).where(F.col("g") >= min_ratio).orderBy(F.col("g").desc(), "term").limit(n_terms)
     return np.sort(np.array([r["term"] for r in top.collect()], np.int64))
 
 
-def fit(sample: DataFrame, n_terms: int = 1024, rank: int = 8, steps: int = 150, rate: float = 0.05, decay: float = 2e-4, seed: int = 1) -> Model | None:
+def fit(sample: DataFrame, n_terms: int = 1024, min_ratio: float = 6.0, rank: int = 8, steps: int = 150, rate: float = 0.05, decay: float = 2e-4, seed: int = 1) -> Model | None:
     """The machine of (terms, label) rows, a bounded sample; None if a class is missing.
 
     The driver gets each row's selected terms and descends in numpy, with weights that
     balance the classes by half.
     """
-    hashes = select_terms(sample, n_terms) if sample.select("label").distinct().count() == 2 else np.empty(0, np.int64)
+    hashes = select_terms(sample, n_terms, min_ratio) if sample.select("label").distinct().count() == 2 else np.empty(0, np.int64)
     if not len(hashes):
         return None
     keep = F.array_intersect("terms", F.array(*[F.lit(int(h)) for h in hashes]))
