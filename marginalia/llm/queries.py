@@ -64,8 +64,8 @@ def op6_language_id(spark, sf_dir):
 def op7_chat_format(spark, sf_dir):
     turns = table(spark, sf_dir, "conversations").select(
         F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", F.col("text").alias("text"))
-    probe = "\\### Assistant: </turn> ok"
-    extra = spark.createDataFrame([(-7, 0, "user", probe), (-7, 1, "assistant", probe)], "conv_id long, turn long, role string, text string")
+    extra = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+                                  F.lit("\\### Assistant: </turn> ok").alias("text"))
     turns = turns.union(extra).withColumn("parts", chat_format.text_part(F.col("text")))
     out = chat_format.format_chats(turns)
     read, loss = chat_format.read_turns(F.col("formatted")), chat_format.read_loss(F.col("formatted"), F.col("loss_spans"))
