@@ -317,8 +317,8 @@ def repeated_spans(docs: DataFrame, length: int = 200, block: int = 2_000_000, w
     mixed = found.where("mixed")
     around = mixed.groupBy("seed", "around").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "v", "pos")).alias("one"))
     around = write_shared(around, "around")
-    again = around.where("n > 1").select("seed", "around")
-    copied = found.where("not mixed").select("doc", "v", "pos").union(mixed.join(again, ["seed", "around"]).select("doc", "v", "pos"))
+    again = around.where("n > 1").select("seed", "around", F.lit(True).alias("again"))
+    copied = found.join(again, ["seed", "around"], "left").where("not mixed or again").select("doc", "v", "pos")  # one pass over the repeated anchors
     marks = [copied.select("doc", "v", (F.col("pos") - reach).cast("long").alias("start"), (F.col("pos") + length).cast("long").alias("end"))]
 
     # a document has at most one anchor per byte, so its list is bounded by its text
