@@ -123,11 +123,12 @@ def micros(x, zero_null: bool = False) -> Column:
 
 
 def utm_param(url, name: str) -> Column:
-    """First value of ``utm_<name>`` in a landing URL, plus- and percent-decoded.
+    """First non-blank value of ``utm_<name>`` in the query of a landing URL, plus- and percent-decoded.
 
     Blank values count as absent; an undecodable value keeps its raw text.
     """
-    raw = blank_as_null(F.regexp_extract(c(url), rf"[?&]utm_{name}=([^&#]*)", 1))
+    query = F.regexp_replace(c(url), "#.*$", "")
+    raw = blank_as_null(F.regexp_extract(query, rf"[?&]utm_{name}=([^&]+)", 1))
     plus = F.regexp_replace(raw, r"\+", " ")
     return F.coalesce(F.try_url_decode(plus), plus)
 
@@ -135,7 +136,7 @@ def utm_param(url, name: str) -> Column:
 def domain_label(prop) -> Column:
     """'sc-domain:example.com' -> example.com; a URL property -> its host."""
     p = c(prop)
-    return F.when(p.startswith("sc-domain:"), F.substring(p, 11, 10_000)) \
+    return F.when(p.startswith("sc-domain:"), F.substr(p, F.lit(11))) \
         .otherwise(F.coalesce(F.try_parse_url(p, F.lit("HOST")), p))
 
 

@@ -157,7 +157,7 @@ def monthly_expenses(lines: DataFrame, accounts: DataFrame, supplement: DataFram
 
     A NULL sub-type gives a NULL owner flag, as ``in (...)`` does in SQL.
     """
-    a = F.broadcast(accounts.select("account_id", "name", "account_type", "account_sub_type", "classification"))
+    a = accounts.select("account_id", "name", "account_type", "account_sub_type", "classification")
     j = lines.join(a, "account_id", "left")
     cat = F.coalesce(F.col("name"), F.col("account_name"))
     sub = F.col("account_sub_type")

@@ -52,8 +52,8 @@ SPECS: dict[str, dict] = {
         dedup=("latest", ["sku", "asin"], "_loaded_at")),
     "amazon__fba_shipments": dict(
         cols=[("shipment_id", None, "string"), ("shipment_item_id", None, "string"),
-              ("amazon_order_id", None, "string"), ("sku", None, "string"), ("quantity", None, "bigint"),
-              ("shipment_date", None, "timestamp"), ("reporting_date", None, "timestamp"),
+              ("amazon_order_id", None, "string"), ("sku", None, "string"), ("quantity_shipped", None, "bigint"),
+              ("shipment_date", None, "timestamp"), ("estimated_arrival_date", None, "timestamp"),
               ("_loaded_at", None, None)],
         dedup=("latest", ["amazon_order_id", "sku", "shipment_id", "shipment_item_id"], "_loaded_at")),
     "google_ads__pmax_insights": dict(
@@ -155,8 +155,8 @@ SPECS: dict[str, dict] = {
         cols=[("campaign_id", "id", "string"), ("campaign_name", "name", "string"), ("status", None, "string"),
               ("send_time", None, "timestamp"), ("created_at", None, "timestamp")]),
     "klaviyo__campaign_metrics": dict(
-        cols=[("campaign_id", None, "string"), ("recipients", None, "bigint"), ("delivered", None, "bigint"),
-              ("opens", None, "bigint"), ("clicks", None, "bigint"), ("unsubscribes", None, "bigint"),
+        cols=[("campaign_id", None, "string"), ("recipients", None, "double"), ("delivered", None, "double"),
+              ("opens", None, "double"), ("clicks", None, "double"), ("unsubscribes", None, "double"),
               ("conversions", None, "double"), ("revenue", None, "double"), ("ingested_at", None, "timestamp")]),
     "youtube__videos": dict(
         cols=[("video_id", None, "string"), ("title", None, "string"),

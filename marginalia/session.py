@@ -33,10 +33,17 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app_name: str = "marginalia", extra: dict | None = None) -> SparkSession:
     """Return a session; build a local one when none exists."""
     cpus = os.environ.get("BENCH_CPUS", "8")
+    active = SparkSession.getActiveSession()
+    if active is not None and not (master or shuffle_partitions or extra):
+        checkpoint_dir(active)
+        return active
     builder = SparkSession.builder.appName(app_name)
-    builder = builder.master(master or f"local[{cpus}]")
     conf = dict(_DEFAULTS)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or int(cpus))
+    local = master or "PYSPARK_GATEWAY_PORT" not in os.environ
+    if local:  # under spark-submit the cluster's master and partitions stand
+        builder = builder.master(master or f"local[{cpus}]")
+    if shuffle_partitions or local:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or int(cpus))
     conf["spark.driver.memory"] = os.environ.get("SPARK_DRIVER_MEMORY", "16g")
     conf.update(extra or {})
     for k, v in conf.items():
@@ -57,6 +64,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     conf = spark.sparkContext.getConf()
     path = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        path = spark.sparkContext.getCheckpointDir()
+    if not path:
+        if not (spark.sparkContext.master + "[").startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="marginalia-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         try:
             spark.conf.set("spark.checkpoint.dir", path)

@@ -164,10 +164,13 @@ def creative_text(df: DataFrame) -> DataFrame:
 
 
 def to_utc(col) -> Column:
-    """I-21: ISO timestamp with offset ('2025-06-23T09:19:47-0600') -> UTC timestamp; bad -> NULL."""
+    """I-21: ISO timestamp with offset ('2025-06-23T09:19:47-0600') -> UTC timestamp; bad -> NULL.
+
+    Fractions of a second and plain dates (midnight) are read too.
+    """
     x = c(col)
-    return F.coalesce(F.try_to_timestamp(x, F.lit("yyyy-MM-dd'T'HH:mm:ssZ")),
-                      F.try_to_timestamp(x, F.lit("yyyy-MM-dd'T'HH:mm:ssXXX")))
+    colon = F.regexp_replace(x, r"([+-]\d{2})(\d{2})$", "$1:$2")
+    return F.when(x.rlike(r"^\d{4}-\d{2}-\d{2}($|[T ])"), F.try_to_timestamp(colon))
 
 
 def attach_ad(creatives: DataFrame, ads: DataFrame) -> DataFrame:
@@ -285,8 +288,8 @@ def flatten_payments(df: DataFrame) -> DataFrame:
                                        F.col(f"{payer}.payer_name.surname"))), F.lit(""))
     return df.select(F.col(f"{info}.transaction_id").alias("transaction_id"),
                      F.col(f"{info}.transaction_initiation_date").alias("transaction_initiation_date"),
-                     try_double(F.col(f"{info}.transaction_amount.value")).alias("transaction_amount"),
-                     try_double(F.col(f"{info}.fee_amount.value")).alias("fee_amount"),
+                     F.coalesce(try_double(F.col(f"{info}.transaction_amount.value")), F.lit(0.0)).alias("transaction_amount"),
+                     F.coalesce(try_double(F.col(f"{info}.fee_amount.value")), F.lit(0.0)).alias("fee_amount"),
                      decoded.alias("transaction_status"), F.col(f"{info}.transaction_subject").alias("transaction_subject"),
                      F.col(f"{payer}.email_address").alias("payer_email"), name.alias("payer_name"),
                      first["item_name"].alias("item_name"), F.size(items).alias("item_count"))
@@ -294,7 +297,8 @@ def flatten_payments(df: DataFrame) -> DataFrame:
 
 def deposit_summary(df: DataFrame) -> DataFrame:
     """I-44: deposit source summary: positive lines; entity name, else memo, else account, else 'unknown'."""
-    lines = F.filter(F.coalesce(F.col("Line"), F.array()), lambda l: l["Amount"] > 0)
+    every = F.coalesce(F.col("Line"), F.array())
+    lines = F.filter(every, lambda l: l["Amount"] > 0)
     b = blank_as_null
     label = F.transform(lines, lambda l: F.coalesce(
         b(l["DepositLineDetail"]["Entity"]["name"]), b(l["Description"]),
@@ -303,11 +307,11 @@ def deposit_summary(df: DataFrame) -> DataFrame:
                      F.col("TotalAmt").alias("total_amount"),
                      F.col("DepositToAccountRef.name").alias("deposit_to_account_name"),
                      F.array_join(label, ", ").alias("source_summary"), F.col("PrivateNote").alias("memo"),
-                     F.size(lines).alias("line_count"))
+                     F.size(every).alias("line_count"))
 
 
-def purchase_summary(df: DataFrame, n: int = 5) -> DataFrame:
-    """I-45: first ``n`` non-empty line descriptions (else the line's account), '; ' joined."""
+def purchase_summary(df: DataFrame, n: int | None = None) -> DataFrame:
+    """I-45: non-empty line descriptions (else the line's account), '; ' joined; the first ``n`` of them if given."""
     b = blank_as_null
     texts = F.transform(F.coalesce(F.col("Line"), F.array()), lambda l: F.coalesce(
         b(l["Description"]), b(l["AccountBasedExpenseLineDetail"]["AccountRef"]["name"])))
@@ -315,7 +319,7 @@ def purchase_summary(df: DataFrame, n: int = 5) -> DataFrame:
     return df.select(F.col("Id").alias("purchase_id"), F.col("TxnDate").cast("date").alias("txn_date"),
                      F.col("TotalAmt").alias("total_amount"), F.col("EntityRef.name").alias("vendor_name"),
                      F.size(F.coalesce(F.col("Line"), F.array())).alias("line_count"),
-                     F.array_join(F.slice(kept, 1, n), "; ").alias("line_summary"))
+                     F.array_join(kept if n is None else F.slice(kept, 1, n), "; ").alias("line_summary"))
 
 
 def sales_receipt_subtotal(df: DataFrame) -> DataFrame:
@@ -337,8 +341,8 @@ def flatten_invoice_lines(df: DataFrame) -> DataFrame:
                      F.col("l.Description").alias("description"))
 
 
-def top_n_per_period(df: DataFrame, period: str, order_col: str, n: int = 200) -> DataFrame:
-    """I-49: the source API returns at most ``n`` ranked rows per window; the same cap as a filter.
+def top_n_per_period(df: DataFrame, period: str, order_col: str, n: int) -> DataFrame:
+    """I-49: the source API returns at most ``n`` ranked rows per window; the same cap as a filter, never by default.
 
     (This is the feature itself, a ranking cap, not a sampling shortcut.)
     """
@@ -364,13 +368,15 @@ def tag_links(df: DataFrame, text: str, domains: list[str], params: str) -> Data
     is returned.  Done with regexp functions: the domain test strips a leading
     'www.' and accepts sub-domains.
     """
-    url_re = r"https?://[^\s)\]>\"']+"
+    part = r"[^\s)\]>\"']"
     dom = "|".join(d.replace(".", r"\.") for d in domains)
-    tracked = rf"^https?://(?:www\.)?(?:[^/\s]+\.)?(?:{dom})(?:[/?#:]|$)"
-    urls = F.regexp_extract_all(F.col(text), F.lit(url_re), 0)
-    todo = F.filter(urls, lambda u: u.rlike(tracked) & ~u.contains("utm_source="))
-    new = F.aggregate(todo, F.col(text), lambda acc, u: F.replace(acc, u, F.concat(
-        u, F.when(u.contains("?"), F.lit("&")).otherwise(F.lit("?")), F.lit(params))))
+    host = rf"(?:www\.)?(?:[^/?#:\s)\]>\"']+\.)?(?:{dom})(?=[/?#:\s)\]>\"']|$)"
+    link = rf"https?://(?!{part}*utm_source=)%s{host}{part}*"
+    put = params.replace("\\", "\\\\").replace("$", "\\$")
+    # each link is matched whole and once: with a query first, then without
+    new = F.regexp_replace(F.col(text), "(" + link % rf"(?={part}*\?)" + ")", "$1&" + put)
+    new = F.regexp_replace(new, "(" + link % rf"(?!{part}*\?)" + ")", "$1?" + put)
+    todo = F.regexp_extract_all(F.col(text), F.lit(link % ""), 0)
     return df.select("*", new.alias(f"{text}_tagged"), F.size(F.array_distinct(todo)).alias("links_tagged"))
 
 
@@ -504,7 +510,7 @@ def flatten_social(resource: str, df: DataFrame) -> DataFrame:
         return df.select(F.col("id").alias("adset_id"), F.col("name").alias("adset_name"), "campaign_id", "status",
                          try_double(F.col("daily_budget")).alias("daily_budget"),
                          try_double(F.col("lifetime_budget")).alias("lifetime_budget"),
-                         F.when(F.col("targeting").isNotNull(), F.substring(F.coalesce(F.to_json(geo), F.lit("")), 1, 1000))
+                         F.when(F.col("targeting").isNotNull(), F.coalesce(F.to_json(geo), F.lit("")))
                          .alias("targeting_summary"), "optimization_goal", "billing_event",
                          t("created_time").alias("created_time"), t("updated_time").alias("updated_time"))
     if resource == "ads":

@@ -18,19 +18,18 @@ def merge_upsert(target: DataFrame, batch: DataFrame, keys: list[str], *,
     """I-05: newest row per key across the stored table and an incoming batch.
 
     Rows of ``batch`` win over ``target``; inside one side, the larger
-    ``order_cols`` (e.g. ``_loaded_at``) wins, and a hash of the whole row
-    breaks exact ties, so the result does not depend on file order.
+    ``order_cols`` (e.g. ``_loaded_at``) wins, and the columns themselves
+    break exact ties, so the result does not depend on file order.  The result
+    has the columns of both sides; a side that lacks one has NULL there.
     Merging the same batch twice gives the same table (idempotent).
     """
-    cols = target.columns
-    batch = batch.select(*cols)
+    cols = target.columns + [c for c in batch.columns if c not in target.columns]
     order_cols = order_cols or []
     t = target.withColumn("_side", F.lit(0))
     b = batch.withColumn("_side", F.lit(1))
-    u = t.unionByName(b)
-    rank = F.struct(F.col("_side"), *[F.col(c) for c in order_cols],
-                    F.xxhash64(*[F.col(c) for c in cols]).alias("_fp"))
+    u = t.unionByName(b, allowMissingColumns=True)
     payload = F.struct(*[F.col(c) for c in cols])
+    rank = F.struct(F.col("_side"), *[F.col(c) for c in order_cols], payload.alias("_all"))
     g = u.groupBy(*keys).agg(F.max_by(payload, rank).alias("_row"))
     return g.select(*[F.col(f"_row.{c}").alias(c) for c in cols])
 

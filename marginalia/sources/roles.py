@@ -916,10 +916,9 @@ from (select conv_id, count(*) as turns from conversations group by conv_id) g""
 
 
 def email_metrics(spark, d):
-    """Email campaign metrics <- conversation turns (odd conversation ids only)."""
+    """Email campaign metrics <- conversation turns."""
     c = table(spark, d, "conversations")
     g = c.groupBy("conv_id").agg(F.count(F.lit(1)).alias("turns"), F.sum(F.length("text")).alias("chars"))
-    g = g.where(F.col("conv_id") % 2 == 1)
     rec = F.col("turns") * 100
     return g.select(F.col("conv_id").cast("string").alias("campaign_id"), rec.alias("recipients"),
                     (rec - F.col("conv_id") % 7).alias("delivered"), (F.col("turns") * 30).alias("opens"),
@@ -933,8 +932,7 @@ SQL_EMAIL_METRICS = """
 select cast(conv_id as varchar) as campaign_id, turns * 100 as recipients, turns * 100 - conv_id % 7 as delivered,
        turns * 30 as opens, turns * 4 as clicks, conv_id % 3 as unsubscribes, cast(turns as double) as conversions,
        chars / 100.0 as revenue, timestamp '2024-02-01 00:00:00' as ingested_at
-from (select conv_id, count(*) as turns, sum(length(text)) as chars from conversations group by conv_id) g
-where conv_id % 2 = 1"""
+from (select conv_id, count(*) as turns, sum(length(text)) as chars from conversations group by conv_id) g"""
 
 
 def email_timeline(spark, d):

@@ -251,3 +251,33 @@ def test_all_ads_resources_have_specs(spark):
                                 (("2024-01-01", ""), (1, "c"), (0.5, 0.0, 0.1, 0.2, 0.3))], schema)
     rows = fl.flatten_auction_insights(df).collect()
     assert len(rows) == 1 and rows[0].impression_share == 0.5 and rows[0].overlap_rate is None
+
+
+def test_tag_links_repeated_and_nested(spark):
+    text = "https://ex.com https://ex.com/page and https://ex.com (https://www.ex.com/a?b=1#c) https://other.com https://ex.com?utm_source=z"
+    r = fl.tag_links(spark.createDataFrame([(text,), (None,)], "d string"), "d", ["ex.com"], "utm_source=yt").collect()
+    assert r[0].d_tagged == ("https://ex.com?utm_source=yt https://ex.com/page?utm_source=yt and https://ex.com?utm_source=yt "
+                             "(https://www.ex.com/a?b=1#c&utm_source=yt) https://other.com https://ex.com?utm_source=z")
+    assert r[0].links_tagged == 3 and r[1].d_tagged is None
+
+
+def test_merge_upsert_takes_new_columns_and_lacks_old_ones(spark):
+    from marginalia.sources.merge import merge_upsert
+    old = spark.createDataFrame([(1, "a", 5), (2, "b", 6)], "id long, x string, y int")
+    new = spark.createDataFrame([(2, "c", True), (3, "d", False)], "id long, x string, z boolean")
+    got = sorted(tuple(r) for r in merge_upsert(old, new, ["id"]).collect())
+    assert got == [(1, "a", 5, None), (2, "c", None, True), (3, "d", None, False)]
+
+
+def test_to_utc_fractions_dates_and_rubbish(spark):
+    vals = ["2025-06-23T09:19:47-0600", "2025-06-23T09:19:47.250-06:00", "2025-06-23", "2025-06-23T09:19:47Z", "2025", "x", None]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "i int, v string").select("i", fl.to_utc("v").cast("string").alias("t"))
+    got = [r.t for r in df.orderBy("i").collect()]
+    assert got == ["2025-06-23 15:19:47", "2025-06-23 15:19:47.25", "2025-06-23 00:00:00", "2025-06-23 09:19:47", None, None, None]
+
+
+def test_utm_param_skips_blank_and_fragment(spark):
+    from marginalia.functions.columns import utm_param
+    vals = ["http://a/?utm_source=&utm_source=x", "http://a/?b=1#utm_source=y", "http://a/?b=1&utm_source=q+r%21#z"]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "i int, v string").select("i", utm_param("v", "source").alias("t"))
+    assert [r.t for r in df.orderBy("i").collect()] == ["x", None, "q r!"]
