@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marginalia.llm import tokens
-from marginalia.llm.common import id_and_text, slices
+from marginalia.llm.common import id_and_text, slices, write_shared
 
 
 def token_lengths(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
@@ -41,7 +41,7 @@ def length_histogram(lengths: DataFrame, block: int = 1024) -> DataFrame:
     sees (longest length / block) rows.  An empty table gives no rows.
     """
     hist = lengths.groupBy(F.col("n_tokens").alias("length")).agg(F.count(F.lit(1)).alias("n_docs"))
-    hist = hist.withColumn("_block", F.floor(F.col("length") / block))
+    hist = write_shared(hist.withColumn("_block", F.floor(F.col("length") / block)), "lengths")  # read twice, texts once
     here = Window.partitionBy("_block").orderBy(F.col("length").desc()).rowsBetween(Window.unboundedPreceding, 0)
     later = Window.orderBy(F.col("_block").desc()).rowsBetween(Window.unboundedPreceding, -1)
     all_blocks = Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
