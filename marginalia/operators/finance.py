@@ -85,7 +85,6 @@ PARTNER_RULES = [
     (None, "%jigsaw health%", "Jigsaw"),
     (None, "%volair%", "Volair"),
     (None, "%11six24%", "11SIX24"),
-    (None, "%david@11six24%", "11SIX24"),
     (None, "%leor%ver%", "LEOREVER"),
     (None, "%shopify inc%", "Shopify Collabs"),
     (None, "%tremendous%", "CRBN"),
@@ -117,12 +116,12 @@ def _union_all(frames):
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
-def classify_deposit(account, summary, memo):
+def classify_deposit(account, summary, memo, *, bank_account: str = BANK_ACCOUNT):
     """Ordered revenue-stream rules for a deposit (Amazon, Shopify, Affiliate, Sponsorship, Other)."""
     s = F.coalesce(summary, F.lit(""))
     m = F.lower(F.coalesce(memo, F.lit("")))
     ls = F.lower(s)
-    bank = account == BANK_ACCOUNT
+    bank = account == bank_account
     return (F.when(bank & m.like("%amazon%"), "Amazon")
             .when(s.like("%Shopify%") | (bank & m.like("%shopify%")), "Shopify")
             .when(s == "Affiliate Revenue", "Affiliate")
@@ -132,7 +131,8 @@ def classify_deposit(account, summary, memo):
             .otherwise("Other"))
 
 
-def monthly_revenue(invoices: DataFrame, deposits: DataFrame, supplement: DataFrame | None = None) -> DataFrame:
+def monthly_revenue(invoices: DataFrame, deposits: DataFrame, supplement: DataFrame | None = None, *,
+                    bank_account: str = BANK_ACCOUNT) -> DataFrame:
     """F-01: revenue and transaction count per month and stream.
 
     'Other' deposits are dropped; sales receipts are deliberately not an input.
@@ -141,7 +141,8 @@ def monthly_revenue(invoices: DataFrame, deposits: DataFrame, supplement: DataFr
            .groupBy(month_start("txn_date").alias("month"))
            .agg(F.sum("total_amount").alias("revenue"), F.count(F.lit(1)).alias("transaction_count"))
            .withColumn("revenue_stream", F.lit("Wholesale")))
-    stream = classify_deposit(F.col("deposit_to_account_name"), F.col("source_summary"), F.col("memo"))
+    stream = classify_deposit(F.col("deposit_to_account_name"), F.col("source_summary"), F.col("memo"),
+                              bank_account=bank_account)
     dep = (deposits.select(month_start("txn_date").alias("month"), stream.alias("revenue_stream"), "total_amount")
            .where(F.col("revenue_stream").isin(*DEPOSIT_STREAMS))
            .groupBy("month", "revenue_stream")
@@ -205,19 +206,16 @@ def monthly_pnl(revenue: DataFrame, expenses: DataFrame, *, retail_streams=RETAI
         .alias("operating_margin"))
 
 
-def partner_of(channel, text):
+def partner_of(channel, text, rules=PARTNER_RULES):
     """First matching affiliate rule for (channel, match text), else 'Unidentified'."""
-    expr = None
-    for ch, pattern, partner in PARTNER_RULES:
-        cond = text.like(pattern)
-        if ch is not None:
-            cond = (channel == ch) & cond
-        expr = F.when(cond, partner) if expr is None else expr.when(cond, partner)
-    return expr.otherwise(UNIDENTIFIED)
+    named = [F.when(text.like(pattern) if ch is None else (channel == ch) & text.like(pattern), partner)
+             for ch, pattern, partner in rules]
+    return F.coalesce(*named, F.lit(UNIDENTIFIED))
 
 
 def affiliate_by_partner(deposits: DataFrame, wallet_txns: DataFrame,
-                         supplement: DataFrame | None = None) -> DataFrame:
+                         supplement: DataFrame | None = None, *, bank_account: str = BANK_ACCOUNT,
+                         rules=PARTNER_RULES) -> DataFrame:
     """F-04: affiliate revenue per month x partner x payment channel.
 
     Wallet deposits are matched on the description after 'Description:' in
@@ -225,9 +223,10 @@ def affiliate_by_partner(deposits: DataFrame, wallet_txns: DataFrame,
     joined on the id after 'Transaction ID:'), else the memo; bank deposits
     tagged as affiliate revenue on the leading words of the memo.  The two
     seed-lookup tiers of the source model are unreachable there (their
-    inputs are NULL constants) and are left out.
+    inputs are NULL constants) and are left out.  Deposits without a
+    transaction id go around the join, so they are no hot key in it.
     """
-    d = deposits.where(F.col("deposit_to_account_name").isin(WALLET_ACCOUNT, BANK_ACCOUNT)).select(
+    d = deposits.where(F.col("deposit_to_account_name").isin(WALLET_ACCOUNT, bank_account)).select(
         "deposit_id", "txn_date", "total_amount", "deposit_to_account_name",
         F.coalesce("source_summary", F.lit("")).alias("source_summary"),
         F.coalesce("memo", F.lit("")).alias("memo"))
@@ -235,10 +234,10 @@ def affiliate_by_partner(deposits: DataFrame, wallet_txns: DataFrame,
     desc_pos = F.instr(memo, "Description:")
     wallet = d.where(F.col("deposit_to_account_name") == WALLET_ACCOUNT).select(
         "deposit_id", "txn_date", "total_amount", F.lit("PayPal").alias("payment_channel"), "memo",
-        F.when(memo.like("%Description:%"), F.trim(F.substring(memo, desc_pos + 12, 1 << 30))).otherwise("")
+        F.when(memo.like("%Description:%"), F.trim(F.substr(memo, desc_pos + 12))).otherwise("")
         .alias("paypal_description"),
         F.regexp_extract(memo, r"Transaction ID:\s*([A-Z0-9]+)", 1).alias("paypal_txn_id"))
-    bank = d.where((F.col("deposit_to_account_name") == BANK_ACCOUNT)
+    bank = d.where((F.col("deposit_to_account_name") == bank_account)
                    & (F.col("source_summary") == "Affiliate Revenue")).select(
         "deposit_id", "txn_date", "total_amount", F.lit("Bank").alias("payment_channel"), "memo",
         F.lit("").alias("paypal_description"), F.lit(None).cast("string").alias("paypal_txn_id"))
@@ -246,13 +245,16 @@ def affiliate_by_partner(deposits: DataFrame, wallet_txns: DataFrame,
     tx = (wallet_txns.where(F.col("transaction_status") == "Success")
           .select(F.col("transaction_id").alias("paypal_txn_id"), F.col("transaction_subject").alias("subj")))
     # the source dialect's regexp_extract yields NULL on no match; ours '' never joins either
-    aff = aff.join(tx, "paypal_txn_id", "left")
+    # a comparison with '' is NULL for bank deposits; both sorts have no id to look up
+    has_id = F.coalesce(F.col("paypal_txn_id") != "", F.lit(False))
+    aff = (aff.where(has_id).join(tx, "paypal_txn_id", "left")
+           .unionByName(aff.where(~has_id).withColumn("subj", F.lit(None).cast("string"))))
     ch = F.col("payment_channel")
     text = F.lower(F.when(ch == "Bank", F.regexp_extract(F.lower(memo), r"^([a-z0-9 ]+)", 1))
                    .when(F.col("paypal_description") != "", F.col("paypal_description"))
                    .when(F.col("subj").isNotNull(), F.col("subj"))
                    .otherwise(memo))
-    m = aff.select("txn_date", "total_amount", "payment_channel", partner_of(ch, text).alias("partner_name"))
+    m = aff.select("txn_date", "total_amount", "payment_channel", partner_of(ch, text, rules).alias("partner_name"))
     q = m.groupBy(month_start("txn_date").alias("month"), "partner_name", "payment_channel").agg(
         F.sum("total_amount").alias("revenue"), F.count(F.lit(1)).alias("transaction_count"))
     cols = ["month", "partner_name", "payment_channel", "revenue", "transaction_count"]

@@ -75,7 +75,11 @@ def seo_trends(perf: DataFrame, as_of: str, *, days: int = 28) -> DataFrame:
 
 
 def paid_vs_organic(perf: DataFrame, terms: DataFrame) -> DataFrame:
-    """V-05: organic rows and paid search terms on the same query and day, with an overlap label."""
+    """V-05: organic rows and paid search terms on the same query and day, with an overlap label.
+
+    A full join as a left join and an anti join: adaptive execution can split a
+    brand query's day in both, which it cannot in a full outer join.
+    """
     o = perf.select("query_date", "site", "query", "page", "device", "country",
                     F.col("clicks").alias("organic_clicks"), F.col("impressions").alias("organic_impressions"),
                     F.col("ctr").alias("organic_ctr"), F.col("position").alias("organic_position"))
@@ -83,7 +87,10 @@ def paid_vs_organic(perf: DataFrame, terms: DataFrame) -> DataFrame:
         F.sum("clicks").alias("paid_clicks"), F.sum("impressions").alias("paid_impressions"),
         F.sum("spend").alias("paid_spend"), F.sum("conversions").alias("paid_conversions"),
         F.sum("conversion_value").alias("paid_conversion_value"))
-    j = o.join(p, (o["query"] == p["search_term"]) & (o["query_date"] == p["date_start"]), "full")
+    seen = perf.select(F.col("query").alias("_query"), F.col("query_date").alias("_day")).distinct()
+    only_paid = p.join(seen, (p["search_term"] == seen["_query"]) & (p["date_start"] == seen["_day"]), "left_anti")
+    j = o.join(p, (o["query"] == p["search_term"]) & (o["query_date"] == p["date_start"]), "left")
+    j = j.unionByName(only_paid, allowMissingColumns=True)
     both = F.col("query").isNotNull() & F.col("search_term").isNotNull()
     pos = F.col("organic_position")
     label = (F.when(both & (pos <= 3), "strong_organic_and_paid")

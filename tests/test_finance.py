@@ -41,6 +41,46 @@ def test_partner_rules_first_match(spark):
     assert got == ["CRBN", "CRBN", "Vatic Pro", "Unidentified"]
 
 
+def test_partner_rules_expected_names(spark):
+    """Written out, since the query's oracle reads the operator's own rules."""
+    cases = [("Bank", "pickleball opco llc", "Pickleball Central"), ("Bank", "mobile deposit 12", "Unknown (Mobile Deposit)"),
+             ("PayPal", "mobile deposit 12", "Unidentified"), ("Bank", "payoneer inc", "Payoneer"), ("PayPal", "hpc, june", "HPC"),
+             ("PayPal", "adv ss commission 4", "Selkirk"), ("PayPal", "bodyhelix", "Body Helix"), ("PayPal", "11six24 may", "11SIX24"),
+             ("PayPal", "impact tech media partner", "Impact Radius"), ("PayPal", "paid by shopify inc", "Shopify Collabs"),
+             ("PayPal", "upromote payout", "UpPromote (Shopify)"), ("PayPal", "winners edge", "WE Pickleball"),
+             ("PayPal", "leorever", "LEOREVER"), ("PayPal", None, "Unidentified"), (None, "gruvn", "GRUVN")]
+    df = spark.createDataFrame([(i, c, t) for i, (c, t, _) in enumerate(cases)], "i int, c string, t string")
+    got = df.select("i", fin.partner_of(F.col("c"), F.col("t")).alias("p")).orderBy("i").collect()
+    assert [r.p for r in got] == [p for _, _, p in cases]
+
+
+def test_affiliate_settings_and_missing_ids(spark):
+    """A third and more of the deposits have no transaction id: none is lost or looked up."""
+    day = dt.date(2024, 3, 5)
+    wallet, bank = fin.WALLET_ACCOUNT, "Main Account"
+    rows = [(i, day, 10.0, wallet, None, "gearbox") for i in range(6)]
+    rows += [(6, day, 1.0, wallet, None, "Transaction ID: AB1"), (7, day, 2.0, wallet, None, "Transaction ID: ZZ9"),
+             (8, day, 3.0, bank, "Affiliate Revenue", "acme pays"), (9, day, 4.0, fin.BANK_ACCOUNT, "Affiliate Revenue", "acme pays"),
+             (10, day, 5.0, wallet, None, None)]
+    dep = spark.createDataFrame(rows, "deposit_id long, txn_date date, total_amount double, deposit_to_account_name string, "
+                                      "source_summary string, memo string")
+    tx = spark.createDataFrame([("AB1", "Volair May", "Success"), ("ZZ9", "Volair May", "Failed"), ("", "Selkirk", "Success")],
+                               "transaction_id string, transaction_subject string, transaction_status string")
+    rules = [("Bank", "acme%", "Acme"), *fin.PARTNER_RULES]
+    got = {(r.partner_name, r.payment_channel): (r.revenue, r.transaction_count)
+           for r in fin.affiliate_by_partner(dep, tx, bank_account=bank, rules=rules).collect()}
+    assert got == {("Gearbox", "PayPal"): (60.0, 6), ("Volair", "PayPal"): (1.0, 1), ("Acme", "Bank"): (3.0, 1),
+                   ("Unidentified", "PayPal"): (7.0, 2)}
+
+
+def test_bank_account_setting(spark):
+    dep = spark.createDataFrame([(dt.date(2024, 3, 5), 9.0, "Main Account", "", "AMAZON PAYOUT")],
+                                "txn_date date, total_amount double, deposit_to_account_name string, source_summary string, memo string")
+    inv = spark.createDataFrame([], "txn_date date, total_amount double, txn_status string")
+    assert fin.monthly_revenue(inv, dep).count() == 0
+    assert fin.monthly_revenue(inv, dep, bank_account="Main Account").first().revenue_stream == "Amazon"
+
+
 def test_invoice_status(spark):
     df = spark.createDataFrame([(0.0, 10.0), (5.0, 10.0), (10.0, 10.0), (0.0, 0.0), (None, 1.0)], "b double, t double")
     got = [r.s for r in df.select(invoice_status("b", "t").alias("s")).collect()]
