@@ -71,13 +71,14 @@ def batch_ids(df: DataFrame, order_cols: list[str], size: int = 10_000) -> DataF
     The sorted frame is checkpointed to the shared checkpoint folder, so its
     partitioning is fixed (and survives executor loss); each row's global
     position is then its partition's offset (a table with one row per
-    partition) plus its position inside the partition.  No single-partition
-    window and nothing collected to the driver.
+    partition) plus its position inside the partition, which the checkpoint's
+    files keep.  The rows are sorted once; nothing is collected to the driver.
     """
     ordered = df.orderBy(*order_cols).checkpoint(eager=True)
-    tagged = ordered.withColumn("_pid", F.spark_partition_id())
-    pos = tagged.withColumn("_pos", F.row_number().over(Window.partitionBy("_pid").orderBy(*order_cols)) - 1)
+    row_id = F.monotonically_increasing_id()  # partition number above 33 bits of position
+    tagged = ordered.withColumn("_id", row_id).withColumns({
+        "_pid": F.shiftright("_id", 33), "_pos": F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))})
     sizes = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offsets = sizes.select("_pid", (F.sum("_n").over(Window.orderBy("_pid")) - F.col("_n")).alias("_off"))
-    j = pos.join(F.broadcast(offsets), "_pid")
+    j = tagged.join(F.broadcast(offsets), "_pid")
     return j.select(*df.columns, F.floor((F.col("_off") + F.col("_pos")) / size).cast("bigint").alias("batch_id"))
