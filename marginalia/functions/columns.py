@@ -19,6 +19,19 @@ def lit_or_col(x) -> Column:
     return x if isinstance(x, Column) else F.lit(x)
 
 
+# --- periods ----------------------------------------------------------------
+
+def in_months(col, start: str, end: str) -> Column:
+    """Whether a date or timestamp lies in the calendar months that ``start`` to ``end`` touch.
+
+    A range over the column as it is, so it reaches the scan; filter a feed
+    by it before a month roll-up, and no month of the range loses a row.
+    """
+    first = F.trunc(F.lit(start).cast("date"), "MM")
+    after = F.add_months(F.trunc(F.lit(end).cast("date"), "MM"), 1)
+    return (c(col) >= first) & (c(col) < after)
+
+
 # --- ratios -----------------------------------------------------------------
 
 def safe_div(num, den) -> Column:

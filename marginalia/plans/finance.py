@@ -7,12 +7,23 @@ from marginalia.plans.catalog import register, sql_model
 from marginalia.sources import roles as R
 
 
-def revenue_df(spark, d):
-    return fin.monthly_revenue(R.invoices(spark, d), R.deposits(spark, d))
+# A ``period`` (start, end) keeps whole months, and its range reaches the scans of the feeds.
 
+def revenue_df(spark, d, period=None):
+    return fin.monthly_revenue(R.invoices(spark, d, period), R.deposits(spark, d, period))
 
-def expenses_df(spark, d):
-    return fin.monthly_expenses(R.purchase_lines(spark, d), R.accounts(spark, d))
+
+def expenses_df(spark, d, period=None):
+    return fin.monthly_expenses(R.purchase_lines(spark, d, period), R.accounts(spark, d))
+
+
+def pnl_df(spark, d, period=None):
+    return fin.monthly_pnl(revenue_df(spark, d, period), expenses_df(spark, d, period))
+
+
+def affiliates_df(spark, d, period=None):
+    """Wallet transactions are matched by id, whatever their date, so only the deposits are cut to the period."""
+    return fin.affiliate_by_partner(R.deposits(spark, d, period), R.wallet_transactions(spark, d))
 
 
 def by_vendor_df(spark, d):
@@ -105,7 +116,7 @@ select m.month, coalesce(r.total_revenue, 0) as total_revenue, coalesce(r.retail
            as operating_margin
 from months m left join r on m.month = r.month left join e on m.month = e.month""", "F-03")
 def q_monthly_pnl(spark, d):
-    return fin.monthly_pnl(revenue_df(spark, d), expenses_df(spark, d))
+    return pnl_df(spark, d)
 
 
 def _partner_rules() -> str:
@@ -141,7 +152,7 @@ select cast(date_trunc('month', txn_date) as date) as month, partner_name, payme
        count(*) as transaction_count
 from named group by 1, 2, 3""", "F-04")
 def q_affiliate_by_partner(spark, d):
-    return fin.affiliate_by_partner(R.deposits(spark, d), R.wallet_transactions(spark, d))
+    return affiliates_df(spark, d)
 
 
 sql_model("m_expense_by_vendor", """

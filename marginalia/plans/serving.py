@@ -21,6 +21,8 @@ from marginalia.sources import roles as R
 # page date-range inputs used by the registered queries
 START, END = "2000-01-01", "2000-12-31"          # order-era marts
 EV_START, EV_END = "2024-01-08", "2024-01-21"    # event-era inputs
+PAGE = (START, END)                              # the months a page shows
+PAGE_AND_PRIOR = ("1999-01-01", END)             # and the twelve before them
 RUNS_AS_OF = R.AS_OF_RUNS
 
 for _name in ("channel_summary", "daily_performance", "expense_enriched", "subscription_analysis",
@@ -37,8 +39,8 @@ channel_summary = _q("channel_summary")
 daily_performance = _q("daily_performance")
 expense_enriched = _q("expense_enriched")
 subscriptions = _q("subscription_analysis")
-monthly_pnl = _q("monthly_pnl")
-affiliates = _q("affiliate_by_partner")
+monthly_pnl = pf.pnl_df
+affiliates = pf.affiliates_df
 wholesale = _q("wholesale_detail")
 cohort_ltv = _q("customer_ltv")
 
@@ -173,7 +175,7 @@ D2C_KPI = [("period_revenue", "net_revenue", "cur"), ("prior_revenue", "net_reve
 @register("d2c_kpi", " ".join(f"{n}:{'i' if n == 'period_orders' else 'm'}" for n, _, _ in D2C_KPI),
           _cur_prior_sql("m_d2c_monthly_pnl", "month", D2C_KPI), "D-21")
 def q_d2c_kpi(spark, d):
-    return _cur_prior(QUERIES["d2c_monthly_pnl"].build(spark, d), "month", D2C_KPI)
+    return _cur_prior(pc.monthly_pnl_df(spark, d, PAGE_AND_PRIOR), "month", D2C_KPI)
 
 
 @register("contribution_breakdown", "month:d net_revenue:m cogs:m shipping:m shopify_fees:m google:m meta:m "
@@ -183,7 +185,7 @@ select month, net_revenue, total_cogs * -1 as cogs, estimated_shipping * -1 as s
        d2c_contribution
 from m_d2c_monthly_pnl where {_in('month')}""", "D-22")
 def q_contribution(spark, d):
-    m = sv.in_range(QUERIES["d2c_monthly_pnl"].build(spark, d), "month", START, END)
+    m = sv.in_range(pc.monthly_pnl_df(spark, d, PAGE), "month", START, END)
     return m.select("month", "net_revenue", (-F.col("total_cogs")).alias("cogs"),
                     (-F.col("estimated_shipping")).alias("shipping"), (-F.col("shopify_fees_est")).alias("shopify_fees"),
                     (-F.col("google_ads_spend")).alias("google"), (-F.col("meta_ads_spend")).alias("meta"),
@@ -198,7 +200,7 @@ COST_LINES = {"COGS": "total_cogs", "Shipping": "estimated_shipping", "Shopify F
     f"select month, '{label}' as line, {col} as value from m_d2c_monthly_pnl where {_in('month')}"
     for label, col in COST_LINES.items()), "D-23")
 def q_cost_stack(spark, d):
-    m = sv.in_range(QUERIES["d2c_monthly_pnl"].build(spark, d), "month", START, END)
+    m = sv.in_range(pc.monthly_pnl_df(spark, d, PAGE), "month", START, END)
     return sv.lines_long(m, ["month"], COST_LINES)
 
 
@@ -213,7 +215,7 @@ select cast(date_trunc('week', order_date) as date)
        sum(d2c_contribution) / nullif(sum(net_revenue), 0) as margin
 from m_d2c_daily_pnl where {_in('order_date')} group by 1""", "D-24")
 def q_biweekly(spark, d):
-    daily = sv.in_range(QUERIES["d2c_daily_pnl"].build(spark, d), "order_date", START, END)
+    daily = sv.in_range(pc.daily_pnl_df(spark, d, PAGE), "order_date", START, END)
     return sv.rollup(daily, [sv.biweekly_start("order_date").alias("period_start")],
                      {c: c for c in BIWEEK_SUMS}, {"margin": ("d2c_contribution", "net_revenue")})
 
@@ -313,13 +315,13 @@ IDX_KPI = [("ytd_revenue", "total_revenue", "cur"), ("prior_revenue", "total_rev
 @register("kpi_with_comparison", " ".join(f"{n}:m" for n, _, _ in IDX_KPI),
           _cur_prior_sql("m_monthly_pnl", "month", IDX_KPI), "D-37")
 def q_index_kpi(spark, d):
-    return _cur_prior(monthly_pnl(spark, d), "month", IDX_KPI)
+    return _cur_prior(monthly_pnl(spark, d, PAGE_AND_PRIOR), "month", IDX_KPI)
 
 
 @register("ytd_revenue_mix", "revenue_stream:s total_revenue:m", f"""
 select revenue_stream, sum(revenue) as total_revenue from m_monthly_revenue where {_in('month')} group by 1""", "D-39")
 def q_revenue_mix(spark, d):
-    return sv.rollup(sv.in_range(pf.revenue_df(spark, d), "month", START, END), ["revenue_stream"],
+    return sv.rollup(sv.in_range(pf.revenue_df(spark, d, PAGE), "month", START, END), ["revenue_stream"],
                      {"total_revenue": "revenue"})
 
 
@@ -328,7 +330,7 @@ select revenue_stream, sum(revenue) as total_revenue, sum(transaction_count) as
        avg(revenue) as avg_monthly_revenue
 from m_monthly_revenue where {_in('month')} group by revenue_stream""", "D-53")
 def q_stream_totals(spark, d):
-    return sv.rollup(sv.in_range(pf.revenue_df(spark, d), "month", START, END), ["revenue_stream"],
+    return sv.rollup(sv.in_range(pf.revenue_df(spark, d, PAGE), "month", START, END), ["revenue_stream"],
                      {"total_revenue": "revenue", "total_transactions": "transaction_count"},
                      extra=[F.avg("revenue").alias("avg_monthly_revenue")])
 
@@ -337,7 +339,7 @@ def q_stream_totals(spark, d):
 select month(month) as month_num, strftime(month, '%b') as month_name, year(month) as year, sum(revenue) as revenue
 from m_monthly_revenue where {_in('month')} group by 1, 2, 3""", "D-54")
 def q_yoy(spark, d):
-    r = sv.in_range(pf.revenue_df(spark, d), "month", START, END)
+    r = sv.in_range(pf.revenue_df(spark, d, PAGE), "month", START, END)
     return sv.rollup(r, [F.month("month").alias("month_num"), F.date_format("month", "MMM").alias("month_name"),
                          F.year("month").alias("year")], {"revenue": "revenue"})
 
@@ -350,7 +352,7 @@ select sum(case when {_in('month')} then revenue else 0 end) as total_revenue,
        avg(case when {_prior12('month')} then revenue end) as prior_avg_monthly_revenue
 from m_monthly_revenue where month >= date '{START}' - interval 12 month and month <= date '{END}'""", "D-55")
 def q_revenue_kpi(spark, d):
-    r = pf.revenue_df(spark, d)
+    r = pf.revenue_df(spark, d, PAGE_AND_PRIOR)
     cur = sv.current_period("month", START, END)
     pri = sv.prior_months("month", START, 12)
     win = (F.col("month") >= F.add_months(F.lit(START).cast("date"), -12)) & (F.col("month") <= F.lit(END).cast("date"))
@@ -363,7 +365,7 @@ def q_revenue_kpi(spark, d):
 select revenue_stream, sum(revenue) as total_revenue from m_monthly_revenue where {_in('month')}
 group by revenue_stream order by total_revenue desc, revenue_stream limit 1""", "D-56")
 def q_top_stream(spark, d):
-    g = sv.rollup(sv.in_range(pf.revenue_df(spark, d), "month", START, END), ["revenue_stream"],
+    g = sv.rollup(sv.in_range(pf.revenue_df(spark, d, PAGE), "month", START, END), ["revenue_stream"],
                   {"total_revenue": "revenue"})
     return sv.top_n(g, [F.col("total_revenue").desc(), "revenue_stream"], 1)
 
@@ -372,7 +374,7 @@ def q_top_stream(spark, d):
 select month, sum(revenue) as total_revenue from m_monthly_revenue where {_in('month')}
 group by month order by total_revenue desc, month limit 1""", "D-57")
 def q_peak_month(spark, d):
-    g = sv.rollup(sv.in_range(pf.revenue_df(spark, d), "month", START, END), ["month"], {"total_revenue": "revenue"})
+    g = sv.rollup(sv.in_range(pf.revenue_df(spark, d, PAGE), "month", START, END), ["month"], {"total_revenue": "revenue"})
     return sv.top_n(g, [F.col("total_revenue").desc(), "month"], 1)
 
 
@@ -524,7 +526,7 @@ select partner_name, sum(revenue) as total_revenue, sum(transaction_count) as to
        min(month) as first_month, max(month) as last_month
 from m_affiliate_by_partner where {_in('month', AFF_START, AFF_END)} group by partner_name""", "D-08")
 def q_partner_totals(spark, d):
-    a = sv.in_range(affiliates(spark, d), "month", AFF_START, AFF_END)
+    a = sv.in_range(affiliates(spark, d, (AFF_START, AFF_END)), "month", AFF_START, AFF_END)
     g = a.groupBy("partner_name").agg(F.sum("revenue").alias("total_revenue"),
                                       F.sum("transaction_count").alias("total_transactions"),
                                       F.count_distinct("month").alias("months_active"),
@@ -538,7 +540,7 @@ def q_partner_totals(spark, d):
 select payment_channel, sum(revenue) as total_revenue, sum(transaction_count) as total_transactions
 from m_affiliate_by_partner where {_in('month', AFF_START, AFF_END)} group by 1""", "D-12")
 def q_channel_split(spark, d):
-    a = sv.in_range(affiliates(spark, d), "month", AFF_START, AFF_END)
+    a = sv.in_range(affiliates(spark, d, (AFF_START, AFF_END)), "month", AFF_START, AFF_END)
     return sv.rollup(a, ["payment_channel"], {"total_revenue": "revenue", "total_transactions": "transaction_count"})
 
 
@@ -752,7 +754,13 @@ _LISTINGS = [  # (query name, id, mart, date column, start, end)
 ]
 
 
+_MONTHLY = {"affiliate_by_partner": affiliates, "d2c_monthly_pnl": pc.monthly_pnl_df, "monthly_pnl": monthly_pnl,
+            "monthly_revenue": pf.revenue_df}  # marts whose months stand alone: their feeds are cut to the page's months
+
+
 def _listing(mart, col, a, b):
+    if mart in _MONTHLY:
+        return lambda spark, d: sv.in_range(_MONTHLY[mart](spark, d, (a, b)), col, a, b)
     return lambda spark, d: sv.in_range(QUERIES[mart].build(spark, d), col, a, b)
 
 
@@ -768,7 +776,7 @@ register("subscriptions_listing", pf.SUB_SPEC, "select * from m_subscription_ana
 select total_revenue, operating_expenses, operating_income, operating_margin, owner_compensation
 from m_monthly_pnl where month = cast(date_trunc('month', date '{END}') as date)""", "D-38")
 def q_current_month(spark, d):
-    p = monthly_pnl(spark, d).where(F.col("month") == F.trunc(F.lit(END).cast("date"), "MM"))
+    p = monthly_pnl(spark, d, (END, END)).where(F.col("month") == F.trunc(F.lit(END).cast("date"), "MM"))
     return p.select("total_revenue", "operating_expenses", "operating_income", "operating_margin",
                     "owner_compensation")
 
@@ -777,7 +785,7 @@ def q_current_month(spark, d):
 select month, revenue_stream, revenue from m_monthly_revenue
 where revenue_stream in ('Wholesale', 'Shopify', 'Amazon') and {_in('month')}""", "D-52")
 def q_retail_breakdown(spark, d):
-    r = sv.in_range(pf.revenue_df(spark, d), "month", START, END)
+    r = sv.in_range(pf.revenue_df(spark, d, PAGE), "month", START, END)
     return r.where(F.col("revenue_stream").isin("Wholesale", "Shopify", "Amazon")).select(
         "month", "revenue_stream", "revenue")
 
@@ -786,7 +794,7 @@ def q_retail_breakdown(spark, d):
 select month, partner_name, sum(revenue) as revenue from m_affiliate_by_partner
 where {_in('month', AFF_START, AFF_END)} group by 1, 2""", "D-09")
 def q_monthly_by_partner(spark, d):
-    return sv.rollup(sv.in_range(affiliates(spark, d), "month", AFF_START, AFF_END), ["month", "partner_name"],
+    return sv.rollup(sv.in_range(affiliates(spark, d, (AFF_START, AFF_END)), "month", AFF_START, AFF_END), ["month", "partner_name"],
                      {"revenue": "revenue"})
 
 
@@ -798,7 +806,7 @@ select month, partner_name, sum(revenue) as revenue from m_affiliate_by_partner
 where partner_name not in ('Unidentified', 'Unknown (Mobile Deposit)') and {_in('month', AFF_START, AFF_END)}
 group by 1, 2""", "D-10")
 def q_top_partners_monthly(spark, d):
-    a = sv.in_range(affiliates(spark, d), "month", AFF_START, AFF_END).where(~F.col("partner_name").isin(*UNIDENTIFIED))
+    a = sv.in_range(affiliates(spark, d, (AFF_START, AFF_END)), "month", AFF_START, AFF_END).where(~F.col("partner_name").isin(*UNIDENTIFIED))
     return sv.rollup(a, ["month", "partner_name"], {"revenue": "revenue"})
 
 
@@ -807,7 +815,7 @@ select month, sum(revenue) as total_revenue, sum(transaction_count) as total_tra
        count(distinct partner_name) as active_partners
 from m_affiliate_by_partner where {_in('month', AFF_START, AFF_END)} group by 1""", "D-11")
 def q_affiliate_totals(spark, d):
-    a = sv.in_range(affiliates(spark, d), "month", AFF_START, AFF_END)
+    a = sv.in_range(affiliates(spark, d, (AFF_START, AFF_END)), "month", AFF_START, AFF_END)
     return a.groupBy("month").agg(F.sum("revenue").alias("total_revenue"),
                                   F.sum("transaction_count").alias("total_transactions"),
                                   F.count_distinct("partner_name").alias("active_partners"))
@@ -834,7 +842,7 @@ from m_affiliate_by_partner where month >= date '2024-01-01' - interval 12 month
 @register("affiliate_kpi_comparison", "ytd_revenue:m prior_revenue:m identified_revenue:m "
           "prior_identified_revenue:m unidentified_revenue:m identified_partners:i", _AFF_KPI_SQL, "D-13")
 def q_affiliate_kpi(spark, d):
-    a = affiliates(spark, d)
+    a = affiliates(spark, d, ("2023-01-01", "2024-12-31"))
     cur = sv.current_period("month", "2024-01-01", "2024-12-31")
     pri = sv.prior_months("month", "2024-01-01", 12)
     ident = ~F.col("partner_name").isin(*UNIDENTIFIED)

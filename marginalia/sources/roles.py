@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marginalia.functions import in_months
+
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 
@@ -48,8 +50,13 @@ def idiv(a, b):
 # store orders  <- orders
 # ---------------------------------------------------------------------------
 
-def shop_orders(spark, d):
-    o = table(spark, d, "orders")
+def _within(df, col, period):
+    """The rows of the months that ``period`` (start, end) touches, filtered on the stored column."""
+    return df if period is None else df.where(in_months(col, *period))
+
+
+def shop_orders(spark, d, period=None):
+    o = _within(table(spark, d, "orders"), "o_orderdate", period)
     pr = F.col("o_orderpriority")
     return o.select(
         F.col("o_orderkey").alias("order_id"),
@@ -212,8 +219,8 @@ join part on l_partkey = p_partkey"""
 #   'F' lines: search-ads daily rows;  'O' lines: social-ads daily rows
 # ---------------------------------------------------------------------------
 
-def search_daily(spark, d):
-    li = table(spark, d, "lineitem").where(F.col("l_linestatus") == "F")
+def search_daily(spark, d, period=None):
+    li = _within(table(spark, d, "lineitem"), "l_shipdate", period).where(F.col("l_linestatus") == "F")
     base = li.select(
         F.col("l_shipdate").cast("date").alias("date_start"),
         F.col("l_suppkey").alias("campaign_id"),
@@ -247,8 +254,8 @@ select *, spend / nullif(clicks, 0) as cpc, cast(clicks as double) / nullif(impr
 from ({SQL_SEARCH_DAILY}) s"""
 
 
-def social_daily(spark, d):
-    li = table(spark, d, "lineitem").where(F.col("l_linestatus") == "O")
+def social_daily(spark, d, period=None):
+    li = _within(table(spark, d, "lineitem"), "l_shipdate", period).where(F.col("l_linestatus") == "O")
     base = li.select(
         F.col("l_shipdate").cast("date").alias("date_start"),
         F.col("l_suppkey").cast("string").alias("campaign_id"),
@@ -456,14 +463,14 @@ ROLE_SPARK = {
 # accounting: purchases, accounts, invoices, customers, deposits, wallet txns
 # ---------------------------------------------------------------------------
 
-def purchase_lines(spark, d):
+def purchase_lines(spark, d, period=None):
     """Expense lines <- lineitem x supplier x nation.
 
     Vendor = the supplier's nation (a few dozen vendors with many lines a
     month); vendors in regions 0-1 bill a flat amount per line, which makes
     them look like subscriptions; account = return flag + line status.
     """
-    li = table(spark, d, "lineitem")
+    li = _within(table(spark, d, "lineitem"), "l_shipdate", period)
     s = table(spark, d, "supplier")
     n = table(spark, d, "nation")
     j = li.join(s, li["l_suppkey"] == s["s_suppkey"]).join(n, F.col("s_nationkey") == F.col("n_nationkey"))
@@ -529,9 +536,9 @@ SQL_ACCOUNTS = (f"select * from (values {_sql_values(ACCOUNTS)}) as t(account_id
                 "account_type, account_sub_type, classification, active)")
 
 
-def invoices(spark, d):
+def invoices(spark, d, period=None):
     """Wholesale invoices <- orders x customer; balance by order status."""
-    o = table(spark, d, "orders")
+    o = _within(table(spark, d, "orders"), "o_orderdate", period)
     c = table(spark, d, "customer")
     j = o.join(c, o["o_custkey"] == c["c_custkey"])
     tot = F.col("o_totalprice")
@@ -614,9 +621,9 @@ _SUMMARY_OF_TYPE = {"purchase": "Shopify Payments", "view": "Affiliate Revenue",
                     "signup": "Sponsorship income"}
 
 
-def deposits(spark, d):
+def deposits(spark, d, period=None):
     """Bank and wallet deposits <- events (one deposit per event)."""
-    e = table(spark, d, "events")
+    e = _within(table(spark, d, "events"), "ts", period)
     k = F.get_json_object("props", "$.k").cast("int")
     eid = F.col("event_id").cast("string")
     mi = F.expr("(cast(get_json_object(props, '$.k') as int) div 3) % 10")
