@@ -254,7 +254,9 @@ def affiliate_by_partner(deposits: DataFrame, wallet_txns: DataFrame,
                    .when(F.col("paypal_description") != "", F.col("paypal_description"))
                    .when(F.col("subj").isNotNull(), F.col("subj"))
                    .otherwise(memo))
-    m = aff.select("txn_date", "total_amount", "payment_channel", partner_of(ch, text, rules).alias("partner_name"))
+    # the text is a column of its own, so the rules do not evaluate it once each
+    m = aff.select("txn_date", "total_amount", "payment_channel", text.alias("said")).select(
+        "txn_date", "total_amount", "payment_channel", partner_of(ch, F.col("said"), rules).alias("partner_name"))
     q = m.groupBy(month_start("txn_date").alias("month"), "partner_name", "payment_channel").agg(
         F.sum("total_amount").alias("revenue"), F.count(F.lit(1)).alias("transaction_count"))
     cols = ["month", "partner_name", "payment_channel", "revenue", "transaction_count"]

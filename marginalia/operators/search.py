@@ -62,7 +62,12 @@ def term_ngrams(words: Column) -> Column:
 
 
 def search_term_ngrams(terms: DataFrame, as_of: str, *, weeks: int = 8, lower_first: bool = False) -> DataFrame:
-    """T-05: 1- and 2-word n-grams x campaign x Monday week with spend signals."""
+    """T-05: 1- and 2-word n-grams x campaign x Monday week with spend signals.
+
+    A (week, term, campaign) is one row before its n-grams are exploded, so
+    the terms that hold an n-gram are counted by a mark on its first place in
+    the row's sorted n-grams; the exploded rows are summed before their one shuffle.
+    """
     recent = terms.where((F.col("spend") > 0) &
                          (F.col("date_start") >= F.date_sub(F.lit(as_of).cast("date"), 7 * weeks)))
     weekly = recent.groupBy(monday_week("date_start").alias("week_start"), "search_term", "campaign_name").agg(
@@ -72,14 +77,18 @@ def search_term_ngrams(terms: DataFrame, as_of: str, *, weeks: int = 8, lower_fi
     # inside the pairing lambda would re-evaluate it for every element
     words = weekly.select(
         "week_start", "campaign_name", "impressions", "clicks", "spend", "conversions",
-        F.unhex(F.sha2("search_term", 256)).alias("term_key"),
         term_words(F.col("search_term"), lower_first).alias("words"))
-    grams = words.select(
-        "week_start", "campaign_name", "impressions", "clicks", "spend", "conversions", "term_key",
-        F.explode(term_ngrams(F.col("words"))).alias("g"))
+    # beside each n-gram stands the one before it, null for the first
+    ordered = words.withColumn("grams", F.sort_array(term_ngrams(F.col("words"))))
+    grams = ordered.select(
+        "week_start", "campaign_name", "impressions", "clicks", "spend", "conversions",
+        F.explode(F.arrays_zip(F.col("grams").alias("g"), F.concat(F.array(F.lit(None)), F.col("grams")).alias("before")))
+        .alias("z")).where("z.g is not null").select(
+        "week_start", "campaign_name", "impressions", "clicks", "spend", "conversions", "z.g",
+        (~F.col("z.g").eqNullSafe(F.col("z.before"))).cast("bigint").alias("first"))
     agg = grams.groupBy("week_start", F.col("g.ngram").alias("ngram"),
                         F.col("g.ngram_length").alias("ngram_length"), "campaign_name").agg(
-        F.count_distinct("term_key").alias("unique_search_terms"),
+        F.sum("first").alias("unique_search_terms"),
         F.sum("impressions").alias("total_impressions"), F.sum("clicks").alias("total_clicks"),
         F.sum("spend").alias("total_spend"), F.sum("conversions").alias("total_conversions"))
     cvr = safe_div(F.col("total_conversions"), F.col("total_clicks"))

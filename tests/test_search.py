@@ -33,3 +33,13 @@ def test_waste_arrays_and_having(spark):
                                 (d, "u", "c1", 1, 1, 9.0, 1.0, "k")], TERMS)
     rows = se.search_terms_waste(df).collect()
     assert len(rows) == 1 and rows[0].campaigns == ["c1", "c2"] and rows[0].matched_keywords == ["k"]
+
+
+def test_ngrams_count_a_term_once_however_often_it_holds_a_word(spark):
+    """One term repeats a word, a second holds it once, in two rows of one week: two terms, every occurrence's spend."""
+    rows = [(dt.date(2024, 2, 20), "red red shoe", "c", 10, 2, 4.0, 0.0), (dt.date(2024, 2, 21), "red hat", "c", 10, 2, 3.0, 0.0),
+            (dt.date(2024, 2, 22), "red hat", "c", 10, 2, 3.0, 0.0), (dt.date(2024, 2, 20), "", "c", 1, 0, 9.0, 0.0)]
+    df = spark.createDataFrame(rows, "date_start date, search_term string, campaign_name string, impressions long, clicks long, spend double, conversions double")
+    got = {(r.ngram, r.ngram_length): (r.unique_search_terms, r.total_impressions, r.total_spend)
+           for r in se.search_term_ngrams(df, "2024-02-26").collect()}
+    assert got == {("red", 1): (2, 40, 14.0), ("hat", 1): (1, 20, 6.0), ("red hat", 2): (1, 20, 6.0)}
