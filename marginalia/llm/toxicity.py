@@ -48,10 +48,84 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(y, -500, 500))))
 
 
-def select_terms(sample: DataFrame, n_terms: int, min_ratio: float) -> np.ndarray:
-    """The ``n_terms`` terms, ascending, that differ most between the classes: by log likelihood ratio, ``min_ratio`` at least."""
+def _gain(q, p):
+    """What a class share ``q`` tells beyond an expected share ``p``, per row (natural units)."""
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return np.where(q > 0, q * np.log(q / p), 0.0) + np.where(q < 1, (1 - q) * np.log((1 - q) / (1 - p)), 0.0)
+
+
+def _indexed(sample: DataFrame, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of all rows, ordered: the labels, the number of known terms and their places in ``hashes``, one after the other."""
+    known = sample.sparkSession.sparkContext.broadcast(hashes)
+
+    def places(batches):
+        for b in slices(batches):
+            t = b.column(2)
+            flat, sizes = t.flatten().to_numpy(zero_copy_only=False), np.diff(t.offsets.to_numpy())
+            at = np.minimum(np.searchsorted(known.value, flat), len(known.value) - 1)
+            ok = known.value[at] == flat
+            n = np.bincount(np.repeat(np.arange(len(sizes)), sizes), ok, len(sizes)).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(n))), pa.int32()), pa.array(at[ok], pa.int32()))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), lists], names=["doc_id", "label", "at"])
+
+    rows = sample.select("doc_id", "label", "terms").mapInArrow(places, "doc_id long, label int, at array<int>").toArrow().sort_by([("doc_id", "ascending"), ("label", "ascending")])
+    lists = rows.column("at").combine_chunks()
+    lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
+    known.unpersist()
+    return rows.column("label").to_numpy().astype(np.float64), lists.value_lengths().to_numpy(), lists.flatten().to_numpy()
+
+
+def _paired_terms(sample: DataFrame, hashes: np.ndarray, share: np.ndarray, base: float, min_gain: float, block: int = 2048) -> np.ndarray:
+    """The terms of ``hashes`` with a partner beside which the class share differs from what either term and both added up tell.
+
+    All pairs are counted, in blocks of ``block`` times ``block`` terms, one task row each.
+    """
+    y, n, at = _indexed(sample, hashes)
+    sc = sample.sparkSession.sparkContext
+    held = sc.broadcast((y.astype(np.float32), np.concatenate(([0], np.cumsum(n))), at, share))
+    edges = range(0, len(hashes), block)
+    todo = sample.sparkSession.createDataFrame([(i, j) for i in edges for j in edges if i <= j], "i int, j int")
+    todo = todo.repartition(max(1, min(sc.defaultParallelism, len(edges) * (len(edges) + 1) // 2)))
+
+    def count(batches):
+        y, ends, at, share = held.value
+        odds = np.log(share / (1 - share))
+        for b in batches:
+            found = [np.empty(0, np.int64)]
+            for i, j in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                p, q = share[i : i + block], share[j : j + block]
+                both, ones = np.zeros((2, len(p), len(q)), np.float32)
+                for r in range(0, len(y), 1024):
+                    label, stop = y[r : r + 1024], ends[r : r + 1025]
+                    own, row = at[stop[0] : stop[-1]], np.repeat(np.arange(len(label)), np.diff(stop))
+                    x, z = np.zeros((len(label), len(p)), np.float32), np.zeros((len(label), len(q)), np.float32)
+                    for dense, first in ((x, i), (z, j)):
+                        ok = (own >= first) & (own < first + dense.shape[1])
+                        dense[row[ok], own[ok] - first] = 1
+                    both += x.T @ z
+                    ones += (x * label[:, None]).T @ z
+                u, v = np.nonzero(both)
+                m, s = both[u, v].astype(np.float64), ones[u, v] / both[u, v].astype(np.float64)
+                added = 1 / (1 + np.exp(-np.clip(odds[i : i + block][u] + odds[j : j + block][v] - np.log(base / (1 - base)), -30, 30)))
+                ok = (m * np.minimum(np.minimum(_gain(s, p[u]), _gain(s, q[v])), _gain(s, added)) >= min_gain) & (u + i != v + j)
+                found += [np.unique(u[ok]) + i, np.unique(v[ok]) + j]
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(found)), pa.int64())], names=["at"])
+
+    out = np.unique([r["at"] for r in todo.mapInArrow(count, "at long").distinct().collect()]).astype(np.int64)
+    held.unpersist()
+    return hashes[out]
+
+
+def select_terms(sample: DataFrame, min_ratio: float, min_gain: float) -> np.ndarray:
+    """The terms, ascending, with evidence of their own or beside another term, however many and however rare.
+
+    Own evidence is a log likelihood ratio of ``min_ratio`` at least between
+    the classes.  Evidence beside another term is a gain of ``min_gain`` over
+    the rows that hold both; a term's rows of one class bound it, so a
+    term is left out of the count of pairs only where no pair can reach it.
+    """
     rows = sample.select("label", F.explode("terms").alias("term")).groupBy("term").agg(
-        F.sum("label").alias("a"), F.sum(1 - F.col("label")).alias("b")).where("a + b > 2")
+        F.sum("label").alias("a"), F.sum(1 - F.col("label")).alias("b"))
     pos, neg = sample.agg(F.sum("label"), F.sum(1 - F.col("label"))).first()
     n, both = float(pos + neg), F.col("a") + F.col("b")
 
@@ -60,28 +134,33 @@ def select_terms(sample: DataFrame, n_terms: int, min_ratio: float) -> np.ndarra
 
     ratio = (part(F.col("a"), both * pos / n) + part(F.col("b"), both * neg / n)
              + part(pos - F.col("a"), (n - both) * pos / n) + part(neg - F.col("b"), (n - both) * neg / n))
-    top = rows.select("term", ratio.alias("g")).where(F.col("g") >= min_ratio).orderBy(F.col("g").desc(), "term").limit(n_terms)
-    return np.sort(np.array([r["term"] for r in top.collect()], np.int64))
+    share = (F.col("a") + pos / n) / (both + 1)  # drawn to the share of all rows, so never 0 or 1
+    reach = F.greatest(-F.col("a") * F.log(share), -F.col("b") * F.log(1 - share))
+    top = rows.select("term", share.alias("p"), ratio.alias("g"), reach.alias("r")).where((F.col("g") >= min_ratio) | (F.col("r") >= min_gain)).toArrow()
+    term, p, g, r = (top.column(c).to_numpy() for c in ("term", "p", "g", "r"))
+    at = np.flatnonzero(r >= min_gain)
+    at = at[np.argsort(term[at])]
+    pairs = _paired_terms(sample, term[at], p[at], pos / n, min_gain) if len(at) > 1 else term[:0]
+    return np.union1d(term[g >= min_ratio], pairs).astype(np.int64)
 
 
-def fit(sample: DataFrame, n_terms: int = 1024, min_ratio: float = 6.0, rank: int = 8, steps: int = 150, rate: float = 0.05, decay: float = 2e-4, seed: int = 1) -> Model | None:
+def fit(sample: DataFrame, min_ratio: float = 6.0, min_gain: float = 20.0, rank: int = 8, steps: int = 150, rate: float = 0.05, decay: float = 2e-4, seed: int = 1) -> Model | None:
     """The machine of (terms, label) rows, a bounded sample; None if a class is missing.
 
     The driver gets each row's selected terms and descends in numpy, with weights that
     balance the classes by half.
     """
-    hashes = select_terms(sample, n_terms, min_ratio) if sample.select("label").distinct().count() == 2 else np.empty(0, np.int64)
+    hashes = select_terms(sample, min_ratio, min_gain) if sample.select("label").distinct().count() == 2 else np.empty(0, np.int64)
     if not len(hashes):
         return None
-    keep = F.array_intersect("terms", F.array(*[F.lit(int(h)) for h in hashes]))
-    rows = sample.select("doc_id", "label", keep.alias("t")).orderBy("doc_id", "label").collect()
-    y = np.array([r["label"] for r in rows], np.float64)
-    at = np.concatenate([np.searchsorted(hashes, np.array(r["t"], np.int64)) for r in rows])
-    row = np.repeat(np.arange(len(rows)), [len(r["t"]) for r in rows])
+    y, sizes, at = _indexed(sample, hashes)
+    row = np.repeat(np.arange(len(y)), sizes)
     rng = np.random.default_rng(seed)
     w, v = np.zeros(len(hashes)), rng.normal(0, 0.02, (len(hashes), rank))
     weight = np.where(y == 1, (len(y) / (2 * y.sum())) ** 0.5, (len(y) / (2 * (len(y) - y.sum()))) ** 0.5) / len(y)
 
+    parts = [slice(k, k + (1 << 18)) for k in range(0, len(at), 1 << 18)]  # bounds the factors held at once
+
     def by(index, n, x):
         return np.stack([np.bincount(index, x[:, k], n) for k in range(x.shape[1])], axis=1)
 
@@ -89,12 +168,12 @@ def fit(sample: DataFrame, n_terms: int = 1024, min_ratio: float = 6.0, rank: in
     first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
     for step in range(1, steps + 1):
         b, w, v = params
-        s = by(row, len(y), v[at])
-        q = np.bincount(row, (v[at] ** 2).sum(1), len(y))
+        s = sum(by(row[c], len(y), v[at[c]]) for c in parts)
+        q = sum(np.bincount(row[c], (v[at[c]] ** 2).sum(1), len(y)) for c in parts)
         raw = b[0] + np.bincount(row, w[at], len(y)) + 0.5 * ((s**2).sum(1) - q)
         e = weight * (1 / (1 + np.exp(-np.clip(raw, -50, 50))) - y)
         grads = [np.array([e.sum()]), np.bincount(at, e[row], len(w)) + decay * w,
-                 by(at, len(w), e[row, None] * (s[row] - v[at])) + decay * v]
+                 sum(by(at[c], len(w), e[row[c], None] * (s[row[c]] - v[at[c]])) for c in parts) + decay * v]
         for p, g, m1, m2 in zip(params, grads, first, second, strict=True):
             m1 += 0.1 * (g - m1)
             m2 += 0.001 * (g * g - m2)
@@ -114,7 +193,7 @@ def classify(docs: DataFrame, labels: DataFrame, train: "F.Column", threshold: f
     gives no rows; other columns are ignored.
 
     The sampled ids are broadcast (bounded by ``sample_rows``), so texts are
-    never shuffled; the model is ``n_terms`` weights and factors.
+    never shuffled; the model has a weight and factors for each selected term.
     """
     known = labels.where(F.col("label").isin(0, 1) & train).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("label").cast("int").alias("label"))
     known = known.groupBy("doc_id").agg(F.max("label").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)

@@ -212,6 +212,25 @@ def test_machine_learns_a_pair_that_weights_cannot(spark):
     assert auc([(r.score, r.label) for r in out]) > 0.9
 
 
+@pytest.mark.parametrize("seed", [5, 6, 7])
+def test_pair_is_learned_with_the_settings_of_the_query(spark, seed):
+    rng = random.Random(seed)
+    rows = []
+    for i in range(800):
+        a, b = rng.random() < 0.5, rng.random() < 0.5
+        rows.append((i, " ".join((["insult"] if a else []) + (["group"] if b else []) + [f"w{rng.randint(0, 20)}"]), int(a == b)))
+    df = spark.createDataFrame(rows, "doc_id long, text string, label int")
+    out = toxicity.classify(df, df.select("doc_id", "label"), F.lit(True)).join(df.select("doc_id", "label"), "doc_id").collect()
+    assert auc([(r.score, r.label) for r in out]) > 0.9
+
+
+def test_every_term_that_tells_the_classes_apart_is_selected(spark):
+    """2,000 words that mark a class (more than the machine once took) beside a frequent one that marks none."""
+    rows = [(i, i % 2, [1, *(10 + i % 2 + 2 * (20 * (i // 2 % 50) + k) for k in range(20))]) for i in range(1000)]
+    df = spark.createDataFrame(rows, "doc_id long, label int, terms array<long>")
+    assert toxicity.select_terms(df, 6.0, 20.0).tolist() == list(range(10, 2010))
+
+
 def test_languages(spark, docs_of):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     out = language_id.identify(docs, language_id.learn_profiles(docs.where(crc_part("doc_id", 4) != 2)))
