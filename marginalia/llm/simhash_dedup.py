@@ -116,11 +116,12 @@ def near_duplicates(docs: DataFrame, width: int = 3, max_bits: int = 3, segments
     included, and ``kept`` marks the document that is its component's id.
     Null, empty and blank texts have fingerprint 0 and are linked like others;
     repeated rows come out once each; documents with null ids get fingerprints
-    but are never the smallest (component null if no other id is reached);
+    and link others, but are never the smallest (component null if no id is reached);
     an empty table gives no rows; other columns are ignored.
 
     Equal fingerprints are one row, with their smallest doc_id, before
-    anything is compared: copies cost a partial ``min`` and never meet.
+    anything is compared: copies cost a partial ``min`` and never meet.  Links
+    run between fingerprints, so one without an id links like any other.
     Different fingerprints meet where they share a chain key.  A key held by
     more than ``block`` of them is dealt in pairs of blocks, so a group holds
     two blocks at most; a group writes links to local roots, one per
@@ -159,12 +160,13 @@ def keep_one(docs: DataFrame, width: int = 3, max_bits: int = 3, segments: int =
 
 
 def _components(fps: DataFrame, max_bits: int, segments: int, block: int) -> DataFrame:
-    """(fp, component_id) of all fingerprints, written."""
-    nodes = fps.groupBy("fp").agg(F.min("doc_id").alias("node"))
-    nodes = write_shared(nodes, "nodes")
-    comp = connected_components(_bucket_links(nodes.where("node is not null"), max_bits, segments, block))
-    named = nodes.join(comp, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
-    return write_shared(named, "named")
+    """(fp, root, component_id) of all fingerprints, written: the smallest fingerprint and the smallest id of each component."""
+    nodes = write_shared(fps.groupBy("fp").agg(F.min("doc_id").alias("id")), "nodes")
+    comp = connected_components(_bucket_links(nodes.select("fp", F.col("fp").alias("node")), max_bits, segments, block))
+    comp = comp.select(F.col("node").alias("fp"), "component")
+    rooted = write_shared(nodes.join(comp, "fp", "left").select("fp", "id", F.coalesce("component", "fp").alias("root")), "rooted")
+    ids = rooted.groupBy("root").agg(F.min("id").alias("component_id"))
+    return write_shared(rooted.join(ids, "root").select("fp", "root", "component_id"), "named")
 
 
 def _bucket_links(nodes: DataFrame, max_bits: int, m: int, block: int) -> DataFrame:

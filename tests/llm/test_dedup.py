@@ -8,6 +8,7 @@ import random
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from marginalia.llm import embedding_dedup, simhash_dedup, suffix_dedup
 from marginalia.llm.components import connected_components
@@ -96,6 +97,19 @@ def test_simhash_null_ids_empty_table_and_keep_one(docs_of):
     assert simhash_dedup.near_duplicates(docs_of([])).count() == 0 == simhash_dedup.keep_one(docs_of([])).count()
 
 
+def near_texts(monkeypatch, prints):
+    """Gives texts the fingerprints of a table."""
+    monkeypatch.setattr(simhash_dedup, "fingerprints", lambda docs, width=3: docs.select("doc_id", F.element_at(F.create_map(*[F.lit(x) for kv in prints.items() for x in kv]), F.col("text")).alias("fp")))
+
+
+def test_simhash_links_through_documents_without_id(docs_of, monkeypatch):
+    """a and c differ in four bits and meet only through b, which has no id; d's copy is near nothing with an id."""
+    near_texts(monkeypatch, {"a": 0b0011, "b": 0b0000, "c": 0b1100, "d": -1, "e": -2})
+    got = simhash_dedup.near_duplicates(docs_of([(5, "a"), (None, "b"), (9, "c"), (None, "d"), (None, "e")])).collect()
+    assert {r.doc_id: r.component_id for r in got if r.doc_id} == {5: 5, 9: 5}
+    assert sorted((r.fingerprint, r.component_id) for r in got if r.doc_id is None) == [("0" * 16, 5), ("f" * 15 + "e", None), ("f" * 16, None)]
+
+
 # embeddings
 
 def plain_cosine(a, b):
