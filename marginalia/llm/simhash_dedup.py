@@ -15,7 +15,6 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 
 from marginalia.llm.common import id_and_text, slices, write_shared
 from marginalia.llm.components import connected_components
@@ -134,29 +133,35 @@ def near_duplicates(docs: DataFrame, width: int = 3, max_bits: int = 3, segments
 
 
 def keep_one(docs: DataFrame, width: int = 3, max_bits: int = 3, segments: int = 16, block: int = 4096) -> DataFrame:
-    """One document of each group of :func:`near_duplicates`, with all its columns: the one with the smallest id.
+    """One row of each group of :func:`near_duplicates`, with all its columns: the one with the smallest id.
 
-    Rows that share the id count as that document, and the smallest of them
-    (column by column) stays.  Groups without any id keep one row per
-    fingerprint.
+    A row is known by its id and its text (a digest of it), so rows that share an id, or
+    have none, are judged by their own texts.  Of a group's rows with the smallest
+    id the smallest digest stays, and of equal ones the smallest row (column by column);
+    a group without any id keeps one row likewise.
     """
-    fps = write_shared(fingerprints(docs, width), "fingerprints")
-    named = _components(fps, max_bits, segments, block)
-    ids = write_shared(named.select(F.col("component_id").alias("doc_id")).where("doc_id is not null").distinct(), "kept-ids")
-    rest = [c for c in docs.columns if c != "doc_id"]
-    one = F.min(F.struct(*[F.col(f"`{c}`") for c in rest])).alias("row")
-    kept = docs.join(ids, "doc_id", "left_semi").groupBy("doc_id").agg(one).select("doc_id", "row.*")
+    known = docs.select(*_row_key(), F.col("text").cast("string").alias("text"))
 
-    def with_fp(batches):
+    def run(batches):
         for b in slices(batches):
             fp = np.array([fingerprint(t, width) for t in b.column("text").to_pylist()], np.uint64).view(np.int64)
-            yield b.append_column("__fp", pa.array(fp))
-
-    unnamed = docs.where("doc_id is null")
-    unnamed = unnamed.mapInArrow(with_fp, StructType([*docs.schema.fields, StructField("__fp", LongType())]))
-    unnamed = unnamed.join(named.where("component_id is null").select(F.col("fp").alias("__fp")), "__fp", "left_semi")
-    unnamed = unnamed.groupBy("__fp").agg(one).select(F.lit(None).cast("long").alias("doc_id"), "row.*")
-    return kept.union(unnamed).select(*docs.columns)
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(fp)], names=["no_id", "id", "digest", "fp"])
+
+    fps = write_shared(known.mapInArrow(run, "no_id boolean, id long, digest binary, fp long"), "fingerprints")
+    named = _components(fps.select(F.when(~F.col("no_id"), F.col("id")).alias("doc_id"), "fp"), max_bits, segments, block)
+    best = fps.groupBy("fp").agg(F.min(F.struct("no_id", "id", "digest")).alias("one")).join(named, "fp")
+    best = write_shared(best.groupBy("root").agg(F.min("one").alias("one")).select("one.*"), "kept-rows")
+    keys = ["__no_id", "__id", "__digest"]
+    best = best.toDF(*keys)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *[k.alias(n) for k, n in zip(_row_key(), keys, strict=True)])
+    return rows.join(best, keys, "left_semi").groupBy(*keys).agg(F.min("row").alias("row")).select("row.*")
+
+
+def _row_key() -> list:
+    """(no_id, id, digest), never null: which rows are the same document."""
+    doc_id, text = F.col("doc_id").cast("long"), F.col("text").cast("string")
+    return [doc_id.isNull().alias("no_id"), F.coalesce(doc_id, F.lit(0)).alias("id"),
+            F.coalesce(F.unhex(F.sha2(text, 256)), F.lit(b"")).alias("digest")]
 
 
 def _components(fps: DataFrame, max_bits: int, segments: int, block: int) -> DataFrame:

@@ -110,6 +110,13 @@ def test_simhash_links_through_documents_without_id(docs_of, monkeypatch):
     assert sorted((r.fingerprint, r.component_id) for r in got if r.doc_id is None) == [("0" * 16, 5), ("f" * 15 + "e", None), ("f" * 16, None)]
 
 
+def test_keep_one_judges_rows_of_one_id_by_their_texts(docs_of):
+    a, b, c, d = (" ".join(f"{w}{i}" for i in range(30)) for w in "abcd")
+    rows = [(7, a), (7, b), (7, b), (3, a), (8, c), (8, c), (8, d), (None, d), (None, None), (0, c + " end of text no. " + b)]
+    got = [(r.doc_id, r.text) for r in simhash_dedup.keep_one(docs_of(rows)).collect()]
+    assert sorted(got, key=str) == sorted([(3, a), (7, b), (8, c), (8, d), (None, None), rows[-1]], key=str)
+
+
 # embeddings
 
 def plain_cosine(a, b):
