@@ -105,7 +105,7 @@ def _anchor_rows(batches, length: int, k: int):
                 last = max(last, int(at[-1]) + s0)
         around = [xxhash.xxh3_64_intdigest(raw[i][max(0, p - reach) : p + length], min(p, reach)) for i, p, _ in out]
         yield pa.RecordBatch.from_arrays(
-            [pa.array([docs[i] for i, _, _ in out], pa.int64()), pa.array([vs[i] for i, _, _ in out], pa.int32()), pa.array([p for _, p, _ in out], pa.int32()),
+            [pa.array([docs[i] for i, _, _ in out], pa.int64()), pa.array([vs[i] for i, _, _ in out], pa.int64()), pa.array([p for _, p, _ in out], pa.int32()),
              pa.array([s for _, _, s in out], pa.int64()), pa.array(np.array(around, np.uint64).view(np.int64))], names=["doc", "v", "pos", "seed", "around"])
 
 
@@ -197,8 +197,8 @@ def _agree(t: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-_UNIT = "key binary, s int, left binary, right binary, doc long, v int, at long, done boolean"
-_MARK = "doc long, v int, start long, end long"
+_UNIT = "key binary, s int, left binary, right binary, doc long, v long, at long, done boolean"
+_MARK = "doc long, v long, start long, end long"
 
 
 def _index_block(rows: pa.Table, length: int) -> pa.RecordBatch:
@@ -234,7 +234,7 @@ def _index_block(rows: pa.Table, length: int) -> pa.RecordBatch:
     at = rows.column("at").to_numpy()
     place = at[unit] - (middle[unit] - start)
     return pa.RecordBatch.from_arrays(
-        [pa.array(rows.column("doc").to_numpy()[unit[new]], pa.int64()), pa.array(rows.column("v").to_numpy()[unit[new]], pa.int32()),
+        [pa.array(rows.column("doc").to_numpy()[unit[new]], pa.int64()), pa.array(rows.column("v").to_numpy()[unit[new]], pa.int64()),
          pa.array(place[new], pa.int64()), pa.array(place[end] + length, pa.int64())], names=["doc", "v", "start", "end"])
 
 
@@ -281,7 +281,7 @@ def _split(units: DataFrame, length: int, ways: int) -> DataFrame:
                     cut = len(left) - (s - e)
                     k = hashlib.blake2b(b"%d %d %d " % (s, a, e) + key + left[cut:] + right[:a], digest_size=16).digest()
                     out.append((k, e - a, left[max(0, cut - (e - a - 1)) : cut], right[a : a + e - a - 1], doc, v, at - (s - e), done))
-            kinds = [pa.binary(), pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.int32(), pa.int64(), pa.bool_()]
+            kinds = [pa.binary(), pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
             cols = list(zip(*out, strict=True)) or [()] * 8
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=[x.split()[0] for x in _UNIT.split(", ")])
 
@@ -309,7 +309,7 @@ def repeated_spans(docs: DataFrame, length: int = 200, block: int = 2_000_000, w
     """
     k = min(ANCHOR, length)
     reach = length - k
-    found = docs.select("doc", "v", "text").mapInArrow(lambda bs: _anchor_rows(bs, length, k), "doc long, v int, pos int, seed long, around long")
+    found = docs.select("doc", "v", "text").mapInArrow(lambda bs: _anchor_rows(bs, length, k), "doc long, v long, pos int, seed long, around long")
     found = write_shared(found, "anchors")
     seeds = found.groupBy("seed").agg(F.count(F.lit(1)).alias("n"), F.min("around").alias("lo"), F.max("around").alias("hi")).where("n > 1")
     seeds = write_shared(seeds.select("seed", (F.col("lo") != F.col("hi")).alias("mixed")), "seeds")
@@ -333,7 +333,7 @@ def repeated_spans(docs: DataFrame, length: int = 200, block: int = 2_000_000, w
                     p = w["pos"]
                     key = hashlib.blake2b(raw[p : p + k], digest_size=16).digest()
                     out.append((key, reach + 1, raw[max(0, p - reach) : p], raw[p + k : p + length], doc, v, p, w["done"]))
-            kinds = [pa.binary(), pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.int32(), pa.int64(), pa.bool_()]
+            kinds = [pa.binary(), pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
             cols = list(zip(*out, strict=True)) or [()] * 8
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=[x.split()[0] for x in _UNIT.split(", ")])
 
@@ -362,11 +362,12 @@ def repeated_spans(docs: DataFrame, length: int = 200, block: int = 2_000_000, w
 
 def _identity() -> list:
     doc_id, text = F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return [F.coalesce(doc_id, F.lit(0)).alias("doc"), F.hash(doc_id, text).alias("v")]
+    # a null id is replaced by a hash of the text that is independent of v: 128 bits tell such rows apart, and from id 0
+    return [F.coalesce(doc_id, F.xxhash64(F.lit("no id"), text)).alias("doc"), F.xxhash64(doc_id.isNull(), doc_id, text).alias("v")]
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """doc_id, text, and (doc, v): the id with a hash that tells rows of one id apart."""
+    """doc_id, text, and (doc, v): the id with a 64-bit hash that tells rows of one id apart; without id, two such hashes."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), *_identity())
 
 

@@ -233,3 +233,12 @@ def test_repeats_keep_columns_and_empty_table(docs_of):
     assert out.columns == df.columns and out.count() == len(rows)
     assert out.where("doc_id = 200").first().text is None
     assert suffix_dedup.remove_repeats(docs_of([])).count() == 0 == suffix_dedup.without_repeats(docs_of([])).count()
+
+
+def test_identity_tells_rows_apart(spark, docs_of):
+    """No id is not id 0, and among 200,000 texts without id no two share an identity (32 bits let about 5 pairs do)."""
+    zero, null = suffix_dedup.keyed(docs_of([(0, "same"), (None, "same")])).select("doc", "v").collect()
+    assert zero.doc == 0 and zero.doc != null.doc and zero.v != null.v
+    many = spark.range(200_000).select(F.lit(None).cast("long").alias("doc_id"), F.col("id").cast("string").alias("text"))
+    for columns in (["doc", "v"], ["v"], ["doc"]):
+        assert suffix_dedup.keyed(many).select(*columns).distinct().count() == 200_000
