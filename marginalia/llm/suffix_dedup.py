@@ -49,7 +49,7 @@ class _Anchors:
     """Anchor positions of the windows of a byte array of limited size."""
 
     def __init__(self, length: int, k: int, most: int):
-        self.length, self.k = length, k
+        self.length, self.k, self.bits = length, k, np.uint64(most.bit_length())
         self.up, self.down = _powers(_BASE, most + 1), _powers(pow(_BASE, -1, 1 << 64), most + 1)
 
     def hashes(self, data: np.ndarray) -> np.ndarray:
@@ -61,7 +61,7 @@ class _Anchors:
     def __call__(self, data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Anchors of the windows at the given starts (ascending): positions, each once, and their hashes."""
         h = self.hashes(data)
-        bits = np.uint64(max(1, len(data).bit_length()))
+        bits = self.bits  # the same for every buffer, so hashes tie everywhere or nowhere
         low = (h >> bits << bits) | np.arange(len(h), dtype=np.uint64)  # ties go to the leftmost
         span, width = 1, self.length - self.k + 1
         while 2 * span <= width:

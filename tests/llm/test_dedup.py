@@ -242,3 +242,16 @@ def test_identity_tells_rows_apart(spark, docs_of):
     many = spark.range(200_000).select(F.lit(None).cast("long").alias("doc_id"), F.col("id").cast("string").alias("text"))
     for columns in (["doc", "v"], ["v"], ["doc"]):
         assert suffix_dedup.keyed(many).select(*columns).distinct().count() == 200_000
+
+
+def test_anchors_tie_alike_in_buffers_of_any_size(monkeypatch):
+    """Two hashes that differ in their lower bits only: the same string has the same anchor in a short and a long buffer."""
+    def hashes(self, data):
+        h = np.full(len(data) - self.k + 1, np.iinfo(np.uint64).max)
+        h[2], h[5] = 1 << 40 | 1 << 12, 1 << 40 | 1 << 8
+        return h
+
+    monkeypatch.setattr(suffix_dedup._Anchors, "hashes", hashes)
+    find = suffix_dedup._Anchors(40, 32, suffix_dedup._SLICE + 80)
+    short, long = (find(np.zeros(n, np.uint8), np.arange(1))[0].tolist() for n in (40, 100_000))
+    assert short == long == [2]
