@@ -54,10 +54,17 @@ def item_windows(benchmark: DataFrame, size: int = 13) -> DataFrame:
     return rows.mapInArrow(cut, "window string, item string").groupBy("window").agg(F.sort_array(F.collect_set("item")).alias("items"))
 
 
-def _build(windows: list):
-    """The automaton of one block of windows, or None if it has none."""
+def _build(block):
+    """The automaton of one block of windows, or None if it has none.
+
+    PySpark keeps a broadcast's value in the worker once it is read; it is let
+    go here and read again from the worker's disk when the next slice needs it.
+    """
     import ahocorasick
 
+    windows = block.value
+    if getattr(block, "_path", None):
+        vars(block).pop("_value", None)
     if not windows:
         return None
     a = ahocorasick.Automaton()
@@ -81,7 +88,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = 13, min_sha
 
     The windows are written to the shared folder and counted in bytes.  They
     go to the workers in blocks of at most ``block_bytes``, one automaton a
-    block, so what is broadcast is bounded whatever the benchmark's size; a
+    block, and a worker holds one block and one automaton at a time, whatever the
+    benchmark's size (with ``spark.io.encryption`` PySpark loads every block at once); its
+    disk holds all of them, and the driver passes on block after block.  A
     benchmark of one block (the usual case) takes one automaton and one scan of
     the text.  With more blocks, a task scans each slice of rows against them
     in turn and unites the hits.
@@ -141,13 +150,14 @@ _NAMES = ["n_words", "n_hit", "n_items", "items", "spans", "contaminated"]
 
 def _judged(batches, blocks: list, share, column):
     """Each slice of rows with its judgements."""
-    one = _build(blocks[0].value) if len(blocks) == 1 else None
+    one = _build(blocks[0]) if len(blocks) == 1 else None
     for b in slices(batches, (2 << 20) if len(blocks) == 1 else (32 << 20)):
         texts = b.column(column).to_pylist()
         split = [words(t) for t in texts]
         hits, items = [None] * len(split), [set() for _ in split]
         for block in blocks:
-            automaton = one or _build(block.value)
+            automaton = None  # lets go of the last one first
+            automaton = one or _build(block)
             for k, ws in enumerate(split if automaton else []):
                 hit, own = _hits(ws, automaton) if ws else (None, ())
                 if hit is not None:

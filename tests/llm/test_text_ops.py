@@ -6,6 +6,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -124,6 +125,24 @@ def test_decontamination_matches_brute_force(spark, docs_of, block_bytes):
     assert none.where("n_hit > 0").count() == 0 and decontamination.decontaminate(docs_of([]), bench).count() == 0
 
 
+def test_a_worker_holds_one_block_at_a_time(spark, monkeypatch):
+    items = spark.createDataFrame([(i, " ".join(f"w{i}x{k}" for k in range(60))) for i in range(20)], "item_id long, text string")
+    blocks = decontamination._blocks(decontamination.item_windows(items), 16_000)
+    held, build = [], decontamination._build
+
+    def counted(block):
+        out = build(block)
+        held.append(sum("_value" in vars(b) for b in blocks))
+        return out
+
+    monkeypatch.setattr(decontamination, "_build", counted)
+    batch = pa.RecordBatch.from_pydict({"text": ["w3x1 " + " ".join(f"w{i}x{k}" for i in (4, 9) for k in range(20))]})
+    for _ in range(2):  # a value that was let go can be read again
+        rows = [r for _, rs in decontamination._judged([batch], blocks, decontamination._share(0.05), "text") for r in rs]
+        assert rows[0][:4] == (41, 40, 2, ["4", "9"])
+    assert len(blocks) > 3 and len(held) == 2 * len(blocks) and max(held) == 0
+
+
 # chat format
 
 TEXTS = ["\\### Assistant: </turn> ok", "<turn>user\nx</turn>\n", "\\l \\b \\n \\\\", "<image:0>", ":>", "<", "\\", "", None, "é\n\n日本", "a<b\\l"]
