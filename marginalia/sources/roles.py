@@ -4,8 +4,10 @@ The bench ships TPC-H-style tables plus an event stream and text tables; the
 operators expect store orders, order lines, ad-platform rows, web events and
 so on.  Each role below is defined twice, once as a Spark DataFrame and once as
 the equivalent DuckDB SQL (a CTE body) used by the oracle, and the two must be
-kept in step.  Every role reads a whole table (or a partition of it into two
-complementary roles); nothing is sampled or capped.
+kept in step.  A role reads a whole table or a partition of it into two
+complementary roles, except four that filter their table and leave the rest
+unread: ``shop_costs`` and ``market_costs`` (size classes of part),
+``ad_schedule`` and ``market_ads`` (lines with status F).
 
 Only exact arithmetic on the source values is used here (no rounding), so the
 two engines produce bit-identical inputs.
