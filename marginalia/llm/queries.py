@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from marginalia.llm import (chat_format, decontamination, embedding_dedup, language_id, packing, quality, simhash_dedup, suffix_dedup,
-                            token_counts, toxicity)
+from marginalia.llm import (chat_format, collocations, conversation_repair, decontamination, embedding_dedup, language_id, packing, quality,
+                            simhash_dedup, suffix_dedup, token_counts, toxicity, url_filter)
 from marginalia.llm.common import crc_part, ship_package, table
 
 QUERIES: dict = {}
@@ -93,6 +93,24 @@ def op10_packing(spark, sf_dir):
     return out.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+@_query
+def op11_conversation_repair(spark, sf_dir):
+    return conversation_repair.repair(conversation_repair.damage(table(spark, sf_dir, "conversations")))
+
+
+URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
+
+
+@_query
+def op12_url_filter(spark, sf_dir):
+    return url_filter.judge(table(spark, sf_dir, "pages"), spark.createDataFrame(URL_RULES, "host string, path string, verdict string"))
+
+
+@_query
+def op13_collocations(spark, sf_dir):
+    return collocations.collocations(table(spark, sf_dir, "documents"), min_count=10, top=2000)
+
+
 ORACLE_SQL["op2_embedding_near_dedup"] = """
 WITH RECURSIVE v AS (
   SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings),
@@ -150,3 +168,104 @@ c AS (
 SELECT conv_id, n_turns::BIGINT AS n_turns, sha256(told) AS turns_sha256, length(loss)::BIGINT AS loss_chars, sha256(loss) AS loss_sha256,
   chars::BIGINT AS formatted_chars FROM c
 """
+
+_LIVE = r"'[^\x20\x09-\x0D]'"
+
+ORACLE_SQL["op11_conversation_repair"] = rf"""
+WITH RECURSIVE crc AS (  -- the checksum's table of bytes
+  SELECT list_transform(range(256), lambda x: list_reduce([0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, x)) AS t),
+raw AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations),
+kinds AS (
+  SELECT raw.*, xor(list_reduce(list_transform(range(1, length(k) + 1), lambda i: ascii(substr(k, i, 1))::BIGINT),
+    lambda c, b: xor(t[xor(c & 255, b) + 1], c >> 8), 4294967295::BIGINT), 4294967295) % 20 AS kind FROM raw, crc),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text, copy
+  FROM kinds, (VALUES (1), (2)) AS c(copy) WHERE kind <> 0 AND (copy = 1 OR kind = 3)),
+placed AS (
+  SELECT *, row_number() OVER w AS i, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS seen,
+    lead(role[1]) OVER w AS next_initial
+  FROM damaged WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy)),
+row_faults AS (
+  SELECT *, CASE WHEN NOT regexp_matches(text, {_LIVE}) THEN 'blank' WHEN seen > 1 THEN 'duplicate'
+    WHEN regexp_extract_all(text, {_LIVE})[-1] NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault FROM placed),
+s AS (
+  SELECT *, fault IN ('blank', 'duplicate') AS gone, CASE WHEN fault = 'truncated' THEN 1 ELSE 0 END AS extra, role[1] AS initial FROM row_faults),
+-- the cheapest way to each of four states, as eight digits of cost and the edits, so that least() gives the least cost and then the least text
+way AS (
+  SELECT conv_id, 0::BIGINT AS i, '00000000' AS a, NULL::VARCHAR AS b, NULL::VARCHAR AS c, NULL::VARCHAR AS d
+  FROM (SELECT DISTINCT conv_id FROM conversations)
+  UNION ALL
+  SELECT conv_id, i,
+    lpad((a[:8]::INT + 3)::VARCHAR, 8, '0') || a[9:] || 'D',
+    least(lpad((b[:8]::INT + 3)::VARCHAR, 8, '0') || b[9:] || 'D',
+      CASE WHEN NOT gone AND initial = 's' THEN lpad((a[:8]::INT + extra)::VARCHAR, 8, '0') || a[9:] || 'K' END),
+    least(lpad((c[:8]::INT + 3)::VARCHAR, 8, '0') || c[9:] || 'D',
+      CASE WHEN NOT gone THEN lpad((u[:8]::INT + extra + CASE WHEN initial = 'u' THEN 0 ELSE 2 END)::VARCHAR, 8, '0') || u[9:] || CASE WHEN initial = 'u' THEN 'K' ELSE 'R' END END),
+    least(lpad((d[:8]::INT + 3)::VARCHAR, 8, '0') || d[9:] || 'D',
+      CASE WHEN NOT gone THEN lpad((c[:8]::INT + extra + CASE WHEN initial = 'a' THEN 0 ELSE 2 END)::VARCHAR, 8, '0') || c[9:] || CASE WHEN initial = 'a' THEN 'K' ELSE 'R' END END)
+  FROM (
+    SELECT conv_id, i, gone, extra, initial, a, b, c, d, least(a, b, d) AS u FROM (
+      SELECT w.conv_id, s.i, s.gone, s.extra, s.initial, a, b,
+        least(c, lpad((least(a, b, d)[:8]::INT + 2)::VARCHAR, 8, '0') || least(a, b, d)[9:] || 'I') AS c,
+        least(d, lpad((c[:8]::INT + 2)::VARCHAR, 8, '0') || c[9:] || 'I', lpad((least(a, b)[:8]::INT + 4)::VARCHAR, 8, '0') || least(a, b)[9:] || 'II') AS d
+      FROM way w JOIN s ON s.conv_id IS NOT DISTINCT FROM w.conv_id AND s.i = w.i + 1))),
+ended AS (
+  SELECT conv_id, least(a, d, lpad((b[:8]::INT + 4)::VARCHAR, 8, '0') || b[9:] || 'II', lpad((c[:8]::INT + 2)::VARCHAR, 8, '0') || c[9:] || 'I') AS best
+  FROM way QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY i DESC) = 1),
+edits AS (
+  SELECT conv_id, k, best[8 + k] AS e, k - length(regexp_replace(best[9 : 8 + k], '[^I]', '', 'g')) AS i FROM (SELECT conv_id, best, unnest(range(1, length(best) - 7)) AS k FROM ended)),
+lines AS (
+  SELECT e.conv_id, k, e, role, CASE WHEN e = 'I' THEN '' ELSE text END AS text, row_number() OVER (PARTITION BY e.conv_id ORDER BY k) AS place,
+    coalesce(first_value(e = 'K' AND initial = 's') OVER (PARTITION BY e.conv_id ORDER BY k), false) AS led
+  FROM edits e LEFT JOIN s ON s.conv_id IS NOT DISTINCT FROM e.conv_id AND s.i = e.i WHERE e <> 'D'),
+repaired AS (
+  SELECT conv_id, string_agg(CASE WHEN e = 'K' THEN role WHEN (place - led::INT) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || text, chr(10) ORDER BY k) AS told
+  FROM lines GROUP BY conv_id),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+    count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (next_initial IS NOT NULL AND initial || next_initial NOT IN ('su', 'ua', 'au')) AS illegal FROM s GROUP BY conv_id)
+SELECT ended.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+  coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, best[:8]::BIGINT AS cost, best[9:] AS audit, sha256(coalesce(told, '')) AS repaired_sha256
+FROM ended LEFT JOIN counts ON counts.conv_id IS NOT DISTINCT FROM ended.conv_id LEFT JOIN repaired ON repaired.conv_id IS NOT DISTINCT FROM ended.conv_id
+"""
+
+ORACLE_SQL["op12_url_filter"] = r"""
+WITH cut AS (
+  SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+u AS (
+  SELECT row_number() OVER () AS n, page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1), '^[^?#]*') AS path FROM cut),
+rules(h, p, verdict) AS (VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'), ('com', '/fr/', 'allow'), ('com', '/de/', 'block'))
+SELECT page_id, host, path, arg_max(h || p, length(h || p)) AS rule, coalesce(arg_max(verdict, length(h || p)), 'allow') AS verdict
+FROM u LEFT JOIN rules ON (host = h OR suffix(host, '.' || h)) AND starts_with(path, p)
+GROUP BY n, page_id, host, path
+"""
+
+ORACLE_SQL["op13_collocations"] = r"""
+WITH pieces AS (
+  SELECT lang, row_number() OVER () AS id, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents WHERE text IS NOT NULL)),
+words AS (SELECT lang, id, w, unnest(range(1, len(w) + 1)) AS i FROM pieces),
+grams AS (
+  SELECT lang, k, list_slice(w, i, i + k - 1) AS p, count(*) AS f FROM words, (VALUES (1), (2), (3)) AS s(k) WHERE i + k - 1 <= len(w) GROUP BY ALL),
+total AS (SELECT lang, sum(f) AS n FROM grams WHERE k = 1 GROUP BY lang),
+cand AS (SELECT lang, k, p, f AS a FROM grams WHERE k > 1 AND f >= 10),
+inner_max AS (
+  SELECT lang, p, max(a) AS longer FROM (
+    SELECT lang, list_slice(p, 1, 2) AS p, a FROM cand WHERE k = 3 UNION ALL SELECT lang, list_slice(p, 2, 3), a FROM cand WHERE k = 3) GROUP BY ALL),
+kept AS (SELECT c.* FROM cand c LEFT JOIN inner_max m ON m.lang = c.lang AND m.p = c.p WHERE longer IS NULL OR 100 * longer < 50 * a),
+cuts AS (
+  SELECT kept.lang, kept.p, a, cut, x.f AS l, y.f AS r, ((1000000::HUGEINT * a * a) // (x.f::HUGEINT * y.f))::BIGINT AS score
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM kept) kept
+  JOIN grams x ON x.lang = kept.lang AND x.k = cut AND x.p = list_slice(kept.p, 1, cut)
+  JOIN grams y ON y.lang = kept.lang AND y.k = kept.k - cut AND y.p = list_slice(kept.p, cut + 1, kept.k)),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, cut) = 1),
+ranked AS (SELECT *, array_to_string(p, ' ') AS phrase FROM best)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n::BIGINT AS n, score
+FROM ranked JOIN total USING (lang) QUALIFY rank <= 2000
+"""
