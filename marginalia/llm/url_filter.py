@@ -157,9 +157,10 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = ALLOW, max_bytes: i
     urls = pages.select(F.col("page_id").alias("page_id"), url_host(url).alias("host"), url_path(url).alias("path"))
     stored = write_shared(entries(rules), "url-rules")
     size = stored.agg(F.sum(F.octet_length("entry") + 4 * F.size("lengths") + 25), F.max(F.when(~F.col("entry").contains("/"), F.octet_length("entry")))).first()
+    most = size[1] or 0
     if (size[0] or 0) > max_bytes:
-        return _judge_by_join(urls, stored, default)
-    name, most = f"url-rules-{uuid.uuid4().hex}", size[1] or 0
+        return _judge_by_join(urls, stored, default, most)
+    name = f"url-rules-{uuid.uuid4().hex}"
     path = Path(tempfile.mkdtemp(prefix="marginalia-")) / name
     _write_array(stored.collect(), str(path))
     spark.sparkContext.addFile(str(path))
@@ -177,12 +178,15 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = ALLOW, max_bytes: i
     return urls.mapInArrow(run, f"page_id {kind}, host string, path string, rule string, verdict string")
 
 
-def _judge_by_join(urls: DataFrame, stored: DataFrame, default: str) -> DataFrame:
+def _judge_by_join(urls: DataFrame, stored: DataFrame, default: str, most: int) -> DataFrame:
     """The same judgement for a list too large to send: the distinct urls' candidates join the entries."""
     keyed = stored.select(F.xxhash64("entry").alias("_key"), "entry", F.col("verdict").alias("_v"), "lengths")
     seen = urls.select("host", "path").distinct()
-    labels = F.split("host", r"\.")
+    tail = F.right(F.col("host"), F.lit(most + 1))  # no longer domain has a rule
+    labels = F.split(tail, r"\.")
+    labels = F.when(F.char_length("host") > most + 1, F.slice(labels, F.lit(2), F.size(labels))).otherwise(labels)  # not a label that is cut
     suffix = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels) - i + 1), "."))
+    suffix = F.when(F.size(labels) > 0, suffix)
     tried = seen.select("host").distinct().select("host", F.explode(suffix).alias("entry")).withColumn("_key", F.xxhash64("entry"))
     hosts = tried.join(keyed, ["_key", "entry"]).select("host", F.col("entry").alias("_domain"), "_v", "lengths")
     fits = seen.join(hosts, "host")
