@@ -46,8 +46,7 @@ def tokenize(data: bytes) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     piece = np.searchsorted(np.flatnonzero(kind == 2), start)
     ends = np.concatenate(([0], np.cumsum(end - start))).astype(np.int64)
     kept = _FOLD[raw[kind == 0]]
-    words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(ends), pa.py_buffer(kept)])
-    return words, piece, start
+    return _binary(ends, kept), piece, start
 
 
 def _blocks(texts: list[bytes], size: int) -> Iterator[tuple[bytes, int]]:
@@ -122,13 +121,13 @@ class CountTransducer:
     def paths(self) -> tuple[np.ndarray, np.ndarray]:
         """All n-grams with a weight, in ascending order, and their weights."""
         if not self.levels:
-            return np.empty((0, MAX_WORDS), np.int64), np.empty(0, np.int64)
-        state, prefix = np.zeros(1, np.int64), np.empty((1, 0), np.int64)
+            return np.empty((0, MAX_WORDS), np.int32), np.empty(0, np.int64)
+        state, prefix = np.zeros(1, np.int64), np.empty((1, 0), np.int32)
         rows, weights = [], []
         for ends, label, weight, target in self.levels:
             n = ends[state + 1] - ends[state]
             arc = np.repeat(ends[state] - np.cumsum(n) + n, n) + np.arange(n.sum())
-            prefix = np.column_stack([np.repeat(prefix, n, axis=0), label[arc]])
+            prefix = np.column_stack([np.repeat(prefix, n, axis=0), label[arc].astype(np.int32)])
             rows.append(np.pad(prefix, ((0, 0), (0, len(self.levels) - prefix.shape[1])), constant_values=-1))
             weights.append(weight[arc])
             on = target[arc] >= 0
@@ -162,13 +161,29 @@ class CountTransducer:
         return out
 
     def dumps(self) -> bytes:
-        small = [tuple(x.astype(_least(x)) for x in level) for level in self.levels]
-        return zlib.compress(pickle.dumps((b" ".join(self.words.to_pylist()), small, self.total)), 1)
+        ends, text = _raw(self.words)
+        size = np.diff(ends)
+        arrays = [size.astype(_least(size)), text, *(x.astype(_least(x)) for level in self.levels for x in level)]
+        return zlib.compress(pickle.dumps((self.total, arrays)), 1)
 
     @classmethod
     def loads(cls, blob: bytes) -> CountTransducer:
-        words, levels, total = pickle.loads(zlib.decompress(blob))
-        return cls(pa.array(words.split(b" ") if words else [], pa.large_binary()), [tuple(x.astype(np.int64) for x in level) for level in levels], total)
+        total, (size, text, *arrays) = pickle.loads(zlib.decompress(blob))
+        arrays = [x.astype(np.int64) for x in arrays]
+        return cls(_binary(np.concatenate(([0], np.cumsum(size, dtype=np.int64))), text), [tuple(arrays[k : k + 4]) for k in range(0, len(arrays), 4)], total)
+
+
+def _raw(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets and bytes of large binaries."""
+    if not len(words):
+        return np.zeros(1, np.int64), np.empty(0, np.uint8)
+    _, ends, data = words.buffers()
+    ends = np.frombuffer(ends, np.int64)[words.offset : words.offset + len(words) + 1]
+    return ends - ends[0], np.frombuffer(data, np.uint8)[ends[0] : ends[-1]]
+
+
+def _binary(ends: np.ndarray, data: np.ndarray) -> pa.Array:
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(data)])
 
 
 def _least(x: np.ndarray) -> np.dtype:
@@ -206,7 +221,7 @@ def _keys(ids: np.ndarray, n_words: int) -> np.ndarray | None:
     """One integer a row in the order of the rows, or None where 62 bits are too few."""
     if (n_words + 1) ** ids.shape[1] >= 1 << 62:
         return None
-    key = ids[:, 0] + 1
+    key = ids[:, 0].astype(np.int64) + 1
     for k in range(1, ids.shape[1]):
         key = key * (n_words + 1) + ids[:, k] + 1
     return key
@@ -253,10 +268,16 @@ def count_shard(data: bytes, skip: int = 0) -> tuple[pa.Array, np.ndarray, np.nd
     if cols:
         rows = np.concatenate(cols)
         return words, *_summed(rows, np.ones(len(rows), np.int64), len(words)), total
-    key = np.sort(np.concatenate(keys)) if keys else np.empty(0, np.int64)
+    key = np.concatenate(keys) if keys else np.empty(0, np.int64)
+    del keys, ids, piece, found
+    key.sort()
     first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.empty(0, np.int64)
     weights, key = np.diff(np.append(first, len(key))), key[first]
-    return words, np.column_stack([key // base**2 - 1, key // base % base - 1, key % base - 1]), weights, total
+    rows = np.empty((len(key), MAX_WORDS), np.int32)
+    for k in range(MAX_WORDS - 1, -1, -1):
+        rows[:, k] = key % base - 1
+        key //= base
+    return words, rows, weights, total
 
 
 def union(pieces: list[CountTransducer]) -> CountTransducer:
@@ -267,7 +288,7 @@ def union(pieces: list[CountTransducer]) -> CountTransducer:
     rows, weights, at = [], [], 0
     for p in pieces:
         ids, w = p.paths()
-        own = np.append(number[at : at + len(p.words)], -1)  # -1 stays -1
+        own = np.append(number[at : at + len(p.words)], -1).astype(np.int32)  # -1 stays -1
         at += len(p.words)
         rows.append(np.pad(own[ids], ((0, 0), (0, MAX_WORDS - ids.shape[1])), constant_values=-1))
         weights.append(w)
