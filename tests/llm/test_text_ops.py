@@ -1,8 +1,10 @@
 """Counting, packing, decontamination, chat format and the classifiers."""
 
 import hashlib
+import math
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -13,6 +15,7 @@ from pyspark.sql import functions as F
 from marginalia.llm import chat_format, decontamination, language_id, packing, quality, token_counts, tokens, toxicity
 from marginalia.llm.common import crc_part
 
+LONG_RUN = "a" + " " * 1_000_000 + "b"
 ODD = [None, "", " ", "  two  spaces\t\n\n x", "<|endoftext|> text", "é" * 300, "日本語 テキスト", "a" * 5000, "don't we'll 123  456\n", " x  y"]
 
 
@@ -22,14 +25,14 @@ def library():
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     return lambda text: t.encode(text or "", add_special_tokens=False).ids
 
 
 def test_ids_are_those_of_the_tokenizer_file(library):
     rng = random.Random(1)
     texts = ODD + ["".join(rng.choice("ab é\n\t 1.'s<|>") for _ in range(200)) for _ in range(50)]
-    for t in texts:
+    assert library("hello <|endoftext|> world") == [31373, 220, 50256, 995]
+    for t in [*texts, "<|endoftext|><|endoftext|>x<|endoftext|", LONG_RUN, " " * 1_000_000, "\n" * 900_000 + "."]:
         assert tokens.encode(t).tolist() == library(t)
 
 
@@ -52,7 +55,7 @@ def test_histogram(docs_of, library):
 
 def test_packing_is_a_partition_of_all_ids(docs_of, library):
     rng = random.Random(2)
-    rows = [(i, t) for i, t in enumerate(ODD)] + [(None, None), (3, "again")] + [(100 + i, "word " * rng.randint(0, 1500)) for i in range(80)]
+    rows = [(i, t) for i, t in enumerate([*ODD, LONG_RUN])] + [(None, None), (3, "again")] + [(100 + i, "word " * rng.randint(0, 1500)) for i in range(80)]
     out = packing.pack(docs_of(rows).repartition(3), capacity=256).collect()
     by_id = {}
     for r in out:
@@ -268,3 +271,97 @@ def test_order_of_letters_counts():
     a, b = (next(iter(language_id._bundles([t], 1024, 3, 7)))[1] for t in ("abc abc", "cba cba"))
     assert abs(a @ b) < 0.5 * np.linalg.norm(a) * np.linalg.norm(b)
     assert hashlib.sha256(a.tobytes()).hexdigest() == hashlib.sha256(next(iter(language_id._bundles(["ABC,abc"], 1024, 3, 7)))[1].tobytes()).hexdigest()
+
+
+# brute force of the classifiers
+
+def test_language_scores_are_plain_cosines(spark):
+    """Profiles and cosines from lists of letters, product by product."""
+    dims, n = 64, 3
+    letters = language_id._letters(dims, n, 7)
+    slot = language_id._slot_of()
+
+    def bundle(text):
+        marks = [int(slot[ord(c)]) for c in f" {text.lower()} "]
+        marks = [m for k, m in enumerate(marks) if not k or m or marks[k - 1]]
+        total = [0] * dims
+        for k in range(len(marks) - n + 1):
+            for d in range(dims):
+                v = 1
+                for place in range(n):
+                    v *= int(letters[place][marks[k + place]][d])
+                total[d] += v
+        return total
+
+    rng = random.Random(3)
+    rows = [(i, "".join(rng.choice("abé ß,.Z9") for _ in range(rng.randint(1, 40))), rng.choice(["x", "y", None])) for i in range(100)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    sums = {}
+    for _, text, lang in rows:
+        if lang and any(slot[ord(c)] for c in text.lower()):
+            sums[lang] = [a + b for a, b in zip(sums.get(lang, [0] * dims), bundle(text))]
+    got = {r.doc_id: r for r in language_id.identify(df, language_id.learn_profiles(df, dims=dims, n=n), dims=dims, n=n).collect()}
+    norm = lambda v: math.sqrt(sum(a * a for a in v))
+    for i, text, _ in rows:
+        b = bundle(text)
+        if not any(slot[ord(c)] for c in text.lower()):
+            assert (got[i].lang_pred, got[i].score) == ("und", 0.0)
+            continue
+        cosines = {x: sum(p * q for p, q in zip(v, b)) / norm(v) / norm(b) if norm(b) else 0 for x, v in sums.items()}
+        best = max(cosines.values())
+        assert got[i].score == pytest.approx(max(0, best), abs=1e-6) and cosines.get(got[i].lang_pred, 0) == pytest.approx(best, abs=1e-6)
+
+
+def test_chunks_of_a_long_text_change_no_gram(monkeypatch):
+    rng = random.Random(8)
+    texts = ["".join(rng.choice("ab  .Éc") for _ in range(k)) for k in (1, 5, 6, 7, 40, 333)] + ["   ", "a" * 50, ""]
+    whole = [language_id._grams(t, 3).tolist() for t in texts]
+    for size in (1, 2, 3, 7):
+        monkeypatch.setattr(language_id, "_CHUNK", size)
+        assert [language_id._grams(t, 3).tolist() for t in texts] == whole
+
+
+def test_quality_scores_are_plain_log_densities(spark):
+    rng = random.Random(6)
+    rows = [(i, " ".join(rng.choice(["word", "Some", "1,2", "!!", "end."]) for _ in range(rng.randint(0, 60))), int(rng.random() < 0.4)) for i in range(100)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, label int")
+    got = {r.doc_id: r.score for r in quality.classify(docs, labels, F.lit(True), threshold=0.3).collect()}
+    x = np.array([quality.statistics(r[1]) for r in rows])
+    y = np.array([r[2] for r in rows])
+    centre, scale = x.mean(0), np.sqrt(np.maximum(x.var(0), 1e-6))
+    z = (x - centre) / scale
+    log = []
+    for c in (0, 1):
+        own = z[y == c]
+        cov = np.cov(own.T, bias=True)
+        cov = 0.9 * cov + 0.1 * max(np.trace(cov) / len(cov), 1e-3) * np.eye(len(cov))
+        d = np.clip(z, -12, 12) - own.mean(0)
+        log.append(np.log(len(own) / len(z)) - 0.5 * np.linalg.slogdet(cov)[1] - 0.5 * (d * np.linalg.solve(cov, d.T).T).sum(1))
+    want = 1 / (1 + np.exp(np.clip((log[0] - log[1]) / math.sqrt(x.shape[1]), -500, 500)))
+    assert max(abs(got[i] - want[i]) for i in range(len(rows))) < 1e-9
+
+
+def test_edges_are_counted_in_linear_time():
+    slow = re.compile(r"[^\w\s]{2,}(?=\s|$)")
+    rng = random.Random(7)
+    for _ in range(300):
+        t = "".join(rng.choice("a=. \n_é!") for _ in range(30))
+        assert len(quality._EDGE.findall(t)) == len(slow.findall(t)), t
+    began = time.time()
+    quality.statistics("=" * 2_000_000 + "a")
+    assert time.time() - began < 20
+
+
+def test_toxicity_scores_are_plain_sums_over_pairs():
+    rng = np.random.default_rng(2)
+    known = np.unique(np.concatenate([toxicity.terms(t) for t in ("you are a fool", "nice little house", "the fool on the hill")]))
+    m = toxicity.Model(known, 0.3, rng.normal(size=len(known)), rng.normal(size=(len(known), 4)))
+    place = {t: k for k, t in enumerate(known.tolist())}
+    for text in ["", None, "you fool", "a nice house for a fool", "nothing known 123", "the hill " * 50]:
+        at = [place[t] for t in list(toxicity.terms(text)) if t in place]
+        raw = 0.3 + sum(m.weights[k] for k in at)
+        for a in range(len(at)):
+            for b in range(a + 1, len(at)):
+                raw += sum(float(m.factors[at[a]][f]) * float(m.factors[at[b]][f]) for f in range(4))
+        assert m.score(toxicity.terms(text)) == pytest.approx(1 / (1 + math.exp(-raw)), abs=1e-9)
