@@ -21,8 +21,14 @@ from pyspark.sql import functions as F
 from marginalia.llm.common import slices, write_shared
 from marginalia.llm.components import connected_components
 
-#: Room for rounding in the geometric bounds; the cosine itself is compared as it is.
-SLACK = 1e-9
+def slack(dims: int) -> float:
+    """Room for rounding in the geometric bounds.
+
+    A product of unit vectors is off by at most about ``dims`` units of rounding, and the root of
+    2 - 2x turns an error e near zero into the root of 2e; a bound adds up to four such distances.
+    """
+    return 4 * math.sqrt(2 * (dims + 4) * np.finfo(np.float64).eps)
+
 
 
 def _unit(batch: pa.RecordBatch) -> list[np.ndarray | None]:
@@ -130,9 +136,9 @@ def near_duplicates(vectors: DataFrame, min_cosine: float = 0.98, vectors_per_pi
                 seen[at] = True
                 d = _distances(x, p)
                 name = b.column(2)[int(at[0])].as_py()
-                reach = np.array([radius.value.get((name, c), -9.0) for c in range(len(p))]) + r + SLACK
+                reach = np.array([radius.value.get((name, c), -9.0) for c in range(len(p))]) + r + slack(x.shape[1])
                 home = d.argmin(1)
-                need = (d <= reach[None, :]) & (d <= d.min(1)[:, None] + 2 * r + SLACK)
+                need = (d <= reach[None, :]) & (d <= d.min(1)[:, None] + 2 * r + slack(x.shape[1]))
                 need[np.arange(len(at)), home] = True
                 i, c = np.nonzero(need)
                 which.append(at[i])
@@ -184,7 +190,12 @@ def _compare(t: pa.Table, same: bool, second: int, min_cosine: float) -> pa.Tabl
     x = np.stack([np.frombuffer(u) for u in t.column("unit").to_pylist()])
     a = np.arange(len(node)) if same else np.flatnonzero(own != second)
     b = a if same else np.flatnonzero(own == second)
-    linked = x[a] @ x[b].T >= min_cosine
+    cosine = x[a] @ x[b].T
+    linked = cosine >= min_cosine
+    i, j = np.nonzero(np.abs(cosine - min_cosine) < 1e-9)  # the same sum for a pair wherever it is compared
+    for at in range(0, len(i), 1 << 14):
+        p, q = i[at : at + (1 << 14)], j[at : at + (1 << 14)]
+        linked[p, q] = (x[a[p]] * x[b[q]]).sum(1) >= min_cosine
     if same:
         np.fill_diagonal(linked, False)
     n = np.zeros(len(node), np.int64)
