@@ -43,19 +43,25 @@ def _letters(dims: int, n: int, seed: int) -> list[np.ndarray]:
 
 
 def _grams(text: str, n: int) -> np.ndarray:
-    """Codes of a text's n-grams over slots; runs of other characters count as one, and a text begins and ends with one."""
-    out = []
-    for at in range(0, len(text), _CHUNK):  # bounds memory: n-grams do not reach over a border of 2**20 characters
-        s = _slot_of()[np.frombuffer(text[at : at + _CHUNK].lower().encode("utf-32-le", "surrogatepass"), np.uint32)]
-        if not s.any():
-            continue
-        s = np.concatenate(([0], s, [0])).astype(np.int64)
+    """Codes of a text's n-grams over slots; runs of other characters count as one, and a text begins and ends with one.
+
+    A text is taken in chunks; each goes on with the last ``n - 1`` slots of the one before.
+    """
+    out, text, some = [], text.lower(), False
+    carry = np.zeros(1, np.int64)
+    for at in range(0, len(text), _CHUNK):
+        s = _slot_of()[np.frombuffer(text[at : at + _CHUNK].encode("utf-32-le", "surrogatepass"), np.uint32)]
+        some = some or bool(s.any())
+        s = np.concatenate((carry, s.astype(np.int64), np.zeros(int(at + _CHUNK >= len(text)), np.int64)))
         s = s[np.concatenate(([True], (s[1:] != 0) | (s[:-1] != 0)))]
+        carry = s[-(n - 1) :] if n > 1 else s[:0]
+        if len(s) < n:
+            continue
         code = s[: len(s) - n + 1]
         for place in range(1, n):
             code = code * SLOTS + s[place : len(s) - n + 1 + place]
         out.append(code)
-    return np.concatenate(out) if out else np.empty(0, np.int64)
+    return np.concatenate(out) if some and out else np.empty(0, np.int64)
 
 
 def _vectors(codes: np.ndarray, dims: int, n: int, seed: int) -> np.ndarray:
