@@ -60,6 +60,12 @@ def id_and_text(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
+def place_of(df: DataFrame, name: str) -> int:
+    """Where the column is that Spark takes for ``name``: the one so written, else the one that differs in case."""
+    names = df.columns
+    return names.index(name) if name in names else [c.lower() for c in names].index(name)
+
+
 def slices(batches: Iterator[pa.RecordBatch], max_bytes: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches into runs of rows of about ``max_bytes`` (one row at least).
 

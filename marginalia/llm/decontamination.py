@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marginalia.llm.common import id_and_text, slices, write_shared
+from marginalia.llm.common import id_and_text, place_of, slices, write_shared
 
 #: Words are runs of anything but ASCII characters other than digits and letters; A-Z count as a-z.
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
@@ -173,10 +173,10 @@ def _share(min_share: float) -> Fraction:
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 13, min_share: float = 0.05, block_bytes: int = 16 << 20) -> DataFrame:
     """The documents that :func:`decontaminate` finds clean, as they are, with all their columns."""
     blocks = _blocks(write_shared(item_windows(benchmark, size), "windows"), block_bytes)
-    share = _share(min_share)
+    share, at = _share(min_share), place_of(docs, "text")
 
     def run(batches):
-        for b, rows in _judged(batches, blocks, share, "text"):
+        for b, rows in _judged(batches, blocks, share, at):
             yield b.filter(pa.array([not r[-1] for r in rows]))
 
     return docs.mapInArrow(run, docs.schema)

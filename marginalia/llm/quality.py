@@ -19,11 +19,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marginalia.llm.common import id_and_text, slices, write_shared
+from marginalia.llm.common import id_and_text, place_of, slices, write_shared
 
 FEATURES = ("log_chars", "word_length", "upper", "digits", "marks", "spaces", "marked_words", "word_variety", "top_word",
             "next_repeat", "line_variety", "line_length", "line_words", "letter_entropy", "compressed")
-_EDGE = re.compile(r"[^\w\s]{2,}(?=\s|$)")
+#: A whole run of marks before white space or the end; starts only where a run does and gives nothing back, so time is linear.
+_EDGE = re.compile(r"(?<![^\w\s])[^\w\s]{2,}+(?!\w)")
 
 
 def _share(part: float, whole: float) -> float:
@@ -135,12 +136,12 @@ def learn(docs: DataFrame, labels: DataFrame, train: "F.Column", shrinkage: floa
 
 def keep_good(docs: DataFrame, labels: DataFrame, train: "F.Column", threshold: float = 0.3, shrinkage: float = 0.1) -> DataFrame:
     """The documents that :func:`classify` accepts, as they are, with all their columns."""
-    held = docs.sparkSession.sparkContext.broadcast(learn(docs, labels, train, shrinkage)[0])
+    held, at = docs.sparkSession.sparkContext.broadcast(learn(docs, labels, train, shrinkage)[0]), place_of(docs, "text")
 
     def run(batches):
         for b in slices(batches):
             if held.value:
-                x = np.array([statistics(t) for t in b.column("text").to_pylist()], np.float64)
+                x = np.array([statistics(t) for t in b.column(at).to_pylist()], np.float64)
                 b = b.filter(pa.array(held.value.scores(x) >= threshold))
             yield b
 

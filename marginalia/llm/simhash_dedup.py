@@ -137,8 +137,9 @@ def keep_one(docs: DataFrame, width: int = 3, max_bits: int = 3, segments: int =
 
     A row is known by its id and its text (a digest of it), so rows that share an id, or
     have none, are judged by their own texts.  Of a group's rows with the smallest
-    id the smallest digest stays, and of equal ones the smallest row (column by column);
-    a group without any id keeps one row likewise.
+    id the smallest digest stays, and of equal ones, copies of one text under one id, the row
+    whose columns have the smallest digest; a group without any id keeps one row likewise.
+    Columns of any type are kept as they are.
     """
     known = docs.select(*_row_key(), F.col("text").cast("string").alias("text"))
 
@@ -154,7 +155,8 @@ def keep_one(docs: DataFrame, width: int = 3, max_bits: int = 3, segments: int =
     keys = ["__no_id", "__id", "__digest"]
     best = best.toDF(*keys)
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *[k.alias(n) for k, n in zip(_row_key(), keys, strict=True)])
-    return rows.join(best, keys, "left_semi").groupBy(*keys).agg(F.min("row").alias("row")).select("row.*")
+    rest = F.sha2(F.to_json("row"), 256)  # maps have no order of their own
+    return rows.join(best, keys, "left_semi").groupBy(*keys).agg(F.min_by("row", rest).alias("row")).select("row.*")
 
 
 def _row_key() -> list:

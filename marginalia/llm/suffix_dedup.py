@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marginalia.llm.common import slices, write_shared
+from marginalia.llm.common import place_of, slices, write_shared
 
 ANCHOR = 32
 _M = (1 << 64) - 1
@@ -114,7 +114,7 @@ def suffix_array(t: np.ndarray) -> np.ndarray:
     n = len(t)
     p = np.concatenate([t, np.zeros(2, np.int64)])
     key = (p[:n] + 1 << 42) | (p[1 : n + 1] << 21) | p[2 : n + 2]
-    sa = np.argsort(key, kind="stable")
+    sa = np.argsort(key)  # equal keys stay one group, whatever their order
     ordered = key[sa]
     head = np.concatenate(([True], ordered[1:] != ordered[:-1]))
     group = np.maximum.accumulate(np.where(head, np.arange(n), 0))
@@ -127,7 +127,7 @@ def suffix_array(t: np.ndarray) -> np.ndarray:
             return sa
         sub = sa[slots]
         key = (group[slots] << 32) | (rank[np.minimum(sub + h, n)] + 1)
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         sa[slots] = sub = sub[order]
         key = key[order]
         head[slots] = own = np.concatenate(([True], key[1:] != key[:-1]))
@@ -424,16 +424,20 @@ def without_repeats(docs: DataFrame, length: int = 200, block: int = 2_000_000,
     cut has torn apart go with the cut.  Null texts stay null.
     """
     by_doc = _marks_by_document(keyed(docs), length, block, ways)
+    at = place_of(docs, "text")
 
     def cut(batches):
         for b in slices(batches, 4 * _SLICE):
-            texts, m = b.column("text").to_pylist(), b.column("__marks").to_pylist()
+            texts, m = b.column(at).to_pylist(), b.column(b.num_columns - 1).to_pylist()
             new = [t if not x else _cleaned(t.encode(), x)[1].decode(errors="ignore") for t, x in zip(texts, m, strict=True)]
-            cols = {c: b.column(c) for c in b.schema.names[:-1]} | {"text": pa.array(new, pa.string())}
-            yield pa.RecordBatch.from_arrays([cols[c] for c in b.schema.names[:-1]], names=b.schema.names[:-1])
+            cols = [*b.columns[:at], pa.array(new, pa.string()), *b.columns[at + 1 : -1]]
+            yield pa.RecordBatch.from_arrays(cols, names=b.schema.names[:-1])
 
     names = [F.col(f"`{c}`") for c in docs.columns]
-    key = [x.alias(f"__{n}") for x, n in zip(_identity(), ("doc", "v"), strict=True)]
-    marks = by_doc.select(F.col("doc").alias("__doc"), F.col("v").alias("__v"), F.col("m").alias("__marks"))
-    out = docs.select(*names, *key).join(marks, ["__doc", "__v"], "left").select(*names, "__marks").mapInArrow(cut, docs.schema)
+    rows = docs.select(F.struct(*names).alias("row"), *_identity())  # no column of the table can clash
+    marks = "m"
+    while marks.lower() in {c.lower() for c in docs.columns}:
+        marks += "_"
+    rows = rows.join(by_doc, ["doc", "v"], "left").select("row.*", F.col("m").alias(marks))
+    out = rows.mapInArrow(cut, docs.schema)
     return out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out

@@ -148,6 +148,17 @@ def test_embeddings_match_brute_force(spark, options):
     assert len(linked) > 100
 
 
+@pytest.mark.parametrize("options", [{}, {"vectors_per_pivot": 1, "max_pivots": 2}, {"vectors_per_pivot": 1, "max_pivots": 9, "block": 2}])
+def test_embeddings_beside_the_bound(spark, options):
+    """Vectors so near a pivot that rounding of their distance exceeds what parts them from the bound."""
+    edge = math.acos(0.98)
+    angles = [0.0, 1e-8, edge + 8e-9, edge - 2e-9, -1e-8, edge + 1.3e-8]
+    rows = [(i, [math.cos(t), math.sin(t)], 0) for i, t in enumerate(angles)]
+    got = embedding_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"), **options).collect()
+    links = collections.Counter(x for a in rows for b in rows if a[0] < b[0] and plain_cosine(a[1], b[1]) >= 0.98 for x in (a[0], b[0]))
+    assert {r.vec_id: r.n_links for r in got} == {i: links[i] for i in range(len(rows))}
+
+
 def test_embeddings_empty(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert embedding_dedup.near_duplicates(df).count() == 0
@@ -226,6 +237,23 @@ def test_long_text_is_taken_by_runs_of_windows(docs_of, monkeypatch):
     assert (out.n_removed, out.n_spans) == (1600, 2)
 
 
+def test_rows_of_any_columns_pass(spark):
+    """Columns named like the operators' own, maps, and a text column in capitals."""
+    from marginalia.llm import decontamination, quality
+
+    words = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, words + " a", "x", {"k": 1}), (1, words + " a", "x", {"k": 1}), (2, "b " + words, "y", {}), (3, None, None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, TEXT string, __doc string, m map<string,int>").selectExpr("*", "__doc as __v", "1 as __marks", "2 as `row`")
+    cut = suffix_dedup.without_repeats(df, length=50).collect()
+    assert [(r.doc_id, r.TEXT, r.m) for r in sorted(cut, key=str)] == [(1, "", {"k": 1})] * 2 + [(2, "b ", {}), (3, None, None)]
+    one = simhash_dedup.keep_one(df).select("doc_id", "TEXT", "m", "__marks").collect()
+    assert sorted((r.doc_id, r.m) for r in one) == [(1, {"k": 1}), (2, {}), (3, None)] and df.columns == simhash_dedup.keep_one(df).columns
+    bench = spark.createDataFrame([("q", words)], "item_id string, text string")
+    assert [r.doc_id for r in decontamination.drop_contaminated(df, bench).collect()] == [3]
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, label int")
+    assert quality.keep_good(df, labels, F.lit(True)).columns == df.columns
+
+
 def test_repeats_keep_columns_and_empty_table(docs_of):
     rows = repeat_rows(random.Random(6))
     df = docs_of(rows)
