@@ -57,56 +57,22 @@ EXPENSE_BUCKETS = [
 ]
 OTHER_BUCKET = "Other Operating"
 
-# Affiliate partner rules, first match wins (fixed values, in the reference's
-# order): (channel or None for any, LIKE pattern on the match text, partner)
+# Affiliate partner rules, first match wins: (channel or None for any, LIKE pattern on the match text, partner).
+# A sample; a deployment's own rules come as a seed (:func:`partner_rules`).
 PARTNER_RULES = [
-    ("Bank", "tremendous%", "CRBN"),
-    ("Bank", "pickleball opco%", "Pickleball Central"),
-    ("Bank", "pickleball topco%", "Pickleball Central"),
-    ("Bank", "hsi inc%", "HSI Inc"),
-    ("Bank", "sport squad%", "Joola"),
-    ("Bank", "babolat%", "Babolat"),
-    ("Bank", "ronbus%", "Ronbus"),
-    ("Bank", "impact radius%", "Impact Radius"),
-    ("Bank", "payoneer%", "Payoneer"),
-    ("Bank", "reload technolog%", "Reload Technologies"),
-    ("Bank", "revolin%", "Revolin Sports"),
+    ("Bank", "payout desk%", "Payout Desk"),
+    ("Bank", "north opco%", "North Sports"),
+    ("Bank", "north topco%", "North Sports"),
+    ("Bank", "south squad%", "South Squad"),
     ("Bank", "mobile deposit%", "Unknown (Mobile Deposit)"),
-    (None, "%vatic pro%", "Vatic Pro"),
-    (None, "%hpc commission%", "HPC"),
-    (None, "%hpc commissions%", "HPC"),
-    (None, "hpc,%", "HPC"),
-    (None, "%adv ss commission%", "Selkirk"),
-    (None, "%gearbox%", "Gearbox"),
-    (None, "%luzz pickleball%", "Luzz"),
-    (None, "%body helix%", "Body Helix"),
-    (None, "%bodyhelix%", "Body Helix"),
-    (None, "%impact%media part%", "Impact Radius"),
-    (None, "%jigsaw health%", "Jigsaw"),
-    (None, "%volair%", "Volair"),
-    (None, "%11six24%", "11SIX24"),
-    (None, "%leor%ver%", "LEOREVER"),
-    (None, "%shopify inc%", "Shopify Collabs"),
-    (None, "%tremendous%", "CRBN"),
-    (None, "%uppromote%", "UpPromote (Shopify)"),
-    (None, "%upromote%", "UpPromote (Shopify)"),
-    (None, "%pickleball central%", "Pickleball Central"),
-    (None, "%pickleballcentral%", "Pickleball Central"),
-    (None, "%enhance%", "Enhance"),
-    (None, "%six zero%", "Six Zero"),
-    (None, "%selkirk%", "Selkirk"),
-    (None, "%justpaddles%", "JustPaddles"),
-    (None, "%slyce%", "Slyce Sport"),
-    (None, "%ilavie%", "ILAVIE"),
-    (None, "%thrive%", "Thrive PB"),
-    (None, "%neonic%", "Neonic Pickleball"),
-    (None, "%we pickleball%", "WE Pickleball"),
-    (None, "%winners edge%", "WE Pickleball"),
-    (None, "%engage pickleball%", "Engage Pickleball"),
-    (None, "%element 6%", "Element 6 Pickleball"),
-    (None, "%gruvn%", "GRUVN"),
-    (None, "%leorever%", "LEOREVER"),
-    (None, "%leor%ever%", "LEOREVER"),
+    (None, "%alpha pro%", "Alpha Pro"),
+    (None, "%club commission%", "Club"),
+    (None, "club,%", "Club"),
+    (None, "%beta gear%", "Beta Gear"),
+    (None, "%betagear%", "Beta Gear"),
+    (None, "%north%media part%", "North Media"),
+    (None, "%payout desk%", "Payout Desk"),
+    (None, "%delta%", "Delta"),
 ]
 UNIDENTIFIED = "Unidentified"
 
@@ -206,6 +172,17 @@ def monthly_pnl(revenue: DataFrame, expenses: DataFrame, *, retail_streams=RETAI
         .alias("operating_margin"))
 
 
+def partner_rules(seed: DataFrame, *, most: int = 5_000) -> list[tuple]:
+    """The rules of a seed table (rule_order, channel, pattern, partner), in order; a blank channel is any.
+
+    A rule list becomes an expression, so more than ``most`` rules are refused.
+    """
+    rows = seed.orderBy("rule_order", "pattern").limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} partner rules")
+    return [(r["channel"] or None, r["pattern"], r["partner"]) for r in rows if r["pattern"] and r["partner"]]
+
+
 def partner_of(channel, text, rules=PARTNER_RULES):
     """First matching affiliate rule for (channel, match text), else 'Unidentified'."""
     named = [F.when(text.like(pattern) if ch is None else (channel == ch) & text.like(pattern), partner)
@@ -254,8 +231,8 @@ def affiliate_by_partner(deposits: DataFrame, wallet_txns: DataFrame,
                    .when(F.col("paypal_description") != "", F.col("paypal_description"))
                    .when(F.col("subj").isNotNull(), F.col("subj"))
                    .otherwise(memo))
-    # the text is a column of its own, so the rules do not evaluate it once each
-    m = aff.select("txn_date", "total_amount", "payment_channel", text.alias("said")).select(
+    # a generated column is not inlined, so neither the rules nor a filter on the partner evaluate the text once for each rule
+    m = aff.select("txn_date", "total_amount", "payment_channel", F.explode(F.array(text)).alias("said")).select(
         "txn_date", "total_amount", "payment_channel", partner_of(ch, F.col("said"), rules).alias("partner_name"))
     q = m.groupBy(month_start("txn_date").alias("month"), "partner_name", "payment_channel").agg(
         F.sum("total_amount").alias("revenue"), F.count(F.lit(1)).alias("transaction_count"))

@@ -5,9 +5,7 @@ operators expect store orders, order lines, ad-platform rows, web events and
 so on.  Each role below is defined twice, once as a Spark DataFrame and once as
 the equivalent DuckDB SQL (a CTE body) used by the oracle, and the two must be
 kept in step.  A role reads a whole table or a partition of it into two
-complementary roles, except four that filter their table and leave the rest
-unread: ``shop_costs`` and ``market_costs`` (size classes of part),
-``ad_schedule`` and ``market_ads`` (lines with status F).
+complementary roles.
 
 Only exact arithmetic on the source values is used here (no rounding), so the
 two engines produce bit-identical inputs.
@@ -139,20 +137,21 @@ from lineitem join part on l_partkey = p_partkey"""
 
 def shop_costs(spark, d):
     p = table(spark, d, "part")
-    return p.where((F.col("p_size") % 4).isin(0, 2)).select(
+    cost = idiv("cast(round(p_retailprice * 100) as bigint) * 35", 100) / 100.0
+    return p.select(
         F.upper(F.concat_ws("-", "p_brand", "p_type", (F.col("p_size") % 4).cast("string"))).alias("sku"),
-        F.col("p_name").alias("title"), (idiv("cast(round(p_retailprice * 100) as bigint) * 35", 100) / 100.0).alias("cogs"))
+        F.col("p_name").alias("title"), F.when(F.col("p_size") % 4 != 1, cost).alias("cogs"))  # some skus have no cost yet
 
 
 SQL_SHOP_COSTS = """
 select upper(concat_ws('-', p_brand, p_type, cast(p_size % 4 as varchar))) as sku, p_name as title,
-       (cast(round(p_retailprice * 100) as bigint) * 35 // 100) / 100.0 as cogs
-from part where p_size % 4 in (0, 2)"""
+       if(p_size % 4 = 1, null, (cast(round(p_retailprice * 100) as bigint) * 35 // 100) / 100.0) as cogs
+from part"""
 
 
 def market_costs(spark, d):
     p = table(spark, d, "part")
-    return p.where((F.col("p_size") % 4).isin(1, 2)).select(
+    return p.select(
         F.concat(F.lit("B"), F.col("p_partkey").cast("string")).alias("asin"),
         F.concat(F.lit(" "), F.concat_ws("-", "p_brand", "p_type", (F.col("p_size") % 4).cast("string"))).alias("sku"),
         (idiv("cast(round(p_retailprice * 100) as bigint) * 45", 100) / 100.0).alias("cogs"),
@@ -166,7 +165,7 @@ select 'B' || cast(p_partkey as varchar) as asin,
        (cast(round(p_retailprice * 100) as bigint) * 45 // 100) / 100.0 as cogs,
        (cast(round(p_retailprice * 100) as bigint) * 5 // 100) / 100.0 as fba_cost,
        p_name as title, p_type as category, p_brand as subcategory
-from part where p_size % 4 in (1, 2)"""
+from part"""
 
 
 def shop_products(spark, d):
@@ -607,13 +606,13 @@ from customer join nation on c_nationkey = n_nationkey"""
 # deposit memo templates (bench shaping only): (k div 3) % 10 picks one
 _MEMOS = [
     "AMAZON PAYMENTS PAYOUT {id}",
-    "TREMENDOUS, PAYOUT",
-    "Pickleball Opco, Purpose Bu",
-    "Description: Vatic Pro affiliate commission Transaction ID: 7X{id}",
+    "PAYOUT DESK, PAYOUT",
+    "North Opco, Purpose Bu",
+    "Description: Alpha Pro affiliate commission Transaction ID: 7X{id}",
     "Shopify transfer {id}",
-    "Sport Squad payout {id}",
+    "South Squad payout {id}",
     "Podcast sponsorship {id}",
-    "Description: Gearbox monthly Transaction ID: 7X{id}",
+    "Description: Beta Gear monthly Transaction ID: 7X{id}",
     "mobile deposit",
     "Transaction ID: 9K{id}",
 ]
@@ -681,8 +680,8 @@ def wallet_transactions(spark, d):
     mi = F.expr("(cast(get_json_object(props, '$.k') as int) div 3) % 10")
     e = e.where(mi.isin(3, 7, 9))
     pre = F.when(mi == 9, "9K").otherwise("7X")
-    subj = F.when(F.col("user_id") % 3 == 0, "HPC commission payout").when(
-        F.col("user_id") % 3 == 1, "Selkirk partner payment").otherwise("Payment received")
+    subj = F.when(F.col("user_id") % 3 == 0, "Club commission payout").when(
+        F.col("user_id") % 3 == 1, "Delta partner payment").otherwise("Payment received")
     return e.select(F.concat(pre, F.col("event_id").cast("string")).alias("transaction_id"),
                     F.col("ts").alias("transaction_initiation_date"),
                     F.col("ts").cast("date").alias("transaction_date"),
@@ -695,7 +694,7 @@ SQL_WALLET_TRANSACTIONS = """
 select case when (k // 3) % 10 = 9 then '9K' else '7X' end || cast(event_id as varchar) as transaction_id,
        ts as transaction_initiation_date, cast(ts as date) as transaction_date, value as transaction_amount,
        case when user_id % 5 = 0 then 'Pending' else 'Success' end as transaction_status,
-       case when user_id % 3 = 0 then 'HPC commission payout' when user_id % 3 = 1 then 'Selkirk partner payment'
+       case when user_id % 3 = 0 then 'Club commission payout' when user_id % 3 = 1 then 'Delta partner payment'
             else 'Payment received' end as transaction_subject
 from (select *, cast(json_extract_string(props, '$.k') as integer) as k from events) e
 where (k // 3) % 10 in (3, 7, 9)"""
@@ -872,8 +871,8 @@ from (select cast(l_shipdate as date) - cast(dayofweek(cast(l_shipdate as date))
 
 
 def ad_schedule(spark, d):
-    """Ad-schedule (dayparting) rows <- search-ads lineitems."""
-    li = table(spark, d, "lineitem").where(F.col("l_linestatus") == "F")
+    """Ad-schedule (dayparting) rows <- all lineitems."""
+    li = table(spark, d, "lineitem")
     day = F.col("l_shipdate").cast("date")
     start = (F.col("l_linenumber") * 3) % 24
     return li.select(
@@ -903,7 +902,7 @@ select cast(l_shipdate as date) as date_start, l_suppkey as campaign_id,
        (cast(round(l_extendedprice * 100) as bigint) * cast(round(l_discount * 100) as bigint) // 100) / 100.0
            as conversions_value,
        l_shipdate as ingested_at
-from lineitem where l_linestatus = 'F'"""
+from lineitem"""
 
 
 def email_campaigns(spark, d):
@@ -1110,8 +1109,8 @@ from lineitem"""
 
 
 def market_ads(spark, d):
-    """Advertised-product report rows (two loads per day: odd/even line numbers) <- search-ads lineitems."""
-    li = table(spark, d, "lineitem").where(F.col("l_linestatus") == "F")
+    """Advertised-product report rows (two loads per day: odd/even line numbers) <- all lineitems."""
+    li = table(spark, d, "lineitem")
     return li.select(
         F.col("l_shipdate").cast("date").alias("date"),
         F.concat(F.lit("B"), F.col("l_partkey").cast("string")).alias("advertised_asin"),
@@ -1129,7 +1128,7 @@ select cast(l_shipdate as date) as date, 'B' || cast(l_partkey as varchar) as ad
        cast(cast(l_quantity as bigint) as varchar) as clicks,
        printf('%.2f', (cast(round(l_extendedprice * 100) as bigint) // 10) / 100.0) as sales14d,
        l_linenumber % 2 + 1 as _loaded_at
-from lineitem where l_linestatus = 'F'"""
+from lineitem"""
 
 ROLE_SQL.update({"r_market_orders": SQL_MARKET_ORDERS, "r_market_ads": SQL_MARKET_ADS})
 ROLE_SPARK.update({"r_market_orders": market_orders, "r_market_ads": market_ads})
