@@ -11,5 +11,6 @@ from marginalia.plans import search  # noqa: F401
 from marginalia.plans import seo  # noqa: F401
 from marginalia.plans import serving  # noqa: F401
 from marginalia.plans import marketplace  # noqa: F401
+from marginalia.plans import tables  # noqa: F401
 
 QUERIES = catalog.QUERIES
