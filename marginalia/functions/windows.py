@@ -2,8 +2,23 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
+
+
+#: Numbers of the second ordering column that share a bucket inside a day.
+BUCKET = 1 << 16
+
+
+def _buckets(df: DataFrame, order: list[str]) -> list:
+    """Order-preserving buckets of a group's rows: the first column, and ranges of the second where it is a whole number."""
+    out = [F.col(order[0]).alias("_b0")]
+    if len(order) > 1 and isinstance(df.schema[order[1]].dataType, IntegralType):
+        out.append(F.floor(F.col(order[1]) / BUCKET).alias("_b1"))
+    return out
 
 
 def running_sums(df: DataFrame, by: list[str], order: list[str], values: dict[str, str],
@@ -12,34 +27,38 @@ def running_sums(df: DataFrame, by: list[str], order: list[str], values: dict[st
 
     Equal to ``sum(v) over (partition by by order by order rows ...)`` when
     ``order`` is unique within a group, without putting a whole group in one
-    window partition.  The first ordering column (a date) is a bucket:
+    window partition.  The first ordering column (a date) is a bucket, and where the
+    second is a whole number (an order id), so is each range of ``BUCKET`` of its values:
 
     * bucket totals per (group, bucket) come from a partial aggregation, and a
-      window over the group sees one row per bucket (bounded by the calendar,
-      not by the number of rows) to give the total of all earlier buckets;
-    * inside a bucket, an ordinary running window over (group, bucket);
+      window over the group sees one row per bucket to give the total of all earlier buckets;
+    * inside a bucket, an ordinary running window: ``BUCKET`` rows at most where the
+      second column is unique in the group, whatever share of the rows a group's day has;
     * result = earlier-bucket total + running value inside the bucket.
 
     Deterministic (no sampling), so it recomputes identically after an
     executor loss.  ``first_bucket_as`` also returns each group's first bucket
     (computed from the per-bucket table, no extra pass over ``df``).
     """
-    bucket, rest = order[0], order[1:]
-    totals = df.groupBy(*by, bucket).agg(*[F.sum(src).alias(f"_tot_{out}") for out, src in values.items()])
-    prev_w = Window.partitionBy(*by).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    rest, buckets = order[1:], _buckets(df, order)
+    names = ["_b0", "_b1"][: len(buckets)]
+    df0, df = df, df.select("*", *buckets)
+    totals = df.groupBy(*by, *names).agg(*[F.sum(src).alias(f"_tot_{out}") for out, src in values.items()])
+    prev_w = Window.partitionBy(*by).orderBy(*names).rowsBetween(Window.unboundedPreceding, -1)
     extra = []
     if first_bucket_as:
         # the group's first bucket (e.g. first order day) from the same small per-bucket table
-        extra.append(F.min(bucket).over(Window.partitionBy(*by)).alias(first_bucket_as))
-    offsets = totals.select(*by, bucket, *[F.sum(f"_tot_{out}").over(prev_w).alias(f"_off_{out}")
+        extra.append(F.min("_b0").over(Window.partitionBy(*by)).alias(first_bucket_as))
+    offsets = totals.select(*by, *names, *[F.sum(f"_tot_{out}").over(prev_w).alias(f"_off_{out}")
                                            for out in values], *extra)
-    local_w = Window.partitionBy(*by, bucket).orderBy(*(rest or [bucket])) \
+    local_w = Window.partitionBy(*by, *names).orderBy(*(rest or names)) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = df.select("*", *[F.sum(src).over(local_w).alias(f"_run_{out}") for out, src in values.items()])
-    joined = local.join(offsets, [*by, bucket], "left")
+    same = [F.col(f"l.{c}").eqNullSafe(F.col(f"o.{c}")) for c in [*by, *names]]
+    joined = local.alias("l").join(offsets.alias("o"), reduce(lambda a, b: a & b, same), "left").drop(*[F.col(f"o.{c}") for c in [*by, *names]])
     outs = []
     for out in values:
         run, off = F.col(f"_run_{out}"), F.col(f"_off_{out}")
         outs.append(F.when(run.isNull() & off.isNull(), F.lit(None))
                     .otherwise(F.coalesce(run, F.lit(0)) + F.coalesce(off, F.lit(0))).alias(out))
-    return joined.select(*df.columns, *outs, *([first_bucket_as] if first_bucket_as else []))
+    return joined.select(*df0.columns, *outs, *([first_bucket_as] if first_bucket_as else []))

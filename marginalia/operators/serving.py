@@ -142,3 +142,12 @@ def extract(df: DataFrame, columns: list, order: list[Column] | None = None) ->
     """X-01..X-15: extract queries: a mart's columns, optionally ordered for the consumer."""
     out = df.select(*columns)
     return out.orderBy(*order) if order else out
+
+
+def write_ordered(df: DataFrame, path: str, order: list[Column], fmt: str = "parquet", **options) -> None:
+    """X-01..X-15: write an extract whose files, in the order of their names, are the asked order.
+
+    Rows are dealt to ranges of the order and sorted inside each, so no task holds the whole extract; every
+    task writes one file, named by its range.  Give a total order.
+    """
+    df.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").options(**options).format(fmt).save(path)

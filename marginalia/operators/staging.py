@@ -45,15 +45,19 @@ SPECS: dict[str, dict] = {
               ("unit_session_percentage", None, MONEY), ("_loaded_at", None, None)],
         dedup=("latest", ["child_asin", "report_date"], "_loaded_at")),
     "amazon__fba_fees": dict(
-        cols=[("sku", None, "string"), ("asin", None, "string"), ("product_name", None, "string"),
-              ("your_price", None, MONEY), ("estimated_fee_total", None, MONEY),
-              ("estimated_referral_fee_per_unit", None, MONEY),
-              ("expected_fulfillment_fee_per_unit", None, MONEY), ("_loaded_at", None, None)],
+        cols=[*[(c, None, "string") for c in ("sku", "asin", "product_name", "product_group", "brand", "fulfilled_by", "product_size_tier")],
+              ("your_price", None, MONEY), ("sales_price", None, MONEY), ("estimated_fee_total", None, MONEY),
+              ("estimated_referral_fee_per_unit", None, MONEY), ("estimated_variable_closing_fee", None, MONEY),
+              ("estimated_order_handling_fee", "estimated_order_handling_fee_per_order", MONEY),
+              ("estimated_pick_pack_fee_per_unit", None, MONEY),
+              ("estimated_weight_handling_fee", "estimated_weight_handling_fee_per_unit", MONEY),
+              ("expected_fulfillment_fee_per_unit", None, MONEY), ("currency", None, "string"), ("_loaded_at", None, None)],
         dedup=("latest", ["sku", "asin"], "_loaded_at")),
     "amazon__fba_shipments": dict(
-        cols=[("shipment_id", None, "string"), ("shipment_item_id", None, "string"),
-              ("amazon_order_id", None, "string"), ("sku", None, "string"), ("quantity_shipped", None, "bigint"),
-              ("shipment_date", None, "timestamp"), ("estimated_arrival_date", None, "timestamp"),
+        cols=[*[(c, None, "string") for c in ("amazon_order_id", "sku", "shipment_id", "shipment_item_id", "buyer_email", "carrier",
+                                              "tracking_number", "fulfillment_center_id")],
+              ("quantity_shipped", None, "bigint"), ("item_price", None, MONEY), ("ship_city", None, "string"), ("ship_state", None, "string"),
+              ("ship_postal_code", None, "string"), ("ship_country", None, "string"), ("shipment_date", None, "timestamp"), ("estimated_arrival_date", None, "timestamp"),
               ("_loaded_at", None, None)],
         dedup=("latest", ["amazon_order_id", "sku", "shipment_id", "shipment_item_id"], "_loaded_at")),
     "google_ads__pmax_insights": dict(
@@ -123,7 +127,7 @@ SPECS: dict[str, dict] = {
         cols=[("date", "date_start", "date"), ("campaign_id", None, "bigint"), ("campaign_name", None, "string"),
               ("competitor_domain", "domain", "string"), ("impression_share", None, "double"),
               ("overlap_rate", None, "double"), ("position_above_rate", None, "double"),
-              ("top_of_page_rate", None, "double")]),
+              ("top_of_page_rate", None, "double"), ("outranking_share", None, "double"), ("ingested_at", None, "timestamp")]),
     "search_console__performance": dict(
         cols=[("query_date", None, "date"), ("site", None, "string"), ("query", None, "string"),
               ("page", None, "string"), ("country", None, "string"), ("device", None, "string"),
@@ -143,29 +147,33 @@ SPECS: dict[str, dict] = {
     "quickbooks__accounts": dict(
         cols=[("account_id", None, "string"), ("name", None, "string"), ("fully_qualified_name", None, "string"),
               ("account_type", None, "string"), ("account_sub_type", None, "string"),
-              ("classification", None, "string"), ("active", None, "boolean")]),
+              ("classification", None, "string"), ("current_balance", None, "double"), ("currency", None, "string"),
+              ("active", None, "boolean"), ("created_at", None, "string"), ("updated_at", None, "string")]),
     "paypal__transactions": dict(
-        cols=[("transaction_id", None, "string"),
-              ("transaction_initiation_date", None, "timestamp"),
-              ("transaction_date", lambda: F.to_date(F.col("transaction_initiation_date").cast("timestamp")), "date"),
-              ("transaction_amount", None, MONEY), ("fee_amount", None, MONEY),
-              ("transaction_status", None, "string"), ("transaction_subject", None, "string"),
-              ("payer_email", None, "string"), ("payer_name", None, "string")]),
+        cols=[("transaction_id", None, "string"), ("transaction_at", "transaction_date", "timestamp"), ("transaction_date", None, "date"),
+              ("transaction_updated_at", "transaction_updated_date", "timestamp"), ("transaction_amount", None, MONEY), ("fee_amount", None, MONEY),
+              *[(c, None, "string") for c in (
+                  "currency_code", "transaction_status", "transaction_event_code", "transaction_subject", "transaction_note", "paypal_reference_id",
+                  "paypal_reference_id_type", "invoice_id", "custom_field", "payer_email", "payer_account_id", "payer_given_name", "payer_surname",
+                  "payer_full_name", "payer_alternate_name", "first_item_name")],
+              ("item_count", None, "bigint"), ("ingested_at", None, "timestamp")]),
     "klaviyo__campaigns": dict(
         cols=[("campaign_id", "id", "string"), ("campaign_name", "name", "string"), ("status", None, "string"),
-              ("send_time", None, "timestamp"), ("created_at", None, "timestamp")]),
+              ("send_time", None, "timestamp"), ("created_at", None, "timestamp"), ("updated_at", None, "timestamp"),
+              ("ingested_at", None, "timestamp")]),
     "klaviyo__campaign_metrics": dict(
-        cols=[("campaign_id", None, "string"), ("recipients", None, "double"), ("delivered", None, "double"),
+        cols=[("campaign_id", None, "string"), ("campaign_name", None, "string"), ("send_date", None, "date"), ("recipients", None, "double"), ("delivered", None, "double"),
               ("opens", None, "double"), ("clicks", None, "double"), ("unsubscribes", None, "double"),
               ("conversions", None, "double"), ("revenue", None, "double"), ("ingested_at", None, "timestamp")]),
     "youtube__videos": dict(
-        cols=[("video_id", None, "string"), ("title", None, "string"),
+        cols=[("video_id", None, "string"), ("title", None, "string"), ("description", None, "string"),
               ("published_at", lambda: F.to_timestamp("published_at"), None),
               ("published_date", lambda: F.to_date(F.to_timestamp("published_at")), None),
-              ("duration", None, "string"), ("category_id", None, "string")]),
+              *[(c, None, "string") for c in ("channel_id", "tags", "category_id", "duration", "thumbnail_url", "privacy_status")],
+              ("made_for_kids", None, "boolean"), ("ingested_at", None, "timestamp")]),
     "google_trends__interest_over_time": dict(
         cols=[("week", None, "date"), ("keyword", None, "string"), ("interest_score", None, "bigint"),
-              ("is_partial", None, "boolean")]),
+              ("is_partial", None, "boolean"), ("ingested_at", None, "timestamp")]),
 }
 
 

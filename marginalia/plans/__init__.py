@@ -13,5 +13,6 @@ from marginalia.plans import serving  # noqa: F401
 from marginalia.plans import marketplace  # noqa: F401
 from marginalia.plans import tables  # noqa: F401
 from marginalia.plans import landing  # noqa: F401
+from marginalia.plans import feeds  # noqa: F401
 
 QUERIES = catalog.QUERIES

@@ -8,6 +8,9 @@ as missing) is reproduced with ``nullif`` / ``when`` where it matters.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -344,11 +347,26 @@ def flatten_invoice_lines(df: DataFrame) -> DataFrame:
 def top_n_per_period(df: DataFrame, period: str, order_col: str, n: int) -> DataFrame:
     """I-49: the source API returns at most ``n`` ranked rows per window; the same cap as a filter, never by default.
 
-    (This is the feature itself, a ranking cap, not a sampling shortcut.)
+    (This is the feature itself, a ranking cap, not a sampling shortcut.)  Ties go to the row whose other columns, taken
+    as one JSON text, come first.  Every task keeps the best ``n`` rows of each period it meets, and after the
+    shuffle, which moves no more than those, the same is done once more: no window, and a period's rows are never sorted together.
     """
-    from pyspark.sql import Window
-    w = Window.partitionBy(period).orderBy(F.col(order_col).desc(), *[F.col(x) for x in df.columns if x != order_col])
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
+    key = [F.col(period).cast("string").alias("_period"), F.to_json(F.struct(*[F.col(c) for c in df.columns if c != order_col])).alias("_tie")]
+    keyed = df.select("*", *key)
+
+    def best(batches):
+        held = None
+        for b in batches:
+            t = pa.Table.from_batches([b]) if held is None else pa.concat_tables([held, pa.Table.from_batches([b])])
+            order = pc.sort_indices(t, sort_keys=[("_period", "ascending"), (order_col, "descending"), ("_tie", "ascending")], null_placement="at_end")
+            period_of = t.column("_period").take(order).combine_chunks().dictionary_encode(null_encoding="encode").indices.to_numpy()
+            new = np.concatenate(([True], period_of[1:] != period_of[:-1])) if len(period_of) else np.zeros(0, bool)
+            first = np.flatnonzero(new)
+            rank = np.arange(len(period_of)) - np.repeat(first, np.diff(np.append(first, len(period_of))))
+            held = t.take(order.filter(pa.array(rank < n))).combine_chunks()
+        yield from held.to_batches() if held is not None else ()
+
+    return keyed.mapInArrow(best, keyed.schema).repartition("_period").mapInArrow(best, keyed.schema).select(*df.columns)
 
 
 def audience_export(customers: DataFrame) -> DataFrame:
