@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marginalia.functions import safe_div
+from marginalia.functions import round_half_away, safe_div
 
 # Fixed values that must equal the reference's for equal results:
 #   marketplace FX to USD: MXN x 0.054, CAD x 0.72;  order-time zone: US/Pacific
@@ -75,9 +75,9 @@ SPECS: dict[str, dict] = {
     "youtube__video_analytics": dict(
         cols=[("video_id", None, None), ("period_start", None, "date"), ("period_end", None, "date"),
               ("views", None, None), ("estimated_minutes_watched", None, None),
-              ("avg_view_duration_minutes", lambda: F.round(F.col("avg_view_duration_seconds") / 60.0, 2), None),
+              ("avg_view_duration_minutes", lambda: round_half_away(F.col("avg_view_duration_seconds") / 60.0, 2), None),
               ("avg_view_duration_seconds", None, None),
-              ("avg_view_percentage", lambda: F.round(F.col("avg_view_percentage"), 4), None),
+              ("avg_view_percentage", lambda: round_half_away(F.col("avg_view_percentage"), 4), None),
               ("likes", None, None), ("comments", None, None), ("shares", None, None),
               ("subscribers_gained", None, None), ("subscribers_lost", None, None),
               ("net_subscribers", lambda: F.col("subscribers_gained") - F.col("subscribers_lost"), None),
