@@ -102,12 +102,14 @@ select * from staged"""
         sql = f"select *, {', '.join(f'{a} / nullif({b}, 0) as {out}' for out, (a, b) in ratios.items())} from ({sql})"
         kinds |= {out: "r" for out in ratios}
 
-    @register(f"staged_{name}", " ".join(f"{c}:{k}" for c, k in kinds.items()), sql, "S")
+    @register(f"staged_{name}", " ".join(f"{c}:{k}" for c, k in kinds.items()), sql, _IDS[name])
     def build(spark, d):
         part = R.table(spark, d, "part")
         return st.stage(part.select(*[_raw(k, place[c]).alias(c) for c, k in raw.items()]), name)
 
 
+# the inventory numbers the contracts by name; the order cleaner, S-04, is a query of its own
+_IDS = {n: f"S-{k:02d}" for k, n in enumerate(sorted([*st.SPECS, "amazon__orders_clean"]), 1)}
 for _name in st.SPECS:
     _register(_name)
 
