@@ -18,14 +18,41 @@ from marginalia.session import checkpoint_dir
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+#: Folders that this session has written and not cleared.
+_WRITTEN: list[str] = []
+
+
+def steps_written() -> int:
+    """How many steps the session holds; a mark for :func:`clear_steps`."""
+    return len(_WRITTEN)
+
+
+def clear_steps(spark: SparkSession, since: int = 0, keep: DataFrame | None = None) -> int:
+    """Delete the steps written after a mark, but those that ``keep`` reads; how many went.
+
+    For a caller that has written what it needs: results that are still lazy read their steps.
+    After a failure the folders stay until this is called or the owner of ``spark.checkpoint.dir`` clears it.
+    """
+    reads = "".join(keep.inputFiles()) if keep is not None else ""
+    gone = [p for p in _WRITTEN[since:] if p.rpartition("/")[2] not in reads]
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for p in gone:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(conf).delete(path, True)
+        _WRITTEN.remove(p)
+    return len(gone)
+
+
 def write_shared(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     This cuts the lineage: what follows rereads files that every executor
     sees, so a lost executor costs its running tasks and no earlier step.
+    The folder stays until :func:`clear_steps` deletes it.
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
     before = spark.conf.get(_CLEANUP, "false")
     spark.conf.set(_CLEANUP, "true")
     try:

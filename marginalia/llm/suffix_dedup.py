@@ -110,30 +110,35 @@ def _anchor_rows(batches, length: int, k: int):
 
 
 def suffix_array(t: np.ndarray) -> np.ndarray:
-    """Suffix array of a text of symbols below 2**21, by prefix doubling over unresolved suffixes."""
+    """Suffix array of a text of symbols below 2**21, by prefix tripling over unresolved suffixes (doubling from 2**21 symbols on)."""
     n = len(t)
     p = np.concatenate([t, np.zeros(2, np.int64)])
     key = (p[:n] + 1 << 42) | (p[1 : n + 1] << 21) | p[2 : n + 2]
-    sa = np.argsort(key)  # equal keys stay one group, whatever their order
+    sa = np.argsort(key).astype(np.int32)  # equal keys stay one group, whatever their order
     ordered = key[sa]
     head = np.concatenate(([True], ordered[1:] != ordered[:-1]))
-    group = np.maximum.accumulate(np.where(head, np.arange(n), 0))
-    rank = np.full(n + 1, -1, np.int64)
+    group = np.maximum.accumulate(np.where(head, np.arange(n, dtype=np.int32), 0))
+    rank = np.full(n + 1, -1, np.int32)
     rank[sa] = group
-    h = 3
+    rank += 1  # 0 beyond the end
+    h, triple = 3, n + 1 < 1 << 21  # three ranks fit a key
     while True:
         slots = np.flatnonzero(~(head & np.concatenate((head[1:], [True]))))
         if not len(slots):
-            return sa
+            return sa.astype(np.int64)
         sub = sa[slots]
-        key = (group[slots] << 32) | (rank[np.minimum(sub + h, n)] + 1)
+        key = group[slots].astype(np.int64)
+        if triple:
+            key = (key << 42) | (rank[np.minimum(sub + h, n)].astype(np.int64) << 21) | rank[np.minimum(sub + 2 * h, n)]
+        else:
+            key = (key << 32) | rank[np.minimum(sub + h, n)]
         order = np.argsort(key)
         sa[slots] = sub = sub[order]
         key = key[order]
         head[slots] = own = np.concatenate(([True], key[1:] != key[:-1]))
         group[slots] = np.maximum.accumulate(np.where(own, slots, 0))
-        rank[sub] = group[slots]
-        h *= 2
+        rank[sub] = group[slots] + 1
+        h *= 3 if triple else 2
 
 
 class RunLengthIndex:

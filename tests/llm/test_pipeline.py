@@ -54,3 +54,31 @@ def test_registered():
     names = __spark_entry__.queries()
     assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
     assert set(__spark_entry__.oracle_sql()) <= set(names) and np.all([callable(f) for f in names.values()])
+
+
+def test_steps_are_cleared_but_what_is_read(spark, tmp_path):
+    from pathlib import Path
+
+    from marginalia.llm import common
+
+    mark = common.steps_written()
+    a, b = (common.write_shared(spark.range(3), x) for x in ("a", "b"))
+    folders = [Path(df.inputFiles()[0].removeprefix("file://")).parent for df in (a, b)]
+    assert common.clear_steps(spark, mark, keep=b) == 1 and common.steps_written() == mark + 1
+    assert not folders[0].exists() and b.count() == 3
+    assert common.clear_steps(spark, mark) == 1 and not folders[1].exists()
+
+
+def test_stages_take_odd_rows(spark, tmp_path):
+    """Nulls, empty and repeated rows, an empty table and columns named like the operators' own pass through every stage."""
+    d = tmp_path / "sf"
+    words = " ".join(f"w{i}" for i in range(40))
+    rows = [(1, words, "x"), (1, words, "x"), (None, None, None), (2, "", "y"), (3, words.upper() + " more", "z"), (None, "other text here", None)]
+    for name, ddl, data in (("labels", "doc_id long, quality int, toxic int", [(1, 1, 0), (2, 0, 0)]), ("benchmark", "item_id string, text string", [("q", "nothing like it")])):
+        spark.createDataFrame(data, ddl).write.parquet(str(d / f"{name}.parquet"))
+    for table in (rows, []):
+        df = spark.createDataFrame(table, "doc_id long, text string, __doc string").selectExpr("*", "1 as __marks", "map('a', 1) as m", "2 as score")
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, df, str(d))
+            assert name == "packing" or out.columns == df.columns, name
+            assert (out.count() > 0) == bool(table) or name == "quality", name
