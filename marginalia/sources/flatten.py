@@ -515,7 +515,8 @@ def flatten_social(resource: str, df: DataFrame) -> DataFrame:
     """I-57: social-ads entities (campaigns, adsets, ads) with tolerant budgets and UTC times.
 
     The adset geo targeting is kept as whole JSON text (the source loader keeps
-    a Python repr of the same object, cut to 1,000 characters).  Daily insights are not built.
+    a Python repr of the same object, cut to 1,000 characters).  Daily insights are a feed of
+    :mod:`marginalia.sources.landing`.
     """
     t = lambda c: to_utc(F.col(c))
     if resource == "campaigns":

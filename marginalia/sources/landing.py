@@ -311,6 +311,17 @@ duration contentDetails.duration string
 thumbnail_url snippet.thumbnails.high.url string
 privacy_status status.privacyStatus string
 made_for_kids status.madeForKids boolean false""", {"tags": lambda: F.array_join(F.transform(_list("snippet.tags"), lambda t: t.try_cast("string")), ",")}),
+    "video_analytics": ("""
+video_id video string
+views views bigint 0
+estimated_minutes_watched estimatedMinutesWatched double 0
+avg_view_duration_seconds averageViewDuration double 0
+avg_view_percentage averageViewPercentage double 0
+likes likes bigint 0
+comments comments bigint 0
+shares shares bigint 0
+subscribers_gained subscribersGained bigint 0
+subscribers_lost subscribersLost bigint 0""", {}),
     "channel_days": ("""
 report_date day date
 views views bigint 0
