@@ -8,7 +8,8 @@ count, and what is left is indexed in blocks: a Burrows-Wheeler transform
 kept as runs, with the suffix positions and common prefix lengths at the runs'
 two ends.  Between run ends these lengths fall by one per position, so
 matching statistics stream over the text from the samples alone; positions that
-match ``length`` bytes elsewhere are marked.
+match ``length`` bytes elsewhere are marked.  As surroundings are aligned at
+their anchors, the transform is built a column at a time.
 """
 
 from __future__ import annotations
@@ -202,6 +203,62 @@ def _agree(t: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
+class AlignedIndex(RunLengthIndex):
+    """The index of texts that are aligned at their middles, built a column at a time.
+
+    A unit is ``left`` bytes, the middle, ``right`` bytes and an end of its own.  Its
+    symbols are (column, group, byte), the column being the distance from the
+    middle: units agree where they are of one group and have equal bytes in equal
+    columns.  So the suffixes that start in a column are ordered by group, byte and their
+    order in the column to the right, and only one column's order is held beside the runs.
+    """
+
+    def __init__(self, text: np.ndarray, middle: np.ndarray, left: np.ndarray, right: np.ndarray, group: np.ndarray):
+        place = np.uint64(int(len(middle)).bit_length())
+        by_end, by_start = np.argsort(-right, kind="stable"), int(left.max())
+        ends = right[by_end] + 1
+        order, columns, added = np.zeros(0, np.int64), [], 0
+        high = (group.astype(np.uint64) << np.uint64(9)) << place
+        for c in range(int(ends[0]), -by_start - 1, -1):
+            if c < 0:
+                order = order[left[order] >= -c]
+            symbol = text[middle[order] + c].astype(np.uint64)
+            more = added + int(np.searchsorted(-ends[added:], -c, side="right"))
+            if more > added:  # units that end in this column
+                order = np.concatenate((order, by_end[added:more]))
+                symbol = np.concatenate((symbol, np.full(more - added, 256, np.uint64)))
+                added = more
+            key = np.sort(high[order] | (symbol << place) | np.arange(len(order), dtype=np.uint64))
+            order = order[(key & np.uint64((1 << int(place)) - 1)).astype(np.int64)]
+            at = middle[order] + c
+            before = np.where(left[order] > -c, text[at - 1].astype(np.int16), np.int16(-1))  # -1: a unit's first, unlike any other
+            change = np.flatnonzero((group[order[1:]] != group[order[:-1]]) | (before[1:] != before[:-1]) | (before[1:] < 0)) + 1
+            heads, tails = np.concatenate(([0], change)), np.concatenate((change - 1, [len(order) - 1]))
+            u, v = order[change - 1], order[change]
+            most = np.where(group[u] == group[v], np.minimum(right[u], right[v]) + 1 - c, 0)
+            columns.append((len(order), heads, before[heads], at[heads], at[tails], np.concatenate(([0], most))))
+        columns.reverse()
+        size, heads, symbols, head_at, tail_at, most = zip(*columns, strict=True)
+        self.n = len(text)
+        self.run_start = np.concatenate([h + s for h, s in zip(heads, np.cumsum([0, *size[:-1]]), strict=True)])
+        self.run_symbol = np.concatenate(symbols)
+        self.head_at, self.tail_at = np.concatenate(head_at), np.concatenate(tail_at)
+        self.head_len = np.concatenate(([0], _agree_bytes(text, self.tail_at[:-1], self.head_at[1:], np.concatenate(most)[1:])))
+        self.tail_len = np.concatenate((self.head_len[1:], [0]))
+
+
+def _agree_bytes(text: np.ndarray, a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """Common prefix lengths of the bytes from a and b, ``most`` at most, eight bytes a step."""
+    words = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(np.concatenate((text, np.zeros(7, np.uint8))), 8)).view("<u8").ravel()
+    out, live = np.zeros(len(a), np.int64), np.flatnonzero(most > 0)
+    while len(live):
+        at = out[live]
+        x = words[a[live] + at] ^ words[b[live] + at]
+        out[live] = at + np.where(x == 0, 8, np.frexp((x & (~x + np.uint64(1))).astype(np.float64))[1] - 1 >> 3)
+        live = live[(x == 0) & (out[live] < most[live])]
+    return np.minimum(out, most)
+
+
 _UNIT = "key binary, s int, left binary, right binary, doc long, v long, at long, done boolean"
 _MARK = "doc long, v long, start long, end long"
 
@@ -221,11 +278,9 @@ def _index_block(rows: pa.Table, length: int) -> pa.RecordBatch:
     nr = np.array([len(x) for x in right], np.int64)
     sizes = nl + nr + 2
     first = np.cumsum(sizes) - sizes
-    text = np.frombuffer(b"".join(x for l, r in zip(left, right, strict=True) for x in (l, b"\0", r, b"\0")), np.uint8).astype(np.int64)
+    text = np.frombuffer(b"".join(x for l, r in zip(left, right, strict=True) for x in (l, b"\0", r, b"\0")), np.uint8)
     middle = first + nl
-    text[middle] = 256 + group
-    text[first + sizes - 1] = 256 + group[-1] + 1 + np.arange(len(first))
-    long = RunLengthIndex(text).matching_statistics()
+    long = AlignedIndex(text, middle, nl, nr, group).matching_statistics()
     # windows that hold the middle: they start at most s - 1 before it
     todo = np.flatnonzero(~rows.column("done").to_numpy(zero_copy_only=False))
     lo = np.maximum(first, middle - s + 1)[todo]
