@@ -15,5 +15,6 @@ from marginalia.plans import tables  # noqa: F401
 from marginalia.plans import landing  # noqa: F401
 from marginalia.plans import feeds  # noqa: F401
 from marginalia.plans import staging  # noqa: F401
+from marginalia.plans import shaped  # noqa: F401
 
 QUERIES = catalog.QUERIES

@@ -127,6 +127,30 @@ def _payer_name() -> Column:
     return F.coalesce(F.nullif(F.trim(F.concat_ws(" ", n[0], n[1])), F.lit("")), blank_as_null(n[2]))
 
 
+#: Texts of a creative: paths tried always, paths while there is no text yet, paths while the link has none either, last resort (fixed values).
+_VIDEO, _LINK, _PHOTO = (f"object_story_spec.{x}_data" for x in ("video", "link", "photo"))
+CREATIVE_SOURCES = {
+    "title": (("title", f"{_VIDEO}.title"), (f"{_LINK}.name",), (), ()),
+    "body": (("body", f"{_VIDEO}.message"), (f"{_LINK}.message",), (f"{_PHOTO}.message",), ()),
+    "link_description": ((f"{_VIDEO}.link_description",), (f"{_LINK}.description",), (), ()),
+    "cta_type": ((f"{_VIDEO}.call_to_action.type",), (f"{_LINK}.call_to_action.type",), (), ("call_to_action_type",)),
+    "image_url": (("image_url", f"{_VIDEO}.image_url"), (f"{_LINK}.image_url", f"{_LINK}.picture"), (f"{_PHOTO}.image_url",), ()),
+}
+
+
+def _creative(column: str) -> Callable[[], Column]:
+    """I-20: a creative's text from the first place that has one; blank ones count as missing."""
+    def first(paths):
+        return F.coalesce(F.lit(None).cast("string"), *[blank_as_null(get(p, "string")) for p in paths])
+
+    def build():
+        always, link, photo, last = CREATIVE_SOURCES[column]
+        text, linked = first(CREATIVE_SOURCES["body"][0]), first(CREATIVE_SOURCES["body"][1])
+        return F.coalesce(first(always), F.when(text.isNull(), first(link)), F.when(text.isNull() & linked.isNull(), first(photo)), first(last))
+
+    return build
+
+
 _STAMPS = """
 created_at MetaData.CreateTime string
 updated_at MetaData.LastUpdatedTime string"""
@@ -149,6 +173,13 @@ cpm cpm double
 ctr ctr double
 reach reach bigint
 frequency frequency double""", {c: _action(c) for c in ACTION_ALIASES}),
+    "creatives": ("""
+creative_id id string
+video_id object_story_spec.video_data.video_id string
+thumbnail_url thumbnail_url string
+object_type object_type string
+page_id object_story_spec.page_id string
+instagram_actor_id object_story_spec.instagram_actor_id string""", {c: _creative(c) for c in CREATIVE_SOURCES}),
     "invoices": ("""
 invoice_id Id string
 doc_number DocNumber string
@@ -347,7 +378,7 @@ tax_code SalesItemLineDetail.TaxCodeRef.value string"""),
 
 
 def read_feed(df: DataFrame, feed: str, payload: str = "payload") -> DataFrame:
-    """A landed feed by its contract (I-16, I-39, I-40, I-43..I-45, I-47, I-48, I-57, I-59)."""
+    """A landed feed by its contract (I-16, I-20, I-39, I-40, I-43..I-45, I-47, I-48, I-57, I-59)."""
     spec, computed = FEEDS[feed]
     return read_fields(land(df, payload), spec, computed)
 

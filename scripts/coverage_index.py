@@ -17,7 +17,7 @@ sys.path.insert(0, ROOT)
 ID = re.compile(r"\b([IOQSFKATVDX])-(\d{2})\b(?:\.\.([IOQSFKATVDX])-(\d{2}))?")
 
 #: Ids of which a part is not built.
-PARTIAL = {"I-20": "link description, object type, thumbnail and actor id of creatives"}
+PARTIAL: dict[str, str] = {}
 
 
 def ids_in(text: str) -> list[str]:

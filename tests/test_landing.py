@@ -55,3 +55,22 @@ def test_lines_and_accounts(spark):
 def test_the_landed_feeds_are_read_in_one_scan(spark):
     plan = QUERIES["landed_wallet_transactions"].run(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") == 1 and "Exchange" not in plan and "Python" not in plan
+
+
+def test_creative_text_from_the_first_place_that_has_one(spark):
+    """I-20: blank texts count as missing; the link counts only without a text above it, the photo only without a link's."""
+    story = {"page_id": "p", "instagram_actor_id": "a",
+             "video_data": {"message": "", "title": "V", "video_id": "v", "call_to_action": None, "link_description": "vd"},
+             "link_data": {"message": "L", "name": "LN", "description": "LD", "picture": "pic", "call_to_action": {"type": "BUY"}},
+             "photo_data": {"message": "P", "image_url": "photo"}}
+    rows = [{"id": "1", "title": "", "body": "", "image_url": None, "call_to_action_type": "SHOP", "object_story_spec": story, "thumbnail_url": "t", "object_type": "VIDEO"},
+            {"id": "2", "body": "own", "call_to_action_type": "SHOP", "object_story_spec": story},
+            {"id": "3", "object_story_spec": {"link_data": {"name": "only a name"}, "photo_data": {"message": "P", "image_url": "photo"}}},
+            {"id": "4", "title": "T", "object_story_spec": "gone"}]
+    got = {r.creative_id: r for r in ld.read_feed(payloads(spark, *rows), "creatives").collect()}
+    pick = lambda k: tuple(got[k][x] for x in ("title", "body", "link_description", "cta_type", "image_url"))
+    assert pick("1") == ("V", "L", "vd", "BUY", "pic")
+    assert (got["1"].video_id, got["1"].thumbnail_url, got["1"].object_type, got["1"].page_id, got["1"].instagram_actor_id) == ("v", "t", "VIDEO", "p", "a")
+    assert pick("2") == ("V", "own", "vd", "SHOP", None)
+    assert pick("3") == ("only a name", "P", None, None, "photo")
+    assert pick("4") == ("T", None, None, None, None)
