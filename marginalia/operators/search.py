@@ -46,19 +46,23 @@ def term_words(term: Column, lower_first: bool = False) -> Column:
         norm = F.regexp_replace(F.lower(F.trim(term)), NORMALISE_PATTERN, " ")
     else:
         norm = F.lower(F.regexp_replace(F.trim(term), NORMALISE_PATTERN, " "))
-    stop = F.array(*[F.lit(w) for w in STOP_WORDS])
-    return F.filter(F.split(norm, " "), lambda w: (F.trim(w) != "") & ~F.array_contains(stop, w))
+    return F.filter(F.split(norm, " "), lambda w: ~w.isin("", *STOP_WORDS))
+
+
+def gram_texts(words: Column) -> Column:
+    """array<string>: every kept word, then every kept-word pair; words hold no space, so a text with one is a pair."""
+    n = F.greatest(F.size(words) - 1, F.lit(0))
+    pairs = F.zip_with(F.slice(words, F.lit(1), n), F.slice(words, F.lit(2), n), lambda a, b: F.concat(a, F.lit(" "), b))
+    return F.concat(words, pairs)
+
+
+def gram_length(gram: Column) -> Column:
+    return F.when(F.contains(gram, F.lit(" ")), 2).otherwise(1)
 
 
 def term_ngrams(words: Column) -> Column:
     """array<struct<ngram, ngram_length>>: every kept word, then every kept-word pair."""
-    uni = F.transform(words, lambda w: F.struct(w.alias("ngram"), F.lit(1).alias("ngram_length")))
-    n = F.size(words)
-    idx = F.when(n >= 2, F.sequence(F.lit(0), n - 2)).otherwise(F.array().cast("array<int>"))
-    bi = F.transform(idx, lambda i: F.struct(
-        F.concat(F.element_at(words, i + 1), F.lit(" "), F.element_at(words, i + 2)).alias("ngram"),
-        F.lit(2).alias("ngram_length")))
-    return F.concat(uni, bi)
+    return F.transform(gram_texts(words), lambda g: F.struct(g.alias("ngram"), gram_length(g).alias("ngram_length")))
 
 
 def search_term_ngrams(terms: DataFrame, as_of: str, *, weeks: int = 8, lower_first: bool = False) -> DataFrame:
@@ -79,15 +83,14 @@ def search_term_ngrams(terms: DataFrame, as_of: str, *, weeks: int = 8, lower_fi
         "week_start", "campaign_name", "impressions", "clicks", "spend", "conversions",
         term_words(F.col("search_term"), lower_first).alias("words"))
     # beside each n-gram stands the one before it, null for the first
-    ordered = words.withColumn("grams", F.sort_array(term_ngrams(F.col("words"))))
+    ordered = words.withColumn("grams", F.sort_array(gram_texts(F.col("words"))))
     grams = ordered.select(
         "week_start", "campaign_name", "impressions", "clicks", "spend", "conversions",
         F.explode(F.arrays_zip(F.col("grams").alias("g"), F.concat(F.array(F.lit(None)), F.col("grams")).alias("before")))
         .alias("z")).where("z.g is not null").select(
         "week_start", "campaign_name", "impressions", "clicks", "spend", "conversions", "z.g",
         (~F.col("z.g").eqNullSafe(F.col("z.before"))).cast("bigint").alias("first"))
-    agg = grams.groupBy("week_start", F.col("g.ngram").alias("ngram"),
-                        F.col("g.ngram_length").alias("ngram_length"), "campaign_name").agg(
+    agg = grams.groupBy("week_start", F.col("g").alias("ngram"), "campaign_name").agg(
         F.sum("first").alias("unique_search_terms"),
         F.sum("impressions").alias("total_impressions"), F.sum("clicks").alias("total_clicks"),
         F.sum("spend").alias("total_spend"), F.sum("conversions").alias("total_conversions"))
@@ -96,7 +99,7 @@ def search_term_ngrams(terms: DataFrame, as_of: str, *, weeks: int = 8, lower_fi
            .when((F.col("total_conversions") == 0) & (F.col("total_spend") >= 5), "watch")
            .when(cvr >= 0.05, "top_performer").when(cvr >= 0.02, "good").otherwise("neutral"))
     return (agg.where((F.col("unique_search_terms") >= 2) | (F.col("total_spend") >= 5))
-            .select("week_start", "ngram", "ngram_length", "campaign_name", "unique_search_terms",
+            .select("week_start", "ngram", gram_length(F.col("ngram")).alias("ngram_length"), "campaign_name", "unique_search_terms",
                     "total_impressions", "total_clicks", "total_spend", "total_conversions",
                     safe_div(F.col("total_clicks"), F.col("total_impressions")).alias("avg_ctr"),
                     cvr.alias("avg_cvr"), sig.alias("signal")))
