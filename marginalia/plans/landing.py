@@ -19,16 +19,11 @@ def _text(col, odd):
 
 
 def _payload(odd, **parts):
-    """A JSON object from columns; a value in a (column,) tuple is a number that odd rows write as text."""
-    out = []
-    for name, col in parts.items():
-        if isinstance(col, tuple):
-            body = F.regexp_extract(_text(col[0], odd), r'^\{"x":(.*)\}$', 1)
-            out.append(F.when(col[0].isNotNull(), F.concat(F.lit(f'"{name}":'), body)))
-        else:
-            body = F.regexp_extract(F.to_json(F.struct(col.alias("x"))), r'(?s)^\{"x":(.*)\}$', 1)
-            out.append(F.when(col.isNotNull(), F.concat(F.lit(f'"{name}":'), body)))
-    return F.concat(F.lit("{"), F.concat_ws(",", *out), F.lit("}"))
+    """A JSON object from columns without NULL ones; a value in a (column,) tuple is a number that odd rows write as text."""
+    def body(text):
+        return F.to_json(F.struct(*[(col if not isinstance(col, tuple) else col[0].cast("string") if text else col[0]).alias(name) for name, col in parts.items()]))
+
+    return F.when(odd, body(True)).otherwise(body(False))
 
 
 def _c(x):
@@ -59,8 +54,9 @@ def q_insights(spark, d):
     body = _payload(odd, date_start=_c("l_shipdate").cast("date"), campaign_id=_c("l_suppkey").cast("string"), campaign_name=F.concat(F.lit("c-"), _c("l_suppkey")),
                     adset_id=(_c("l_orderkey"),), ad_id=(_c("l_partkey"),), ad_name=F.when(~odd, F.concat(F.lit("ad "), _c("l_partkey"))), impressions=(n * 40,), clicks=(n,),
                     reach=(n * 30,), frequency=(F.lit(1.5),), actions=actions, action_values=F.array(action("omni_purchase", price)))
-    body = F.concat(F.substring_index(body, "}", -1), F.regexp_replace(body, r"\}$", ""), F.lit(',"spend":'), F.regexp_extract(spend, r'^\{"x":(.*)\}$', 1), F.lit("}"))
-    return ld.read_feed(li.select(body.alias("payload")), "social_daily_insights").withColumn("n_rejected", F.size("rejected"))
+    parts = li.select(body.alias("body"), spend.alias("spend"))  # built once, as the next step names it twice
+    body = F.concat(F.substring_index("body", "}", -1), F.regexp_replace("body", r"\}$", ""), F.lit(',"spend":'), F.regexp_extract("spend", r'^\{"x":(.*)\}$', 1), F.lit("}"))
+    return ld.read_feed(parts.select(body.alias("payload")), "social_daily_insights").withColumn("n_rejected", F.size("rejected"))
 
 
 INVOICE_SPEC = ("invoice_id:s txn_date:d due_date:d customer_id:s customer_name:s total_amount:m balance:m currency:s billing_email:s txn_status:s created_at:s n_rejected:i")

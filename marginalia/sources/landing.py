@@ -32,12 +32,13 @@ def shape(landed: DataFrame) -> DataFrame:
 def get(path: str, kind: str, v: Column | str = _V) -> Column:
     """A field as ``kind``, tolerantly (I-10): numbers may be text, whole numbers may have a fraction ('3.0' is 3), bad values are NULL."""
     v = F.col(v) if isinstance(v, str) else v
-    text = F.try_variant_get(v, f"$.{path}", "string")
+    at = path if path == "$" else f"$.{path}"
+    text = F.try_variant_get(v, at, "string")
     if kind == "bigint":
-        return F.coalesce(F.try_variant_get(v, f"$.{path}", "bigint"), text.try_cast("double").try_cast("bigint"))
+        return F.coalesce(F.try_variant_get(v, at, "bigint"), text.try_cast("double").try_cast("bigint"))
     if kind == "utc":
         return to_utc(text)
-    return F.try_variant_get(v, f"$.{path}", kind)
+    return F.try_variant_get(v, at, kind)
 
 
 def _there(path: str) -> Column:
@@ -55,16 +56,21 @@ def fields(spec: str) -> list[tuple]:
 
 
 def read_fields(landed: DataFrame, spec: str, computed: dict[str, Callable[[], Column]] | None = None, keep: tuple = ()) -> DataFrame:
-    """The feed's columns, then the computed ones, then ``rejected``: the names of fields that are there and not readable."""
+    """The feed's columns, then the computed ones, then ``rejected``: the names of fields that are there and not readable.
+
+    A value is read once, in a projection of its own; whether a field is there is only asked where its value is NULL.
+    """
+    rows, made = fields(spec), computed or {}
+    lists = {k: b for f in made.values() for k, b in getattr(f, "needs", {}).items()}
+    read = landed.select(*keep, _V, *[get(path, kind).alias(f"_val_{name}") for name, path, kind, _ in rows], *[b().alias(k) for k, b in lists.items()])
     cols, bad = [], []
-    for name, path, kind, default in fields(spec):
-        value = get(path, kind)
-        bad.append(F.when(_there(path) & value.isNull(), F.lit(name)))
+    for name, path, kind, default in rows:
+        value = F.col(f"_val_{name}")
+        bad.append(F.when(value.isNull() & _there(path), F.lit(name)))
         cast = "timestamp" if kind == "utc" else kind
         cols.append((value if default is None else F.coalesce(value, F.lit(default).cast(cast))).alias(name))
-    made = [f().alias(name) for name, f in (computed or {}).items()]
     rejected = F.array_compact(F.array(*bad))
-    return landed.select(*keep, *cols, *made, rejected.alias("rejected"))
+    return read.select(*keep, *cols, *[f().alias(name) for name, f in made.items()], rejected.alias("rejected"))
 
 
 def reject_counts(read: DataFrame) -> DataFrame:
@@ -79,15 +85,24 @@ def _list(path: str) -> Column:
     return F.coalesce(get(path, "array<variant>"), F.array().cast("array<variant>"))
 
 
+def _latest(source: str) -> Callable[[], Column]:
+    """(kind, value) of the entries of an action list, last first; each is read once, whatever asks for it."""
+    entry = lambda a: F.struct(get("action_type", "string", a).alias("kind"), get("value", "variant", a).alias("value"))
+    return lambda: F.reverse(F.transform(_list(source), entry))
+
+
 def _action(column: str) -> Callable[[], Column]:
     """I-19 over a variant: the first alias that is there, its last entry."""
     source = "action_values" if column.endswith("_value") else "actions"
     kind = "double" if column.endswith("_value") else "bigint"
+    entries = f"_latest_{source}"
 
-    def last(alias):
-        return F.try_element_at(F.filter(_list(source), lambda a: get("action_type", "string", a) == F.lit(alias)), F.lit(-1))
+    def build():
+        places = [F.nullif(F.array_position(F.col(entries)["kind"], alias), F.lit(0)) for alias in ACTION_ALIASES[column]]
+        return get("$", kind, F.get(F.col(entries)["value"], (F.coalesce(*places) - 1).cast("int")))
 
-    return lambda: get("value", kind, F.coalesce(*map(last, ACTION_ALIASES[column])))
+    build.needs = {entries: _latest(source)}
+    return build
 
 
 def _described_lines() -> Column:
