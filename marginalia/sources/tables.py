@@ -130,7 +130,9 @@ def refresh(path: str, sources: dict[str, tuple[DataFrame, Column]], build: Call
         cut = {name: df.withColumn("_p", token(by)).join(F.broadcast(wanted), "_p", "left_semi").drop("_p") for name, (df, by) in sources.items()}
         mart = build(**cut).withColumn("_p", token(part)).join(F.broadcast(wanted), "_p", "left_semi")
         mart.write.mode("overwrite").partitionBy("_p").parquet(f"{path}/data/_v={version}")
-        made = {r["_p"] for r in spark.read.parquet(f"{path}/data/_v={version}").select(F.col("_p").cast("string")).distinct().collect()} if not mart.isEmpty() else set()
+        # what was written says which partitions have rows; asking the mart again would build it a second time
+        written = spark.read.schema("_p string").parquet(f"{path}/data/_v={version}")
+        made = {r["_p"] for r in written.select("_p").distinct().collect()}
     rows = [(p, _folder(path, version, p) if p in made else None, digest) for p, digest in changed.items()]
     _commit(spark, path, version, rows + [(p, None, None) for p in gone])
     return sorted([*changed, *gone])
