@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marginalia.functions import month_diff, month_start, norm_key, nz, round_half_away, safe_div
-from marginalia.functions.windows import running_sums
+from marginalia.functions.windows import running_sums, spread
 
 # Fixed values that must equal the reference's for equal results:
 #   partnership revenue share kept: 0.40 (the partnership product's title is a
@@ -68,39 +68,28 @@ def product_profitability(lines: DataFrame, orders: DataFrame, shop_costs: DataF
     Shipping is allocated to lines by their share of the order's net revenue.
     """
     gross, net = _line_net(partner_title, partner_share)
-    detail = (lines.join(orders.select("order_id", "order_date"), "order_id")
+    title = F.col("title")
+    # Lines meet their order in one task, spread over all shuffle partitions.  The order's net total is a window over
+    # them there (rows of a long order spill), so a line needs no row of its own in a hash map before it is added to
+    # its day; a line's share of the flat shipping is its share of the order's net revenue.  What the title says is
+    # added to the finished days.
+    order_net = F.sum("net_revenue").over(Window.partitionBy("order_id"))
+    detail = (spread(lines, "order_id").join(orders.select("order_id", "order_date"), "order_id")
               .select(
                   F.coalesce(F.when(F.col("sku") != "", F.col("sku")),
-                             F.concat(F.lit("NO_SKU_"), F.replace(F.col("title"), F.lit(" "), F.lit("_")))
-                             ).alias("sku"),
-                  "title", "order_id", "order_date",
-                  (F.col("title") == partner_title).alias("is_partnership"),
-                  F.lower(F.col("title")).like(gift_card_like).alias("is_gift_card"),
-                  "quantity", gross.alias("gross_revenue"), "total_discount",
-                  net.alias("net_revenue")))
-    # One scan: lines are first reduced to one row per (order, sku, title, day)
-    # with map-side partial aggregation; the order's net total then comes from
-    # a window over those rows, whose size per order is bounded by the number
-    # of distinct products in it (not by its line count); a line group's share
-    # of the flat shipping is its share of the order's net revenue.
-    per_group = detail.groupBy("order_id", "sku", "title", "order_date").agg(
-        F.max("is_partnership").alias("is_partnership"),
-        F.max("is_gift_card").alias("is_gift_card"),
+                             F.concat(F.lit("NO_SKU_"), F.replace(title, F.lit(" "), F.lit("_")))).alias("sku"),
+                  "title", "order_id", "order_date", "quantity", gross.alias("gross_revenue"), "total_discount",
+                  net.alias("net_revenue"))
+              .withColumn("item_shipping_cost",
+                          F.lit(shipping_per_order) * safe_div(F.col("net_revenue"), order_net)))
+    daily = (detail.groupBy("sku", "title", "order_date").agg(
         F.sum("quantity").alias("units_sold"),
         F.sum("gross_revenue").alias("gross_revenue"),
         F.sum("total_discount").alias("total_discounts"),
-        F.sum("net_revenue").alias("net_revenue"))
-    order_net = F.sum("net_revenue").over(Window.partitionBy("order_id"))
-    per_group = per_group.withColumn(
-        "item_shipping_cost", F.lit(shipping_per_order) * safe_div(F.col("net_revenue"), order_net))
-    daily = per_group.groupBy("sku", "title", "order_date").agg(
-        F.max("is_partnership").alias("is_partnership"),
-        F.max("is_gift_card").alias("is_gift_card"),
-        F.sum("units_sold").alias("units_sold"),
-        F.sum("gross_revenue").alias("gross_revenue"),
-        F.sum("total_discounts").alias("total_discounts"),
         F.sum("net_revenue").alias("net_revenue"),
         F.sum("item_shipping_cost").alias("estimated_shipping_cost"))
+        .withColumns({"is_partnership": title == partner_title,
+                      "is_gift_card": F.lower(title).like(gift_card_like)}))
     shop = cost_lookup(shop_costs).withColumnRenamed("unit_cost", "shop_cost")
     market = cost_lookup(market_costs).withColumnRenamed("unit_cost", "market_cost")
     keyed = daily.withColumn("sku_key", norm_key("sku"))

@@ -4,6 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from marginalia.operators import commerce as cm
 from marginalia.operators import search as se
 from marginalia.plans.landing import _payload
 from marginalia.sources import landing as ld
@@ -58,3 +59,28 @@ def test_a_payload_is_one_object(spark):
     out = df.select(_payload(F.col("odd"), a=(F.col("a"),), b=(F.col("b"),), c=F.col("c")).alias("p"))
     assert [r.p for r in out.collect()] == ['{"a":"1.5","b":"2","c":"x"}', '{"a":1.5,"b":2}', "{}"]
     assert out._jdf.queryExecution().optimizedPlan().toString().count("to_json") <= 2
+
+
+def _executed(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def _aggregates_under_the_lines_exchange(plan):
+    """Hash aggregations keyed by an order, each of which holds a row for every line of a task."""
+    return [x for x in plan.split("\n") if "HashAggregate(keys=[order_id" in x]
+
+
+def test_profitability_keeps_no_row_of_a_line_in_a_hash_map(spark):
+    """Lines are spread over all shuffle partitions and go through one window to their day."""
+    lines = spark.createDataFrame([(1, "a", "A", 2, 10.0, 1.0), (1, "a", "A", 1, 10.0, None), (1, "", "B C", 1, 20.0, 0.0), (2, None, None, 1, 5.0, 0.0),
+                                   (3, "p", "Partner Product", 1, 10.0, 0.0), (4, "x", "X", 1, 1.0, 0.0), (None, "a", "A", 1, 1.0, 0.0)],
+                                  "order_id long, sku string, title string, quantity long, price double, total_discount double")
+    day = dt.date(2024, 1, 1)
+    orders = spark.createDataFrame([(1, day), (2, day), (3, day), (3, dt.date(2024, 1, 2)), (None, day)], "order_id long, order_date date")
+    none = spark.createDataFrame([], "sku string, cogs double")
+    out = cm.product_profitability(lines, orders, none, none)
+    assert not _aggregates_under_the_lines_exchange(_executed(out)) and "REPARTITION_BY_NUM" in _executed(out)
+    got = {(r.sku, r.order_date.day): (r.units_sold, r.net_revenue, round(r.estimated_shipping_cost, 6), r.cogs_source, r.is_gift_card) for r in out.collect()}
+    share = 5.35 / 39
+    assert got == {("a", 1): (3, 19.0, round(19 * share, 6), "fallback_40pct", False), ("NO_SKU_B_C", 1): (1, 20.0, round(20 * share, 6), "fallback_40pct", False),
+                   (None, 1): (1, 5.0, 5.35, "fallback_40pct", None), ("p", 1): (1, 4.0, 2.675, "partnership", False), ("p", 2): (1, 4.0, 2.675, "partnership", False)}
