@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from marginalia.operators import commerce as cm
 from marginalia.operators import search as se
+from marginalia.plans import QUERIES
 from marginalia.plans.landing import _payload
 from marginalia.sources import landing as ld
 from marginalia.sources import tables as tb
@@ -84,3 +85,11 @@ def test_profitability_keeps_no_row_of_a_line_in_a_hash_map(spark):
     share = 5.35 / 39
     assert got == {("a", 1): (3, 19.0, round(19 * share, 6), "fallback_40pct", False), ("NO_SKU_B_C", 1): (1, 20.0, round(20 * share, 6), "fallback_40pct", False),
                    (None, 1): (1, 5.0, 5.35, "fallback_40pct", None), ("p", 1): (1, 4.0, 2.675, "partnership", False), ("p", 2): (1, 4.0, 2.675, "partnership", False)}
+
+
+def test_the_pnl_keeps_no_row_of_a_line_in_a_hash_map(spark, tmp_path):
+    """The daily and monthly P&L and its extract read the same step."""
+    d = "/root/testdata/sf0.001"
+    for name in ("d2c_daily_pnl",):
+        plan = _executed(QUERIES[name].run(spark, d))
+        assert not _aggregates_under_the_lines_exchange(plan) and "REPARTITION_BY_NUM" in plan
