@@ -90,6 +90,6 @@ def test_profitability_keeps_no_row_of_a_line_in_a_hash_map(spark):
 def test_the_pnl_keeps_no_row_of_a_line_in_a_hash_map(spark, tmp_path):
     """The daily and monthly P&L and its extract read the same step."""
     d = "/root/testdata/sf0.001"
-    for name in ("d2c_daily_pnl",):
+    for name in ("d2c_daily_pnl", "d2c_monthly_pnl"):
         plan = _executed(QUERIES[name].run(spark, d))
         assert not _aggregates_under_the_lines_exchange(plan) and "REPARTITION_BY_NUM" in plan
