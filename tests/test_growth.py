@@ -93,3 +93,4 @@ def test_the_pnl_keeps_no_row_of_a_line_in_a_hash_map(spark, tmp_path):
     for name in ("d2c_daily_pnl", "d2c_monthly_pnl"):
         plan = _executed(QUERIES[name].run(spark, d))
         assert not _aggregates_under_the_lines_exchange(plan) and "REPARTITION_BY_NUM" in plan
+    assert QUERIES["extract_x04_d2c_monthly_pnl"].build(spark, d).count() == QUERIES["d2c_monthly_pnl"].build(spark, d).count()
