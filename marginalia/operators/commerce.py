@@ -277,10 +277,11 @@ def product_dimension(products: DataFrame, variants: DataFrame) -> DataFrame:
 # --- marketplace ---------------------------------------------------------------
 
 def marketplace_daily_ad_spend(ad_spend: DataFrame) -> DataFrame:
-    """A-01: ad spend by (date, asin)."""
-    return ad_spend.groupBy("date", "asin").agg(
+    """A-01: ad spend by (date, asin); grouped as staging deals the rows, so they are not shuffled again."""
+    return ad_spend.groupBy("asin", "date").agg(
         F.sum("cost").alias("cost"), F.sum("impressions").alias("impressions"),
-        F.sum("clicks").alias("clicks"), F.sum("ad_sales").alias("ad_sales"))
+        F.sum("clicks").alias("clicks"), F.sum("ad_sales").alias("ad_sales")).select(
+        "date", "asin", "cost", "impressions", "clicks", "ad_sales")
 
 
 def marketplace_ad_spend_union(*feeds: DataFrame, columns=None) -> DataFrame:
@@ -294,9 +295,10 @@ def marketplace_ad_spend_union(*feeds: DataFrame, columns=None) -> DataFrame:
 
 def marketplace_daily_orders(orders_clean: DataFrame) -> DataFrame:
     """A-04: marketplace order lines summed by purchase day and asin."""
-    return orders_clean.groupBy(F.col("purchase_date").cast("date").alias("purchase_date_utc"), "asin").agg(
+    return orders_clean.groupBy("asin", F.col("purchase_date").cast("date").alias("purchase_date_utc")).agg(
         F.sum("quantity").alias("quantity"), F.sum("item_price").alias("item_price"),
-        F.sum("item_promotion_discount").alias("item_promotion_discount"), F.sum("sales").alias("sales"))
+        F.sum("item_promotion_discount").alias("item_promotion_discount"), F.sum("sales").alias("sales")).select(
+        "purchase_date_utc", "asin", "quantity", "item_price", "item_promotion_discount", "sales")
 
 
 def marketplace_daily_profitability(daily_orders: DataFrame, daily_ad_spend: DataFrame,
@@ -304,13 +306,14 @@ def marketplace_daily_profitability(daily_orders: DataFrame, daily_ad_spend: Dat
     """T-02: orders + ad spend + product costs -> costs and contribution per day x asin.
 
     A missing product cost leaves ``total_costs``/``contribution`` NULL, as in
-    the source model.
+    the source model.  The product comes before the day in the join's keys: a
+    sort compares the first key's prefix, and a day has very many rows.
     """
     fees = fees or MARKETPLACE_FEES
     ads = daily_ad_spend.select(F.col("date").cast("date").alias("purchase_date_utc"), "asin",
                                 "impressions", "clicks", "ad_sales", "cost")
     pm = product_map.select("asin", "cogs", "fba_cost", "title", "category", "subcategory", "sku")
-    j = daily_orders.join(ads, ["purchase_date_utc", "asin"], "left").join(pm, "asin", "left")
+    j = daily_orders.join(ads, ["asin", "purchase_date_utc"], "left").join(pm, "asin", "left")
     j = j.select(
         "purchase_date_utc", "asin", "quantity", "item_price", "item_promotion_discount",
         "impressions", "clicks", "ad_sales", "sales", nz("cost", 0.0).alias("ad_cost"),

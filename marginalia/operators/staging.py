@@ -8,16 +8,18 @@ the raw columns a contract does not use).  Dedup rules:
 * ``latest``    one row per key, the newest ``_loaded_at`` (ties broken by the
                 row's content), as a ``max_by`` aggregation: partially
                 aggregated on the mappers, so a hot key is not one task;
-* ``latest_all`` every row of the newest load per key (keep-all-ties), as an
-                aggregate of the newest stamp per key joined back.
+* ``latest_all`` every row of the newest load per key (keep-all-ties), by a
+                window over a key's rows (which spill where they are many);
+                keys that hold a NULL are left out, as a join would.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marginalia.functions import round_half_away, safe_div
+from marginalia.functions.windows import spread
 
 # Fixed values that must equal the reference's for equal results:
 #   marketplace FX to USD: MXN x 0.054, CAD x 0.72;  order-time zone: US/Pacific
@@ -33,7 +35,7 @@ SPECS: dict[str, dict] = {
         cols=[("date", None, "date"), ("asin", "advertised_asin", "string"), ("cost", None, "double"),
               ("impressions", None, "bigint"), ("clicks", None, "bigint"), ("ad_sales", "sales14d", "double"),
               ("_loaded_at", None, None)],
-        dedup=("latest_all", ["date", "asin"], "_loaded_at"),
+        dedup=("latest_all", ["asin", "date"], "_loaded_at"),
         post=lambda df: df.select("date", "asin", F.coalesce("cost", F.lit(0.0)).alias("cost"), "impressions",
                                   "clicks", "ad_sales")),
     "amazon__traffic": dict(
@@ -191,8 +193,13 @@ def dedup(df: DataFrame, kind: str, keys: list[str], order: str) -> DataFrame:
         g = df.groupBy(*keys).agg(F.max_by(F.struct(*[F.col(c) for c in cols]), rank).alias("_r"))
         return g.select(*[F.col(f"_r.{c}").alias(c) for c in cols])
     if kind == "latest_all":
-        newest = df.groupBy(*keys).agg(F.max(order).alias(order))
-        return df.join(newest, [*keys, order], "left_semi")
+        # one scan and one shuffle: the newest stamp is a window over a key's loads; rows without a key are no rows of it
+        keyed = df
+        for k in keys:
+            keyed = keyed.where(F.col(k).isNotNull())
+        keyed = spread(keyed, *keys)
+        newest = F.max(order).over(Window.partitionBy(*keys))
+        return keyed.withColumn("_newest", newest).where(F.col(order) == F.col("_newest")).drop("_newest")
     raise ValueError(kind)
 
 
@@ -219,9 +226,10 @@ def orders_clean(raw: DataFrame, *, fx: dict | None = None, tz: str = ORDER_TZ)
     p = raw.where((F.col("order_status") != "Cancelled") & (F.col("item_status") != "Cancelled")).select(
         "sku", "asin", "currency", money("quantity").alias("quantity"), money("item_price").alias("item_price"),
         "item_status", "order_status", "ship_country", "sales_channel",
-        F.from_utc_timestamp(F.col("purchase_date").cast("timestamp"), tz).alias("purchase_date_pac"),
         F.col("purchase_date").cast("timestamp").alias("purchase_date"), "amazon_order_id", "ship_service_level",
         money("item_promotion_discount").alias("item_promotion_discount")).distinct()
+    # the purchase time makes the Pacific one, so rows are as distinct without it
+    p = p.select(*p.columns[:9], F.from_utc_timestamp("purchase_date", tz).alias("purchase_date_pac"), *p.columns[9:])
     rate = F.lit(1.0)
     for cur, r in fx.items():
         rate = F.when(F.col("currency") == cur, F.lit(r)).otherwise(rate)

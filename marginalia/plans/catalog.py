@@ -28,6 +28,8 @@ QUERIES: dict[str, "Query"] = {}
 _SPARK_TYPES = {"i": "bigint", "s": "string", "d": "date", "b": "boolean", "t": "timestamp"}
 _SQL_TYPES = {"i": "BIGINT", "s": "VARCHAR", "d": "DATE", "b": "BOOLEAN", "t": "TIMESTAMP"}
 _SCALES = {"m": 2, "f": 4, "r": 6}
+#: Columns of a result that are rounded in place.
+ROUNDED = 8
 
 
 @dataclass
@@ -56,11 +58,23 @@ class Query:
 
 
 def normalize(df: DataFrame, columns) -> DataFrame:
-    """Final projection with the value classes of the spec."""
-    exprs = []
+    """Final projection with the value classes of the spec.
+
+    More than ``ROUNDED`` roundings in one generated method pass the 8,000 bytes up to which the JVM compiles it,
+    and each row is then interpreted; so the columns of a wide result are rounded as the elements of one array a class.
+    """
+    exprs, rounded = [], {}
+    scaled = [(name, kind) for name, kind in columns if kind in _SCALES]
+    if len(scaled) > ROUNDED:
+        for of in dict(map(reversed, scaled)):
+            names = [name for name, kind in scaled if kind == of]
+            values = F.transform(F.array(*[F.col(f"`{n}`").cast("double") for n in names]), lambda v: _snap(v, _SCALES[of]))
+            rounded |= {n: values[i] for i, n in enumerate(names)}
     for name, kind in columns:
         col = F.col(f"`{name}`")
-        if kind in _SCALES:
+        if name in rounded:
+            exprs.append(rounded[name].alias(name))
+        elif kind in _SCALES:
             exprs.append(_snap(col.cast("double"), _SCALES[kind]).alias(name))
         elif kind == "a":  # arrays are compared as sorted, joined text
             exprs.append(F.array_join(F.array_sort(col), "|").alias(name))

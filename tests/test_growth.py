@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from marginalia.operators import commerce as cm
 from marginalia.operators import search as se
+from marginalia.operators import staging as st
 from marginalia.plans import QUERIES
 from marginalia.plans.landing import _payload
 from marginalia.sources import landing as ld
@@ -94,3 +95,37 @@ def test_the_pnl_keeps_no_row_of_a_line_in_a_hash_map(spark, tmp_path):
         plan = _executed(QUERIES[name].run(spark, d))
         assert not _aggregates_under_the_lines_exchange(plan) and "REPARTITION_BY_NUM" in plan
     assert QUERIES["extract_x04_d2c_monthly_pnl"].build(spark, d).count() == QUERIES["d2c_monthly_pnl"].build(spark, d).count()
+
+
+def test_the_newest_load_is_found_in_one_scan(spark):
+    """Ads are scanned and shuffled once: the newest load, its sums and their join need no other exchange; keys with a NULL stay out."""
+    d = dt.date(2024, 1, 1)
+    raw = spark.createDataFrame([(d, "A", "1.0", "1", "1", "1.0", 1), (d, "A", "2.0", "1", "1", "1.0", 2), (d, "A", None, "1", "1", "1.0", 2), (d, "B", "4.0", "1", "1", "1.0", 1),
+                                 (None, "A", "8.0", "1", "1", "1.0", 1), (d, None, "8.0", "1", "1", "1.0", 1), (d, "C", "8.0", "1", "1", "1.0", None)],
+                                "date date, advertised_asin string, cost string, impressions string, clicks string, sales14d string, _loaded_at int")
+    out = cm.marketplace_daily_ad_spend(st.stage(raw, "amazon__ad_spend"))
+    plan = _executed(out)
+    assert plan.count("Exchange ") == 1 and "Join" not in plan
+    assert sorted((r.asin, r.cost, r.impressions) for r in out.collect()) == [("A", 2.0, 2), ("B", 4.0, 1)]
+
+
+def test_distinct_orders_are_told_apart_without_the_derived_time(spark):
+    """The Pacific time follows from the purchase time: it is added to the distinct rows."""
+    row = ("s", "A", "CAD", "2", "10.00", "Shipped", "Shipped", "US", "web", "2024-01-01T00:30:00Z", "o", "std", None)
+    raw = spark.createDataFrame([row, row], "sku string, asin string, currency string, quantity string, item_price string, item_status string, order_status string, ship_country string, "
+                                            "sales_channel string, purchase_date string, amazon_order_id string, ship_service_level string, item_promotion_discount string")
+    out = st.orders_clean(raw)
+    assert [(str(r.purchase_date_pac), str(r.purchase_date), float(r.sales)) for r in out.collect()] == [("2023-12-31 16:30:00", "2024-01-01 00:30:00", 7.2)]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "from_utc_timestamp" not in plan[plan.index("Aggregate ["):].split("\n", 1)[1]  # below the distinct rows' own line
+
+
+def test_wide_results_round_in_small_methods(spark):
+    """More than eight roundings leave no generated method that the JVM refuses to compile; the values are the same."""
+    from marginalia.plans import catalog as ct
+    values = [None, 0.125, -2.675, 1234567.891, 1e-9, 2.5, -0.0, 7e11, 0.1 + 0.2, 3.0]
+    df = spark.createDataFrame([tuple(values)], ", ".join(f"c{i} double" for i in range(10)))
+    wide = ct.normalize(df, [(f"c{i}", "mfr"[i % 3]) for i in range(10)])
+    narrow = [ct.normalize(df, [(f"c{i}", "mfr"[i % 3])]).first()[0] for i in range(10)]
+    assert list(wide.first()) == narrow and wide.columns == df.columns
+    assert _executed(wide).count("FLOOR") <= 9 * 10  # a class's steps, not a column's
