@@ -324,8 +324,9 @@ def wholesale_detail(invoices: DataFrame, lines: DataFrame, customers: DataFrame
                         F.col("total_amount").alias("invoice_total"), F.col("balance").alias("invoice_balance"),
                         "txn_status")
     c = customers.select("customer_id", "company_name", "state")
-    d = (lines.select("line_item_id", "invoice_id", "item_name", "quantity", "unit_price", "amount")
-         .join(i, "invoice_id").join(c, "customer_id", "left"))
+    # customers meet the invoices, not their lines: the lines are shuffled once
+    i = i.join(c, "customer_id", "left")
+    d = lines.select("line_item_id", "invoice_id", "item_name", "quantity", "unit_price", "amount").join(i, "invoice_id")
     cols = ["line_item_id", "invoice_id", "txn_date", "customer_name", "company_name", "state", "item_name",
             "quantity", "unit_price", "amount", "invoice_total", "invoice_balance", "txn_status"]
     out = d.select(*cols)

@@ -5,6 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from marginalia.operators import commerce as cm
+from marginalia.operators import finance as fin
 from marginalia.operators import search as se
 from marginalia.operators import staging as st
 from marginalia.plans import QUERIES
@@ -129,3 +130,17 @@ def test_wide_results_round_in_small_methods(spark):
     narrow = [ct.normalize(df, [(f"c{i}", "mfr"[i % 3])]).first()[0] for i in range(10)]
     assert list(wide.first()) == narrow and wide.columns == df.columns
     assert _executed(wide).count("FLOOR") <= 9 * 10  # a class's steps, not a column's
+
+
+def test_lines_meet_their_invoices_after_the_customers_did(spark):
+    """Invoice lines are in one join: customers are looked up for the invoices."""
+    lines = spark.createDataFrame([("l1", "i1", "x", 1.0, 2.0, 2.0), ("l2", "i1", "y", 1.0, 3.0, 3.0), ("l3", "i9", "z", 1.0, 3.0, 3.0)],
+                                  "line_item_id string, invoice_id string, item_name string, quantity double, unit_price double, amount double")
+    invoices = spark.createDataFrame([("i1", dt.date(2024, 1, 1), "c1", "C", 5.0, 0.0, "Paid"), ("i1", dt.date(2024, 1, 2), None, "D", 5.0, 0.0, "Paid")],
+                                     "invoice_id string, txn_date date, customer_id string, customer_name string, total_amount double, balance double, txn_status string")
+    customers = spark.createDataFrame([("c1", "Co", "NY"), ("c1", "Co2", None)], "customer_id string, company_name string, state string")
+    out = fin.wholesale_detail(invoices, lines, customers)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join Inner") < plan.index("Join LeftOuter")
+    got = [(r.line_item_id, r.txn_date.day, r.company_name) for r in out.collect()]
+    assert len(got) == 6 and set(got) == {(x, 1, c) for x in ("l1", "l2") for c in ("Co", "Co2")} | {(x, 2, None) for x in ("l1", "l2")}
