@@ -246,7 +246,8 @@ def product_performance(lines: DataFrame, orders: DataFrame, products: DataFrame
     o = (orders.where(~F.col("financial_status").isin(*excluded_statuses))
          .select("order_id", "utm_source", "utm_medium", "utm_campaign"))
     p = products.select("product_id", F.col("title").alias("p_title"), "product_type")
-    j = lines.join(o, "order_id").join(p, "product_id", "left")
+    # the distinct orders of a group cost a task two hash maps of its lines and one of its groups, so lines are spread
+    j = spread(lines, "order_id").join(o, "order_id").join(p, "product_id", "left")
     return j.groupBy(
         "product_id", F.coalesce("p_title", "title").alias("product_title"), "product_type",
         F.coalesce("utm_source", F.lit("direct")).alias("source"),

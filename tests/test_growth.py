@@ -98,6 +98,17 @@ def test_the_pnl_keeps_no_row_of_a_line_in_a_hash_map(spark, tmp_path):
     assert QUERIES["extract_x04_d2c_monthly_pnl"].build(spark, d).count() == QUERIES["d2c_monthly_pnl"].build(spark, d).count()
 
 
+def test_performance_spreads_its_lines(spark):
+    """The hash maps of the distinct orders hold the lines of one shuffle partition, not of a core."""
+    lines = spark.createDataFrame([(1, 7, "T", 2, 3.0, 1.0), (1, 7, "T", 1, 5.0, 0.0), (2, 7, "T", 1, 4.0, None), (3, 7, "T", 1, 4.0, 0.0)],
+                                  "order_id long, product_id long, title string, quantity long, price double, total_discount double")
+    orders = spark.createDataFrame([(1, "paid", "a"), (2, "paid", "a"), (3, "voided", "a"), (2, None, "a")],
+                                   "order_id long, financial_status string, utm_source string").selectExpr("*", "cast(null as string) utm_medium", "cast(null as string) utm_campaign")
+    out = cm.product_performance(lines, orders, spark.createDataFrame([], "product_id long, title string, product_type string"))
+    assert "REPARTITION_BY_NUM" in _executed(out)
+    assert [(r.product_title, r.source, r.medium, r.orders, r.units_sold, r.gross_revenue, r.avg_price) for r in out.collect()] == [("T", "a", "none", 2, 4, 15.0, 4.0)]
+
+
 def test_the_newest_load_is_found_in_one_scan(spark):
     """Ads are scanned and shuffled once: the newest load, its sums and their join need no other exchange; keys with a NULL stay out."""
     d = dt.date(2024, 1, 1)
