@@ -9,14 +9,21 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
 
+#: Partitions a core that ``spread`` deals rows to at least.
+PER_CORE = 8
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """``df`` dealt by ``keys`` to all of the session's shuffle partitions, which adaptive execution does not merge.
 
     Merging looks at compressed bytes and leaves a task a core while they are few, or 64 MB a task; where the
     stage behind sorts the rows and builds hash maps of them, a task holds many times that.  The join, window or
-    grouping on ``keys`` needs this exchange anyway.
+    grouping on ``keys`` needs this exchange anyway.  A session that sets as few partitions as it has cores would
+    leave a task a core too, so there are ``PER_CORE`` partitions a core at least.
     """
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+    spark = df.sparkSession
+    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                              PER_CORE * spark.sparkContext.defaultParallelism), *keys)
 
 
 #: Numbers of the second ordering column that share a bucket inside a day.

@@ -1,9 +1,11 @@
 """Work that must not grow beside the input: what is built once is built once, what is read once is read once."""
 
 import datetime as dt
+import re
 
 from pyspark.sql import functions as F
 
+from marginalia.functions.windows import spread
 from marginalia.operators import commerce as cm
 from marginalia.operators import finance as fin
 from marginalia.operators import search as se
@@ -98,6 +100,26 @@ def test_the_pnl_keeps_no_row_of_a_line_in_a_hash_map(spark, tmp_path):
     assert QUERIES["extract_x04_d2c_monthly_pnl"].build(spark, d).count() == QUERIES["d2c_monthly_pnl"].build(spark, d).count()
 
 
+def _dealt(plan):
+    """Partitions that lines are dealt to by their order."""
+    return {int(n) for n in re.findall(r"hashpartitioning\(order_id#\d+L?, (\d+)\), REPARTITION_BY_NUM", plan)}
+
+
+def test_the_daily_pnl_deals_its_lines_to_several_partitions_a_core(spark):
+    """A session with as few shuffle partitions as cores would leave a core's share of the lines in one task."""
+    cores = spark.sparkContext.defaultParallelism
+    assert int(spark.conf.get("spark.sql.shuffle.partitions")) < 8 * cores
+    assert _dealt(_executed(QUERIES["d2c_daily_pnl"].run(spark, "/root/testdata/sf0.001"))) == {8 * cores}
+    rows = spark.createDataFrame([(i % 50,) for i in range(100)] + [(None,)] * 3, "k long")
+    assert spread(rows, "k").rdd.getNumPartitions() == 8 * cores and spread(rows, "k").groupBy("k").count().count() == 51
+    few = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", 9 * cores)
+        assert spread(rows, "k").rdd.getNumPartitions() == 9 * cores
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", few)
+
+
 def test_performance_spreads_its_lines(spark):
     """The hash maps of the distinct orders hold the lines of one shuffle partition, not of a core."""
     lines = spark.createDataFrame([(1, 7, "T", 2, 3.0, 1.0), (1, 7, "T", 1, 5.0, 0.0), (2, 7, "T", 1, 4.0, None), (3, 7, "T", 1, 4.0, 0.0)],
