@@ -120,6 +120,11 @@ def test_the_daily_pnl_deals_its_lines_to_several_partitions_a_core(spark):
         spark.conf.set("spark.sql.shuffle.partitions", few)
 
 
+def test_the_monthly_pnl_deals_its_lines_to_several_partitions_a_core(spark):
+    """A month's sums are made of days whose lines were dealt as the daily P&L deals them."""
+    assert _dealt(_executed(QUERIES["d2c_monthly_pnl"].run(spark, "/root/testdata/sf0.001"))) == {8 * spark.sparkContext.defaultParallelism}
+
+
 def test_performance_spreads_its_lines(spark):
     """The hash maps of the distinct orders hold the lines of one shuffle partition, not of a core."""
     lines = spark.createDataFrame([(1, 7, "T", 2, 3.0, 1.0), (1, 7, "T", 1, 5.0, 0.0), (2, 7, "T", 1, 4.0, None), (3, 7, "T", 1, 4.0, 0.0)],
