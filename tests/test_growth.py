@@ -125,6 +125,16 @@ def test_the_monthly_pnl_deals_its_lines_to_several_partitions_a_core(spark):
     assert _dealt(_executed(QUERIES["d2c_monthly_pnl"].run(spark, "/root/testdata/sf0.001"))) == {8 * spark.sparkContext.defaultParallelism}
 
 
+def test_the_pnl_extract_deals_its_lines_to_several_partitions_a_core(spark, monkeypatch):
+    """What the extract writes is the monthly P&L, dealt as that is."""
+    from marginalia.operators import serving as sv
+    written = []
+    write = sv.write_ordered
+    monkeypatch.setattr(sv, "write_ordered", lambda df, path, order: (written.append(_dealt(_executed(df))), write(df, path, order)))
+    assert QUERIES["extract_x04_d2c_monthly_pnl"].build(spark, "/root/testdata/sf0.001").count() > 0
+    assert written == [{8 * spark.sparkContext.defaultParallelism}]
+
+
 def test_performance_spreads_its_lines(spark):
     """The hash maps of the distinct orders hold the lines of one shuffle partition, not of a core."""
     lines = spark.createDataFrame([(1, 7, "T", 2, 3.0, 1.0), (1, 7, "T", 1, 5.0, 0.0), (2, 7, "T", 1, 4.0, None), (3, 7, "T", 1, 4.0, 0.0)],
