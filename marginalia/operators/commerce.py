@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marginalia.functions import month_diff, month_start, norm_key, nz, round_half_away, safe_div
-from marginalia.functions.windows import running_sums, spread
+from marginalia.functions.windows import many, running_sums, spread
 
 # Fixed values that must equal the reference's for equal results:
 #   partnership revenue share kept: 0.40 (the partnership product's title is a
@@ -59,13 +59,14 @@ def product_profitability(lines: DataFrame, orders: DataFrame, shop_costs: DataF
                           market_costs: DataFrame, *, shipping_per_order: float = SHIPPING_PER_ORDER,
                           partner_title: str = PARTNER_TITLE, partner_share: float = PARTNER_SHARE,
                           gift_card_like: str = GIFT_CARD_LIKE,
-                          fallback_cogs_rate: float = FALLBACK_COGS_RATE) -> DataFrame:
+                          fallback_cogs_rate: float = FALLBACK_COGS_RATE, rows: int = 0) -> DataFrame:
     """K-14: sku x title x order day P&L with cost-of-goods resolution.
 
     Cost precedence: partnership -> 0; gift card -> net revenue; shop cost
     table; marketplace cost table; flat fallback share of net revenue.  The
     ``cogs_source`` label uses the same precedence (one list, see R-10).
     Shipping is allocated to lines by their share of the order's net revenue.
+    ``rows``: how many lines there are, if known; no task's share grows with it.
     """
     gross, net = _line_net(partner_title, partner_share)
     title = F.col("title")
@@ -74,7 +75,7 @@ def product_profitability(lines: DataFrame, orders: DataFrame, shop_costs: DataF
     # its day; a line's share of the flat shipping is its share of the order's net revenue.  What the title says is
     # added to the finished days.
     order_net = F.sum("net_revenue").over(Window.partitionBy("order_id"))
-    detail = (spread(lines, "order_id").join(orders.select("order_id", "order_date"), "order_id")
+    detail = (spread(lines, "order_id", rows=rows).join(orders.select("order_id", "order_date"), "order_id")
               .select(
                   F.coalesce(F.when(F.col("sku") != "", F.col("sku")),
                              F.concat(F.lit("NO_SKU_"), F.replace(title, F.lit(" "), F.lit("_")))).alias("sku"),
@@ -82,6 +83,10 @@ def product_profitability(lines: DataFrame, orders: DataFrame, shop_costs: DataF
                   net.alias("net_revenue"))
               .withColumn("item_shipping_cost",
                           F.lit(shipping_per_order) * safe_div(F.col("net_revenue"), order_net)))
+    # Few lines of real products share their day, so a task holds a group a line; where that is too many for the
+    # session's shuffle partitions, which nothing splits, lines are dealt to as many as they need.
+    if many(lines.sparkSession, rows):
+        detail = spread(detail.drop("order_id"), "sku", "title", "order_date", rows=rows)
     daily = (detail.groupBy("sku", "title", "order_date").agg(
         F.sum("quantity").alias("units_sold"),
         F.sum("gross_revenue").alias("gross_revenue"),
@@ -121,13 +126,16 @@ def product_profitability(lines: DataFrame, orders: DataFrame, shop_costs: DataF
 
 def d2c_daily_pnl(orders: DataFrame, profitability: DataFrame, search_spend: DataFrame,
                   social_spend: DataFrame, *, fee_rate: float = FEE_RATE,
-                  fee_per_order: float = FEE_PER_ORDER) -> DataFrame:
+                  fee_per_order: float = FEE_PER_ORDER, rows: int = 0) -> DataFrame:
     """K-16: daily contribution stack over a date spine of four feeds.
 
     ``search_spend`` / ``social_spend`` carry (date_start, spend) rows.
     The spine is a union of the four pre-aggregated feeds summed by date.
+    ``rows``: how many order lines there are, if known, which bounds the orders a task counts.
     """
     zero = F.lit(None).cast("double")
+    if many(orders.sparkSession, rows):
+        orders = spread(orders.select("order_id", "order_date"), "order_id", rows=rows)
     o = orders.groupBy("order_date").agg(F.count_distinct("order_id").alias("orders"))
     p = profitability.groupBy("order_date").agg(
         F.sum("units_sold").alias("units_sold"), F.sum("gross_revenue").alias("gross_revenue"),

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marginalia.functions import in_months
+from marginalia.functions.windows import many
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
@@ -100,9 +101,18 @@ def _sku(size_col="p_size"):
         F.concat_ws("-", "p_brand", "p_type", (F.col(size_col) % 4).cast("string")))
 
 
-def shop_lines(spark, d):
+def line_rows(spark, d):
+    """How many order lines there are; the files' footers say so."""
+    return table(spark, d, "lineitem").count()
+
+
+def shop_lines(spark, d, rows=None):
+    """``rows``: ``line_rows``, if known.  Where the lines are many for the session's shuffle partitions, they pass by
+    a hash map of the parts and are not sorted: a task's memory is that of its parts."""
     li = table(spark, d, "lineitem")
     p = table(spark, d, "part")
+    if many(spark, line_rows(spark, d) if rows is None else rows):
+        p = p.hint("shuffle_hash")
     j = li.join(p, li["l_partkey"] == p["p_partkey"])
     return j.select(
         F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("line_item_id"),

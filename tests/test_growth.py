@@ -5,6 +5,7 @@ import re
 
 from pyspark.sql import functions as F
 
+from marginalia.functions import windows
 from marginalia.functions.windows import spread
 from marginalia.operators import commerce as cm
 from marginalia.operators import finance as fin
@@ -135,6 +136,47 @@ def test_the_pnl_extract_deals_its_lines_to_several_partitions_a_core(spark, mon
     assert written == [{8 * spark.sparkContext.defaultParallelism}]
 
 
+def _shop(spark, d):
+    """600 lines of 150 orders and 20 products, some keys NULL, some that no table knows, a product and an order twice."""
+    n = spark.range(600)
+    n.selectExpr("nullif(id div 4, 7) as l_orderkey", "nullif(id % 22, 3) as l_partkey", "id % 5 as l_suppkey", "cast(id % 4 as int) as l_linenumber",
+                 "cast(id % 6 + 1 as double) as l_quantity", "10.0D * (id % 6 + 1) as l_extendedprice", "(id % 3) / 100D as l_discount", "0.0D as l_tax",
+                 "if(id % 2 = 0, 'R', 'N') as l_returnflag", "if(id % 3 = 0, 'F', 'O') as l_linestatus",
+                 "timestamp '2024-01-01' + make_dt_interval(cast(id % 90 as int)) as l_shipdate").write.parquet(f"{d}/lineitem.parquet")
+    n.where("id < 140").selectExpr("nullif(if(id = 139, 5, id), 9) as o_orderkey", "id % 11 as o_custkey", "'F' as o_orderstatus", "9.5D as o_totalprice",
+                                   "if(id = 12, null, timestamp '2024-01-01' + make_dt_interval(cast(id % 80 as int))) as o_orderdate",
+                                   "'2-HIGH' as o_orderpriority").write.parquet(f"{d}/orders.parquet")
+    n.where("id < 21").selectExpr("if(id = 20, 4, id) as p_partkey", "nullif(concat('part ', id), 'part 6') as p_name", "concat('B', id) as p_brand", "'T' as p_type",
+                                  "cast(id as int) as p_size", "900D + id as p_retailprice").write.parquet(f"{d}/part.parquet")
+    return d
+
+
+def _share_bounded(plan):
+    """Lines meet their order, then their product's day, in 600 / 10 partitions, and their part without being sorted."""
+    days = {int(n) for n in re.findall(r"hashpartitioning\(sku#\d+, title#\d+, order_date#\d+, (\d+)\), REPARTITION_BY_NUM", plan)}
+    parts = re.findall(r"(\w+Join) \[l_partkey#", plan)
+    return _dealt(plan) == {60} == days and set(parts) == {"ShuffledHashJoin"}
+
+
+def _figures(df):
+    """Rows as texts in order; sums of doubles depend on the order of their rows in the last digits."""
+    return sorted(str([f"{v:.6f}" if isinstance(v, float) else v for v in r]) for r in df.collect())
+
+
+def test_a_task_of_the_monthly_pnl_holds_a_bounded_share_of_the_lines(spark, tmp_path, monkeypatch):
+    """With many lines for the session's shuffle partitions, there are as many partitions as the lines need; rows stay."""
+    d = _shop(spark, str(tmp_path))
+    names = ("d2c_monthly_pnl", "d2c_daily_pnl", "product_profitability")
+    few = {n: QUERIES[n].run(spark, d) for n in names}
+    assert not any(_share_bounded(_executed(df)) for df in few.values())
+    monkeypatch.setattr(windows, "PER_TASK", 10)
+    assert 600 > 10 * int(spark.conf.get("spark.sql.shuffle.partitions")) and 60 > 8 * spark.sparkContext.defaultParallelism
+    for n in names:
+        df = QUERIES[n].run(spark, d)
+        assert _share_bounded(_executed(df))
+        assert _figures(df) == _figures(few[n])
+
+
 def test_performance_spreads_its_lines(spark):
     """The hash maps of the distinct orders hold the lines of one shuffle partition, not of a core."""
     lines = spark.createDataFrame([(1, 7, "T", 2, 3.0, 1.0), (1, 7, "T", 1, 5.0, 0.0), (2, 7, "T", 1, 4.0, None), (3, 7, "T", 1, 4.0, 0.0)],
