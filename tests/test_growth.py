@@ -177,6 +177,19 @@ def test_a_task_of_the_monthly_pnl_holds_a_bounded_share_of_the_lines(spark, tmp
         assert _figures(df) == _figures(few[n])
 
 
+def test_the_pnl_extract_holds_a_bounded_share_of_the_lines(spark, tmp_path, monkeypatch):
+    """What the extract writes is the monthly P&L, dealt as that is."""
+    from marginalia.operators import serving as sv
+    d = _shop(spark, str(tmp_path))
+    few = _figures(QUERIES["d2c_monthly_pnl"].run(spark, d))
+    monkeypatch.setattr(windows, "PER_TASK", 10)
+    written = []
+    write = sv.write_ordered
+    monkeypatch.setattr(sv, "write_ordered", lambda df, path, order: (written.append(_share_bounded(_executed(df))), write(df, path, order)))
+    assert _figures(QUERIES["extract_x04_d2c_monthly_pnl"].build(spark, d)) == few and len(few) == 3
+    assert written == [True]
+
+
 def test_performance_spreads_its_lines(spark):
     """The hash maps of the distinct orders hold the lines of one shuffle partition, not of a core."""
     lines = spark.createDataFrame([(1, 7, "T", 2, 3.0, 1.0), (1, 7, "T", 1, 5.0, 0.0), (2, 7, "T", 1, 4.0, None), (3, 7, "T", 1, 4.0, 0.0)],
