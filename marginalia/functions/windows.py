@@ -21,18 +21,18 @@ def many(spark: SparkSession, rows: int) -> bool:
     return rows > PER_TASK * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def spread(df: DataFrame, *keys: str, rows: int = 0) -> DataFrame:
+def spread(df: DataFrame, *keys: str, rows: int = 0, least: int = 0) -> DataFrame:
     """``df`` dealt by ``keys`` to all of the session's shuffle partitions, which adaptive execution does not merge.
 
     Merging looks at compressed bytes and leaves a task a core while they are few, or 64 MB a task; where the
     stage behind sorts the rows and builds hash maps of them, a task holds many times that.  The join, window or
     grouping on ``keys`` needs this exchange anyway.  A session that sets as few partitions as it has cores would
     leave a task a core too, so there are ``PER_CORE`` partitions a core at least.  With the number of ``rows``, or
-    a bound of it, there are so many that a task's share does not grow with the input.
+    a bound of it, there are so many that a task's share does not grow with the input.  ``least`` asks for so many partitions at least.
     """
     spark = df.sparkSession
     return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")),
-                              PER_CORE * spark.sparkContext.defaultParallelism, ceil(rows / PER_TASK)), *keys)
+                              PER_CORE * spark.sparkContext.defaultParallelism, ceil(rows / PER_TASK), least), *keys)
 
 
 #: Numbers of the second ordering column that share a bucket inside a day.

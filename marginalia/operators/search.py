@@ -4,11 +4,11 @@ search-term n-grams (K-10, K-11, K-12, T-05).
 Scale notes
 * n-grams are built inside each row with array functions (filter the
   normalised words, pair each kept word with the next kept word) and exploded
-  once; no window over word positions, so no shuffle before the final
-  aggregation.
-* the search term (which may be a long text) is reduced to a SHA-256
-  fingerprint before the explode, so the distinct-term count shuffles 32
-  bytes per (n-gram, term) instead of the text.
+  once; no window over word positions.
+* a term's n-grams take many times the term's bytes, so terms are dealt by
+  week and campaign before the explode and their n-grams are summed where
+  they arise, without a shuffle; only a week of a campaign that holds a large
+  share of all rows is spread by term, and its n-grams are shuffled.
 * the ad-copy join pushes the 30-day date predicate into the right side
   (it sits in the ON clause in the source model, so unmatched copy stays).
 """
@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marginalia.functions import monday_week, safe_div
+from marginalia.functions.windows import spread
 
 # Fixed values that must equal the reference's for equal results:
 #   stop words removed from n-grams (32):
@@ -65,16 +66,29 @@ def term_ngrams(words: Column) -> Column:
     return F.transform(gram_texts(words), lambda g: F.struct(g.alias("ngram"), gram_length(g).alias("ngram_length")))
 
 
-def search_term_ngrams(terms: DataFrame, as_of: str, *, weeks: int = 8, lower_first: bool = False) -> DataFrame:
-    """T-05: 1- and 2-word n-grams x campaign x Monday week with spend signals.
+#: A week of a campaign is large when it has more rows than this, and more than one in ``LARGE_SHARE`` of all.
+LARGE_ROWS, LARGE_SHARE = 100_000, 32
+#: Partitions for each week of a campaign, so that few of them meet in a task, and the most there are for that.
+PER_GROUP, MOST_PARTS = 4, 2048
 
-    A (week, term, campaign) is one row before its n-grams are exploded, so
-    the terms that hold an n-gram are counted by a mark on its first place in
-    the row's sorted n-grams; the exploded rows are summed before their one shuffle.
-    """
-    recent = terms.where((F.col("spend") > 0) &
-                         (F.col("date_start") >= F.date_sub(F.lit(as_of).cast("date"), 7 * weeks)))
-    weekly = recent.groupBy(monday_week("date_start").alias("week_start"), "search_term", "campaign_name").agg(
+
+def _groups(recent: DataFrame) -> tuple[int, Column | None]:
+    """The number of (week, campaign) groups, and whether a row is of a large one, None where there is none.
+
+    Below ``LARGE_SHARE`` keys reach the driver."""
+    sizes = recent.groupBy("week_start", "campaign_name").count()
+    n, total, most = sizes.agg(F.count(F.lit(1)), F.sum("count"), F.max("count")).first()
+    large = None
+    least = max(LARGE_ROWS, (total or 0) // LARGE_SHARE)
+    for k in sizes.where(F.col("count") > least).collect() if n and most > least else []:
+        this = F.col("week_start").eqNullSafe(F.lit(k["week_start"])) & F.col("campaign_name").eqNullSafe(F.lit(k["campaign_name"]))
+        large = this if large is None else large | this
+    return n, large
+
+
+def _gram_sums(recent: DataFrame, lower_first: bool) -> DataFrame:
+    """Sums of each (week, n-gram, campaign), exchanged where the rows are not yet dealt by week and campaign."""
+    weekly = recent.groupBy("week_start", "search_term", "campaign_name").agg(
         F.sum("impressions").alias("impressions"), F.sum("clicks").alias("clicks"),
         F.sum("spend").alias("spend"), F.sum("conversions").alias("conversions"))
     # words are projected once as a column: referencing the split expression
@@ -90,10 +104,30 @@ def search_term_ngrams(terms: DataFrame, as_of: str, *, weeks: int = 8, lower_fi
         .alias("z")).where("z.g is not null").select(
         "week_start", "campaign_name", "impressions", "clicks", "spend", "conversions", "z.g",
         (~F.col("z.g").eqNullSafe(F.col("z.before"))).cast("bigint").alias("first"))
-    agg = grams.groupBy("week_start", F.col("g").alias("ngram"), "campaign_name").agg(
+    return grams.groupBy("week_start", F.col("g").alias("ngram"), "campaign_name").agg(
         F.sum("first").alias("unique_search_terms"),
         F.sum("impressions").alias("total_impressions"), F.sum("clicks").alias("total_clicks"),
         F.sum("spend").alias("total_spend"), F.sum("conversions").alias("total_conversions"))
+
+
+def search_term_ngrams(terms: DataFrame, as_of: str, *, weeks: int = 8, lower_first: bool = False) -> DataFrame:
+    """T-05: 1- and 2-word n-grams x campaign x Monday week with spend signals.
+
+    A (week, term, campaign) is one row before its n-grams are exploded, so
+    the terms that hold an n-gram are counted by a mark on its first place in
+    the row's sorted n-grams.  Rows are dealt by week and campaign, so that
+    both groupings need no other exchange; those of a large week of a campaign
+    (rows are counted first) are dealt by term, their n-grams exchanged.
+    """
+    recent = terms.where((F.col("spend") > 0) &
+                         (F.col("date_start") >= F.date_sub(F.lit(as_of).cast("date"), 7 * weeks)))
+    recent = recent.select(monday_week("date_start").alias("week_start"), "search_term", "campaign_name",
+                           "impressions", "clicks", "spend", "conversions")
+    groups, large = _groups(recent)
+    rest = recent if large is None else recent.where(~large)
+    agg = _gram_sums(spread(rest, "week_start", "campaign_name", least=min(PER_GROUP * groups, MOST_PARTS)), lower_first)
+    if large is not None:
+        agg = agg.unionByName(_gram_sums(recent.where(large), lower_first))
     cvr = safe_div(F.col("total_conversions"), F.col("total_clicks"))
     sig = (F.when((F.col("total_conversions") == 0) & (F.col("total_spend") >= 10), "wasteful")
            .when((F.col("total_conversions") == 0) & (F.col("total_spend") >= 5), "watch")

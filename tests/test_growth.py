@@ -49,6 +49,42 @@ def test_ngrams_are_sorted_as_plain_texts(spark):
         ("red", 1, 1, 20), ("shoe", 1, 1, 10), ("red red", 2, 1, 10), ("red shoe", 2, 1, 10)}
 
 
+def _terms(spark):
+    """400 rows of two weeks and four campaigns (one of them NULL), terms repeated and NULL; one week of a campaign has most rows."""
+    return spark.range(400).selectExpr("date_add(date '2024-02-12', cast(if(id % 4 < 2, 0, id % 14) as int)) as date_start",
+                                       "if(id % 17 = 0, null, concat('red ', substr('the shoes hat red boots', cast(id % 9 as int) + 1), ' w', id % 23)) as search_term",
+                                       "nullif(concat('c', if(id % 4 < 2, 0, id % 5)), 'c3') as campaign_name", "id % 50 as impressions", "id % 7 as clicks",
+                                       "double(id % 11) as spend", "double(id % 3) as conversions")
+
+
+def test_ngrams_are_summed_where_their_terms_are(spark, monkeypatch):
+    """Terms are exchanged, their n-grams are not, but for those of a large week of a campaign; rows stay."""
+    def grams_sent(df):
+        return len(re.findall(r"hashpartitioning\([^)]*\b(?:ngram|g)#", _executed(df)))
+
+    few = se.search_term_ngrams(_terms(spark), "2024-02-26")
+    assert grams_sent(few) == 0 and len(re.findall(r"hashpartitioning", _executed(few))) == 1
+    monkeypatch.setattr(se, "LARGE_ROWS", 50)
+    monkeypatch.setattr(se, "LARGE_SHARE", 4)
+    large = se.search_term_ngrams(_terms(spark), "2024-02-26")
+    assert grams_sent(large) == 1
+    assert _figures(large) == _figures(few) and few.count() > 100
+    monkeypatch.setattr(se, "LARGE_SHARE", 1)  # none holds more than all
+    assert grams_sent(se.search_term_ngrams(_terms(spark), "2024-02-26")) == 0
+    rows = _terms(spark).where("spend > 0 and search_term is not null").collect()
+    want = {}
+    for r in rows:
+        words = [w for w in re.sub("[^a-z0-9 ]+", " ", r.search_term.strip()).split() if w not in se.STOP_WORDS]
+        week = r.date_start - dt.timedelta(days=r.date_start.weekday())
+        for g in words + [f"{a} {b}" for a, b in zip(words, words[1:])]:
+            x = want.setdefault((week, g, r.campaign_name), [set(), 0, 0.0])
+            x[0].add(r.search_term)
+            x[1] += r.impressions
+            x[2] += r.spend
+    want = {k: (len(t), i, s) for k, (t, i, s) in want.items() if len(t) >= 2 or s >= 5}
+    assert {(r.week_start, r.ngram, r.campaign_name): (r.unique_search_terms, r.total_impressions, r.total_spend) for r in large.collect()} == want
+
+
 def test_an_action_list_is_read_once(spark):
     """Eight computed fields ask two lists: each list's entries are typed in one place of the plan."""
     text = ('{"ad_id":1,"actions":[{"action_type":"purchase","value":"2"},7,{"action_type":"link_click","value":1},{"action_type":"link_click","value":"4.0"},'
