@@ -10,7 +10,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from marginalia.llm import embedding_dedup, simhash_dedup, suffix_dedup
+from marginalia.llm import common, embedding_dedup, simhash_dedup, suffix_dedup
 from marginalia.llm.components import connected_components
 
 
@@ -159,6 +159,28 @@ def test_embeddings_beside_the_bound(spark, options):
     assert {r.vec_id: r.n_links for r in got} == {i: links[i] for i in range(len(rows))}
 
 
+def test_embeddings_are_sent_once_a_job(spark, monkeypatch):
+    """However many blocks a label has, a job's exchange holds each vector once; what is found is summed between jobs; only two steps stay."""
+    rng = random.Random(9)
+    centres = [[rng.gauss(0, 1) for _ in range(6)] for _ in range(12)]
+    rows = [(i, [c + rng.gauss(0, 0.06) for c in centres[i * i % 12]], 0) for i in range(96)] + [(300 + i, centres[i], 1) for i in range(9)]
+    rows += [(400, rows[7][1], 0), (7, rows[8][1], 0)]  # equal vectors, and two vectors of one id
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    want = sorted(embedding_dedup.near_duplicates(df, 0.995).collect())
+    sent, grouped = [], type(df.groupBy("label"))
+    apply = grouped.applyInArrow
+    monkeypatch.setattr(grouped, "applyInArrow", lambda self, f, schema: (sent.append(self._df.count()), apply(self, f, schema))[1])
+    monkeypatch.setattr(embedding_dedup, "SENT", 0, raising=False)
+    monkeypatch.setattr(embedding_dedup, "HELD", 3, raising=False)
+    mark = common.steps_written()
+    got = embedding_dedup.near_duplicates(df, 0.995, vectors_per_pivot=20, block=16)
+    left = [p.rpartition("/")[2].partition("-")[0] for p in common._WRITTEN[mark:]]
+    assert sent == [105, 96, 96, 96, 96, 96] and left == ["vectors", "named"]  # all but the copies
+    assert sorted(got.collect()) == want
+    links = [r.n_links for r in want]
+    assert sum(links) > 500 and 0 in links and len({r.component_id for r in want}) > 10
+
+
 def test_embeddings_empty(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert embedding_dedup.near_duplicates(df).count() == 0
